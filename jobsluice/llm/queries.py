@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from jobsluice.llm import exact_dedup
+from jobsluice.llm import bpe, exact_dedup
 
 LLM_QUERIES = {
+    "op5_bpe": bpe.op5_bpe,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
 LLM_ORACLES = {
