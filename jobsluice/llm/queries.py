@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from jobsluice.llm import bpe, exact_dedup
+from jobsluice.llm import bpe, exact_dedup, url_filter
 
 LLM_QUERIES = {
+    "op4_url_filter": url_filter.op4_url_filter,
     "op5_bpe": bpe.op5_bpe,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
 LLM_ORACLES = {
+    "op4_url_filter": url_filter.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
 }
