@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from jobsluice.llm import bpe, decontaminate, exact_dedup, url_filter
+from jobsluice.llm import bpe, chat, decontaminate, exact_dedup, url_filter
 
 LLM_QUERIES = {
+    "op2_chat_format": chat.op2_chat_format,
     "op4_url_filter": url_filter.op4_url_filter,
     "op5_bpe": bpe.op5_bpe,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 LLM_ORACLES = {
+    "op2_chat_format": chat.ORACLE,
     "op4_url_filter": url_filter.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
