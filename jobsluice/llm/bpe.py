@@ -14,6 +14,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobsluice.llm.arrays import pieces
 from jobsluice.llm.common import read, text_of
 
 #: Fixed value: the pattern that splits text into words before the merges of byte-level vocabularies.
@@ -165,6 +166,19 @@ def vocabulary(spark: SparkSession, path: str) -> Callable[[], Bpe]:
     return lambda: _model(sent.value)
 
 
+def _ids(bpe: Bpe, texts: pa.Array) -> pa.Array:
+    return pa.array([bpe.encode(t) for t in texts.to_pylist()], pa.binary())
+
+
+def _texts(bpe: Bpe, ids: pa.Array) -> pa.Array:
+    return pa.array([bpe.decode(x or b"") for x in ids.to_pylist()], pa.string())
+
+
+def _texts_of(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    return rows, f"id {rows.schema['id'].dataType.simpleString()}"
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and ids (binary: little-endian unsigned 32-bit token ids) of each row's whole text.
 
@@ -172,15 +186,13 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     and an empty table pass through row by row; other columns are not read.
     """
     model = vocabulary(docs.sparkSession, path)
+    rows, schema = _texts_of(docs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = model()
-        for batch in batches:
-            ids = pa.array([bpe.encode(t) for t in batch.column(1).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["id", "ids"])
+        for batch in pieces(batches):
+            yield pa.RecordBatch.from_arrays([batch.column(0), _ids(model(), batch.column(1))], ["id", "ids"])
 
-    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids binary")
+    return rows.mapInArrow(run, f"{schema}, ids binary")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -188,19 +200,29 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     model = vocabulary(encoded.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = model()
-        for batch in batches:
-            texts = pa.array([bpe.decode(x or b"") for x in batch.column("ids").to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("ids"), texts], ["id", "ids", "decoded"])
+        for batch in pieces(batches):
+            yield pa.RecordBatch.from_arrays([*batch.columns, _texts(model(), batch.column(1))], ["id", "ids", "decoded"])
 
     rows = encoded.select("id", "ids")
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids binary, decoded string")
 
 
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, ids and decoded: decode of encode, in one pass of one worker. The cases are those of encode."""
+    model = vocabulary(docs.sparkSession, path)
+    rows, schema = _texts_of(docs, id_col, text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            ids = _ids(model(), batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids, _texts(model(), ids)], ["id", "ids", "decoded"])
+
+    return rows.mapInArrow(run, f"{schema}, ids binary, decoded string")
+
+
 def token_digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each row's encoded and decoded text."""
-    rows = decode(encode(docs, path), path)
-    return rows.select(
+    return round_trip(docs, path).select(
         F.col("id").alias("doc_id"),
         F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
