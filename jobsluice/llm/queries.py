@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from jobsluice.llm import bpe, chat, decontaminate, exact_dedup, language, url_filter
+from jobsluice.llm import bpe, chat, decontaminate, exact_dedup, language, substring_dedup, url_filter
 
 LLM_QUERIES = {
     "op2_chat_format": chat.op2_chat_format,
     "op4_url_filter": url_filter.op4_url_filter,
     "op5_bpe": bpe.op5_bpe,
+    "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_language": language.op7_language,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_decontaminate": decontaminate.op10_decontaminate,
