@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from jobsluice.llm import bpe, chat, decontaminate, exact_dedup, language, substring_dedup, url_filter
+from jobsluice.llm import bpe, chat, decontaminate, exact_dedup, jaccard_join, language, substring_dedup, url_filter
 
 LLM_QUERIES = {
     "op2_chat_format": chat.op2_chat_format,
+    "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_url_filter": url_filter.op4_url_filter,
     "op5_bpe": bpe.op5_bpe,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
