@@ -34,17 +34,22 @@ def random_u64(n: int, seed: int) -> np.ndarray:
 
 
 @lru_cache(maxsize=4)
-def _powers(n: int) -> np.ndarray:
+def powers(n: int) -> np.ndarray:
     out = np.full(n, 0xD6E8FEB86659FD93, np.uint64)
     out[0] = 1
     return np.cumprod(out, dtype=np.uint64)
 
 
 @lru_cache(maxsize=4)
-def _byte_values(lower: bool) -> np.ndarray:
-    """A random value for each byte, none for white space; with ``lower`` A-Z have those of a-z."""
+def byte_values(lower: bool, letters: bool = False) -> np.ndarray:
+    """A random value for each byte, none for white space; with ``lower`` A-Z have those of a-z.
+
+    With ``letters`` all of ASCII but letters and digits is white space.
+    """
     out = random_u64(256, 7)
     out[[0x20, *range(0x09, 0x0E)]] = 0
+    if letters:
+        out[[b for b in range(128) if not chr(b).isalnum()]] = 0
     if lower:
         out[0x41:0x5B] = out[0x61:0x7B]
     return out
@@ -60,9 +65,9 @@ class Words(NamedTuple):
     data: np.ndarray
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of the texts data[offsets[i]:offsets[i + 1]] in UTF-8."""
-    values = _byte_values(lower)[data]
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, letters: bool = False) -> Words:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of the texts data[offsets[i]:offsets[i + 1]] in UTF-8; see byte_values."""
+    values = byte_values(lower, letters)[data]
     inside = values != 0
     n = len(data)
     edge = np.zeros(n + 1, bool)
@@ -80,9 +85,9 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
     place[starts[0] :] -= np.repeat(starts, np.diff(np.append(starts, n)))
     place[: starts[0]] = 0
     longest = int((ends - starts).max())
-    powers = _powers(1 << max(6, (longest - 1).bit_length()))
-    np.minimum(place, len(powers) - 1, out=place)  # only white space lies beyond
-    sums = np.add.reduceat(values * powers[place], starts)
+    table = powers(1 << max(6, (longest - 1).bit_length()))
+    np.minimum(place, len(table) - 1, out=place)  # only white space lies beyond
+    sums = np.add.reduceat(values * table[place], starts)
     return Words(mixed(sums + (ends - starts).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)), starts, ends, firsts, data)
 
 

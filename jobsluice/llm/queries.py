@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from jobsluice.llm import bpe, chat, decontaminate, exact_dedup, jaccard_join, language, substring_dedup, url_filter
+from jobsluice.llm import bpe, chat, decontaminate, exact_dedup, jaccard_join, language, substring_dedup, toxicity, url_filter
 
 LLM_QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_chat_format": chat.op2_chat_format,
     "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_url_filter": url_filter.op4_url_filter,
