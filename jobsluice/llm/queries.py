@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from jobsluice.llm import bpe, chat, decontaminate, exact_dedup, jaccard_join, language, substring_dedup, toxicity, url_filter
+from jobsluice.llm import bpe, chat, decontaminate, exact_dedup, jaccard_join, language, secrets, substring_dedup, toxicity, url_filter
 
 LLM_QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -12,6 +12,7 @@ LLM_QUERIES = {
     "op5_bpe": bpe.op5_bpe,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_language": language.op7_language,
+    "op8_secret_scan": secrets.op8_secret_scan,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
