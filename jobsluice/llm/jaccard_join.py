@@ -1,10 +1,10 @@
-"""Near duplicates: documents whose sets of word n-grams have a Jaccard similarity of 0.85 or more.
+"""Near duplicates: documents whose sets of word n-grams have at least a given Jaccard similarity.
 
 The search is a T-occurrence search. A set's n-grams are sorted by hash; two linked sets must share some of their
-smallest ones, so an inverted index of those prefixes finds all links. Let a set of n need T = ceil(0.85 n) shared
+smallest ones, so an inverted index of those prefixes finds all links. Let a set of n need T = ceil(least n) shared
 n-grams with any partner, and let its prefix hold n - T + 1 + e of its smallest, e = floor(0.08 n). Of two linked sets
 take the one whose prefix ends first: at most n - T of its prefix are not shared, so at least 1 + e are, and all those lie
-in both prefixes. A query thus needs 1 + e(ceil(0.85 n)) occurrences in its lists, whichever of the two it is.
+in both prefixes. A query thus needs 1 + e(T) occurrences in its lists, whichever of the two it is.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from itertools import groupby
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -22,9 +23,6 @@ from pyspark.sql import functions as F
 from jobsluice.llm.arrays import Words, mixed, ngrams, stretches, words
 from jobsluice.llm.common import read, stored, text_of
 
-SIZE = 4
-#: Similarity in hundredths.
-LEAST = 85
 #: Share of a set, in hundredths, by which its prefix is longer than links need.
 EXTRA = 8
 #: Lists of more sets are long: they are not merged but probed.
@@ -45,17 +43,22 @@ def _sets(found: Words, size: int) -> Iterator[np.ndarray]:
             yield ngrams(found.hashes[first:stop], stop - first) if stop > first else np.zeros(0, np.uint64)
 
 
-def least_shared(n: int) -> int:
-    return -(-LEAST * n // 100)
+class Rule(NamedTuple):
+    """When sets are linked: words of an n-gram, and the least similarity in hundredths (50 to 100)."""
 
+    size: int = 5
+    least: int = 80
 
-def prefix_length(n: int) -> int:
-    return n - least_shared(n) + 1 + EXTRA * n // 100 if n else 0
+    def prefix_length(self, n: int) -> int:
+        return n + (-self.least * n // 100) + 1 + EXTRA * n // 100 if n else 0
 
+    def needed(self, n: Column) -> Column:
+        """Occurrences that a set of n needs in the lists of its prefix."""
+        return 1 + F.floor(EXTRA * F.ceil(self.least * n / 100) / 100)
 
-def needed(n: Column) -> Column:
-    """Occurrences that a set of n needs in the lists of its prefix."""
-    return 1 + F.floor(EXTRA * F.ceil(LEAST * n / 100) / 100)
+    def compatible(self, a: Column, b: Column) -> Column:
+        """Whether sets of these sizes can be linked at all."""
+        return 100 * F.least(a, b) >= self.least * F.greatest(a, b)
 
 
 def _sizes(size: int):
@@ -67,12 +70,12 @@ def _sizes(size: int):
     return run
 
 
-def _prefixes(size: int):
+def _prefixes(rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, stop, data, offsets in stretches(batch.column(1)):
-                sets = list(_sets(words(data, offsets, lower=True), size))
-                k = np.array([prefix_length(len(s)) for s in sets])
+                sets = list(_sets(words(data, offsets, lower=True), rule.size))
+                k = np.array([rule.prefix_length(len(s)) for s in sets])
                 grams = np.concatenate([s[:j] for s, j in zip(sets, k)])
                 rows = np.repeat(np.arange(stop - first), k)
                 n = np.array([len(s) for s in sets], np.int32)[rows]
@@ -95,23 +98,27 @@ def _whole(size: int):
     return run
 
 
-def _linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _linked(rule: Rule):
     """Of pairs with both sets the linked ones: the smaller set is probed, by binary search, in the larger."""
-    for pdf in batches:
-        keep = []
-        for x, y in zip(pdf["grams_a"], pdf["grams_b"]):
-            a, b = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
-            at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-            both = int((b[at] == a).sum())
-            keep.append(100 * both >= LEAST * (len(a) + len(b) - both))
-        yield pdf.loc[keep, ["a", "b"]]
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            keep = []
+            for x, y in zip(pdf["grams_a"], pdf["grams_b"]):
+                a, b = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
+                at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+                both = int((b[at] == a).sum())
+                keep.append(100 * both >= rule.least * (len(a) + len(b) - both))
+            yield pdf.loc[keep, ["a", "b"]]
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    return run
+
+
+def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough. A hot partner's pairs are split by Spark."""
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("grams_a")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("grams").alias("grams_b")), "b")
-    return both.select("a", "b", "grams_a", "grams_b").mapInPandas(_linked, "a long, b long")
+    return both.select("a", "b", "grams_a", "grams_b").mapInPandas(_linked(rule), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -128,17 +135,13 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _compatible(a: Column, b: Column) -> Column:
-    return 100 * F.least(a, b) >= LEAST * F.greatest(a, b)
-
-
-def _leader_pairs(lists: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+def _leader_pairs(lists: DataFrame, labels: DataFrame, rule: Rule, turn: int) -> DataFrame:
     """Pairs of sets with the leader of most of their lists, one for each set, over component borders only."""
     rows = _with_component(lists, labels)
     order = F.xxhash64(F.col("id"), F.lit(turn)) if turn else F.lit(0)
     rank = F.struct(order.alias("order"), F.col("id"), F.col("n"), F.col("component"))
     leads = rows.groupBy("gram").agg(F.min(rank).alias("lead"))
-    met = rows.join(leads, "gram").filter((F.col("lead.component") != F.col("component")) & _compatible(F.col("n"), F.col("lead.n")))
+    met = rows.join(leads, "gram").filter((F.col("lead.component") != F.col("component")) & rule.compatible(F.col("n"), F.col("lead.n")))
     count = met.groupBy("id", F.col("lead.id").alias("leader")).agg(F.count(F.lit(1)).alias("k"))
     best = count.groupBy("id").agg(F.max_by("leader", F.struct("k", "leader")).alias("leader"))
     return best.select(F.col("id").alias("a"), F.col("leader").alias("b"))
@@ -174,7 +177,7 @@ def _merge(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(search(pending), columns=["a", "b"], dtype="int64")
 
 
-def _search(lists: DataFrame, labels: DataFrame) -> DataFrame:
+def _search(lists: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
     """Candidate pairs (a, b), b < a, of different components that may be linked; none that are linked is missing.
 
     In lists with one component there is nothing to find. Of a query's other lists the short ones are merged. Where
@@ -184,7 +187,7 @@ def _search(lists: DataFrame, labels: DataFrame) -> DataFrame:
     rows = _with_component(lists, labels)
     kinds = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("length"), F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 < c2")
     open_ = stored(rows.join(kinds.select("gram", (F.col("length") > LONG).alias("long")), "gram"), "open")
-    need = needed(F.col("n"))
+    need = rule.needed(F.col("n"))
     # Occurrences in lists of one component can only be with sets of that component, so that they never count.
     longs = open_.groupBy("id").agg(F.count_if("long").alias("n_long"))
     members = open_.filter("not long").groupBy("gram").agg(F.sort_array(F.collect_list(F.struct("id", "component", "n"))).alias("members"))
@@ -194,13 +197,13 @@ def _search(lists: DataFrame, labels: DataFrame) -> DataFrame:
     # Few are left here: what leaders did not join.
     long_rows = open_.filter("long").join(longs, "id").withColumn("full", F.col("n_long") >= need)
     other = long_rows.select("gram", F.col("id").alias("other"), F.col("n").alias("other_n"), F.col("component").alias("other_c"))
-    probed = long_rows.filter("full").join(other, "gram").filter((F.col("component") != F.col("other_c")) & _compatible(F.col("n"), F.col("other_n")))
+    probed = long_rows.filter("full").join(other, "gram").filter((F.col("component") != F.col("other_c")) & rule.compatible(F.col("n"), F.col("other_n")))
     counted = probed.groupBy("id", "other").agg(F.count(F.lit(1)).alias("k"), F.first("n").alias("n"), F.first("other_n").alias("other_n"))
     pairs = counted.select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b"))
     return merged.union(pairs).distinct()
 
 
-def near_duplicates(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles, component_id of each row of ``docs``: the set's size and the smallest id reachable by links.
 
     Words are split at ASCII white space with A-Z lower-cased; a set holds the hashes (64 bits) of the text's n-grams, of
@@ -214,23 +217,23 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", t
     """
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-1 << 63))
     texts = docs.select(key.alias("id"), text_of(text_col).alias("text"))
-    sizes = texts.mapInArrow(_sizes(size), "id long, n long")
-    postings = texts.mapInArrow(_prefixes(size), "gram long, id long, n int").repartition("gram")
+    sizes = texts.mapInArrow(_sizes(rule.size), "id long, n long")
+    postings = texts.mapInArrow(_prefixes(rule), "gram long, id long, n int").repartition("gram")
     shared = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
     counted = postings.join(shared, "gram").groupBy("id").agg(F.count(F.lit(1)).alias("k"), F.max("n").alias("n"))
-    likely = stored(counted.filter(F.col("k") >= needed(F.col("n"))).select("id"), "likely")
+    likely = stored(counted.filter(F.col("k") >= rule.needed(F.col("n"))).select("id"), "likely")
     small = F.broadcast(likely) if likely.count() <= BROADCAST_ROWS else likely
-    sets = stored(texts.join(small, "id", "left_semi").select("id", "text").mapInArrow(_whole(size), "id long, n int, key1 long, key2 long, grams binary"), "sets")
+    sets = stored(texts.join(small, "id", "left_semi").select("id", "text").mapInArrow(_whole(rule.size), "id long, n int, key1 long, key2 long, grams binary"), "sets")
     classes = sets.groupBy("n", "key1", "key2").agg(F.min("id").alias("class"))
     classes = stored(sets.select("id", "n", "key1", "key2").join(classes, ["n", "key1", "key2"]).select("id", "class"), "classes")
     distinct = sets.join(classes.filter("id = class").select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
     distinct = stored(distinct.select("id", "n", "grams"), "distinct")
-    lists = stored(distinct.mapInArrow(_explode_prefixes, "gram long, id long, n int"), "lists")
+    lists = stored(distinct.mapInArrow(_explode_prefixes(rule), "gram long, id long, n int"), "lists")
     labels = distinct.select("id", F.col("id").alias("component")).limit(0)
     links: DataFrame | None = None
     for turn in range(ROUNDS + 1):
-        pairs = _leader_pairs(lists, labels, turn) if turn < ROUNDS else _search(lists, labels)
-        found = stored(verified(pairs, distinct), "found")
+        pairs = _leader_pairs(lists, labels, rule, turn) if turn < ROUNDS else _search(lists, labels, rule)
+        found = stored(verified(pairs, distinct, rule), "found")
         if found.limit(1).count():
             links = found if links is None else links.union(found)
             labels = components(links)
@@ -240,23 +243,26 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", t
     return rows.select(*(F.when(F.col(c) != -1 << 63, F.col(c)).alias(c) if c != "n_shingles" else F.col(c) for c in rows.columns))
 
 
-def _explode_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = [np.frombuffer(x, np.uint64) for x in batch.column(2).to_pylist()]
-        k = np.array([prefix_length(len(s)) for s in sets], np.int64)
-        rows = pa.array(np.repeat(np.arange(len(sets)), k))
-        grams = np.concatenate([s[:j] for s, j in zip(sets, k)]) if sets else np.zeros(0, np.uint64)
-        yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows)], ["gram", "id", "n"])
+def _explode_prefixes(rule: Rule):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(x, np.uint64) for x in batch.column(2).to_pylist()]
+            k = np.array([rule.prefix_length(len(s)) for s in sets], np.int64)
+            rows = pa.array(np.repeat(np.arange(len(sets)), k))
+            grams = np.concatenate([s[:j] for s, j in zip(sets, k)]) if sets else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows)], ["gram", "id", "n"])
+
+    return run
 
 
-def keep_one_of_each(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one_of_each(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of their group, with their columns; rows that repeat an id stay."""
-    groups = near_duplicates(docs, size, id_col, text_col)
+    groups = near_duplicates(docs, rule, id_col, text_col)
     lost = groups.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("lost id")).distinct()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"))
     return rows.join(lost, F.col("id").eqNullSafe(F.col("lost id")), "left_anti").select("row.*")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = near_duplicates(read(spark, sf_dir, "documents"))
+    rows = near_duplicates(read(spark, sf_dir, "documents"), Rule(size=4, least=85))
     return rows.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")

@@ -135,6 +135,20 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     return Profiles([lang for lang, _ in found], unit(np.array([v for _, v in found], np.float64).reshape(len(found), DIMENSIONS)))
 
 
+def _nearest(profiles: Profiles, texts: list[str]) -> tuple[list[str], np.ndarray]:
+    """The language of each text and its cosine."""
+    names, prototypes = profiles
+    langs, scores = [], [np.zeros(0)]
+    for rows in _blocks(texts):
+        vectors = unit(bundle(texts[rows]))
+        near = vectors @ prototypes.T if names else np.zeros((len(vectors), 1))
+        best = near.argmax(axis=1)
+        known = vectors.any(axis=1) & bool(names)
+        langs += [names[b] if k else UNKNOWN for b, k in zip(best, known)]
+        scores.append(np.where(known, np.clip(near[np.arange(len(best)), best], 0, 1), 0.0))
+    return langs, np.concatenate(scores)
+
+
 def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, lang_pred, score of each row of ``docs``: the language of the nearest prototype and its cosine.
 
@@ -144,23 +158,27 @@ def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_c
     sent = docs.sparkSession.sparkContext.broadcast(profiles)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, prototypes = sent.value
         for batch in pieces(batches):
-            texts = batch.column(1).to_pylist()
-            langs, scores = [], []
-            for rows in _blocks(texts):
-                vectors = unit(bundle(texts[rows]))
-                near = vectors @ prototypes.T if names else np.zeros((len(vectors), 1))
-                best = near.argmax(axis=1)
-                known = vectors.any(axis=1) & bool(names)
-                langs += [names[b] if k else UNKNOWN for b, k in zip(best, known)]
-                scores.append(np.where(known, np.clip(near[np.arange(len(best)), best], 0, 1), 0.0))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())], ["id", "lang_pred", "score"])
+            langs, scores = _nearest(sent.value, batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["id", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with their columns, whose language is known: all but those that identify calls ``und``."""
+    sent = docs.sparkSession.sparkContext.broadcast(profiles)
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            langs, _ = _nearest(sent.value, [t or "" for t in batch.column(place).to_pylist()])
+            yield batch.filter(pa.array([lang != UNKNOWN for lang in langs], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fold(id_col: str, folds: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
 
