@@ -7,12 +7,13 @@ import html as html_module
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Named entities that occur in pages; the ampersand comes last, so that nothing is decoded twice.
 NAMED = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&nbsp;", " "), ("&amp;", "&"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _numeric(texts: pd.Series) -> pd.Series:
     return texts.str.replace(r"&#(?:[0-9]+|[xX][0-9a-fA-F]+);", lambda m: html_module.unescape(m.group()), regex=True)
 
