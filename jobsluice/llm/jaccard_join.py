@@ -1,10 +1,19 @@
 """Near duplicates: documents whose sets of word n-grams have at least a given Jaccard similarity.
 
-The search is a T-occurrence search. A set's n-grams are sorted by hash; two linked sets must share some of their
-smallest ones, so an inverted index of those prefixes finds all links. Let a set of n need T = ceil(least n) shared
-n-grams with any partner, and let its prefix hold n - T + 1 + e of its smallest, e = floor(0.08 n). Of two linked sets
-take the one whose prefix ends first: at most n - T of its prefix are not shared, so at least 1 + e are, and all those lie
-in both prefixes. A query thus needs 1 + e(T) occurrences in its lists, whichever of the two it is.
+The search is a T-occurrence search after DivideSkip, in two rounds.
+
+First, who can have a partner at all. A set of n needs T = ceil(least n) shared n-grams with any partner. With the n-grams
+in the order of their hash, let a prefix hold the n - T + 1 + e smallest, e a share of n. Of two linked sets take the one
+whose prefix ends first: at most n - T of its prefix are not shared, so at least 1 + e are, and all of those lie in both
+prefixes. A set that has fewer than 1 + e(T) of its prefix in common with all others together is left out.
+
+Second, groups of near copies, in which every list is long. Each set has a leader, the first set of most of its lists,
+and is written as the difference from it: with c the leader, r what a set lacks of c and D all its differences,
+|a & b| = |c| - r_a - r_b + |D_a & D_b|. Sets of one leader so need T_ab = needed overlap - |c| + r_a + r_b shared
+differences. Where that is none or less they are linked outright, and a star around the set closest to the leader says
+it all. Otherwise the lists of differences, rarest first, are divided: the T - 1 longest are skipped, the others are merged, and
+each candidate is probed by binary search in the skipped ones. Sets of different leaders are searched through their
+prefixes, and probed in their whole sets.
 """
 
 from __future__ import annotations
@@ -17,18 +26,16 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobsluice.llm.arrays import Words, mixed, ngrams, stretches, words
 from jobsluice.llm.common import read, stored, text_of
 
-#: Share of a set, in hundredths, by which its prefix is longer than links need.
-EXTRA = 8
-#: Lists of more sets are long: they are not merged but probed.
+#: Share of a set, in hundredths, by which its prefix is longer than links need: over all sets, and over those left.
+EXTRA, EXTRA_LEFT = 8, 30
+#: Lists of more sets are merged by a join instead of a heap.
 LONG = 64
-#: Leaders that long lists compare their members with, one after another, before the rest is compared in full.
-ROUNDS = 3
 #: Ids of sets in question are broadcast up to this many; beyond it they are joined by a shuffle.
 BROADCAST_ROWS = 4_000_000
 
@@ -49,12 +56,13 @@ class Rule(NamedTuple):
     size: int = 5
     least: int = 80
 
-    def prefix_length(self, n: int) -> int:
-        return n + (-self.least * n // 100) + 1 + EXTRA * n // 100 if n else 0
+    def prefix_length(self, n: int, extra: int) -> int:
+        return min(n, n + (-self.least * n // 100) + 1 + extra * n // 100) if n else 0
 
-    def needed(self, n: Column) -> Column:
+    def needed(self, n: Column, extra: int) -> Column:
         """Occurrences that a set of n needs in the lists of its prefix."""
-        return 1 + F.floor(EXTRA * F.ceil(self.least * n / 100) / 100)
+        least = F.ceil(self.least * n / 100)
+        return F.least(least, 1 + F.floor(extra * least / 100))
 
     def compatible(self, a: Column, b: Column) -> Column:
         """Whether sets of these sizes can be linked at all."""
@@ -75,7 +83,7 @@ def _prefixes(rule: Rule):
         for batch in batches:
             for first, stop, data, offsets in stretches(batch.column(1)):
                 sets = list(_sets(words(data, offsets, lower=True), rule.size))
-                k = np.array([rule.prefix_length(len(s)) for s in sets])
+                k = np.array([rule.prefix_length(len(s), EXTRA) for s in sets])
                 grams = np.concatenate([s[:j] for s, j in zip(sets, k)])
                 rows = np.repeat(np.arange(stop - first), k)
                 n = np.array([len(s) for s in sets], np.int32)[rows]
@@ -98,22 +106,36 @@ def _whole(size: int):
     return run
 
 
+def _shared(x: bytes, y: bytes) -> tuple[int, int, int]:
+    """Sizes of two sorted sets and of what they share, by binary search of the smaller in the larger."""
+    a, b = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
+    if not len(a):
+        return len(a), len(b), 0
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    return len(a), len(b), int((b[at] == a).sum())
+
+
 def _linked(rule: Rule):
-    """Of pairs with both sets the linked ones: the smaller set is probed, by binary search, in the larger."""
+    """Of pairs with both sets the linked ones."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             keep = []
             for x, y in zip(pdf["grams_a"], pdf["grams_b"]):
-                a, b = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
-                at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-                both = int((b[at] == a).sum())
-                keep.append(100 * both >= rule.least * (len(a) + len(b) - both))
+                a, b, both = _shared(x, y)
+                keep.append(100 * both >= rule.least * (a + b - both))
             yield pdf.loc[keep, ["a", "b"]]
 
     return run
 
 
+def _probed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of pairs with their differences those that share enough of them."""
+    for pdf in batches:
+        keep = [_shared(x, y)[2] >= t for x, y, t in zip(pdf["diff_a"], pdf["diff_b"], pdf["t"])]
+        yield pdf.loc[keep, ["a", "b"]]
+
+
 def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough. A hot partner's pairs are split by Spark."""
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("grams_a")), "a")
@@ -135,34 +157,63 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _leader_pairs(lists: DataFrame, labels: DataFrame, rule: Rule, turn: int) -> DataFrame:
-    """Pairs of sets with the leader of most of their lists, one for each set, over component borders only."""
-    rows = _with_component(lists, labels)
-    order = F.xxhash64(F.col("id"), F.lit(turn)) if turn else F.lit(0)
-    rank = F.struct(order.alias("order"), F.col("id"), F.col("n"), F.col("component"))
-    leads = rows.groupBy("gram").agg(F.min(rank).alias("lead"))
-    met = rows.join(leads, "gram").filter((F.col("lead.component") != F.col("component")) & rule.compatible(F.col("n"), F.col("lead.n")))
-    count = met.groupBy("id", F.col("lead.id").alias("leader")).agg(F.count(F.lit(1)).alias("k"))
-    best = count.groupBy("id").agg(F.max_by("leader", F.struct("k", "leader")).alias("leader"))
-    return best.select(F.col("id").alias("a"), F.col("leader").alias("b"))
+def _with_component(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+
+def leaders(lists: DataFrame) -> DataFrame:
+    """id, leader: the smallest id in most of a set's lists, and so on from leader to leader up to one that is its own."""
+    first = lists.groupBy("gram").agg(F.min("id").alias("lead"))
+    met = lists.join(first, "gram").groupBy("id", "lead").agg(F.count(F.lit(1)).alias("k"))
+    named = stored(met.groupBy("id").agg(F.max_by("lead", F.struct("k", -F.col("lead"))).alias("leader")), "leaders")
+    while True:
+        far = named.select(F.col("id").alias("leader"), F.col("leader").alias("far"))
+        new = stored(named.join(far, "leader").select("id", F.col("far").alias("leader"), (F.col("far") < F.col("leader")).alias("moved")), "leaders")
+        named = new.select("id", "leader")
+        if new.filter("moved").limit(1).count() == 0:
+            return named
+
+
+def _differences(rule: Rule):
+    """Sets as differences from their leaders: what a set lacks of its leader is told from what it adds by a mask."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        mask = np.uint64(0xA5A5A5A5A5A5A5A5)
+        for pdf in batches:
+            rows = []
+            for i, c, x, y in zip(pdf["id"], pdf["leader"], pdf["grams"], pdf["of_leader"]):
+                own, lead = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                lacks = mixed(np.setdiff1d(lead, own, assume_unique=True) ^ mask)
+                diff = np.sort(np.concatenate([lacks, mixed(np.setdiff1d(own, lead, assume_unique=True))]))
+                g = rule.least * len(own) + (100 + rule.least) * len(lacks)
+                rows.append((i, c, len(lead), g, len(diff), diff.tobytes()))
+            yield pd.DataFrame(rows, columns=["id", "leader", "n_leader", "g", "size", "diff"])
+
+    return run
 
 
-def _with_component(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    return lists.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+def _explode_differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = pa.array(np.repeat(np.arange(batch.num_rows), np.array(batch.column(1).to_pylist(), np.int64)))
+        flat = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array(flat)], ["id", "part"])
 
 
 def _merge(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """DivideSkip over rows sorted by query: its short lists are merged by a heap, and partners that occur often enough,
-    were they also in every long list, are kept to be probed. A query's rows are its lists, at most LONG ids each."""
+    """Rows sorted by query; each is one of its short lists, at most LONG members in the order of their ids. A heap merges a
+    query's lists; a partner is a candidate where its place in a list leaves room for the shared differences it needs."""
     pending: list[tuple] = []
 
-    def search(query: list[tuple]) -> list[tuple[int, int]]:
-        a, own, need, n_long = query[0][0], query[0][1], query[0][2], query[0][3]
-        lists = [[(p["id"], p["component"], p["n"]) for p in row[4]] for row in query]
+    def search(query: list[tuple]) -> list[tuple[int, int, int]]:
+        a, component, g, size, whole, scale = query[0][:6]
+        lists = [[(p["id"], p["component"], p["g"], p["size"], p["place"], place) for p in members] for *_, place, members in query]
         out = []
-        for (b, component, n), same in groupby(heapq.merge(*lists)):
-            if b < a and component != own and sum(1 for _ in same) >= need - n_long:
-                out.append((a, b))
+        for b, same in groupby(heapq.merge(*lists), key=lambda m: m[0]):
+            for _, c, g_b, size_b, place_b, place in same:
+                t = -((whole - g - g_b) // scale)
+                if b < a and c != component and t >= 1 and place <= size - t and place_b <= size_b - t:
+                    out.append((a, b, t))
+                    break
         return out
 
     for pdf in rows:
@@ -172,35 +223,83 @@ def _merge(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 done += search(pending)
                 pending = []
             pending.append(row)
-        yield pd.DataFrame(done, columns=["a", "b"], dtype="int64")
+        yield pd.DataFrame(done, columns=["a", "b", "t"], dtype="int64")
     if pending:
-        yield pd.DataFrame(search(pending), columns=["a", "b"], dtype="int64")
-
-
-def _search(lists: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
-    """Candidate pairs (a, b), b < a, of different components that may be linked; none that are linked is missing.
-
-    In lists with one component there is nothing to find. Of a query's other lists the short ones are merged. Where
-    its long ones are too many for the short ones to tell (as many as the occurrences it needs), its partners
-    in the long lists count as candidates too.
-    """
-    rows = _with_component(lists, labels)
-    kinds = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("length"), F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 < c2")
-    open_ = stored(rows.join(kinds.select("gram", (F.col("length") > LONG).alias("long")), "gram"), "open")
-    need = rule.needed(F.col("n"))
-    # Occurrences in lists of one component can only be with sets of that component, so that they never count.
-    longs = open_.groupBy("id").agg(F.count_if("long").alias("n_long"))
-    members = open_.filter("not long").groupBy("gram").agg(F.sort_array(F.collect_list(F.struct("id", "component", "n"))).alias("members"))
-    short = open_.filter("not long").join(members, "gram").join(longs, "id")
-    queries = short.select("id", "component", need.alias("need"), "n_long", "members").repartition("id").sortWithinPartitions("id")
-    merged = queries.mapInPandas(_merge, "a long, b long")
-    # Few are left here: what leaders did not join.
-    long_rows = open_.filter("long").join(longs, "id").withColumn("full", F.col("n_long") >= need)
-    other = long_rows.select("gram", F.col("id").alias("other"), F.col("n").alias("other_n"), F.col("component").alias("other_c"))
-    probed = long_rows.filter("full").join(other, "gram").filter((F.col("component") != F.col("other_c")) & rule.compatible(F.col("n"), F.col("other_n")))
-    counted = probed.groupBy("id", "other").agg(F.count(F.lit(1)).alias("k"), F.first("n").alias("n"), F.first("other_n").alias("other_n"))
-    pairs = counted.select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b"))
-    return merged.union(pairs).distinct()
+        yield pd.DataFrame(search(pending), columns=["a", "b", "t"], dtype="int64")
+
+
+def _links_by_difference(diffs: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
+    """Links (a, b) between components among the sets of one leader that share the differences they need."""
+    scale = 100 + rule.least
+    parts = diffs.select("id", "size", "diff").mapInArrow(_explode_differences, "id long, part long")
+    parts = stored(parts.join(diffs.select("id", "leader"), "id"), "parts")
+    # Parts that no other set has come first in the order of rarity, and cannot be shared.
+    often = parts.groupBy("leader", "part").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    own = _with_component(diffs.select("id", "leader", "n_leader", "g", "size"), labels)
+    common = parts.join(often, ["leader", "part"]).select("id", "part", "df").join(own, "id")
+    per = Window.partitionBy("id")
+    placed = common.withColumn("place", F.col("size") - F.count(F.lit(1)).over(per) + F.row_number().over(per.orderBy("df", "part")) - 1)
+    least_g = common.groupBy("leader").agg(F.min("g").alias("least_g"))
+    whole = scale * F.col("n_leader")
+    t_own = F.greatest(F.lit(1), F.ceil((F.col("g") + F.col("least_g") - whole) / scale))
+    short = placed.join(least_g, "leader").filter(F.col("place") <= F.col("size") - t_own)
+    kinds = short.groupBy("leader", "part").agg(F.count(F.lit(1)).alias("length"), F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 < c2")
+    lists = stored(short.join(kinds.select("leader", "part", "length"), ["leader", "part"]).withColumn("whole", whole), "lists")
+    member = F.struct("id", "component", "g", "size", "place")
+    members = lists.filter(F.col("length") <= LONG).groupBy("leader", "part").agg(F.sort_array(F.collect_list(member)).alias("members"))
+    queries = lists.filter(F.col("length") <= LONG).join(members, ["leader", "part"]).select("id", "component", "g", "size", "whole", F.lit(scale).alias("scale"), "place", "members")
+    merged = queries.repartition("id").sortWithinPartitions("id").mapInPandas(_merge, "a long, b long, t long")
+    long = lists.filter(F.col("length") > LONG)
+    other = long.select("leader", "part", *[F.col(c).alias(f"{c}_b") for c in ("id", "component", "g", "size", "place")])
+    t = F.ceil((F.col("g") + F.col("g_b") - F.col("whole")) / scale)
+    room = (t >= 1) & (F.col("place") <= F.col("size") - t) & (F.col("place_b") <= F.col("size_b") - t)
+    met = long.join(other, ["leader", "part"]).filter((F.col("id_b") < F.col("id")) & (F.col("component") != F.col("component_b")) & room)
+    pairs = merged.union(met.select(F.col("id"), F.col("id_b"), t)).dropDuplicates(["a", "b"])
+    with_a = pairs.join(diffs.select(F.col("id").alias("a"), F.col("diff").alias("diff_a")), "a")
+    both = with_a.join(diffs.select(F.col("id").alias("b"), F.col("diff").alias("diff_b")), "b")
+    return both.select("a", "b", "t", "diff_a", "diff_b").mapInPandas(_probed, "a long, b long")
+
+
+def _pairs_over_leaders(lists: DataFrame, named: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b) of different leaders and components that occur together in enough lists."""
+    rows = _with_component(lists, labels).join(named, "id")
+    mixed_lists = rows.groupBy("gram").agg(F.min("leader").alias("l1"), F.max("leader").alias("l2"), F.min("component").alias("c1"), F.max("component").alias("c2"))
+    open_ = stored(rows.join(mixed_lists.filter("l1 < l2 and c1 < c2").select("gram"), "gram"), "open")
+    enough = open_.groupBy("id").agg(F.count(F.lit(1)).alias("k"), F.max("n").alias("n")).filter(F.col("k") >= rule.needed(F.col("n"), EXTRA_LEFT)).select("id")
+    open_ = stored(open_.join(enough, "id", "left_semi"), "open")
+    other = open_.select("gram", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "component", "leader")])
+    differ = (F.col("id_b") < F.col("id")) & (F.col("component") != F.col("component_b")) & (F.col("leader") != F.col("leader_b"))
+    met = open_.join(other, "gram").filter(differ & rule.compatible(F.col("n"), F.col("n_b")))
+    counted = met.groupBy("id", "id_b").agg(F.count(F.lit(1)).alias("k"), F.first("n").alias("n"), F.first("n_b").alias("n_b"))
+    need = F.least(rule.needed(F.col("n"), EXTRA_LEFT), rule.needed(F.col("n_b"), EXTRA_LEFT))
+    return counted.filter(F.col("k") >= need).select(F.col("id").alias("a"), F.col("id_b").alias("b"))
+
+
+def links_of(sets: DataFrame, rule: Rule) -> DataFrame:
+    """Links (a, b) between distinct sets (id, n, grams), enough of them to join whatever links join."""
+    lists = sets.mapInArrow(_explode_prefixes(rule), "gram long, id long, n int")
+    lists = stored(_likely(lists, rule, EXTRA_LEFT), "lists")
+    named = leaders(lists)
+    grams = sets.select("id", "grams")
+    with_leader = grams.join(named, "id").join(grams.select(F.col("id").alias("leader"), F.col("grams").alias("of_leader")), "leader")
+    diffs = with_leader.select("id", "leader", "grams", "of_leader").mapInPandas(_differences(rule), "id long, leader long, n_leader long, g long, size long, diff binary")
+    diffs = stored(diffs, "differences")
+    centre = diffs.groupBy("leader").agg(F.min(F.struct("g", "id")).alias("centre"))
+    outright = F.col("g") + F.col("centre.g") <= (100 + rule.least) * F.col("n_leader")
+    star = stored(diffs.join(centre, "leader").filter((F.col("id") != F.col("centre.id")) & outright).select(F.col("id").alias("a"), F.col("centre.id").alias("b")), "star")
+    labels = components(star)
+    close = stored(_links_by_difference(diffs, labels, rule), "close")
+    labels = components(star.union(close))
+    over = verified(_pairs_over_leaders(lists, named, labels, rule), sets, rule)
+    return stored(star.union(close).union(over), "links")
+
+
+def _likely(postings: DataFrame, rule: Rule, extra: int) -> DataFrame:
+    """The postings in lists of more than one set, of the sets that have enough of them for any link."""
+    shared = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
+    rows = stored(postings.join(shared, "gram").select("gram", "id", "n"), "shared")
+    counted = rows.groupBy("id").agg(F.count(F.lit(1)).alias("k"), F.max("n").alias("n"))
+    return rows.join(counted.filter(F.col("k") >= rule.needed(F.col("n"), extra)).select("id"), "id", "left_semi")
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -211,32 +310,22 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     Rows that repeat an id belong together by it. Null ids are one id, shown as null, that comes first. An empty table
     gives no rows; other columns are not read.
 
-    Equal sets are one class, represented by its smallest id. Sets that share too little of their prefix with all
-    others together are left out early. Large groups are joined to leaders first, then only pairs over the
-    borders of components are searched, so that a group of copies is never compared pair by pair.
+    Equal sets are one class, represented by its smallest id, and only classes are compared.
     """
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-1 << 63))
     texts = docs.select(key.alias("id"), text_of(text_col).alias("text"))
     sizes = texts.mapInArrow(_sizes(rule.size), "id long, n long")
-    postings = texts.mapInArrow(_prefixes(rule), "gram long, id long, n int").repartition("gram")
+    postings = texts.mapInArrow(_prefixes(rule), "gram long, id long, n int")
     shared = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
     counted = postings.join(shared, "gram").groupBy("id").agg(F.count(F.lit(1)).alias("k"), F.max("n").alias("n"))
-    likely = stored(counted.filter(F.col("k") >= rule.needed(F.col("n"))).select("id"), "likely")
+    likely = stored(counted.filter(F.col("k") >= rule.needed(F.col("n"), EXTRA)).select("id"), "likely")
     small = F.broadcast(likely) if likely.count() <= BROADCAST_ROWS else likely
     sets = stored(texts.join(small, "id", "left_semi").select("id", "text").mapInArrow(_whole(rule.size), "id long, n int, key1 long, key2 long, grams binary"), "sets")
     classes = sets.groupBy("n", "key1", "key2").agg(F.min("id").alias("class"))
     classes = stored(sets.select("id", "n", "key1", "key2").join(classes, ["n", "key1", "key2"]).select("id", "class"), "classes")
     distinct = sets.join(classes.filter("id = class").select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
     distinct = stored(distinct.select("id", "n", "grams"), "distinct")
-    lists = stored(distinct.mapInArrow(_explode_prefixes(rule), "gram long, id long, n int"), "lists")
-    labels = distinct.select("id", F.col("id").alias("component")).limit(0)
-    links: DataFrame | None = None
-    for turn in range(ROUNDS + 1):
-        pairs = _leader_pairs(lists, labels, rule, turn) if turn < ROUNDS else _search(lists, labels, rule)
-        found = stored(verified(pairs, distinct, rule), "found")
-        if found.limit(1).count():
-            links = found if links is None else links.union(found)
-            labels = components(links)
+    labels = components(links_of(distinct, rule))
     named = classes.join(labels.withColumnRenamed("id", "class"), "class", "left").select(F.col("id"), F.coalesce("component", "class").alias("component"))
     named = named.groupBy("id").agg(F.min("component").alias("component"))
     rows = sizes.join(named, "id", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
@@ -247,7 +336,7 @@ def _explode_prefixes(rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [np.frombuffer(x, np.uint64) for x in batch.column(2).to_pylist()]
-            k = np.array([rule.prefix_length(len(s)) for s in sets], np.int64)
+            k = np.array([rule.prefix_length(len(s), EXTRA_LEFT) for s in sets], np.int64)
             rows = pa.array(np.repeat(np.arange(len(sets)), k))
             grams = np.concatenate([s[:j] for s, j in zip(sets, k)]) if sets else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows)], ["gram", "id", "n"])
