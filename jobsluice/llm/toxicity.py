@@ -20,11 +20,11 @@ WINDOW, STRIDE = 32, 24
 #: Units of each direction.
 UNITS = 8
 #: Bounds of the labelled sample that the network is fitted on: documents, and characters of each.
-SAMPLE_ROWS, SAMPLE_CHARS = 6000, 20_000
+SAMPLE_ROWS, SAMPLE_CHARS = 4000, 8_000
 #: Entries of the tables of word and character statistics, which go to every worker.
 MOST_ENTRIES = 1 << 18
 #: Lengths in bytes of the characters that open and close a word, each an input of its own.
-OPENING, CLOSING = (3, 4, 5, 6, 7, 8, 10), (4, 6)
+OPENING, CLOSING = (3, 4, 5, 6, 8), (4,)
 INPUTS = 1 + len(OPENING) + len(CLOSING) + 1
 #: Documents that a table entry's prior counts for, and those it needs.
 PRIOR, LEAST_SEEN = 4.0, 3
