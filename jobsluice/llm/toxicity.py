@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsluice.llm.arrays import Words, byte_values, mixed, powers, stretches, words
+from jobsluice.llm.arrays import Words, byte_values, mixed, powers, random_u64, stretches, words
 from jobsluice.llm.common import read, text_of
 from jobsluice.llm.language import fold
 
@@ -166,9 +166,10 @@ def gradient(w: dict[str, np.ndarray], inputs: np.ndarray, mask: np.ndarray, lab
     return loss, g
 
 
-def train(inputs: np.ndarray, masks: np.ndarray, labels: np.ndarray, epochs: int = 10, batch: int = 64, rate: float = 0.01, seed: int = 1) -> dict[str, np.ndarray]:
-    """Weights fitted by Adam to labelled windows."""
+def train(inputs: np.ndarray, masks: np.ndarray, labels: np.ndarray, steps: int = 1000, batch: int = 64, rate: float = 0.01, seed: int = 1) -> dict[str, np.ndarray]:
+    """Weights fitted by Adam to labelled windows, in ``steps`` steps or a little more."""
     w, rng = initial(seed), np.random.default_rng(seed)
+    epochs = -(-steps // -(-len(labels) // batch))
     m, v, step = {k: 0.0 * x for k, x in w.items()}, {k: 0.0 * x for k, x in w.items()}, 0
     for epoch in range(epochs):
         order = rng.permutation(len(labels))
@@ -213,7 +214,7 @@ def fit(rows: list[tuple[str, int]]) -> Model:
         for a, b in zip(stretch.firsts[:-1], stretch.firsts[1:]):
             texts.append(whole[a:b])
             parts.append(np.unique(whole[a:b]))
-    half = np.arange(len(rows)) % 2 == 0
+    half = random_u64(len(rows), 5) & np.uint64(1) == 0  # of no pattern that ids or labels could share
     tables = {}
     for side in (True, False):
         tables[side] = _odds([p for p, h in zip(parts, half) if h != side], toxic[half != side])
