@@ -29,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from jobsluice.llm.arrays import Words, mixed, ngrams, stretches, words
+from jobsluice.llm.arrays import Words, mixed, ngrams, pieces, stretches, words
 from jobsluice.llm.common import read, stored, text_of
 
 #: Share of a set, in hundredths, by which its prefix is longer than links need: over all sets, and over those left.
 EXTRA, EXTRA_LEFT = 8, 30
+#: Rows whose sets a worker unpacks at once.
+ROWS = 512
 #: Lists of more sets are merged by a join instead of a heap.
 LONG = 64
 #: Ids of sets in question are broadcast up to this many; beyond it they are joined by a shuffle.
@@ -96,7 +98,7 @@ def _whole(size: int):
     """id, n, two independent sums that tell sets apart, and the sorted hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, ROWS):
             sets = [s for _, _, data, offsets in stretches(batch.column(1)) for s in _sets(words(data, offsets, lower=True), size)]
             one = np.array([mixed(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
             two = np.array([mixed(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
@@ -116,31 +118,31 @@ def _shared(x: bytes, y: bytes) -> tuple[int, int, int]:
 
 
 def _linked(rule: Rule):
-    """Of pairs with both sets the linked ones."""
+    """Of pairs with both sets (a, b, grams_a, grams_b) the linked ones."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, ROWS):
             keep = []
-            for x, y in zip(pdf["grams_a"], pdf["grams_b"]):
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 a, b, both = _shared(x, y)
                 keep.append(100 * both >= rule.least * (a + b - both))
-            yield pdf.loc[keep, ["a", "b"]]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _probed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of pairs with their differences those that share enough of them."""
-    for pdf in batches:
-        keep = [_shared(x, y)[2] >= t for x, y, t in zip(pdf["diff_a"], pdf["diff_b"], pdf["t"])]
-        yield pdf.loc[keep, ["a", "b"]]
+def _probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pairs with their differences (a, b, t, diff_a, diff_b) those that share t of them."""
+    for batch in pieces(batches, ROWS):
+        keep = [_shared(x, y)[2] >= t for t, x, y in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)))]
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough. A hot partner's pairs are split by Spark."""
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("grams_a")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("grams").alias("grams_b")), "b")
-    return both.select("a", "b", "grams_a", "grams_b").mapInPandas(_linked(rule), "a long, b long")
+    return both.select("a", "b", "grams_a", "grams_b").mapInArrow(_linked(rule), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -177,23 +179,26 @@ def leaders(lists: DataFrame) -> DataFrame:
 def _differences(rule: Rule):
     """Sets as differences from their leaders: what a set lacks of its leader is told from what it adds by a mask."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask = np.uint64(0xA5A5A5A5A5A5A5A5)
-        for pdf in batches:
-            rows = []
-            for i, c, x, y in zip(pdf["id"], pdf["leader"], pdf["grams"], pdf["of_leader"]):
+        for batch in pieces(batches, ROWS):
+            n_leader, g, sizes, diffs = [], [], [], []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 own, lead = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 lacks = mixed(np.setdiff1d(lead, own, assume_unique=True) ^ mask)
                 diff = np.sort(np.concatenate([lacks, mixed(np.setdiff1d(own, lead, assume_unique=True))]))
-                g = rule.least * len(own) + (100 + rule.least) * len(lacks)
-                rows.append((i, c, len(lead), g, len(diff), diff.tobytes()))
-            yield pd.DataFrame(rows, columns=["id", "leader", "n_leader", "g", "size", "diff"])
+                n_leader.append(len(lead))
+                g.append(rule.least * len(own) + (100 + rule.least) * len(lacks))
+                sizes.append(len(diff))
+                diffs.append(diff.tobytes())
+            numbers = [pa.array(v, pa.int64()) for v in (n_leader, g, sizes)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *numbers, pa.array(diffs, pa.binary())], ["id", "leader", "n_leader", "g", "size", "diff"])
 
     return run
 
 
 def _explode_differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches, ROWS):
         rows = pa.array(np.repeat(np.arange(batch.num_rows), np.array(batch.column(1).to_pylist(), np.int64)))
         flat = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.int64)
         yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array(flat)], ["id", "part"])
@@ -257,7 +262,7 @@ def _links_by_difference(diffs: DataFrame, labels: DataFrame, rule: Rule) -> Dat
     pairs = merged.union(met.select(F.col("id"), F.col("id_b"), t)).dropDuplicates(["a", "b"])
     with_a = pairs.join(diffs.select(F.col("id").alias("a"), F.col("diff").alias("diff_a")), "a")
     both = with_a.join(diffs.select(F.col("id").alias("b"), F.col("diff").alias("diff_b")), "b")
-    return both.select("a", "b", "t", "diff_a", "diff_b").mapInPandas(_probed, "a long, b long")
+    return both.select("a", "b", "t", "diff_a", "diff_b").mapInArrow(_probed, "a long, b long")
 
 
 def _pairs_over_leaders(lists: DataFrame, named: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
@@ -282,7 +287,7 @@ def links_of(sets: DataFrame, rule: Rule) -> DataFrame:
     named = leaders(lists)
     grams = sets.select("id", "grams")
     with_leader = grams.join(named, "id").join(grams.select(F.col("id").alias("leader"), F.col("grams").alias("of_leader")), "leader")
-    diffs = with_leader.select("id", "leader", "grams", "of_leader").mapInPandas(_differences(rule), "id long, leader long, n_leader long, g long, size long, diff binary")
+    diffs = with_leader.select("id", "leader", "grams", "of_leader").mapInArrow(_differences(rule), "id long, leader long, n_leader long, g long, size long, diff binary")
     diffs = stored(diffs, "differences")
     centre = diffs.groupBy("leader").agg(F.min(F.struct("g", "id")).alias("centre"))
     outright = F.col("g") + F.col("centre.g") <= (100 + rule.least) * F.col("n_leader")
@@ -334,7 +339,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
 
 def _explode_prefixes(rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, ROWS):
             sets = [np.frombuffer(x, np.uint64) for x in batch.column(2).to_pylist()]
             k = np.array([rule.prefix_length(len(s), EXTRA_LEFT) for s in sets], np.int64)
             rows = pa.array(np.repeat(np.arange(len(sets)), k))
