@@ -143,7 +143,7 @@ def repeated_spans(docs: DataFrame, k: int = K, id_col: str = "doc_id", text_col
     texts = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     key = F.coalesce("id", F.lit(-1 << 63))
     texts = texts.select(key.alias("id"), "text")
-    seeds = texts.mapInArrow(_seeds(k), "seed long, id long, start int").repartition("seed")
+    seeds = texts.mapInArrow(_seeds(k), "seed long, id long, start int")
     counts = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     runs = seeds.join(counts, "seed").groupBy("id").agg(F.collect_list(F.struct("start", (F.col("n") > HOT).alias("hot"))).alias("runs"))
     edges = texts.join(runs, "id").select("id", "text", "runs").mapInArrow(_edges(k), "meet long, id long, start int, keys array<long>")
