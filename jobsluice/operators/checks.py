@@ -55,4 +55,4 @@ def rotation(sources: DataFrame, source: str, item: str, seen: str, per_source:
     ranked = sources.withColumn("_k", F.row_number().over(own))
     chosen = ranked.withColumn("_extra", (F.col("_k") > per_source).cast("int"))
     picked = chosen.orderBy("_extra", seen, source, item).limit(budget)
-    return picked.select(source, item, F.col("_k").alias("turn"))
+    return picked.select(source, item, F.col("_k").cast("long").alias("turn"))

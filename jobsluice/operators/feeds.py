@@ -32,7 +32,7 @@ def route(rows: DataFrame, feeds: list[Feed], lang: Column, tags: Column, size:
         fits.append(F.when(hold, F.struct(F.lit(f.feed).alias("feed"), F.lit(f.most).alias("most"))))
     found = F.filter(F.array(*fits), lambda x: x.isNotNull())
     routed = rows.withColumn("_f", F.explode(found)).select("_f.feed", "_f.most", *rows.columns)
-    ranked = routed.withColumn("rank", F.row_number().over(Window.partitionBy("feed").orderBy(*order)))
+    ranked = routed.withColumn("rank", F.row_number().over(Window.partitionBy("feed").orderBy(*order)).cast("long"))
     return ranked.filter((F.col("rank") <= max(f.most for f in feeds)) & (F.col("rank") <= F.col("most"))).drop("most")
 
 

@@ -42,7 +42,7 @@ def links(pages: DataFrame) -> DataFrame:
     """page_id, pos, href, label of each anchor; anchors are cut out once, their parts taken from the cuts."""
     anchors = F.regexp_extract_all("html", F.lit(r'(<a href="[^"]*">[^<]*</a>)'), 1)
     rows = pages.select("page_id", F.posexplode(anchors).alias("pos", "a"))
-    return rows.select("page_id", "pos", F.regexp_extract("a", r'href="([^"]*)"', 1).alias("href"), decode_named(F.regexp_extract("a", r">([^<]*)<", 1)).alias("label"))
+    return rows.select("page_id", F.col("pos").cast("long").alias("pos"), F.regexp_extract("a", r'href="([^"]*)"', 1).alias("href"), decode_named(F.regexp_extract("a", r">([^<]*)<", 1)).alias("label"))
 
 
 def listing_items(listings: DataFrame, html: str = "html") -> DataFrame:
