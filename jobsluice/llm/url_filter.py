@@ -13,6 +13,8 @@ RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
 LEAST_GOOD = 0.5
 #: Standard deviations from the posterior mean to its bound.
 Z = 1.645
+#: Parts that each host's pages are dealt in: a host may hold a third of all pages.
+SALTS = 16
 #: Limits of a prior's strength, in pages.
 WEAKEST, STRONGEST = 2.0, 1000.0
 
@@ -80,8 +82,8 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[tuple[str, s
     ``outcomes`` has host and good (1, 0 or null). A rule fits its host and all subdomains where the path starts with
     the rule's path; the longest wins, of equal ones the first by name and then ``allow``. Pages without a rule are
     judged by their host's reputation. Null urls and such without ``://`` have an empty host and path. Repeated rows
-    and null ids pass through; other columns are not read. An empty table gives no rows. Spark splits a hot host in
-    the last join.
+    and null ids pass through; other columns are not read. An empty table gives no rows. Pages meet their host in
+    SALTS parts, each with a copy of the host's row, so that no task has all pages of one host.
     """
     spark = pages.sparkSession
     listed = spark.createDataFrame(list(rules), "rule_host string, rule_path string, rule_verdict string")
@@ -90,7 +92,9 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[tuple[str, s
     rows = rows.select("id", host.alias("host"), path.alias("path"))
     known = host_reputation(outcomes.select("host", "good").unionByName(rows.select("host", F.lit(None).cast("int").alias("good"))))
     of_host = known.join(_rules_of_hosts(known.select("host"), listed), "host", "left")
-    rows = rows.join(of_host, "host")
+    salts = F.array(*[F.lit(k) for k in range(SALTS)])
+    dealt = of_host.withColumn("salt", F.explode(salts))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("id", "path"), F.lit(SALTS)).cast("int")).join(dealt, ["host", "salt"])
     hit = F.get(F.filter("rules", lambda r: F.col("path").startswith(r["path"])), 0)
     judged = F.when(F.col("upper") < LEAST_GOOD, "block").otherwise("allow")
     return rows.withColumn("hit", hit).select("id", "host", "path", F.col("hit.rule").alias("rule"), F.coalesce(F.col("hit.verdict"), judged).alias("verdict"), F.col("mean").alias("good_mean"), F.col("upper").alias("good_upper"))
