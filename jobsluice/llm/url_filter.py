@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsluice.llm.common import LOWER, UPPER, read
+from jobsluice.llm.common import LOWER, UPPER, read, stored
 
 #: Rules of the registered query: host, start of the path, verdict.
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
@@ -27,16 +27,14 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def _strength(groups: DataFrame, level: str, mean: str, out: str) -> DataFrame:
-    """One row: pages that the prior of ``level`` counts for, by the method of moments over its children's shares."""
-    parts = groups.groupBy(level).agg(F.sum("n").alias("gn"), F.sum("k").alias("gk"), F.sum(F.when(F.col("n") > 0, F.col("k") * F.col("k") / F.col("n")).otherwise(0.0)).alias("kk"), F.count_if(F.col("n") > 0).alias("m"))
+def _strength(groups: DataFrame, level: str | None = None) -> float:
+    """Pages that the prior above ``groups`` (n, k) counts for, by the method of moments over the shares in each level."""
+    parts = groups.groupBy(*[level] * bool(level)).agg(F.sum("n").alias("gn"), F.sum("k").alias("gk"), F.sum(F.when(F.col("n") > 0, F.col("k") * F.col("k") / F.col("n")).otherwise(0.0)).alias("kk"), F.count_if(F.col("n") > 0).alias("m"))
     share = F.col("gk") / F.col("gn")
     noise = share * (1 - share)
-    rows = parts.filter("gn > 0").select("gn", (F.col("kk") - F.col("gk") * share).alias("spread"), (noise * F.col("m")).alias("sampling"), (noise * F.col("gn")).alias("noise"))
-    total = rows.agg(F.sum("spread").alias("a"), F.sum("sampling").alias("b"), F.sum("noise").alias("c"))
-    between = F.col("a") - F.col("b")
-    fit = F.when(F.coalesce(between, F.lit(0.0)) <= 0, F.lit(STRONGEST)).otherwise(F.col("c") / between - 1)
-    return total.select(F.least(F.lit(STRONGEST), F.greatest(F.lit(WEAKEST), fit)).alias(out))
+    total = parts.filter("gn > 0").agg(F.sum(F.col("kk") - F.col("gk") * share).alias("spread"), F.sum(noise * F.col("m")).alias("sampling"), F.sum(noise * F.col("gn")).alias("noise")).first()
+    between = (total["spread"] or 0.0) - (total["sampling"] or 0.0)
+    return STRONGEST if between <= 0 else min(STRONGEST, max(WEAKEST, total["noise"] / between - 1))
 
 
 def host_reputation(outcomes: DataFrame) -> DataFrame:
@@ -44,24 +42,22 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
 
     The share of good pages is shrunk from suffix (last label) over registered domain (last two labels) to host, each
     level a beta prior of the next, with strengths fitted to the spread of shares below. Counts are pre-aggregated, so
-    a host with a third of all pages sends one row from each task. Without any label every mean is one half.
+    a host with a third of all pages sends one row from each task. Without any label every mean is one half. The
+    driver gets four numbers: the overall share and three strengths.
     """
     hosts = outcomes.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("k"))
     labels = F.split("host", r"\.")
-    hosts = hosts.select("host", F.concat_ws(".", F.slice(F.concat(F.array(F.lit("")), labels), -2, 2)).alias("domain"), F.element_at(labels, -1).alias("suffix"), "n", "k")
-    domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+    hosts = stored(hosts.select("host", F.concat_ws(".", F.slice(F.concat(F.array(F.lit("")), labels), -2, 2)).alias("domain"), F.element_at(labels, -1).alias("suffix"), "n", "k"), "hosts")
+    domains = stored(hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("k").alias("k")), "domains")
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("sn"), F.sum("k").alias("sk"))
-    whole = suffixes.agg(((F.sum("sk") + 1) / (F.sum("sn") + 2)).alias("root"))
-    # One-row tables: strengths and the overall share.
-    s0 = _strength(suffixes.select(F.lit(0).alias("all"), F.col("sn").alias("n"), F.col("sk").alias("k")), "all", "k", "s0")
-    s1 = _strength(domains, "suffix", "k", "s1")
-    s2 = _strength(hosts, "domain", "k", "s2")
-    one = whole.crossJoin(s0).crossJoin(s1).crossJoin(s2)
+    whole = suffixes.agg(F.coalesce(F.sum("sn"), F.lit(0)).alias("n"), F.coalesce(F.sum("sk"), F.lit(0.0)).alias("k")).first()
+    root = (whole["k"] + 1) / (whole["n"] + 2)
+    s0, s1, s2 = _strength(suffixes.select(F.col("sn").alias("n"), F.col("sk").alias("k"))), _strength(domains, "suffix"), _strength(hosts, "domain")
     domains = domains.select("domain", "suffix", F.col("n").alias("dn"), F.col("k").alias("dk"))
-    rows = hosts.join(domains.join(suffixes, "suffix"), ["suffix", "domain"]).crossJoin(F.broadcast(one))
-    rows = rows.withColumn("ms", (F.col("sk") + F.col("s0") * F.col("root")) / (F.col("sn") + F.col("s0")))
-    rows = rows.withColumn("md", (F.col("dk") + F.col("s1") * F.col("ms")) / (F.col("dn") + F.col("s1")))
-    rows = rows.withColumn("a", F.col("k") + F.col("s2") * F.col("md")).withColumn("b", F.col("n") - F.col("k") + F.col("s2") * (1 - F.col("md")))
+    rows = hosts.join(domains.join(suffixes, "suffix"), ["suffix", "domain"])
+    rows = rows.withColumn("ms", (F.col("sk") + s0 * root) / (F.col("sn") + s0))
+    rows = rows.withColumn("md", (F.col("dk") + s1 * F.col("ms")) / (F.col("dn") + s1))
+    rows = rows.withColumn("a", F.col("k") + s2 * F.col("md")).withColumn("b", F.col("n") - F.col("k") + s2 * (1 - F.col("md")))
     mean = F.col("a") / (F.col("a") + F.col("b"))
     sd = F.sqrt(mean * (1 - mean) / (F.col("a") + F.col("b") + 1))
     return rows.select("host", "n", "k", mean.alias("mean"), (mean + Z * sd).alias("upper"))
