@@ -34,6 +34,8 @@ from jobsluice.llm.common import read, stored, text_of
 
 #: Share of a set, in hundredths, by which its prefix is longer than links need: over all sets, and over those left.
 EXTRA, EXTRA_LEFT = 8, 30
+#: Sets of a leader from which on its group takes in others.
+LARGE = 8
 #: Rows whose sets a worker unpacks at once.
 ROWS = 512
 #: Lists of more sets are merged by a join instead of a heap.
@@ -176,6 +178,17 @@ def leaders(lists: DataFrame) -> DataFrame:
             return named
 
 
+def joined_leaders(lists: DataFrame, named: DataFrame, rule: Rule) -> DataFrame:
+    """The same with small groups joined to large ones: of the groups that have members in enough of a set's lists for a
+    link, the set goes to the largest. Groups of fewer than LARGE sets take in nobody."""
+    sizes = named.groupBy("leader").agg(F.count(F.lit(1)).alias("members"))
+    large = named.join(sizes.filter(F.col("members") >= LARGE), "leader")
+    of_list = lists.join(large, "id").groupBy("gram", "leader").agg(F.first("members").alias("members"))
+    votes = lists.join(of_list, "gram").groupBy("id", "leader").agg(F.count(F.lit(1)).alias("k"), F.first("members").alias("members"), F.first("n").alias("n"))
+    best = votes.filter(F.col("k") >= rule.needed(F.col("n"), EXTRA_LEFT)).groupBy("id").agg(F.max_by("leader", F.struct("members", "k", "leader")).alias("best"))
+    return stored(named.join(best, "id", "left").select("id", F.coalesce("best", "leader").alias("leader")), "leaders")
+
+
 def _differences(rule: Rule):
     """Sets as differences from their leaders: what a set lacks of its leader is told from what it adds by a mask."""
 
@@ -240,14 +253,15 @@ def _links_by_difference(diffs: DataFrame, labels: DataFrame, rule: Rule) -> Dat
     parts = stored(parts.join(diffs.select("id", "leader"), "id"), "parts")
     # Parts that no other set has come first in the order of rarity, and cannot be shared.
     often = parts.groupBy("leader", "part").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    own = _with_component(diffs.select("id", "leader", "n_leader", "g", "size"), labels)
-    common = parts.join(often, ["leader", "part"]).select("id", "part", "df").join(own, "id")
+    least_g = diffs.filter("size > 0").groupBy("leader").agg(F.min("g").alias("least_g"))
+    own = diffs.filter("size > 0").select("id", "leader", "n_leader", "g", "size").join(least_g, "leader")
+    t_own = F.greatest(F.lit(1), F.ceil((F.col("g") + F.col("least_g") - scale * F.col("n_leader")) / scale))
+    own = _with_component(own.filter(F.col("size") >= t_own).withColumn("t_own", t_own), labels)
+    common = parts.join(often, ["leader", "part"]).select("id", "part", "df").join(own.drop("least_g"), "id")
     per = Window.partitionBy("id")
     placed = common.withColumn("place", F.col("size") - F.count(F.lit(1)).over(per) + F.row_number().over(per.orderBy("df", "part")) - 1)
-    least_g = common.groupBy("leader").agg(F.min("g").alias("least_g"))
     whole = scale * F.col("n_leader")
-    t_own = F.greatest(F.lit(1), F.ceil((F.col("g") + F.col("least_g") - whole) / scale))
-    short = placed.join(least_g, "leader").filter(F.col("place") <= F.col("size") - t_own)
+    short = placed.filter(F.col("place") <= F.col("size") - F.col("t_own"))
     kinds = short.groupBy("leader", "part").agg(F.count(F.lit(1)).alias("length"), F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 < c2")
     lists = stored(short.join(kinds.select("leader", "part", "length"), ["leader", "part"]).withColumn("whole", whole), "lists")
     member = F.struct("id", "component", "g", "size", "place")
@@ -284,7 +298,7 @@ def links_of(sets: DataFrame, rule: Rule) -> DataFrame:
     """Links (a, b) between distinct sets (id, n, grams), enough of them to join whatever links join."""
     lists = sets.mapInArrow(_explode_prefixes(rule), "gram long, id long, n int")
     lists = stored(_likely(lists, rule, EXTRA_LEFT), "lists")
-    named = leaders(lists)
+    named = joined_leaders(lists, leaders(lists), rule)
     grams = sets.select("id", "grams")
     with_leader = grams.join(named, "id").join(grams.select(F.col("id").alias("leader"), F.col("grams").alias("of_leader")), "leader")
     diffs = with_leader.select("id", "leader", "grams", "of_leader").mapInArrow(_differences(rule), "id long, leader long, n_leader long, g long, size long, diff binary")
