@@ -40,18 +40,35 @@ def b2_stream_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("event_id long, key long, micros long").parquet(f"{work}/out")
 
 
-@register("b21_lifecycle", "SELECT user_id AS key, 'new' AS event, max(epoch_us(ts)) AS micros, count(*) AS n FROM events GROUP BY user_id")
-def b21_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events of the lifecycle: keys expire after 7 days, are forgotten after 28, rows may be a minute late."""
     _stateful(spark)
     work = _work(spark)
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{work}/out/batch={number}")
 
-    run_each(lifecycle_stream(_events(spark, sf_dir), "user_id", "ts", 7 * 86400), keep, f"{work}/checkpoint")
+    run_each(lifecycle_stream(_events(spark, sf_dir), "user_id", "ts", 7 * 86400, 28 * 86400, "1 minute"), keep, f"{work}/checkpoint")
     return spark.read.schema("key long, event string, micros long, n long").parquet(f"{work}/out").select("key", "event", "micros", "n")
 
 
+@register("b21_lifecycle", "SELECT user_id AS key, 'new' AS event, max(epoch_us(ts)) AS micros, count(*) AS n FROM events GROUP BY user_id")
+def b21_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A summary of the events: each key's first, the time of its latest row and its rows."""
+    rows = _lifecycle(spark, sf_dir).filter("event <> 'expired'")
+    return rows.groupBy("key").agg(F.min_by("event", F.struct("micros", "n")).alias("event"), F.max("micros").alias("micros"), F.count(F.lit(1)).alias("n"))
+
+
+@register("b21_lifecycle_events", """WITH g AS (SELECT user_id AS key, epoch_us(ts) AS t, lag(epoch_us(ts)) OVER w AS p, lead(epoch_us(ts)) OVER w AS q FROM events WHERE ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    r AS (SELECT *, sum(CASE WHEN p IS NULL OR t - p > 28 * 86400 * 1000000::BIGINT THEN 1 ELSE 0 END) OVER (PARTITION BY key ORDER BY t, p NULLS FIRST ROWS UNBOUNDED PRECEDING) AS life FROM g),
+    c AS (SELECT *, row_number() OVER (PARTITION BY key, life ORDER BY t, p NULLS FIRST) AS n FROM r)
+    SELECT key, CASE WHEN p IS NULL OR t - p > 28 * 86400 * 1000000::BIGINT THEN 'new' WHEN t - p > 7 * 86400 * 1000000::BIGINT THEN 'back' ELSE 'seen' END AS event, t AS micros, n FROM c
+    UNION ALL SELECT key, 'expired', t + 7 * 86400 * 1000000::BIGINT, n FROM c
+    WHERE coalesce(q, (SELECT max(epoch_us(ts)) - 60 * 1000000::BIGINT FROM events)) - t > 7 * 86400 * 1000000::BIGINT""")
+def b21_lifecycle_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lifecycle(spark, sf_dir)
+
+
 @register("b24_stream_health", "SELECT date_trunc('day', ts)::DATE AS day, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL")
 def b24_stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every window, open ones too: each batch gives its changed windows, and a window's last figures hold."""

@@ -2,14 +2,56 @@
 
 from __future__ import annotations
 
+import heapq
+import os
+import tempfile
 from collections.abc import Iterator
+from itertools import islice
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
+#: Rows of one key and batch that are sorted in memory; more are sorted in runs on disk and merged.
+RUN_ROWS = 1_000_000
+BLOCK_ROWS = 10_000
+
+
+def sorted_blocks(rows: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
+    """The integer columns ``by`` of all rows, in their order, a block at a time; at most RUN_ROWS rows are held at once."""
+    with tempfile.TemporaryDirectory(prefix="runs-") as folder:
+        runs, held = [], []
+
+        def run() -> np.ndarray:
+            table = pd.concat(held)[by].to_numpy("int64")
+            held.clear()
+            return table[np.lexsort(table.T[::-1])]
+
+        for pdf in rows:
+            held.append(pdf)
+            if sum(map(len, held)) >= RUN_ROWS:
+                path = os.path.join(folder, f"{len(runs)}.npy")
+                np.save(path, run())
+                runs.append(np.load(path, mmap_mode="r"))
+        if held:
+            runs.append(run())
+        if len(runs) == 1:
+            for first in range(0, len(runs[0]), BLOCK_ROWS):
+                yield pd.DataFrame(runs[0][first : first + BLOCK_ROWS], columns=by)
+            return
+        merged = heapq.merge(*[_tuples(r) for r in runs])
+        while block := list(islice(merged, BLOCK_ROWS)):
+            yield pd.DataFrame(block, columns=by)
+
+
+def _tuples(run: np.ndarray) -> Iterator[tuple[int, ...]]:
+    for first in range(0, len(run), BLOCK_ROWS):
+        yield from map(tuple, run[first : first + BLOCK_ROWS].tolist())
+
+
 class GapRule(StatefulProcessor):
     """Passes a row if its key's row before it is absent or older than the gap; holds one time for each key."""
 
@@ -40,35 +82,67 @@ def dedup_with_ttl(events: DataFrame, key: str, time: str, seconds: float) -> Da
 
 
 class Lifecycle(StatefulProcessor):
-    """Tells when a key is new, seen again, back after expiry; a key without rows for ``seconds`` expires."""
+    """Tells of every row whether its key is new, seen again or back, and when a key expires.
 
-    def __init__(self, seconds: float) -> None:
-        self.micros = int(seconds * 1_000_000)
+    A row is ``seen`` up to ``seconds`` after its key's row before it, then ``back``, and after more than ``forget``
+    ``new`` again. A key without rows for longer than ``seconds`` expires: before its next row, or by a timer once the
+    watermark has passed. Its state goes once the watermark has passed ``forget``, after which any row is new by the same rule.
+    """
+
+    def __init__(self, seconds: float, forget: float) -> None:
+        self.limit, self.forget = int(seconds * 1_000_000), int(forget * 1_000_000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("state", "micros long, n long")
+        self.handle = handle
+        self.state = handle.getValueState("state", "micros long, n long, expired boolean")
+
+    def _timer(self, last: int, expired: bool) -> int:
+        """The first whole millisecond after the key's next limit."""
+        return (last + (self.forget if expired else self.limit)) // 1000 + 1
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first, last, n = None, 0, 0
-        for pdf in rows:
-            first = int(pdf["micros"].min()) if first is None else min(first, int(pdf["micros"].min()))
-            last, n = max(last, int(pdf["micros"].max())), n + len(pdf)
-        if self.state.exists():
-            before, total = self.state.get()
-            event = "back" if first - before > self.micros else "seen"
+        last, n, expired = self.state.get() if self.state.exists() else (None, 0, False)
+        if last is not None:
+            self.handle.deleteTimer(self._timer(last, expired))
+        for block in sorted_blocks(rows, ["micros"]):
+            micros = block["micros"].to_numpy()
+            before = np.concatenate(([micros[0] - self.forget - 1 if last is None else last], micros[:-1]))
+            gap = micros - before
+            event = np.where(gap > self.forget, "new", np.where(gap > self.limit, "back", "seen"))
+            place = np.arange(len(micros))
+            started = np.maximum.accumulate(np.where(event == "new", place, -n))
+            count = place - started + 1
+            ends = gap > self.limit
+            if last is None or expired:
+                ends[0] = False
+            yield pd.DataFrame({"key": key[0], "event": "expired", "micros": before[ends] + self.limit, "n": np.concatenate(([n], count[:-1]))[ends]})
+            yield pd.DataFrame({"key": key[0], "event": event, "micros": micros, "n": count})
+            last, n, expired = int(micros[-1]), int(count[-1]), False
+        self.state.update((last, n, False))
+        self.handle.registerTimer(self._timer(last, False))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        last, n, expired = self.state.get()
+        if not expired:
+            yield pd.DataFrame({"key": [key[0]], "event": ["expired"], "micros": [last + self.limit], "n": [n]})
+        if self._timer(last, True) <= timerValues.getCurrentWatermarkInMs():
+            self.state.clear()
         else:
-            before, total, event = 0, 0, "new"
-        self.state.update((max(before, last), total + n))
-        yield pd.DataFrame({"key": [key[0]], "event": [event], "micros": [max(before, last)], "n": [total + n]})
+            self.state.update((last, n, True))
+            self.handle.registerTimer(self._timer(last, True))
 
     def close(self) -> None:
         pass
 
 
-def lifecycle_stream(events: DataFrame, key: str, time: str, seconds: float) -> DataFrame:
-    """key, event, micros (its latest), n (rows so far), one row for each key and batch."""
-    rows = events.select(F.col(key).alias("key"), F.unix_micros(F.col(time).cast("timestamp")).alias("micros"))
-    return rows.groupBy("key").transformWithStateInPandas(Lifecycle(seconds), outputStructType="key long, event string, micros long, n long", outputMode="Update", timeMode="None")
+def lifecycle_stream(events: DataFrame, key: str, time: str, seconds: float, forget: float, late: str) -> DataFrame:
+    """key, event, micros, n (rows since the key was new): one row for each row with a time, one for each expiry.
+
+    The same whatever the batches, if they come in the order of time; rows later than ``late`` are left out.
+    """
+    at = F.col(time).cast("timestamp")
+    rows = events.select(F.col(key).alias("key"), at.alias("at"), F.unix_micros(at).alias("micros")).filter("micros is not null").withWatermark("at", late)
+    return rows.groupBy("key").transformWithStateInPandas(Lifecycle(seconds, forget), outputStructType="key long, event string, micros long, n long", outputMode="Update", timeMode="EventTime")
 
 
 def health_stream(events: DataFrame, source: str, window: str, late: str) -> DataFrame:

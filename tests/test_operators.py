@@ -1,15 +1,21 @@
 import datetime
+import random
 
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from jobsluice.functions.fields import months_of_experience, posted_date, salary, seniority, split_place
 from jobsluice.functions.text import decode_entities, decode_percent, html_to_text, strip_label
 from jobsluice.operators import checks, dedup, location, snapshots, tagging
+from jobsluice.plans import stream_queries  # noqa: F401 (registers its queries)
+from jobsluice.plans.registry import ORACLES
 from jobsluice.sources.objects import dataset_pairs, object_path, read_dataset, write_dataset
 from jobsluice.sources.pages import explode_sitemap, first_of, listing_items, microdata
-from jobsluice.streaming.intake import new_rows, run_available
-from jobsluice.streaming.stateful import dedup_with_ttl
+from jobsluice.streaming import stateful
+from jobsluice.streaming.intake import new_rows, run_available, run_each
+from jobsluice.streaming.stateful import dedup_with_ttl, lifecycle_stream
 
 
 def one(spark, column, value):
@@ -126,3 +132,31 @@ def test_stream_in_slices_equals_batch(spark, tmp_path):
         rows = dedup_with_ttl(new_rows(spark, f"{tmp_path}/in", events.schema, 1), "user_id", "ts", 7 * 86400)
         run_available(rows, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
     assert {r["event_id"] for r in spark.read.parquet(f"{tmp_path}/out").collect()} == batch
+
+
+@pytest.mark.parametrize("files", [1, 2, 5])
+def test_lifecycle_whatever_the_batches(spark, tmp_path, files):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    days = {1: [0, 0, 3, 11, 12, 50, 51], 2: [0.5, 9, 60], 3: [45], 4: [0, 59.5, 60], 5: [2, 30.5], 6: [52, 52.5, 59.9]}
+    rows = sorted((datetime.datetime(2024, 1, 1) + datetime.timedelta(days=d), key) for key, times in days.items() for d in times)
+    rows = [(i, t, key) for i, (t, key) in enumerate(rows)]
+    schema, size = "event_id long, ts timestamp_ntz, user_id long", -(-len(rows) // files)
+    for first in range(0, len(rows), size):
+        spark.createDataFrame(rows[first : first + size], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    events = new_rows(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema, 1)
+    keep = lambda batch, number: batch.write.mode("overwrite").parquet(f"{tmp_path}/out/batch={number}")
+    run_each(lifecycle_stream(events, "user_id", "ts", 7 * 86400, 28 * 86400, "1 minute"), keep, f"{tmp_path}/checkpoint")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/in/*.parquet'")
+    want = con.execute(ORACLES["b21_lifecycle_events"]).fetchall()
+    assert {r[1] for r in want} == {"new", "seen", "back", "expired"}
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").select("key", "event", "micros", "n").collect())) == sorted(want)
+
+
+def test_sorted_blocks_merge_runs(monkeypatch):
+    monkeypatch.setattr(stateful, "RUN_ROWS", 30)
+    monkeypatch.setattr(stateful, "BLOCK_ROWS", 7)
+    rng = random.Random(4)
+    rows = [(rng.randrange(50), i) for i in range(200)]
+    blocks = list(stateful.sorted_blocks((pd.DataFrame(rows[i : i + 13], columns=["micros", "event_id"]) for i in range(0, 200, 13)), ["micros", "event_id"]))
+    assert max(map(len, blocks)) == 7 and [tuple(r) for b in blocks for r in b.to_numpy().tolist()] == sorted(rows)
