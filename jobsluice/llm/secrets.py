@@ -31,16 +31,21 @@ def _words(text: Column) -> Column:
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """id, pos, word, core, before, after, path: words that hold a long token, with their neighbours.
+    """id, pos, place, word, core, before, after, path: the long tokens of all words, with the words' neighbours.
 
-    ``pos`` counts the words of the text from 0. Every place of a token is a candidate of its own. Null and empty texts
-    have none; a null path is empty.
+    ``pos`` counts the words of the text from 0, ``place`` the long tokens of the word. Every place of a token is a
+    candidate of its own. Null and empty texts have none; a null path is empty. Of a word with several tokens, ``word``
+    is the token's own part: from the token before it to the last sign that closes it, so that the next one's name does not count.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("path"), _words(text_of(text_col)).alias("w"))
     rows = rows.select("id", "path", "w", F.posexplode_outer("w").alias("pos", "word")).filter((F.length("word") >= SHORTEST) & F.col("word").rlike(CORE))
     near = lambda first, n: F.array_join(F.slice("w", first, n), " ")
     before = F.when(F.col("pos") > 0, near(F.greatest(F.lit(1), F.col("pos") - 2), F.least(F.lit(3), F.col("pos")))).otherwise("")
-    return rows.select("id", "pos", "word", F.regexp_extract("word", f"({CORE})", 1).alias("core"), before.alias("before"), near(F.col("pos") + 2, F.lit(2)).alias("after"), "path")
+    tokens, gaps = F.regexp_extract_all("word", F.lit(CORE), F.lit(0)), F.split("word", CORE)
+    rows = rows.select("id", "path", "pos", gaps.alias("gaps"), before.alias("before"), near(F.col("pos") + 2, F.lit(2)).alias("after"), F.posexplode(tokens).alias("place", "core"))
+    rest = F.get("gaps", F.col("place") + 1)
+    close = F.when(F.col("place") + 2 < F.size("gaps"), F.regexp_extract(rest, "^[^A-Za-z0-9]*", 0)).otherwise(rest)
+    return rows.select("id", "pos", "place", F.concat(F.get("gaps", F.col("place")), "core", close).alias("word"), "core", "before", "after", "path")
 
 
 def dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -89,7 +94,7 @@ def fit(labelled: DataFrame) -> RandomForestClassificationModel | None:
 
     Without findings of both labels there is nothing to fit, and None.
     """
-    order = [F.xxhash64("id", "pos"), F.col("id"), F.col("pos")]
+    order = [F.xxhash64("id", "pos"), F.col("id"), F.col("pos"), F.col("place")]
     sample = [labelled.filter(F.col("label") == y).orderBy(*order).limit(SAMPLE_ROWS).select(*FEATURES, "label") for y in (0, 1)]
     rows = stored(sample[0].union(sample[1]), "findings")
     if rows.select("label").distinct().count() < 2:
@@ -103,11 +108,11 @@ def _assembled(rows: DataFrame) -> DataFrame:
 
 
 def judge(rows: DataFrame, model: RandomForestClassificationModel | None) -> DataFrame:
-    """id, pos, core, score, secret for each candidate; without a model every candidate stays, with score null."""
+    """id, pos, place, core, score, secret for each candidate; without a model every candidate stays, with score null."""
     if model is None:
-        return rows.select("id", "pos", "core", F.lit(None).cast("double").alias("score"), F.lit(True).alias("secret"))
+        return rows.select("id", "pos", "place", "core", F.lit(None).cast("double").alias("score"), F.lit(True).alias("secret"))
     scored = model.transform(_assembled(rows)).withColumn("score", vector_to_array("probability")[1])
-    return scored.select("id", "pos", "core", "score", (F.col("score") >= 0.5).alias("secret"))
+    return scored.select("id", "pos", "place", "core", "score", (F.col("score") >= 0.5).alias("secret"))
 
 
 def labelled_by_form(rows: DataFrame) -> DataFrame:
@@ -120,9 +125,10 @@ def labelled_by_form(rows: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """id, pos, core, score, secret: all candidates of the whole texts with the forest's verdict.
+    """id, pos, place, core, score, secret: all candidates of the whole texts with the forest's verdict.
 
-    ``labelled`` (id, pos, label) are findings with known outcome; without it findings are labelled by their form.
+    ``labelled`` (id, pos, place, label) are findings with known outcome; without it findings are labelled by their form.
+    Where ``labelled`` has no place, it labels a word's first token.
     Repeated rows give repeated findings, null ids are kept, empty tables give no rows; other columns are not read.
     """
     known = stored(dictionary(docs, text_col), "dictionary")
@@ -130,11 +136,12 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_
     if labelled is None:
         outcomes = labelled_by_form(rows)
     else:
-        given = labelled.select("id", "pos", F.col("label").cast("double").alias("label")).dropDuplicates(["id", "pos"])
-        outcomes = rows.join(given, ["id", "pos"])
+        place = F.col("place") if "place" in labelled.columns else F.lit(0).alias("place")
+        given = labelled.select("id", "pos", place, F.col("label").cast("double").alias("label")).dropDuplicates(["id", "pos", "place"])
+        outcomes = rows.join(given, ["id", "pos", "place"])
     return judge(rows, fit(outcomes))
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scan(read(spark, sf_dir, "documents"))
-    return rows.select(F.col("id").alias("doc_id"), "pos", F.col("core").alias("token"), "score", "secret")
+    return rows.select(F.col("id").alias("doc_id"), "pos", "place", F.col("core").alias("token"), "score", "secret")

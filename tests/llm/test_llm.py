@@ -335,6 +335,21 @@ def test_secrets(spark, awkward, empty):
     assert {r["id"] for r in secrets.scan(awkward).collect()} == {9}
 
 
+def test_every_token_of_a_word(spark):
+    a, b, c = "A1b2C3d4E5f6G7h8I9j0K", "Z9y8X7w6V5u4T3s2R1q0P", "abcdefghijklmnopqrstuv"
+    texts = [f'x {{"id":"{a}","password":"{b}"}} y', f"{c}.{a}.{b}", f"https://host.org/{c}?token={a}", f"{a},{a}==", f"one {a}"]
+    docs = spark.createDataFrame([(i, t, "p") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    known = secrets.dictionary(docs)
+    rows = {(r["id"], r["pos"], r["place"]): r for r in secrets.features(secrets.candidates(docs), known).collect()}
+    got = {k: r["core"] for k, r in rows.items()}
+    want = {(0, 1, 0): a, (0, 1, 1): b, (1, 0, 0): c, (1, 0, 1): a, (1, 0, 2): b, (2, 0, 1): a, (3, 0, 0): a, (3, 0, 1): a + "==", (4, 1, 0): a}
+    assert got == want | {(2, 0, 0): got[2, 0, 0]} and got[2, 0, 0].endswith(c)
+    assert [rows[0, 1, k]["named"] for k in (0, 1)] == [rows[2, 0, k]["named"] for k in (0, 1)] == [0, 1]
+    assert rows[4, 1, 0]["word"] == a and rows[0, 1, 1]["assigned"] == rows[0, 1, 1]["quoted"] == 1
+    labels = spark.createDataFrame([(0, 1, 0, 0), (0, 1, 1, 1), (2, 0, 0, 0), (2, 0, 1, 1)], "id long, pos int, place int, label int")
+    assert {(r["id"], r["pos"], r["place"]) for r in secrets.scan(docs, labels).collect()} == set(rows)
+
+
 # Exact deduplication.
 
 
