@@ -44,7 +44,7 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def anchors_of(docs: DataFrame, windows: DataFrame, text_col: str, rarest: int) -> DataFrame:
-    """window_id, term, offset, n_anchors, words: of each window its words that are rarest in the documents, with places."""
+    """window_id, term, offset, k, n_anchors, words: of each window its words that are rarest in the documents, with places."""
     terms = windows.select("window_id", F.posexplode("words").alias("offset", "term"))
     distinct = stored(terms.select("term").distinct(), "terms")
     texts = docs.select(_tokens(text_of(text_col)).alias("w"))
@@ -54,7 +54,7 @@ def anchors_of(docs: DataFrame, windows: DataFrame, text_col: str, rarest: int)
     order = per.orderBy("df", "term", "offset")
     ranked = ranked.withColumn("known", F.count(F.lit(1)).over(per)).withColumn("k", F.row_number().over(order)).filter(F.col("k") <= rarest)
     best = ranked.join(windows.select("window_id", "words"), "window_id").filter(F.col("known") == F.size("words"))
-    return best.select("window_id", "term", "offset", F.least(F.lit(rarest), F.size("words")).alias("n_anchors"), "words")
+    return best.select("window_id", "term", "offset", "k", F.least(F.lit(rarest), F.size("words")).alias("n_anchors"), "words")
 
 
 def postings(docs: DataFrame, anchors: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
@@ -70,7 +70,8 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """id, items, start, length, kind: where windows of the benchmark occur in the documents.
 
     ``phrase``: the window's words stand at start, start + 1, ... ``near``: its rarest words all stand within the
-    window's length plus ``slop`` words, in any order; start is the first of them and the phrase itself is left out.
+    window's length plus ``slop`` words, in any order; each such stretch that holds no shorter one has a row, start is the first of the words, and stretches
+    within a phrase's own place are left out.
 
     Postings of each window's ``rarest`` least frequent words are stored with their positions; lists are intersected
     after each position has its word's offset taken off; the words around a posting then confirm the phrase. Grouping
@@ -84,13 +85,17 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     agree = F.slice("near", F.col("start") - F.col("first") + 1, F.size("words")) == F.col("words")
     lists = hits.filter(F.col("start") >= F.col("first")).groupBy("id", "window_id", "start").agg(F.count_distinct("offset").alias("n"), F.max("n_anchors").alias("need"), F.max(F.size("words")).alias("length"), F.bool_or(agree).alias("agree"))
     phrases = lists.filter((F.col("n") == F.col("need")) & F.col("agree")).select("id", "window_id", "start", "length", F.lit("phrase").alias("kind"))
-    # Proximity: overlapping stretches of twice the reach; whatever lies within the reach shares one of them.
+    # Proximity: the shortest stretch that ends at a posting starts at the earliest of the anchors' latest postings up to it.
     reach = window + slop
-    stretch = hits.select("id", "window_id", "offset", "pos", "n_anchors", F.explode(F.array((F.col("pos") / reach).cast("long"), (F.col("pos") / reach).cast("long") - 1)).alias("cell"))
-    cells = stretch.groupBy("id", "window_id", "cell").agg(F.count_distinct("offset").alias("n"), F.max("n_anchors").alias("need"), F.min("pos").alias("start"), F.max("pos").alias("last"))
-    near = cells.filter((F.col("n") == F.col("need")) & (F.col("need") > 1) & (F.col("last") - F.col("start") < reach))
-    near = near.groupBy("id", "window_id").agg(F.min("start").alias("start"), F.min(F.col("last") - F.col("start") + 1).alias("length"))
-    near = near.join(phrases.select(F.col("id").alias("pid"), F.col("window_id").alias("pw")).distinct(), F.col("id").eqNullSafe(F.col("pid")) & (F.col("window_id") == F.col("pw")), "left_anti")
+    upto = Window.partitionBy("id", "window_id").orderBy("pos").rangeBetween(Window.unboundedPreceding, 0)
+    latest = F.array_compact(F.array(*[F.max(F.when(F.col("k") == k, F.col("pos"))).over(upto) for k in range(1, rarest + 1)]))
+    ends = hits.filter(F.col("n_anchors") > 1).select("id", "window_id", "pos", "n_anchors", latest.alias("latest"))
+    ends = ends.filter(F.size("latest") == F.col("n_anchors")).select("id", "window_id", F.array_min("latest").alias("start"), "pos")
+    near = ends.groupBy("id", "window_id", "start").agg((F.min("pos") - F.col("start") + 1).alias("length")).filter(F.col("length") <= reach)
+    # A stretch within a phrase's place is the phrase; of the phrases that start up to it, the last one reaches farthest.
+    both = near.withColumn("end", F.lit(None).cast("long")).unionByName(phrases.select("id", "window_id", "start", "length", (F.col("start") + F.col("length")).cast("long").alias("end")))
+    before = Window.partitionBy("id", "window_id").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    near = both.withColumn("reached", F.max("end").over(before)).filter(F.col("end").isNull() & (F.col("reached").isNull() | (F.col("start") + F.col("length") > F.col("reached"))))
     found = phrases.unionByName(near.select("id", "window_id", "start", "length", F.lit("near").alias("kind")))
     return found.join(windows.select("window_id", "items"), "window_id").select("id", "items", "start", "length", "kind")
 

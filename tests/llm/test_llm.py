@@ -418,3 +418,24 @@ def test_pipeline_stages_keep_the_columns(spark, empty):
     none = documents(spark).limit(0)
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, none, FOLDER).columns == none.columns, name
+
+
+def test_every_shortest_stretch_is_near(spark):
+    word = lambda i: f"w{i}"
+    rng = random.Random(3)
+    item = " ".join(map(word, range(13)))
+    lay = lambda places: " ".join({p: word(k) for k, p in places}.get(p, f"f{p}") for p in range(60))
+    texts = [lay([(0, 20), (1, 22), (2, 23), (0, 2)]), lay([(0, 20), (1, 22), (2, 23), (1, 41)]), lay([(0, 5), (1, 6), (2, 7), (2, 40), (1, 45), (0, 59)])]
+    texts += [f"{item} " + lay([(2, 30), (0, 33), (1, 35)]), " ".join(rng.choice([word(rng.randrange(3)), "x", "y", "z"]) for _ in range(300)), " ".join(map(word, range(3, 13))) + " w3" * 9]
+    texts += [" ".join(map(word, range(3, 13)))] * 40
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = {(r["id"], r["start"], r["length"]) for r in decontaminate.find_benchmark(docs, items).collect() if r["kind"] == "near"}
+    want = set()
+    for doc, text in enumerate(texts):
+        w = text.split()
+        for s in range(len(w)):
+            e = next((e for e in range(s, min(s + 21, len(w))) if {word(0), word(1), word(2)} <= set(w[s : e + 1])), None)
+            if e is not None and not {word(0), word(1), word(2)} <= set(w[s + 1 : e + 1]) and not (text.startswith(item) and e < 13):
+                want.add((doc, s, e - s + 1))
+    assert {(0, 20, 4), (1, 20, 4), (2, 5, 3), (2, 40, 20), (3, 43, 6)} <= want and got == want
