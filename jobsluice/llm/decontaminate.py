@@ -27,7 +27,7 @@ def words_of(text: Column) -> Column:
 
 def _tokens(text: Column) -> Column:
     """The same without a pass over the array: a leading gap leaves one empty first element, a trailing one a last."""
-    return F.split(F.regexp_replace(F.translate(text, UPPER, LOWER), f"^{GAPS}|{GAPS}$", ""), GAPS)
+    return F.split(F.regexp_replace(F.translate(text, UPPER, LOWER), rf"^{GAPS}|{GAPS}\z", ""), GAPS)
 
 
 def windows_of(benchmark: DataFrame, window: int = WINDOW, id_col: str = "item_id", text_col: str = "text") -> DataFrame:

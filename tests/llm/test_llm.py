@@ -439,3 +439,9 @@ def test_every_shortest_stretch_is_near(spark):
             if e is not None and not {word(0), word(1), word(2)} <= set(w[s + 1 : e + 1]) and not (text.startswith(item) and e < 13):
                 want.add((doc, s, e - s + 1))
     assert {(0, 20, 4), (1, 20, 4), (2, 5, 3), (2, 40, 20), (3, 43, 6)} <= want and got == want
+
+
+def test_tokens_are_the_words(spark):
+    texts = [f"{a}one two{gap}{b}" for a in ("", " ", "\x85") for gap in (".", " \n", "") for b in ("\x85", "\u2028", "\u2029", "\r\n", "")]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", decontaminate._tokens(F.col("t")).alias("a"), decontaminate.words_of(F.col("t")).alias("b")).collect()
+    assert [r["t"] for r in rows if r["a"] != r["b"]] == []
