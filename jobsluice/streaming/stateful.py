@@ -64,12 +64,13 @@ class GapRule(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         last = self.last.get()[0] if self.last.exists() else None
         # The rows of a batch come in no order; those of one key and batch are what is sorted here.
-        pdf = pd.concat(list(rows)).sort_values(["micros", "event_id"], kind="stable")
-        before = pdf["micros"].shift()
-        before.iloc[0] = last if last is not None else float("nan")
-        keep = before.isna() | (pdf["micros"] - before > self.micros)
-        self.last.update((int(max(pdf["micros"].iloc[-1], last or 0)),))
-        yield pdf.loc[keep, ["event_id", "key", "micros"]]
+        for pdf in sorted_blocks(rows, ["micros", "event_id"]):
+            before = pdf["micros"].shift()
+            before.iloc[0] = last if last is not None else float("nan")
+            keep = before.isna() | (pdf["micros"] - before > self.micros)
+            last = int(max(pdf["micros"].iloc[-1], last or 0))
+            yield pdf.assign(key=key[0]).loc[keep, ["event_id", "key", "micros"]]
+        self.last.update((last,))
 
     def close(self) -> None:
         pass

@@ -160,3 +160,18 @@ def test_sorted_blocks_merge_runs(monkeypatch):
     rows = [(rng.randrange(50), i) for i in range(200)]
     blocks = list(stateful.sorted_blocks((pd.DataFrame(rows[i : i + 13], columns=["micros", "event_id"]) for i in range(0, 200, 13)), ["micros", "event_id"]))
     assert max(map(len, blocks)) == 7 and [tuple(r) for b in blocks for r in b.to_numpy().tolist()] == sorted(rows)
+
+
+def test_gap_rule_holds_a_block_at_a_time(monkeypatch):
+    monkeypatch.setattr(stateful, "RUN_ROWS", 30)
+    monkeypatch.setattr(stateful, "BLOCK_ROWS", 7)
+    stored = []
+    rule = stateful.GapRule(2e-6)
+    rule.last = type("Last", (), {"exists": lambda _: bool(stored), "get": lambda _: stored[-1], "update": lambda _, v: stored.append(v)})()
+    rng = random.Random(5)
+    times = [rng.randrange(400) for _ in range(200)]
+    chunks = (pd.DataFrame({"event_id": range(i, i + 20), "key": 1, "micros": times[i : i + 20]}) for i in range(0, 200, 20))
+    parts = list(rule.handleInputRows((1,), chunks, None))
+    rows = sorted((t, i) for i, t in enumerate(times))
+    want = [i for (t, i), p in zip(rows, [None, *rows]) if p is None or t - p[0] > 2]
+    assert max(map(len, parts)) <= 7 and [i for p in parts for i in p["event_id"]] == want and stored == [(max(times),)]
