@@ -14,7 +14,7 @@ LEVELS = (("intern", r"intern(ship)?|trainee"), ("junior", r"junior|entry.level|
 
 
 def posted_date(raw: Column) -> Column:
-    """Date of any of three spellings: ``Wed Aug 26 02:00:00 UTC 2026``, ``26 ago 2026``, ``2026-08-26``; else null."""
+    """Date of any of three spellings: ``Mon Mar 03 09:30:00 UTC 2025``, ``3 mar 2025``, ``2025-03-03``; else null."""
     long = F.to_date(F.try_to_timestamp(F.regexp_replace(raw, r"^\w{3} (\w{3} \d+ [\d:]+) UTC (\d+)$", "$1 $2"), F.lit("MMM dd HH:mm:ss yyyy")))
     iso = F.to_date(F.try_to_timestamp(raw, F.lit("yyyy-MM-dd")))
     month = F.array_position(F.array(*map(F.lit, MONTHS_ES)), F.lower(F.regexp_extract(raw, r"^\d+ (\p{L}{3})\p{L}*\.? \d+$", 1))).cast("int")
@@ -34,11 +34,31 @@ def split_place(raw: Column) -> Column:
     )
 
 
+EXPERIENCE = r"(?i)(\d+)\s*(?:\+|(?:-|to)\s*(\d+))?\s*(years?|yrs?|months?)"
+#: Kinds of employment by the words of a text; the first that fits wins.
+KINDS = (("internship", r"intern(ship)?|trainee"), ("temporary", r"temporary|seasonal|temp"), ("contract", r"contract(or)?|freelance"), ("part_time", r"part.time"), ("full_time", r"full.time|permanent"))
+
+
+def experience(raw: Column) -> Column:
+    """struct(low, high) of the months that a text asks for: ``3+ years`` has no high end, ``18 months`` two equal ones,
+    ``1-2 years`` two; both null where it names none."""
+    low, high = (F.regexp_extract(raw, EXPERIENCE, k).try_cast("int") for k in (1, 2))
+    times = F.when(F.lower(F.regexp_extract(raw, EXPERIENCE, 3)).startswith("y"), 12).otherwise(1)
+    open_ended = F.regexp_extract(raw, EXPERIENCE, 0).contains("+")
+    return F.struct((low * times).alias("low"), F.when(~open_ended, F.coalesce(high, low) * times).alias("high"))
+
+
 def months_of_experience(raw: Column) -> Column:
-    """Least months that a text asks for: ``3+ years``, ``18 months``, ``1-2 years``; null where it names none."""
-    n = F.regexp_extract(raw, r"(?i)(\d+)\s*(\+|-\s*\d+|to\s*\d+)?\s*(years?|yrs?|months?)", 1).try_cast("int")
-    unit = F.lower(F.regexp_extract(raw, r"(?i)\d+\s*(\+|-\s*\d+|to\s*\d+)?\s*(years?|yrs?|months?)", 2))
-    return F.when(unit.startswith("y"), n * 12).when(unit.startswith("m"), n)
+    """Least months that a text asks for; null where it names none."""
+    return experience(raw)["low"]
+
+
+def employment_kind(text: Column) -> Column:
+    """The first kind of employment whose words a text has, else null."""
+    from jobsluice.functions.text import delimited
+
+    small = F.lower(text)
+    return F.coalesce(*(F.when(small.rlike(delimited(p)), F.lit(name)) for name, p in KINDS))
 
 
 def salary(raw: Column) -> Column:

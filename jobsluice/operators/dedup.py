@@ -35,3 +35,9 @@ def upsert_seen(seen: DataFrame, today: DataFrame, key: str) -> DataFrame:
     new = today.groupBy(key).agg(F.min("day").alias("_first"), F.max("day").alias("_last"))
     joined = seen.join(new, key, "full_outer")
     return joined.select(key, F.coalesce("first_seen", "_first").alias("first_seen"), F.coalesce(F.greatest("last_seen", "_last"), "last_seen", "_last").alias("last_seen"))
+
+
+def capped(rows: DataFrame, group: str, order: list[Column], most: int) -> DataFrame:
+    """The first ``most`` rows of each group, with their ``rank`` from 1; the limit applies before the shuffle too."""
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    return ranked.filter(F.col("rank") <= most).withColumn("rank", F.col("rank").cast("long"))

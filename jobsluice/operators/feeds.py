@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,17 +10,25 @@ from pyspark.sql import functions as F
 
 
 class Feed(NamedTuple):
-    """A feed's condition: language (null: any), tag (null: any), least and greatest length, and most rows."""
+    """A feed's condition: language and tag (null: any), least length and the one beyond, first day and the one after the
+    last (null: open), and most rows."""
 
     feed: str
     lang: str | None
     tag: str | None
     low: int
     high: int
+    since: datetime.date | None
+    until: datetime.date | None
     most: int
 
 
-def route(rows: DataFrame, feeds: list[Feed], lang: Column, tags: Column, size: Column, order: list[str]) -> DataFrame:
+def feeds_of(table: DataFrame) -> list[Feed]:
+    """Feeds of a table with Feed's columns, by name. The table is configuration and read whole."""
+    return [Feed(*r) for r in table.select(*Feed._fields).orderBy("feed").collect()]
+
+
+def route(rows: DataFrame, feeds: list[Feed], lang: Column, tags: Column, size: Column, day: Column, order: list[str]) -> DataFrame:
     """feed, rank and the row's columns: each row in every feed it satisfies, the first ``most`` by ``order``.
 
     Feeds are conditions of the scan; a row is exploded to those it satisfies, and ranks are limited before the shuffle.
@@ -29,6 +38,8 @@ def route(rows: DataFrame, feeds: list[Feed], lang: Column, tags: Column, size:
         hold = (size >= f.low) & (size < f.high)
         hold = hold & (lang == f.lang) if f.lang else hold
         hold = hold & F.array_contains(tags, f.tag) if f.tag else hold
+        hold = hold & (day >= F.lit(f.since)) if f.since else hold
+        hold = hold & (day < F.lit(f.until)) if f.until else hold
         fits.append(F.when(hold, F.struct(F.lit(f.feed).alias("feed"), F.lit(f.most).alias("most"))))
     found = F.filter(F.array(*fits), lambda x: x.isNotNull())
     routed = rows.withColumn("_f", F.explode(found)).select("_f.feed", "_f.most", *rows.columns)

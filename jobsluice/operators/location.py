@@ -17,22 +17,32 @@ def display_place(locality: Column, region: Column, country: Column) -> Column:
 
 
 def resolve_country(places: DataFrame, place: str, aliases: DataFrame) -> DataFrame:
-    """Adds ``country``: of all aliases (alias, country) that are a part of the place, the longest; else null.
+    """Adds ``country``: of all aliases (alias, country) whose words follow each other in the place, the longest; else null.
 
-    A place's parts are its stretches between commas. They are matched whole, ignoring case and accents, by an equi-join
-    with the alias table; nothing is compared with every alias.
+    Words are matched ignoring case and accents of any script, by an equi-join of the place's stretches of up to as many
+    words as the longest alias has; nothing is compared with every alias. Stretches end at commas.
     """
-    listed = aliases.select(_plain(F.col("alias")).alias("_alias"), "country").groupBy("_alias").agg(F.min("country").alias("_country"))
-    small = F.broadcast(listed) if aliases.count() <= LARGEST_ALIASES else listed
+    listed = aliases.select(F.array_join(_words(F.col("alias")), " ").alias("_alias"), "country").filter("_alias <> ''")
+    longest, n = listed.agg(F.max(F.size(F.split("_alias", " "))), F.count(F.lit(1))).first()
+    keyed = listed.select(_folded("_alias"), "country").groupBy("_alias").agg(F.min("country").alias("_country"))
+    small = F.broadcast(keyed) if n <= LARGEST_ALIASES else keyed
     distinct = places.select(place).distinct()
-    parts = distinct.select(place, F.explode(F.split(place, ",")).alias("_p")).select(place, _plain(F.col("_p")).alias("_alias"))
-    best = parts.join(small, "_alias").groupBy(place).agg(F.max_by("_country", F.struct(F.length("_alias"), "_alias")).alias("country"))
+    parts = distinct.select(place, F.explode(F.split(place, ",")).alias("_p")).select(place, _words(F.col("_p")).alias("_w")).filter(F.size("_w") > 0)
+    starts = parts.select(place, "_w", F.explode(F.sequence(F.lit(1), F.size("_w"))).alias("_s"))
+    lengths = F.sequence(F.lit(1), F.least(F.lit(longest or 1), F.size("_w") - F.col("_s") + 1))
+    stretches = starts.select(place, "_w", "_s", F.explode(lengths).alias("_n")).select(place, F.array_join(F.slice("_w", F.col("_s"), F.col("_n")), " ").alias("_alias"))
+    found = stretches.select(place, F.length("_alias").alias("_l"), _folded("_alias")).join(small, "_alias")
+    best = found.groupBy(place).agg(F.max_by("_country", F.struct("_l", "_country")).alias("country"))
     return places.join(best, place, "left")
 
 
-def _plain(text: Column) -> Column:
-    """Lower case without the accents of Western European letters."""
-    return F.translate(F.lower(F.trim(text)), "áàâäãåçéèêëíìîïñóòôöõúùûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy")
+def _words(text: Column) -> Column:
+    return F.filter(F.split(text, r"[^\p{L}\p{N}\p{M}]+"), lambda w: w != "")
+
+
+def _folded(name: str) -> Column:
+    """The column compared without case and accents."""
+    return F.collate(F.col(name), "UNICODE_CI_AI").alias(name)
 
 
 def places_of(rows: DataFrame, key: str, places: str) -> DataFrame:

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def _sides(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    pack = lambda df, name: df.select(*keys, F.struct(*[c for c in df.columns if c not in keys]).alias(name))
-    return pack(left, "_left").join(pack(right, "_right"), keys, "full_outer")
+    """Both sides by key; null keys are equal to null keys."""
+    pack = lambda df, side: df.select(*[F.col(k).alias(f"{side}_{k}") for k in keys], F.struct(*[c for c in df.columns if c not in keys]).alias(side))
+    same = [F.col(f"_left_{k}").eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    both = pack(left, "_left").join(pack(right, "_right"), same, "full_outer")
+    return both.select(*[F.coalesce(f"_left_{k}", f"_right_{k}").alias(k) for k in keys], "_left", "_right")
 
 
 def differences(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -40,3 +45,20 @@ def archive(rows: DataFrame, time: str, cutoff: Column) -> tuple[DataFrame, Data
     """(live, archived with ``month``): rows before the cut-off go to the archive; rows without a time stay live."""
     old = F.coalesce(F.col(time) < cutoff, F.lit(False))
     return rows.filter(~old), rows.filter(old).withColumn("month", F.date_format(time, "yyyy-MM"))
+
+
+def parity_report(spark: SparkSession, pairs: list[tuple[str, str | None, str | None]], keys: dict[str, list[str]]) -> DataFrame:
+    """dataset, kind, n: the differing rows of each pair of datasets (name, left path, right path), by kind.
+
+    A dataset that one side lacks differs in all its rows.
+    """
+    parts = []
+    for name, left, right in pairs:
+        if left and right:
+            rows = differences(spark.read.parquet(left), spark.read.parquet(right), keys[name]).select("kind")
+        else:
+            rows = spark.read.parquet(left or right).select(F.lit("left_only" if left else "right_only").alias("kind"))
+        parts.append(rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("dataset"), "kind", "n"))
+    if not parts:
+        return spark.createDataFrame([], "dataset string, kind string, n long")
+    return reduce(DataFrame.unionByName, parts)

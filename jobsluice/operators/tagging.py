@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 
 from jobsluice.functions.text import delimited
 
-#: Rules beyond this many are refused: each is an expression of the scan.
-MOST_RULES = 2000
+#: A pattern of this form is a list of plain words, which are looked up among the text's words.
+PLAIN = re.compile(r"[a-z0-9]+(\|[a-z0-9]+)*")
 
 
 class Rule(NamedTuple):
@@ -25,25 +26,45 @@ class Rule(NamedTuple):
 
 
 def rules_of(table: DataFrame) -> list[Rule]:
-    """Rules of a table with Rule's columns, by priority and tag."""
-    rows = table.select(*Rule._fields).orderBy("priority", "tag").limit(MOST_RULES + 1).collect()
-    if len(rows) > MOST_RULES:
-        raise ValueError(f"more than {MOST_RULES} rules")
-    return [Rule(*r) for r in rows]
+    """Rules of a table with Rule's columns, by priority and tag. The table is configuration and read whole."""
+    return [Rule(*r) for r in table.select(*Rule._fields).orderBy("priority", "tag").collect()]
 
 
 def tags(rules: list[Rule], text: Column, other: Column | None = None, guarded: bool = True) -> Column:
-    """Sorted array of the tags whose rules hold. Rules are expressions with fixed patterns: tagging is one narrow pass
-    over the rows, without a join, and each pattern is compiled once."""
-    held = []
-    for r in rules:
-        hit = F.coalesce(text.rlike(delimited(r.include)), F.lit(False))
-        if r.second and other is not None:
-            hit = hit | F.coalesce(other.rlike(r.second), F.lit(False))
-        if r.exclude and guarded:
-            hit = hit & ~F.coalesce(text.rlike(delimited(r.exclude)), F.lit(False))
-        held.append(F.when(hit, F.lit(r.tag)))
-    return F.array_sort(F.array_distinct(F.filter(F.array(*held), lambda t: t.isNotNull())))
+    """Sorted array of the tags whose rules hold, in one narrow pass over the rows, without a join.
+
+    The text is split into words once, and those that any rule names are kept: most rules are lists of plain words and
+    look into that short list only. The other patterns are matched behind one that fits wherever any of them does.
+    """
+    used = [p for r in rules for p in (r.include, r.exclude if guarded else None) if p]
+    plain = sorted({w for p in used if PLAIN.fullmatch(p) for w in p.split("|")})
+    others = sorted({p for p in used if not PLAIN.fullmatch(p)})
+    split = F.split(text, r"[^\p{L}\p{N}]+")
+    named = F.array_intersect(split, F.array(*map(F.lit, plain))) if plain else F.array().cast("array<string>")
+    any_other = text.rlike(delimited("|".join(f"(?:{p})" for p in others))) if others else F.lit(False)
+
+    def held_in(found: Column) -> Column:
+        words, other_fits = found["words"], found["other"]
+
+        def fits(pattern: str) -> Column:
+            if PLAIN.fullmatch(pattern):
+                hit = F.arrays_overlap(words, F.array(*map(F.lit, pattern.split("|"))))
+            else:
+                hit = other_fits & text.rlike(delimited(pattern))
+            return F.coalesce(hit, F.lit(False))
+
+        held = []
+        for r in rules:
+            hit = fits(r.include)
+            if r.second and other is not None:
+                hit = hit | F.coalesce(other.rlike(r.second), F.lit(False))
+            if r.exclude and guarded:
+                hit = hit & ~fits(r.exclude)
+            held.append(F.when(hit, F.lit(r.tag)))
+        return F.filter(F.array(*held), lambda t: t.isNotNull())
+
+    found = F.array(F.struct(named.alias("words"), F.coalesce(any_other, F.lit(False)).alias("other")))
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(found, held_in))))
 
 
 def primary(rules: list[Rule], tagged: Column, default: str = "general") -> Column:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsluice.functions.fields import MONTHS_ES, months_of_experience, posted_date, salary, seniority, split_place
-from jobsluice.functions.text import decode_entities, html_to_text, strip_label
-from jobsluice.operators.dedup import keep_first
+from jobsluice.functions.fields import MONTHS_ES, employment_kind, experience, months_of_experience, posted_date, salary, seniority, split_place
+from jobsluice.functions.text import decode_entities, decode_named, html_to_text, strip_label
+from jobsluice.operators.dedup import capped, keep_first
 from jobsluice.plans.registry import register
-from jobsluice.sources.pages import explode_sitemap, first_of, host_of, lang_of, links, page_fields, posting_id, posting_urls
+from jobsluice.sources.pages import explode_sitemap, first_of, host_of, lang_of, links, listing_items, microdata, page_fields, page_posting_id, posting_id, posting_urls, primary_language
 from jobsluice.sources.tables import table
 
 HOST_SQL = "regexp_extract(url, '://([^/?#]*)', 1)"
@@ -54,6 +54,32 @@ def a2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posting_urls(table(spark, sf_dir, "pages")).select("page_id", "url")
 
 
+@register("a2_forms", f"""SELECT page_id, CASE WHEN page_id % 5 < 3 THEN page_id + 40000000000 ELSE {ID_SQL} END AS job_id FROM pages
+    WHERE page_id % 5 < 3 OR (page_id % 5 = 4 AND regexp_matches(url, '^[a-z]+://[^/?#]+/(en|fr|de|es)/([0-9]+)'))""")
+def a2_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page's url in one of the forms of postings, or in one that is none."""
+    host, job = F.concat(F.lit("https://"), host_of(F.col("url"))), F.col("page_id") + F.lit(40_000_000_000)
+    k = F.col("page_id") % 5
+    url = (
+        F.when(k == 0, F.concat(host, F.lit("/job/Role-of-"), "page_id", F.lit("/"), job, F.lit("/")))
+        .when(k == 1, F.concat(host, F.lit("/North/job/Role-"), "page_id", F.lit("/"), job, F.lit("/?src=a")))
+        .when(k == 2, F.concat(F.lit("/en/job/town/role-"), "page_id", F.lit("/7/"), job))
+        .when(k == 3, F.concat(host, F.lit("/about/job/"), job))
+        .otherwise(F.col("url"))
+    )
+    return posting_urls(table(spark, sf_dir, "pages").select("page_id", url.alias("url"))).select("page_id", posting_id(F.col("url")).alias("job_id"))
+
+
+@register("a3_page_ids", f"SELECT page_id, {ID_SQL} AS job_id FROM pages")
+def a3_page_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of the url is written into the page, as a parameter or in a link, and found there."""
+    job = posting_id(F.col("url"))
+    form = F.concat(F.lit('<form action="/subscribe/?locale=xx&amp;jobid='), job, F.lit('" method="post">'))
+    link = F.concat(F.lit('<a class="apply" href="/talents/apply/'), job, F.lit('/?locale=xx">'))
+    page = F.coalesce(F.concat(F.when(F.col("page_id") % 2 == 0, form).otherwise(link), "html"), F.col("html"))
+    return table(spark, sf_dir, "pages").select("page_id", page_posting_id(page).alias("job_id"))
+
+
 @register("a3_id_join", f"SELECT doc_id, lang, source, n_pages FROM documents JOIN (SELECT {ID_SQL} AS doc_id, count(*) AS n_pages FROM pages GROUP BY 1) USING (doc_id)")
 def a3_id_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = table(spark, sf_dir, "pages").groupBy(posting_id(F.col("url")).alias("doc_id")).agg(F.count(F.lit(1)).alias("n_pages"))
@@ -71,6 +97,25 @@ def a4_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links(table(spark, sf_dir, "pages"))
 
 
+TITLE_SQL = named_sql("regexp_extract(html, '<title>([^<]*)', 1)")
+
+
+@register("a4_listing", f"""SELECT (page_id + 40000000000)::VARCHAR AS job_id, '7' AS org_id, '/en/job/town/' || t || '/7/' || (page_id + 40000000000) AS href, nullif(t, '') AS title,
+    'Town ' || (page_id % 9) || ', Land & Sea' AS location, 'Sales and more' AS category FROM (SELECT page_id, {TITLE_SQL} AS t FROM pages)""")
+def a4_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search results made of pages, 20 in each: titles in numeric entities, links percent-encoded, values labelled."""
+    title, job = decode_named(F.regexp_extract("html", r"<title>([^<]*)", 1)), F.col("page_id") + F.lit(40_000_000_000)
+    spelled = F.array_join(F.transform(F.regexp_extract_all("t", F.lit("(?s)."), 0), lambda c: F.concat(F.lit("&#x"), F.hex(F.ascii(c)), F.lit(";"))), "")
+    href = F.concat(F.lit("/en/job/town/"), F.replace(F.url_encode("t"), F.lit("+"), F.lit("%20")), F.lit("/7/"), "job")
+    item = F.concat(
+        F.lit('<li>\n <button type="button" data-job-id="'), "job", F.lit('" data-org-id="7">Save</button><a href="'), href, F.lit('" data-job-id="'), "job", F.lit('">\n<h2>'), spelled,
+        F.lit('</h2><span class="job-location"><strong>Ort: </strong>Town '), F.col("page_id") % 9, F.lit(", Land &amp; Sea</span>\n<span class=\"job-category\">\n<strong>Art: </strong>Sales\n   and more   \n</span></a></li>"),
+    )
+    rows = table(spark, sf_dir, "pages").select("page_id", title.alias("t"), job.cast("string").alias("job"))
+    lists = rows.groupBy(F.expr("page_id div 20").alias("part")).agg(F.array_join(F.collect_list(item), "").alias("items"))
+    return listing_items(lists.select(F.concat(F.lit("<ul>"), "items", F.lit("</ul>")).alias("html")))
+
+
 @register("a5_link_dedup", f"SELECT page_id, href, min(pos) AS pos, arg_min(label, pos) AS label FROM ({LINKS_SQL}) GROUP BY page_id, href")
 def a5_link_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_first(links(table(spark, sf_dir, "pages")), ["page_id", "href"], ["pos"]).select("page_id", "href", "pos", "label")
@@ -120,7 +165,26 @@ def a10_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("s_suppkey", split_place(raw).alias("p")).select("s_suppkey", "p.*")
 
 
-TEXT_SQL = "trim(regexp_replace(" + named_sql("regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g')") + r", '[ \n\t\r]+', ' ', 'g'))"
+def text_sql(html: str) -> str:
+    return "trim(regexp_replace(" + named_sql(f"regexp_replace(regexp_replace(regexp_replace({html}, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g')") + r", '[ \n\t\r]+', ' ', 'g'))"
+
+
+TEXT_SQL = text_sql("html")
+
+
+@register("a8_microdata", f"""SELECT page_id, nullif(trim({TITLE_SQL}), '') AS title, 'Town ' || (page_id % 9) AS locality, DATE '2026-01-01' + (page_id % 300)::INT AS posted,
+    {text_sql("'<b>Lead</b> ' || regexp_extract(html, '(?s)<article>(.*)</article>', 1)")} AS description FROM pages""")
+def a8_microdata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job pages made of pages: properties in attributes and elements, a description of nested elements; some are cut off."""
+    day = F.date_add(F.lit("2026-01-01").cast("date"), (F.col("page_id") % 300).cast("int"))
+    inner = F.concat(F.lit("<div><div><b>Lead</b></div> <div class=x>"), F.regexp_extract("html", r"(?s)<article>(.*)</article>", 1))
+    tail = F.when(F.col("page_id") % 7 == 0, "").otherwise("</div></div></div><div>not part of it</div></body>")
+    page = F.concat(
+        F.lit('<span itemprop="jobLocation" itemscope><meta itemprop="addressLocality" content="Town '), F.col("page_id") % 9, F.lit('"></span><meta itemprop="datePosted" content="'), day.cast("string"),
+        F.lit('"><h1 id="t" itemprop="title">'), F.regexp_extract("html", r"<title>([^<]*)", 1), F.lit('</h1><div itemprop="description" class="d">'), inner, tail,
+    )
+    found = table(spark, sf_dir, "pages").select("page_id", microdata(page, "title", "addressLocality", "datePosted", nested=("description",)).alias("m"))
+    return found.select("page_id", "m.title", F.col("m.addressLocality").alias("locality"), posted_date(F.col("m.datePosted")).alias("posted"), html_to_text(F.col("m.description")).alias("description"))
 
 
 @register("a11_html_text", f"SELECT page_id, {TEXT_SQL} AS text FROM pages")
@@ -133,6 +197,14 @@ def a12_lang_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").groupBy(lang_of(F.col("html")).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("a12_lang_elsewhere", """SELECT lang || '-XX' AS tag, lang, count(*) AS n FROM (SELECT regexp_extract(html, '<html[^>]* lang="([^"]*)"', 1) AS lang FROM pages) GROUP BY ALL""")
+def a12_lang_elsewhere(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose language stands on a form, with a region."""
+    html = F.regexp_replace("html", '<html lang="([a-z]+)">', '<html><form id="f" xml:lang="$1-XX" lang="$1-XX"></form>')
+    tags = table(spark, sf_dir, "pages").select(lang_of(html).alias("tag"))
+    return tags.groupBy("tag", primary_language(F.col("tag")).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("a13_agreement", f"""SELECT coalesce(nullif(lang, ''), seg) AS lang, count(*) AS n, count(*) FILTER (title = h1) AS n_titles, count(*) FILTER (lang = seg) AS n_langs FROM (
     SELECT regexp_extract(html, '<title>([^<]*)', 1) AS title, regexp_extract(html, '<h1>([^<]*)', 1) AS h1, regexp_extract(html, '<html[^>]* lang="([^"]*)"', 1) AS lang, regexp_extract(url, '^[a-z]+://[^/?#]+/([a-z]+)/', 1) AS seg FROM pages) GROUP BY 1""")
 def a13_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,6 +223,32 @@ def b9_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").groupBy(seniority(title).alias("level")).agg(F.count(F.lit(1)).alias("n"))
 
 
+LEVEL_SQL = "CASE p_size % 6 WHEN 0 THEN 'intern' WHEN 1 THEN 'junior' WHEN 2 THEN 'senior' WHEN 3 THEN 'lead' WHEN 4 THEN 'manager' ELSE 'mid' END"
+
+
+@register("b9_capped", f"""SELECT p_brand, p_partkey, rank FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS rank FROM (SELECT *, {LEVEL_SQL} AS level FROM part) WHERE level IN ('senior', 'lead')) WHERE rank <= 3""")
+def b9_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each brand's senior titles the three with the highest pay."""
+    words = [F.lit(w) for w in ("Internship:", "Graduate", "Sr.", "Principal", "Director of", "Internal")]
+    title = F.concat_ws(" ", F.element_at(F.array(*words), F.col("p_size") % 6 + 1), F.initcap("p_name"))
+    senior = table(spark, sf_dir, "part").filter(seniority(title).isin("senior", "lead")).select("p_brand", "p_partkey", "p_retailprice")
+    return capped(senior, "p_brand", [F.desc("p_retailprice"), F.asc("p_partkey")], 3).select("p_brand", "p_partkey", "rank")
+
+
+@register("b13_kind", """SELECT kind, count(*) AS n FROM (SELECT CASE p_size % 6 WHEN 0 THEN 'full_time' WHEN 1 THEN 'part_time' WHEN 2 THEN 'contract' WHEN 3 THEN 'internship' WHEN 4 THEN 'temporary' END AS kind FROM part) GROUP BY kind""")
+def b13_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = [F.lit(w) for w in ("Full-time,", "part time:", "CONTRACTOR", "Trainee (full time)", "Seasonal", "Contractual")]
+    text = F.concat_ws(" ", F.lit("A"), F.element_at(F.array(*words), F.col("p_size") % 6 + 1), "p_name")
+    return table(spark, sf_dir, "part").groupBy(employment_kind(text).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("b13_range", """SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN p_size * 12 WHEN 1 THEN p_size WHEN 2 THEN p_size * 12 END AS low, CASE p_size % 4 WHEN 1 THEN p_size WHEN 2 THEN (p_size + 2) * 12 END AS high FROM part""")
+def b13_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n, k = F.col("p_size"), F.col("p_size") % 4
+    raw = F.when(k == 0, F.concat(n, F.lit("+ years of work"))).when(k == 1, F.concat(F.lit("at least "), n, F.lit(" months"))).when(k == 2, F.concat(n, F.lit(" to "), n + 2, F.lit(" yrs"))).otherwise("none asked")
+    return table(spark, sf_dir, "part").select("p_partkey", experience(raw).alias("e")).select("p_partkey", "e.*")
+
+
 @register("b13_months", "SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN p_size * 12 WHEN 1 THEN p_size WHEN 2 THEN p_size * 12 END AS months FROM part")
 def b13_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     n, k = F.col("p_size"), F.col("p_size") % 4

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsluice.functions.text import delimited
 from jobsluice.operators import checks, dedup, feeds, health, location, snapshots, tagging
 from jobsluice.plans.registry import register
+from jobsluice.sources.objects import dataset_pairs, read_dataset, write_dataset
 from jobsluice.sources.tables import table
+from jobsluice.sources.work import shared_dir
 
 RULES = [
     tagging.Rule("licensed", 10, r"licensed under [a-z0-9 .-]+|all rights reserved"),
@@ -20,7 +24,21 @@ RULES = [
 ]
 #: A second table of rules, whose effect is reported against the first.
 RULES_NEW = [r for r in RULES if r.tag != "contact"] + [tagging.Rule("network", 15, r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}")]
-FEEDS = [feeds.Feed("en-short", "en", None, 0, 1000, 25), feeds.Feed("en-long", "en", None, 1000, 1 << 40, 40), feeds.Feed("licensed", None, "licensed", 0, 1 << 40, 30), feeds.Feed("iberia", "es", None, 200, 5000, 20)]
+FEEDS = [
+    feeds.Feed("en-long", "en", None, 1000, 1 << 40, datetime.date(2026, 3, 1), datetime.date(2026, 10, 1), 40),
+    feeds.Feed("en-short", "en", None, 0, 1000, None, None, 25),
+    feeds.Feed("iberia", "es", None, 200, 5000, datetime.date(2026, 2, 1), None, 20),
+    feeds.Feed("licensed", None, "licensed", 0, 1 << 40, None, datetime.date(2026, 12, 1), 30),
+]
+
+
+def rule_table(spark: SparkSession, rules: list[tagging.Rule]) -> DataFrame:
+    """The table of rules that a query reads; elsewhere it is a dataset of its own."""
+    return spark.createDataFrame([tuple(r) for r in rules], "tag string, priority int, include string, exclude string, second string")
+
+
+def feed_table(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([tuple(f) for f in FEEDS], "feed string, lang string, tag string, low long, high long, since date, until date, most int")
 
 
 def tags_sql(rules: list[tagging.Rule], guarded: bool = True) -> str:
@@ -43,7 +61,8 @@ def primary_sql(rules: list[tagging.Rule], tagged: str) -> str:
 def tagged(spark: SparkSession, sf_dir: str, *columns: str, rules: list[tagging.Rule] | None = None) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     small = docs.withColumn("small", F.lower("text"))
-    return small.select("doc_id", *columns, tagging.tags(rules or RULES, F.col("small"), F.col("source")).alias("tags"))
+    known = tagging.rules_of(rule_table(spark, rules or RULES))
+    return small.select("doc_id", *columns, tagging.tags(known, F.col("small"), F.col("source")).alias("tags"))
 
 
 def split_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -133,13 +152,22 @@ def b8_any_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey").join(places, F.col("l_suppkey") == F.col("s_suppkey"))
     per = rows.groupBy("l_orderkey").agg(F.collect_set("n_name").alias("places")).filter(location.in_any_place(F.col("places"), ["NATION_3", "NATION_7"]))
-    return location.places_of(per, "l_orderkey", "places").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_places"))
+    return per.select("l_orderkey", F.size("places").cast("long").alias("n_places"))
+
+
+@register("b8_places", """SELECT DISTINCT l_orderkey, n_name AS place FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey""")
+def b8_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order's list of places as one row for each place."""
+    places = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey").join(places, F.col("l_suppkey") == F.col("s_suppkey"))
+    return location.places_of(rows.groupBy("l_orderkey").agg(F.collect_list("n_name").alias("places")), "l_orderkey", "places")
 
 
 @register("b10_tags", f"SELECT doc_id, array_to_string({tags_sql(RULES, guarded=False)}, ',') AS tags FROM documents")
 def b10_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     small = table(spark, sf_dir, "documents").withColumn("small", F.lower("text"))
-    return small.select("doc_id", F.array_join(tagging.tags(RULES, F.col("small"), F.col("source"), guarded=False), ",").alias("tags"))
+    rules = tagging.rules_of(rule_table(spark, RULES))
+    return small.select("doc_id", F.array_join(tagging.tags(rules, F.col("small"), F.col("source"), guarded=False), ",").alias("tags"))
 
 
 @register("b11_guarded", f"SELECT doc_id, array_to_string({tags_sql(RULES)}, ',') AS tags FROM documents")
@@ -162,14 +190,17 @@ def _feeds_sql() -> str:
     parts = []
     for f in FEEDS:
         hold = f"n_chars >= {f.low} AND n_chars < {f.high}" + (f" AND lang = '{f.lang}'" if f.lang else "") + (f" AND list_contains(tags, '{f.tag}')" if f.tag else "")
+        hold += (f" AND day >= DATE '{f.since}'" if f.since else "") + (f" AND day < DATE '{f.until}'" if f.until else "")
         parts.append(f"SELECT '{f.feed}' AS feed, row_number() OVER (ORDER BY n_chars DESC, doc_id) AS rank, doc_id FROM t WHERE {hold} QUALIFY rank <= {f.most}")
-    return f"WITH t AS (SELECT doc_id, lang, n_chars, {tags_sql(RULES)} AS tags FROM documents) " + " UNION ALL ".join(parts)
+    return f"WITH t AS (SELECT doc_id, lang, n_chars, DATE '2026-01-01' + (doc_id % 365)::INT AS day, {tags_sql(RULES)} AS tags FROM documents) " + " UNION ALL ".join(parts)
 
 
 @register("b16_route", _feeds_sql())
 def b16_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = tagged(spark, sf_dir, "lang", "n_chars").withColumn("neg", -F.col("n_chars"))
-    return feeds.route(rows, FEEDS, F.col("lang"), F.col("tags"), F.col("n_chars"), ["neg", "doc_id"]).select("feed", "rank", "doc_id")
+    day = F.date_add(F.lit("2026-01-01").cast("date"), (F.col("doc_id") % 365).cast("int"))
+    rows = tagged(spark, sf_dir, "lang", "n_chars").withColumn("neg", -F.col("n_chars")).withColumn("day", day)
+    routed = feeds.route(rows, feeds.feeds_of(feed_table(spark)), F.col("lang"), F.col("tags"), F.col("n_chars"), F.col("day"), ["neg", "doc_id"])
+    return routed.select("feed", "rank", "doc_id")
 
 
 @register("b17_feed_stats", """SELECT o_orderpriority, o_orderstatus, grouping(o_orderpriority, o_orderstatus) AS level, count(*) AS n, max(o_orderdate)::DATE AS newest, count(DISTINCT o_custkey) AS n_orgs
@@ -214,11 +245,8 @@ def b23_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("b24_health", """SELECT date_trunc('day', ts)::DATE AS start, event_type, count(*) AS n, round(count(*) FILTER (value > 150) / count(*), 6) AS error_share, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95,
     max(try_cast(json_extract_string(props, '$.k') AS INT)) AS max_k FROM events GROUP BY ALL""")
 def b24_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    window = F.col("ts").cast("date")
-    rows = health.health(events, window, "event_type", F.col("value") > 150, "value")
-    keys = events.groupBy(window.alias("start"), "event_type").agg(F.max(F.get_json_object("props", "$.k").try_cast("int")).alias("max_k"))
-    return rows.join(keys, ["start", "event_type"])
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    return health.health(table(spark, sf_dir, "events"), F.col("ts").cast("date"), "event_type", F.col("value") > 150, "value", max_k=k)
 
 
 @register("b25_drift", """WITH c AS (SELECT date_trunc('week', ts)::DATE AS week, event_type, count(*) AS n FROM events GROUP BY ALL),
@@ -233,8 +261,9 @@ def b25_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("b26_tag_diff", f"""SELECT old_tag, new_tag, count(*) AS n FROM (SELECT {primary_sql(RULES, 'a')} AS old_tag, {primary_sql(RULES_NEW, 'b')} AS new_tag FROM (SELECT {tags_sql(RULES)} AS a, {tags_sql(RULES_NEW)} AS b FROM documents)) GROUP BY ALL""")
 def b26_tag_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").withColumn("small", F.lower("text"))
-    tags = lambda rules: tagging.primary(rules, tagging.tags(rules, F.col("small"), F.col("source")))
-    return tagging.contingency(rows.select(tags(RULES).alias("a"), tags(RULES_NEW).alias("b")), F.col("a"), F.col("b"))
+    old, new = (tagging.rules_of(rule_table(spark, rules)) for rules in (RULES, RULES_NEW))
+    both = rows.select(*[tagging.tags(rules, F.col("small"), F.col("source")).alias(name) for rules, name in ((old, "a"), (new, "b"))])
+    return tagging.contingency(both, tagging.primary(old, F.col("a")), tagging.primary(new, F.col("b")))
 
 
 @register("b27_residue", f"""WITH t AS (SELECT text, {tags_sql(RULES)} AS tags FROM documents) SELECT token, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(lower(text), '[ \\t\\n\\r\\.,]+')) AS token FROM t WHERE len(tags) = 0)
@@ -260,8 +289,34 @@ def b28_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("b29_region", "SELECT r_name, count(*) AS n, round(sum(c_acctbal), 2) AS balance FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")
 def b29_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Figures of the dataset that sources.objects.write_dataset partitions by region."""
-    return regional(spark, sf_dir).groupBy("r_name").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+    """Writes a dataset with one partition for each region, and reads its figures from there."""
+    path = f"{shared_dir(spark, 'region')}/customers"
+    write_dataset(regional(spark, sf_dir), path, ("r_name",))
+    return read_dataset(spark, path).groupBy("r_name").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+
+
+@register("a15_pairs", """SELECT 'nation' AS dataset, 'changed' AS kind, count(*) AS n FROM nation WHERE n_nationkey % 5 = 0 UNION ALL SELECT 'customer', 'right_only', count(*) FROM customer
+    UNION ALL SELECT 'supplier', 'left_only', count(*) FROM supplier""")
+def a15_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders of datasets: one dataset equal, one changed, and one in either folder alone; pairs come from the folders."""
+    work = shared_dir(spark, "pairs")
+    t = lambda name: table(spark, sf_dir, name)
+    for name in ("region", "nation", "supplier"):
+        write_dataset(t(name), f"{work}/left/{name}")
+    write_dataset(t("region"), f"{work}/right/region")
+    write_dataset(t("nation").withColumn("n_name", F.when(F.col("n_nationkey") % 5 == 0, "X").otherwise(F.col("n_name"))), f"{work}/right/nation")
+    write_dataset(t("customer"), f"{work}/right/customer")
+    keys = {"region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"], "supplier": ["s_suppkey"]}
+    return snapshots.parity_report(spark, dataset_pairs(spark, f"{work}/left", f"{work}/right"), keys)
+
+
+@register("a16_objects", "SELECT c_mktsegment, count(*) AS n, min(c_custkey) AS first_key FROM customer WHERE c_mktsegment <> 'BUILDING' GROUP BY c_mktsegment")
+def a16_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset written by segment where Spark's file systems reach, and read back but for one partition."""
+    path = f"{shared_dir(spark, 'objects')}/customer"
+    write_dataset(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), path, ("c_mktsegment",))
+    rows = read_dataset(spark, path, "c_custkey long, c_mktsegment string").filter("c_mktsegment <> 'BUILDING'")
+    return rows.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.min("c_custkey").alias("first_key"))
 
 
 def regional(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,53 +2,55 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsluice.plans.registry import register
 from jobsluice.sources.tables import table
+from jobsluice.sources.work import shared_dir
 from jobsluice.streaming.intake import new_rows, run_available, run_each
 from jobsluice.streaming.stateful import dedup_with_ttl, health_stream, lifecycle_stream
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _work(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + os.path.join(tempfile.gettempdir(), "jobsluice-streams")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     return new_rows(spark, f"{sf_dir.rstrip('/')}/events*.parquet", schema)  # a pattern: a stream reads folders or patterns
 
 
-def _stateful(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+@contextmanager
+def _stateful(spark: SparkSession):
+    """The state store that stateful processors need, for as long as the stream runs."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 @register("b2_stream_ttl", """SELECT event_id, user_id AS key, epoch_us(ts) AS micros FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events)
     WHERE p IS NULL OR epoch_us(ts) - epoch_us(p) > 7 * 86400 * 1000000::BIGINT""")
 def b2_stream_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _stateful(spark)
-    work = _work(spark)
-    run_available(dedup_with_ttl(_events(spark, sf_dir), "user_id", "ts", 7 * 86400), f"{work}/out", f"{work}/checkpoint")
+    work = shared_dir(spark, "stream")
+    with _stateful(spark):
+        run_available(dedup_with_ttl(_events(spark, sf_dir), "user_id", "ts", 7 * 86400), f"{work}/out", f"{work}/checkpoint")
     return spark.read.schema("event_id long, key long, micros long").parquet(f"{work}/out")
 
 
 def _lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events of the lifecycle: keys expire after 7 days, are forgotten after 28, rows may be a minute late."""
-    _stateful(spark)
-    work = _work(spark)
+    work = shared_dir(spark, "stream")
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{work}/out/batch={number}")
 
-    run_each(lifecycle_stream(_events(spark, sf_dir), "user_id", "ts", 7 * 86400, 28 * 86400, "1 minute"), keep, f"{work}/checkpoint")
+    with _stateful(spark):
+        run_each(lifecycle_stream(_events(spark, sf_dir), "user_id", "ts", 7 * 86400, 28 * 86400, "1 minute"), keep, f"{work}/checkpoint")
     return spark.read.schema("key long, event string, micros long, n long").parquet(f"{work}/out").select("key", "event", "micros", "n")
 
 
@@ -72,7 +74,7 @@ def b21_lifecycle_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("b24_stream_health", "SELECT date_trunc('day', ts)::DATE AS day, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL")
 def b24_stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every window, open ones too: each batch gives its changed windows, and a window's last figures hold."""
-    work = _work(spark)
+    work = shared_dir(spark, "stream")
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{work}/out/number={number}")
@@ -85,7 +87,7 @@ def b24_stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("b32_intake", "SELECT event_type, count(*) AS n, min(event_id) AS first_id, max(event_id) AS last_id FROM events GROUP BY event_type")
 def b32_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    work = _work(spark)
+    work = shared_dir(spark, "stream")
     rows = _events(spark, sf_dir).select("event_id", "event_type")
     for _ in range(2):  # the second run finds nothing new
         run_available(rows, f"{work}/out", f"{work}/checkpoint")

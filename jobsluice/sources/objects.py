@@ -20,12 +20,13 @@ def read_dataset(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
-def dataset_pairs(spark: SparkSession, left: str, right: str) -> list[tuple[str, str, str]]:
-    """(name, left path, right path) of all datasets in either folder; what one side lacks is listed too."""
+def dataset_pairs(spark: SparkSession, left: str, right: str) -> list[tuple[str, str | None, str | None]]:
+    """(name, left path, right path) of all datasets in either folder; None where a side lacks one."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    names: set[str] = set()
+    sides: list[dict[str, str]] = []
     for folder in (left, right):
         path = hadoop(folder)
         fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        names |= {s.getPath().getName() for s in fs.listStatus(path) if not s.getPath().getName().startswith(("_", "."))}
-    return [(n, f"{left.rstrip('/')}/{n}", f"{right.rstrip('/')}/{n}") for n in sorted(names)]
+        names = [s.getPath().getName() for s in fs.listStatus(path)]
+        sides.append({n: f"{folder.rstrip('/')}/{n}" for n in names if not n.startswith(("_", "."))})
+    return [(n, sides[0].get(n), sides[1].get(n)) for n in sorted(sides[0] | sides[1])]

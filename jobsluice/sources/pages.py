@@ -6,12 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobsluice.functions.text import decode_named
+from jobsluice.functions.text import decode_entities, decode_named, decode_percent
 
 URL = T.StructType([T.StructField("loc", T.StringType()), T.StructField("lastmod", T.DateType()), T.StructField("changefreq", T.StringType()), T.StructField("priority", T.DoubleType())])
 URLSET = T.StructType([T.StructField("url", T.ArrayType(URL))])
-#: Paths of postings: a language and a number; other sites' forms can be given to posting_urls.
-POSTING = r"^[a-z]+://[^/?#]+/(en|fr|de|es)/([0-9]+)"
+#: Forms of postings' urls, each with one group, the posting's number: /[section/]job/slug/number/,
+#: /language/job/place/slug/organisation/number (absolute or relative), and /language/number.
+POSTINGS = (
+    r"^(?:[a-z]+://[^/?#]+)?(?:/[^/?#]+)?/job/[^/?#]+/([0-9]+)/?(?:[?#]|$)",
+    r"^(?:[a-z]+://[^/?#]+)?/[A-Za-z]{2}(?:-[A-Za-z]{2})?/job/[^/?#]+/[^/?#]+/[0-9]+/([0-9]+)/?(?:[?#]|$)",
+    r"^[a-z]+://[^/?#]+/(?:en|fr|de|es)/([0-9]+)",
+)
 
 
 def explode_sitemap(sitemaps: DataFrame, xml: str = "xml") -> DataFrame:
@@ -20,14 +25,20 @@ def explode_sitemap(sitemaps: DataFrame, xml: str = "xml") -> DataFrame:
     return rows.select("u.*")
 
 
-def posting_urls(pages: DataFrame, pattern: str = POSTING, url: str = "url") -> DataFrame:
-    """The rows whose url is that of a posting."""
-    return pages.filter(F.col(url).rlike(pattern))
+def posting_urls(pages: DataFrame, forms: tuple[str, ...] = POSTINGS, url: str = "url") -> DataFrame:
+    """The rows whose url is that of a posting, in any of the forms."""
+    return pages.filter(F.col(url).rlike("|".join(forms)))
 
 
-def posting_id(url: Column, pattern: str = POSTING, group: int = 2) -> Column:
-    """The number in a posting's url, as bigint: such ids exceed 32 bits."""
-    return F.regexp_extract(url, pattern, group).try_cast("bigint")
+def posting_id(url: Column, forms: tuple[str, ...] = POSTINGS) -> Column:
+    """The number in a posting's url, as bigint: such ids exceed 32 bits. The first form that fits counts."""
+    return F.coalesce(*(F.regexp_extract(url, form, 1).try_cast("bigint") for form in forms))
+
+
+def page_posting_id(html: Column) -> Column:
+    """The posting's number on its own page: a parameter of its forms, else a part of its application link."""
+    forms = (r"[?&;]jobid=([0-9]+)", r'href="[^"]*/apply/([0-9]+)/')
+    return F.coalesce(*(F.regexp_extract(html, form, 1).try_cast("bigint") for form in forms))
 
 
 def host_of(url: Column) -> Column:
@@ -35,7 +46,14 @@ def host_of(url: Column) -> Column:
 
 
 def lang_of(html: Column) -> Column:
-    return F.regexp_extract(html, r'<html[^>]* lang="([^"]*)"', 1)
+    """The page's language tag as written: of ``<html>``, else of the first element that names one; else empty."""
+    named = F.regexp_extract(html, r'<[A-Za-z][^>]*? (?:xml:)?lang="([^"]+)"', 1)
+    return F.coalesce(F.nullif(F.regexp_extract(html, r'<html[^>]* lang="([^"]*)"', 1), F.lit("")), named)
+
+
+def primary_language(tag: Column) -> Column:
+    """``es`` of ``es-ES`` or ``es_ES``, in lower case."""
+    return F.lower(F.regexp_extract(tag, r"^[A-Za-z]*", 0))
 
 
 def links(pages: DataFrame) -> DataFrame:
@@ -46,28 +64,55 @@ def links(pages: DataFrame) -> DataFrame:
 
 
 def listing_items(listings: DataFrame, html: str = "html") -> DataFrame:
-    """job_id, org_id, href, title, location, category of each ``<li>`` item of a search result."""
+    """job_id, org_id, href, title, location, category of each ``<li>`` item of a search result, decoded.
+
+    An item names its number more than once; the first counts.
+    """
     items = F.regexp_extract_all(F.col(html), F.lit(r"(?s)(<li[^>]*>.*?</li>)"), 1)
     rows = listings.select(F.explode(items).alias("i"))
     part = lambda p: F.nullif(F.trim(F.regexp_replace(F.regexp_extract("i", p, 1), r"\s+", " ")), F.lit(""))
     return rows.select(
         part(r'data-job-id="(\d+)"').alias("job_id"),
         part(r'data-org-id="(\d+)"').alias("org_id"),
-        part(r'href="([^"]*)"').alias("href"),
-        part(r"(?s)<h\d[^>]*>(.*?)</h\d>").alias("title"),
-        part(r"(?s)class=\"[^\"]*location[^\"]*\"[^>]*>(?:\s*<strong>[^<]*</strong>)?(.*?)</").alias("location"),
-        part(r"(?s)class=\"[^\"]*category[^\"]*\"[^>]*>(?:\s*<strong>[^<]*</strong>)?(.*?)</").alias("category"),
+        decode_percent(decode_named(part(r'href="([^"]*)"'))).alias("href"),
+        decode_entities(part(r"(?s)<h\d[^>]*>(.*?)</h\d>")).alias("title"),
+        decode_entities(part(r"(?s)class=\"[^\"]*location[^\"]*\"[^>]*>(?:\s*<strong>[^<]*</strong>)?(.*?)</")).alias("location"),
+        decode_entities(part(r"(?s)class=\"[^\"]*category[^\"]*\"[^>]*>(?:\s*<strong>[^<]*</strong>)?(.*?)</")).alias("category"),
     )
 
 
-def microdata(html: Column, *properties: str) -> Column:
-    """struct of ``itemprop`` values: of a ``content`` attribute, else of the element's text; null where missing."""
+def inner_html(html: Column, opening: str) -> Column:
+    """What stands in the first element whose opening tag fits the pattern, tags of nested elements included.
+
+    Closing tags of the element's name are counted against opening ones. On a page that is cut off before the element
+    ends, what is left of it; null where there is no such element.
+    """
+    rest = F.regexp_extract(html, rf"(?s){opening}(.*)$", 2)
+    name = F.regexp_extract(html, opening, 1)
+    parts = F.split(rest, F.concat(F.lit("(?i)</"), name, F.lit(r"\s*>")))
+    opened = F.transform(parts, lambda p: F.size(F.split(p, F.concat(F.lit("(?i)<"), name, F.lit(r"(?=[\s>])")))) - 1)
+    start = F.struct(F.lit(0).alias("open"), F.lit(0).alias("taken"), F.lit(False).alias("done"))
+    walk = F.aggregate(
+        opened,
+        start,
+        lambda s, n: F.when(s["done"], s).otherwise(F.struct((s["open"] + n).alias("open"), (s["taken"] + 1).alias("taken"), (s["open"] + n == s["taken"]).alias("done"))),
+        lambda s: s["taken"],
+    )
+    return F.when(html.rlike(opening), F.call_function("array_join", F.slice(parts, 1, walk), F.concat(F.lit("</"), name, F.lit(">"))))
+
+
+def microdata(html: Column, *properties: str, nested: tuple[str, ...] = ()) -> Column:
+    """struct of ``itemprop`` values: of a ``content`` attribute, else of the element's text; null where missing.
+
+    The properties of ``nested`` hold further elements, and come as the html inside.
+    """
     fields = []
     for p in properties:
         content = F.regexp_extract(html, rf'<[^>]*itemprop="{p}"[^>]*content="([^"]*)"', 1)
         text = F.regexp_extract(html, rf'(?s)<[^>]*itemprop="{p}"[^>]*>([^<]*)<', 1)
-        fields.append(decode_named(F.coalesce(F.nullif(content, F.lit("")), F.nullif(F.trim(text), F.lit("")))).alias(p))
-    return F.struct(*fields)
+        fields.append(decode_entities(F.coalesce(F.nullif(content, F.lit("")), F.nullif(F.trim(text), F.lit("")))).alias(p))
+    inner = [inner_html(html, rf'<(\w+)[^>]*itemprop="{p}"[^>]*>').alias(p) for p in nested]
+    return F.struct(*fields, *inner)
 
 
 def page_fields(pages: DataFrame) -> DataFrame:

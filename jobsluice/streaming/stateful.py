@@ -53,16 +53,25 @@ def _tuples(run: np.ndarray) -> Iterator[tuple[int, ...]]:
 
 
 class GapRule(StatefulProcessor):
-    """Passes a row if its key's row before it is absent or older than the gap; holds one time for each key."""
+    """Passes a row if its key's row before it is absent or older than the gap.
+
+    Holds one time for each key, up to the watermark that makes any later row pass anyway.
+    """
 
     def __init__(self, seconds: float) -> None:
         self.micros = int(seconds * 1_000_000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.last = handle.getValueState("last", "micros long")
 
+    def _timer(self, last: int) -> int:
+        return (last + self.micros) // 1000 + 1
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         last = self.last.get()[0] if self.last.exists() else None
+        if last is not None:
+            self.handle.deleteTimer(self._timer(last))
         # The rows of a batch come in no order; those of one key and batch are what is sorted here.
         for pdf in sorted_blocks(rows, ["micros", "event_id"]):
             before = pdf["micros"].shift()
@@ -71,15 +80,24 @@ class GapRule(StatefulProcessor):
             last = int(max(pdf["micros"].iloc[-1], last or 0))
             yield pdf.assign(key=key[0]).loc[keep, ["event_id", "key", "micros"]]
         self.last.update((last,))
+        self.handle.registerTimer(self._timer(last))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
 
 
-def dedup_with_ttl(events: DataFrame, key: str, time: str, seconds: float) -> DataFrame:
-    """event_id, key, micros of the rows that pass the gap rule; batches must come in the order of time."""
-    rows = events.select("event_id", F.col(key).alias("key"), F.unix_micros(F.col(time).cast("timestamp")).alias("micros"))
-    return rows.groupBy("key").transformWithStateInPandas(GapRule(seconds), outputStructType="event_id long, key long, micros long", outputMode="Append", timeMode="None")
+def dedup_with_ttl(events: DataFrame, key: str, time: str, seconds: float, late: str = "1 minute") -> DataFrame:
+    """event_id, key, micros of the rows that pass the gap rule; batches must come in the order of time.
+
+    Rows without a time and such later than ``late`` are left out.
+    """
+    at = F.col(time).cast("timestamp")
+    rows = events.select("event_id", F.col(key).alias("key"), at.alias("at"), F.unix_micros(at).alias("micros")).filter("micros is not null").withWatermark("at", late)
+    return rows.groupBy("key").transformWithStateInPandas(GapRule(seconds), outputStructType="event_id long, key long, micros long", outputMode="Append", timeMode="EventTime")
 
 
 class Lifecycle(StatefulProcessor):

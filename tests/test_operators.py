@@ -6,13 +6,13 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from jobsluice.functions.fields import months_of_experience, posted_date, salary, seniority, split_place
+from jobsluice.functions.fields import employment_kind, experience, months_of_experience, posted_date, salary, seniority, split_place
 from jobsluice.functions.text import decode_entities, decode_percent, html_to_text, strip_label
-from jobsluice.operators import checks, dedup, location, snapshots, tagging
+from jobsluice.operators import checks, dedup, health, location, snapshots, tagging
 from jobsluice.plans import stream_queries  # noqa: F401 (registers its queries)
 from jobsluice.plans.registry import ORACLES
 from jobsluice.sources.objects import dataset_pairs, object_path, read_dataset, write_dataset
-from jobsluice.sources.pages import explode_sitemap, first_of, listing_items, microdata
+from jobsluice.sources.pages import explode_sitemap, first_of, inner_html, lang_of, listing_items, microdata, page_posting_id, posting_id, primary_language
 from jobsluice.streaming import stateful
 from jobsluice.streaming.intake import new_rows, run_available, run_each
 from jobsluice.streaming.stateful import dedup_with_ttl, lifecycle_stream
@@ -31,39 +31,69 @@ def test_sitemap(spark):
 
 
 def test_listing(spark):
-    html = """<ul><li data-job-id="44636888896" data-org-id="7"><a href="/en/job/a%20b/x/7/44636888896"><h2>Lead</h2>
-    <span class="job-location"><strong>Location:</strong> Beijing, China</span><span class="job-category"><strong>Kind:</strong> Data
+    html = """<ul><li data-job-id="90123456789" data-org-id="7"><a href="/en/job/a%20b/x%C3%A9&amp;y/7/90123456789"><h2>&#x4E2D;&#65; &amp; B</h2>
+    <span class="job-location"><strong>Where:</strong> Oslo, Norway</span><span class="job-category"><strong>Kind:</strong> Data
       and more</span></a></li><li>cut"""
     (row,) = listing_items(spark.createDataFrame([(html,)], "html string")).collect()
-    assert tuple(row) == ("44636888896", "7", "/en/job/a%20b/x/7/44636888896", "Lead", "Beijing, China", "Data and more")
+    assert tuple(row) == ("90123456789", "7", "/en/job/a b/xé&y/7/90123456789", "中A & B", "Oslo, Norway", "Data and more")
 
 
 def test_microdata_of_a_cut_page(spark):
-    html = '<meta itemprop="addressCountry" content="ES"><span itemprop="title">A &amp; B</span><p itemprop="x'
+    html = '<meta itemprop="addressCountry" content="NO"><span itemprop="title">A &amp; B</span><p itemprop="x'
     row = one(spark, lambda c: microdata(c, "addressCountry", "title", "missing"), html)
-    assert tuple(row) == ("ES", "A & B", None)
+    assert tuple(row) == ("NO", "A & B", None)
 
 
-@pytest.mark.parametrize("raw", ["Wed Aug 26 02:00:00 UTC 2026", "26 ago 2026", "2026-08-26"])
+@pytest.mark.parametrize(
+    ("html", "inner"),
+    [
+        ('<p><span itemprop="d"><b>x</b><span>y<span>z</span></span> w</span><span>no</span>', "<b>x</b><span>y<span>z</span></span> w"),
+        ('<span itemprop="d">a<span>b</span>', "a<span>b</span>"),
+        ('<SPAN itemprop="d"></span>', ""),
+        ('<div itemprop="d">a<divx>b</div>c', "a<divx>b"),
+        ("<p>none</p>", None),
+        (None, None),
+    ],
+)
+def test_nested_elements(spark, html, inner):
+    assert one(spark, lambda c: inner_html(c, r'<(\w+)[^>]*itemprop="d"[^>]*>'), html) == inner
+
+
+def test_postings_urls(spark):
+    urls = ["https://h.example/Place/job/A-Role/123/", "/job/A-Role/123", "https://h.example/en/job/x/y%20z/9/50000000001", "https://h.example/de/77?x", "https://h.example/about/job", "/en/job/x/y/z/5", None]
+    assert [one(spark, posting_id, u) for u in urls] == [123, 123, 50000000001, 77, None, None, None]
+    pages = ['<form action="/s/?l=x&amp;jobid=50000000001">', '<a href="/t/apply/12/?l=x">', "<p>"]
+    assert [one(spark, page_posting_id, p) for p in pages] == [50000000001, 12, None]
+
+
+def test_language_of_a_page(spark):
+    pages = ['<html class="x" lang="fr">', '<html><p lang="de">', '<html><form a="1" xml:lang="pt-BR" lang="pt-BR">', "<html>", None]
+    assert [one(spark, lang_of, p) for p in pages] == ["fr", "de", "pt-BR", "", None]
+    assert one(spark, primary_language, "pt-BR") == "pt"
+
+
+@pytest.mark.parametrize("raw", ["Mon Mar 03 09:30:00 UTC 2025", "3 mar 2025", "2025-03-03"])
 def test_posted_date(spark, raw):
-    assert one(spark, posted_date, raw) == datetime.date(2026, 8, 26)
+    assert one(spark, posted_date, raw) == datetime.date(2025, 3, 3)
 
 
 def test_posted_date_of_nonsense(spark):
-    assert [one(spark, posted_date, x) for x in ("soon", "", "31 feb 2026", "2026-13-01", None)] == [None] * 5
+    assert [one(spark, posted_date, x) for x in ("soon", "", "31 feb 2025", "2025-13-01", None)] == [None] * 5
 
 
 def test_text(spark):
     assert one(spark, decode_entities, "&#x5317;&#20140; &amp;lt; &lt;") == "北京 &lt; <"
     assert one(spark, decode_percent, "a%20b%C3%A9+c") == "a bé+c"
     assert one(spark, decode_percent, "100%") == "100%"
-    assert one(spark, strip_label, "<b><strong>Ort:</strong>\n Beijing,  China") == "Beijing, China"
+    assert one(spark, strip_label, "<b><strong>Ort:</strong>\n Oslo,  Norway") == "Oslo, Norway"
     assert one(spark, html_to_text, "<p>a<script>x<y</script><!-- no --> b&nbsp;</p>") == "a b"
 
 
 def test_fields(spark):
-    assert tuple(one(spark, split_place, "Zaragoza, Aragon, ES")) == ("Zaragoza", "Aragon", "ES")
-    assert tuple(one(spark, split_place, "ES")) == (None, None, "ES")
+    assert tuple(one(spark, split_place, "Bergen, Vestland, NO")) == ("Bergen", "Vestland", "NO")
+    assert tuple(one(spark, split_place, "NO")) == (None, None, "NO")
+    assert [tuple(one(spark, experience, x)) for x in ("3+ years", "18 months", "1 to 2 yrs", "none")] == [(36, None), (18, 18), (12, 24), (None, None)]
+    assert [one(spark, employment_kind, x) for x in ("Part-time job", "A permanent role", "contract, full time", "any", None)] == ["part_time", "full_time", "contract", None, None]
     assert [one(spark, months_of_experience, x) for x in ("3+ years", "18 months", "1-2 yrs", "none")] == [36, 18, 12, None]
     low, high, currency, period, yearly = one(spark, salary, "€1,200.50 - €1,500 per month")
     assert (float(low), float(high), currency, period, float(yearly)) == (1200.5, 1500.0, "EUR", "month", 14406.0)
@@ -78,10 +108,24 @@ def test_first_of(spark):
 
 
 def test_country_longest_alias(spark):
-    aliases = spark.createDataFrame([("Perú", "PE"), ("united states", "US"), ("states", "XX")], "alias string, country string")
-    rows = spark.createDataFrame([(1, "Lima, PERU"), (2, "Ohio, United States"), (3, "Moon"), (4, None)], "k int, place string")
+    aliases = spark.createDataFrame([("Perú", "PE"), ("united states", "US"), ("states", "XX"), ("Cesko", "CZ"), ("Łódź", "PL"), (" , ", "YY")], "alias string, country string")
+    places = [(1, "Lima, PERU"), (2, "Ohio, the United  States (east)"), (3, "Moon"), (4, None), (5, "Brno, Česko"), (6, "Lo\u0301dz\u0301 x"), (7, "united, states"), (8, "Per\u0075\u0301"), (9, "")]
+    rows = spark.createDataFrame(places, "k int, place string")
     found = {r["k"]: r["country"] for r in location.resolve_country(rows, "place", aliases).collect()}
-    assert found == {1: "PE", 2: "US", 3: None, 4: None}
+    assert {k: v for k, v in found.items() if k != 6} == {1: "PE", 2: "US", 3: None, 4: None, 5: "CZ", 7: "XX", 8: "PE", 9: None}
+
+
+def test_null_keys_are_compared(spark):
+    old = spark.createDataFrame([(None, "a"), (1, "b"), (2, "c")], "k int, v string")
+    new = spark.createDataFrame([(None, "a"), (1, "x")], "k int, v string")
+    assert {tuple(r) for r in snapshots.lifecycle(old, new, ["k"]).collect()} == {(None, "kept"), (1, "changed"), (2, "removed")}
+
+
+def test_health_counts_null_sources_and_values(spark):
+    rows = [(1, None, 1.0), (1, None, None), (1, "a", 4.0), (1, "a", 2.0), (1, "a", 2.0), (2, "a", None)]
+    events = spark.createDataFrame(rows, "w int, s string, v double")
+    got = {(r["start"], r["s"]): tuple(r)[2:] for r in health.health(events, F.col("w"), "s", F.col("v") > 3, "v", top=F.col("v")).collect()}
+    assert got == {(1, None): (2, 0.0, 1.0, 1.0, 1.0), (1, "a"): (3, 0.333333, 2.0, 3.8, 4.0), (2, "a"): (1, 0.0, None, None, None)}
 
 
 def test_rules_from_a_table(spark):
@@ -118,7 +162,9 @@ def test_objects(spark, tmp_path):
     for side in ("l", "r"):
         write_dataset(rows, f"file://{tmp_path}/{side}/d", ("r",))
     write_dataset(rows, f"file://{tmp_path}/r/extra")
-    assert [n for n, _, _ in dataset_pairs(spark, f"file://{tmp_path}/l", f"file://{tmp_path}/r")] == ["d", "extra"]
+    pairs = dataset_pairs(spark, f"file://{tmp_path}/l", f"file://{tmp_path}/r")
+    assert [(n, left is None) for n, left, _ in pairs] == [("d", False), ("extra", True)]
+    assert [tuple(r) for r in snapshots.parity_report(spark, pairs, {"d": ["k"]}).collect()] == [("extra", "right_only", 2)]
     assert read_dataset(spark, f"file://{tmp_path}/l/d").count() == 2
 
 
@@ -167,6 +213,7 @@ def test_gap_rule_holds_a_block_at_a_time(monkeypatch):
     monkeypatch.setattr(stateful, "BLOCK_ROWS", 7)
     stored = []
     rule = stateful.GapRule(2e-6)
+    rule.handle = type("Handle", (), {"deleteTimer": lambda _, t: None, "registerTimer": lambda _, t: None})()
     rule.last = type("Last", (), {"exists": lambda _: bool(stored), "get": lambda _: stored[-1], "update": lambda _, v: stored.append(v)})()
     rng = random.Random(5)
     times = [rng.randrange(400) for _ in range(200)]
