@@ -7,13 +7,14 @@ from collections.abc import Iterator
 
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobsluice.llm.common import read
 
-#: Kinds of events. ``message`` begins a message (a second one of the same number stands after it), ``regenerate`` and
-#: ``edit`` replace its text, ``delta`` adds to it, ``delete`` takes it away until a later event brings it back.
+#: Kinds of events, in the order of those of one sequence. ``message`` begins a message (a second one of the same number
+#: stands after it), ``delta`` adds to its text, ``edit`` and ``regenerate`` replace it, ``delete`` takes the message away
+#: until a later event brings it back.
 KINDS = ("message", "delta", "edit", "regenerate", "delete")
 BEGIN, END = "<|im_start|>", "<|im_end|>"
 TRAINED = "assistant"
@@ -39,7 +40,7 @@ def unescape_role(role: str) -> str:
 
 
 def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Folds events, sorted by conversation, message and sequence; holds one message at a time, across batches."""
+    """Folds events, those of a message in sequence one after the other; holds one message at a time, across batches."""
     key, role, parts, alive = None, "", [], False
     done: list[tuple] = []
     for pdf in batches:
@@ -64,25 +65,38 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def rebuild(events: DataFrame) -> DataFrame:
     """Final messages (conv_id, null_conv, msg, role, text) of ``events`` (conv_id, seq, msg, kind, role, text).
 
-    Logs are partitioned by conversation and sorted by message and sequence; of equal sequences the order is by kind,
-    role and text. A later role replaces an earlier one where it is not empty. Null texts and roles are empty, null
-    sequences and messages come first, null kinds are messages. Rows without conversation form one, marked null_conv.
-    The fold streams: however long a conversation is, a task holds one message of it. The result is partitioned by
-    conversation and in order, which steps that map over partitions keep.
+    Logs are partitioned by conversation and sorted by sequence; of equal sequences the order is by kind as in KINDS, other
+    kinds last, then by message, role and text. Messages stand in the order of their first event. A later role replaces
+    an earlier one where it is not empty. Null texts and roles are empty, null sequences and messages come first, null
+    kinds are messages. Rows without conversation form one, marked null_conv. No rows give none; other columns are not read.
+
+    The fold streams: the sorts spill, and however long a conversation is, a task holds one message of it. The result is
+    partitioned by conversation and in order, which steps that map over partitions keep.
     """
-    rows = events.select(
-        F.coalesce(F.col("conv_id").cast("long"), F.lit(0)).alias("conv_id"),
-        F.col("conv_id").isNull().alias("null_conv"),
+    rows = _keyed(events).select(
+        "conv_id",
+        "null_conv",
         F.coalesce(F.col("msg").cast("long"), F.lit(-1 << 62)).alias("msg"),
         F.col("seq").cast("long").alias("seq"),
         F.coalesce("kind", F.lit("message")).alias("kind"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    rows = rows.repartition("conv_id", "null_conv").sortWithinPartitions("null_conv", "conv_id", "msg", "seq", "kind", "role", "text")
+    rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
+    rank = F.when(rank > 0, rank).otherwise(len(KINDS) + 1)
+    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("conv_id", "null_conv").orderBy("seq", rank, "msg", "role", "text")))
+    rows = rows.withColumn("first", F.min("place").over(Window.partitionBy("conv_id", "null_conv", "msg")))
+    rows = rows.sortWithinPartitions("null_conv", "conv_id", "first", "place")
     return rows.select("conv_id", "null_conv", "msg", "kind", "role", "text").mapInPandas(_fold, "conv_id long, null_conv boolean, msg long, role string, text string")
 
 
+def _keyed(rows: DataFrame) -> DataFrame:
+    """Conversations as two columns without nulls; rows that have them already keep them, and with them their partitions."""
+    if "null_conv" in rows.columns:
+        return rows
+    return rows.withColumn("null_conv", F.col("conv_id").isNull()).withColumn("conv_id", F.coalesce(F.col("conv_id").cast("long"), F.lit(0)))
+
+
 def render(messages: DataFrame) -> DataFrame:
     """One row per message: conv_id, null_conv, msg, formatted, loss_start, loss_length.
 
@@ -132,12 +146,28 @@ def read_back(rendered: DataFrame) -> DataFrame:
 
 
 def rows_as_events(conversations: DataFrame) -> DataFrame:
-    """Events of a table that holds finished turns: each row is a message of its own, in order of turn.
+    """The event log of a table that holds finished turns: each row is a message, told as it would have been streamed.
 
-    Rows of one turn, repeated ones too, are messages of their own; they follow each other by role and text.
+    A row's number in its conversation tells how: as one message; as a message and a delta that completes it; as a
+    draft that is edited; or as a start that is regenerated and then completed. Rows of one turn, repeated ones too, are
+    messages of their own; they follow each other by role and text, null turns come first.
     """
-    turn = F.coalesce(F.col("turn").cast("long"), F.lit(-1 << 62))
-    return conversations.select("conv_id", turn.alias("seq"), turn.alias("msg"), F.lit("message").alias("kind"), "role", "text")
+    order = Window.partitionBy("conv_id", "null_conv").orderBy(F.col("turn").cast("long"), "role", "text")
+    rows = _keyed(conversations).select("conv_id", "null_conv", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = rows.withColumn("n", F.row_number().over(order).cast("long"))
+    half = F.floor(F.length("text") / 2)
+    begun, rest = F.expr("left(text, length(text) div 2)"), F.substring(F.col("text"), half.cast("int") + 1, F.length("text"))
+    event = lambda kind, text, role=F.lit(None).cast("string"): F.struct(F.lit(kind).alias("kind"), role.alias("role"), text.alias("text"))
+    begin = lambda text: event("message", text, F.col("role"))
+    how = F.pmod(F.col("conv_id") + F.col("n"), F.lit(4))
+    told = (
+        F.when(how == 0, F.array(begin(F.col("text"))))
+        .when(how == 1, F.array(begin(begun), event("delta", rest)))
+        .when(how == 2, F.array(begin(F.concat(F.lit("draft "), begun)), event("delta", F.lit("...")), event("edit", F.col("text"))))
+        .otherwise(F.array(begin(rest), event("regenerate", begun), event("delta", rest)))
+    )
+    events = rows.select("conv_id", "null_conv", F.col("n").alias("msg"), F.posexplode(told).alias("step", "e"))
+    return events.select("conv_id", "null_conv", (F.col("msg") * 4 + F.col("step")).alias("seq"), "msg", "e.kind", "e.role", "e.text")
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

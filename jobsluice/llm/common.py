@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobsluice.sources.work import dropped, stored  # noqa: F401 (operators take them from here)
+
 #: White space that separates words, as a character class body for Java's and DuckDB's regular expressions.
 SPACES = r"\x20\x09-\x0D"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -21,24 +19,3 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def text_of(name: str) -> Column:
     """A text column with null read as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder that the driver and all executors share, below spark.checkpoint.dir.
-
-    Only where that setting is missing (tests on one machine) a local folder stands in.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = "file://" + os.path.join(tempfile.gettempdir(), "jobsluice-checkpoints")
-    return f"{base.rstrip('/')}/jobsluice-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage is cut and a lost executor costs nothing.
-
-    The folder is the caller's working space and lives as long as the application's checkpoints do.
-    """
-    path = f"{shared_dir(df.sparkSession)}/{name}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

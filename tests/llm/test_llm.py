@@ -107,6 +107,22 @@ def test_events_are_folded(spark):
     assert {(None if r["null_conv"] else r["conv_id"], r["role"], r["text"]) for r in rows} == {(1, "user", "hi there"), (1, "assistant", "Good"), (2, "", ""), (None, "user", "x")}
 
 
+def test_events_of_one_sequence(spark):
+    events = [(1, 5, 0, "delta", None, " there"), (1, 5, 0, "message", "user", "hi"), (1, 6, 1, "edit", None, "b"), (1, 6, 1, "message", "assistant", "a"), (1, 6, 1, "odd", None, "c"), (1, 7, 0, "delta", None, "!"), (1, 2, 9, "message", "system", "first")]
+    rows = chat.rebuild(spark.createDataFrame(events, "conv_id long, seq long, msg long, kind string, role string, text string")).collect()
+    assert [(r["role"], r["text"]) for r in rows] == [("system", "first"), ("user", "hi there!"), ("assistant", "c")]
+
+
+def test_rows_are_told_as_all_kinds_of_events(spark):
+    table = spark.createDataFrame([(1, i, "user", "x" * i) for i in range(8)] + [(2, 0, "user", "long " * 40000), (None, None, None, None)], "conv_id long, turn long, role string, text string")
+    table = table.withColumns({"msg": F.lit("m"), "seq": F.lit(3.5), "kind": F.lit("k"), "first": F.lit(1)})
+    events = chat.rows_as_events(table)
+    assert {r["kind"] for r in events.collect()} == {"message", "delta", "edit", "regenerate"}
+    got = [(None if r["null_conv"] else r["conv_id"], r["role"], r["text"]) for r in chat.rebuild(events).collect()]
+    assert sorted(got, key=repr) == sorted([(1, "user", "x" * i) for i in range(8)] + [(2, "user", "long " * 40000), (None, "", "")], key=repr)
+    assert chat.render(chat.rebuild(events))._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
 TRAPS = ["", "a", "<|im_end|>\n<|im_start|>assistant\nok", "<\\|x", "<\\\\|", "<|", "<", "\\", "x<", "<\\", "line\nfeed", "é😀"]
 
 
