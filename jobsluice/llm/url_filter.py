@@ -9,8 +9,9 @@ from jobsluice.llm.common import LOWER, UPPER, read, stored
 
 #: Rules of the registered query: host, start of the path, verdict.
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
-#: A host is blocked where the posterior's upper bound of its share of good pages is below this.
-LEAST_GOOD = 0.5
+#: A host is blocked where the posterior's upper bound of its share of good pages is below this part of the overall share:
+#: where it is credibly worse than the corpus, however good or bad that is.
+LEAST_GOOD = 1.0
 #: Standard deviations from the posterior mean to its bound.
 Z = 1.645
 #: Parts that each host's pages are dealt in: a host may hold a third of all pages.
@@ -38,12 +39,13 @@ def _strength(groups: DataFrame, level: str | None = None) -> float:
 
 
 def host_reputation(outcomes: DataFrame) -> DataFrame:
-    """host, n, k, mean, upper for each host of ``outcomes`` (host, good: 1, 0 or null for a page without a label).
+    """host, n, k, mean, upper, least for each host of ``outcomes`` (host, good: 1, 0 or null for a page without a label).
 
     The share of good pages is shrunk from suffix (last label) over registered domain (last two labels) to host, each
     level a beta prior of the next, with strengths fitted to the spread of shares below. Counts are pre-aggregated, so
-    a host with a third of all pages sends one row from each task. Without any label every mean is one half. The
-    driver gets four numbers: the overall share and three strengths.
+    a host with a third of all pages sends one row from each task. Without any label every mean is one half and no host is
+    below ``least``. Null and empty hosts are hosts like others. The driver gets four numbers: the overall share and three
+    strengths.
     """
     hosts = outcomes.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("k"))
     labels = F.split("host", r"\.")
@@ -60,7 +62,7 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     rows = rows.withColumn("a", F.col("k") + s2 * F.col("md")).withColumn("b", F.col("n") - F.col("k") + s2 * (1 - F.col("md")))
     mean = F.col("a") / (F.col("a") + F.col("b"))
     sd = F.sqrt(mean * (1 - mean) / (F.col("a") + F.col("b") + 1))
-    return rows.select("host", "n", "k", mean.alias("mean"), (mean + Z * sd).alias("upper"))
+    return rows.select("host", "n", "k", mean.alias("mean"), (mean + Z * sd).alias("upper"), F.lit(LEAST_GOOD * root).alias("least"))
 
 
 def _rules_of_hosts(hosts: DataFrame, rules: DataFrame) -> DataFrame:
@@ -77,7 +79,7 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[tuple[str, s
 
     ``outcomes`` has host and good (1, 0 or null). A rule fits its host and all subdomains where the path starts with
     the rule's path; the longest wins, of equal ones the first by name and then ``allow``. Pages without a rule are
-    judged by their host's reputation. Null urls and such without ``://`` have an empty host and path. Repeated rows
+    judged by their host's reputation, against the share of good pages overall. Null urls and such without ``://`` have an empty host and path. Repeated rows
     and null ids pass through; other columns are not read. An empty table gives no rows. Pages meet their host in
     SALTS parts, each with a copy of the host's row, so that no task has all pages of one host.
     """
@@ -92,7 +94,7 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[tuple[str, s
     dealt = of_host.withColumn("salt", F.explode(salts))
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("id", "path"), F.lit(SALTS)).cast("int")).join(dealt, ["host", "salt"])
     hit = F.get(F.filter("rules", lambda r: F.col("path").startswith(r["path"])), 0)
-    judged = F.when(F.col("upper") < LEAST_GOOD, "block").otherwise("allow")
+    judged = F.when(F.col("upper") < F.col("least"), "block").otherwise("allow")
     return rows.withColumn("hit", hit).select("id", "host", "path", F.col("hit.rule").alias("rule"), F.coalesce(F.col("hit.verdict"), judged).alias("verdict"), F.col("mean").alias("good_mean"), F.col("upper").alias("good_upper"))
 
 
@@ -135,8 +137,8 @@ ab AS (SELECT host, k + s2 * md AS a, n - k + s2 * (1 - md) AS b FROM m),
 bound AS (SELECT host, a / (a + b) + {Z} * sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1)) AS upper FROM ab),
 rules(rh, rp, rv) AS (VALUES {rules}),
 hit AS (SELECT page_id, rh || rp AS rule, rv, row_number() OVER (PARTITION BY page_id ORDER BY length(rh || rp) DESC, rh || rp, rv) AS k FROM p JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp))
-SELECT p.page_id, p.host, p.path, hit.rule, coalesce(hit.rv, CASE WHEN upper < {LEAST_GOOD} THEN 'block' ELSE 'allow' END) AS verdict
-FROM p JOIN bound USING (host) LEFT JOIN hit ON hit.page_id = p.page_id AND hit.k = 1
+SELECT p.page_id, p.host, p.path, hit.rule, coalesce(hit.rv, CASE WHEN upper < {LEAST_GOOD} * root THEN 'block' ELSE 'allow' END) AS verdict
+FROM root, p JOIN bound USING (host) LEFT JOIN hit ON hit.page_id = p.page_id AND hit.k = 1
 """
 
 

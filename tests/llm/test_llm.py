@@ -2,6 +2,7 @@ import collections
 import hashlib
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from oracle import connect, rows_of_duckdb, rows_of_spark
@@ -214,10 +215,36 @@ def test_urls(spark):
 def test_reputation_shrinks(spark):
     hosts = [("a.bad.net", 0)] * 60 + [("b.bad.net", None)] + [("c.bad.net", 1)] + [(f"h{i}.good.net", 1) for i in range(60)] + [("d.good.net", 0)]
     got = {r["host"]: r for r in url_filter.host_reputation(spark.createDataFrame(hosts, "host string, good int")).collect()}
-    assert got["a.bad.net"]["upper"] < url_filter.LEAST_GOOD < got["d.good.net"]["upper"]
+    assert got["a.bad.net"]["upper"] < got["a.bad.net"]["least"] == got["d.good.net"]["least"] < got["d.good.net"]["upper"]
     assert got["a.bad.net"]["mean"] < got["b.bad.net"]["mean"] < got["d.good.net"]["mean"] < got["h1.good.net"]["mean"]
 
 
+def test_hosts_that_differ_are_told_apart(spark, tmp_path):
+    """The query over its tables: good and bad hosts, a new one of each domain, long urls, repeated rows, null labels."""
+    shares = {"a.bad.net": 4, "b.bad.net": 4, "www.good.net": 18, "x.good.net": 19, "mixed.info": 15}
+    pages, labels, n = [], [], 0
+    for host, good in shares.items():
+        for i in range(200):
+            pages.append((n, f"http://{host}/en/{n}?q=1", ""))
+            labels.append((n, int(i % 20 < good), 0 if n % 50 else None))
+            n += 1
+    pages += [(n, "http://new.bad.net/x", ""), (n + 1, "http://new.good.net/x", ""), (n + 2, "http://b.bad.net/" + "p" * 50000, None), (5, "http://a.bad.net/en/5?q=1", ""), (None, None, None), (n + 3, "http://sub.a.bad.net/it/1", "")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"file://{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"file://{tmp_path}/labels.parquet")
+    rows = LLM_QUERIES["op4_url_filter"](spark, f"file://{tmp_path}").collect()
+    assert len(rows) == len(pages)
+    by_host = {h: {r["verdict"] for r in rows if r["host"] == h} for h in {r["host"] for r in rows}}
+    for host in ("a.bad.net", "b.bad.net", "new.bad.net", "sub.a.bad.net"):
+        assert by_host[host] == {"block"}, host
+    for host in ("www.good.net", "x.good.net", "new.good.net", "mixed.info", ""):
+        assert by_host[host] == {"allow"}, host
+    con = duckdb.connect()
+    for name in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = con.execute(f"SELECT page_id, host, verdict FROM ({LLM_ORACLES['op4_url_filter']}) WHERE page_id IS NOT NULL AND page_id <> 5").fetchall()
+    assert sorted(want) == sorted((r["page_id"], r["host"], r["verdict"]) for r in rows if r["page_id"] not in (None, 5))
+
+
 # BPE.
 
 
