@@ -14,10 +14,13 @@ from jobsluice.llm.common import SPACES, read, stored, text_of
 SHORTEST = 20
 #: Three-letter stretches of the corpus that make up the dictionary: the most frequent so many.
 DICTIONARY = 3000
-#: Bound of the labelled findings of each label that the forest is fitted on.
-SAMPLE_ROWS = 8000
+#: Bound of the findings of each label that the forest is fitted on, and of the findings planted where none are given.
+SAMPLE_ROWS, PLANTED = 8000, 8000
+#: One planted finding in so many is kept from the forest, to measure it.
+HELD_OUT = 4
 TREES, DEPTH, SEED = 30, 6, 17
-CORE = r"[A-Za-z0-9_/+\-]{20,}={0,2}"
+#: A token: three or more dotted parts, as of web tokens, or one long stretch with its padding.
+CORE = r"(?:[A-Za-z0-9_\-]{8,}(?:\.[A-Za-z0-9_\-]{8,}){2,}|[A-Za-z0-9_/+\-]{20,}={0,2})"
 #: Words near a candidate that speak for a secret, and such that speak against one.
 FOR = r"(?i)(secret|token|passw|pwd|credential|auth|api.?key|access.?key|private)"
 AGAINST = r"(?i)(example|sample|dummy|placeholder|changeme|sha|commit|checksum|digest|uuid|hash)"
@@ -41,11 +44,62 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = rows.select("id", "path", "w", F.posexplode_outer("w").alias("pos", "word")).filter((F.length("word") >= SHORTEST) & F.col("word").rlike(CORE))
     near = lambda first, n: F.array_join(F.slice("w", first, n), " ")
     before = F.when(F.col("pos") > 0, near(F.greatest(F.lit(1), F.col("pos") - 2), F.least(F.lit(3), F.col("pos")))).otherwise("")
+    return _tokens(rows.select("id", "pos", "word", before.alias("before"), near(F.col("pos") + 2, F.lit(2)).alias("after"), "path"))
+
+
+def _tokens(rows: DataFrame, *more: str) -> DataFrame:
+    """The long tokens of ``word``, each with its place; see candidates."""
     tokens, gaps = F.regexp_extract_all("word", F.lit(CORE), F.lit(0)), F.split("word", CORE)
-    rows = rows.select("id", "path", "pos", gaps.alias("gaps"), before.alias("before"), near(F.col("pos") + 2, F.lit(2)).alias("after"), F.posexplode(tokens).alias("place", "core"))
+    rows = rows.select("id", "path", "pos", gaps.alias("gaps"), "before", "after", *more, F.posexplode(tokens).alias("place", "core"))
     rest = F.get("gaps", F.col("place") + 1)
     close = F.when(F.col("place") + 2 < F.size("gaps"), F.regexp_extract(rest, "^[^A-Za-z0-9]*", 0)).otherwise(rest)
-    return rows.select("id", "pos", "place", F.concat(F.get("gaps", F.col("place")), "core", close).alias("word"), "core", "before", "after", "path")
+    return rows.select("id", "pos", "place", F.concat(F.get("gaps", F.col("place")), "core", close).alias("word"), "core", "before", "after", "path", *more)
+
+
+def planted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
+    """Candidates whose outcome is known because they were put there: candidates' columns, label and held_out.
+
+    Of up to PLANTED texts of eight words or more, in the order of a hash, three words before a place and two after it
+    are the surroundings; between them stands a random token (label 1), with or without a name, or what is often
+    mistaken for one (label 0): words run together, hashes of commits and checksums, identifiers, placeholders under a
+    secret's name. Labels tell how a token was made, which no input of the forest knows.
+    """
+    words = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("path"), _words(text_of(text_col)).alias("w")).filter(F.size("w") >= 8)
+    at = F.pmod(F.xxhash64("id", F.lit("place"), F.size("w")), F.size("w") - 7).cast("int")
+    cut = lambda first, n: F.transform(F.slice("w", first, F.lit(n)), lambda x: F.left(x, F.lit(100)))
+    rows = words.select("id", "path", cut(at + 1, 3).alias("b"), cut(at + 4, 2).alias("a"), cut(at + 4, 4).alias("joined"))
+    rows = rows.withColumn("h", F.sha2(F.concat_ws(" ", F.lit("planted"), F.col("id").cast("string"), "path", F.array_join("b", " ")), 256))
+    rows = rows.orderBy("h", "id").limit(PLANTED)
+    pick = lambda n, k: F.pmod(F.xxhash64("h", F.lit(k)), F.lit(n)) + 1
+    one_of = lambda k, *words: F.element_at(F.array(*map(F.lit, words)), pick(len(words), k).cast("int"))
+    hexa, packed = F.left("h", 8 * (pick(3, 1) + 2)), F.base64(F.unhex("h"))
+    plain = F.regexp_replace(packed, "[^A-Za-z0-9]", "")
+    key = F.concat(F.lit("AK"), F.upper(F.left(plain, F.lit(22))))
+    web = F.concat(F.lit("eyJ"), F.left(plain, F.lit(14)), F.lit("."), F.substring(plain, 15, 12), F.lit("."), F.substring(plain, 20, 18))
+    random = F.element_at(F.array(F.left("h", F.lit(40)), packed, plain, key, web, hexa), pick(6, 2).cast("int"))
+    joined = F.lower(F.regexp_replace(F.concat_ws("-", "joined"), r"[^A-Za-z0-9_/\-]", ""))
+    joined = F.when(pick(2, 4) == 1, F.regexp_replace(joined, "-", "")).otherwise(F.call_function("replace", joined, F.lit("-"), one_of(3, "-", "_", "/")))
+    joined = F.rpad(joined, F.greatest(F.lit(20), F.length(joined)), joined)
+    uuid = F.regexp_replace(F.left("h", F.lit(32)), "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-")
+    name = one_of(5, "token", "password", "api_key", "secret", "auth_token", "credential", "private_key")
+    quote = one_of(6, "", '"', "'")
+    quoted = lambda x: F.concat(quote, x, quote, one_of(7, "", ",", ";"))
+    made = lambda label, word, *before: F.struct(F.lit(label).alias("label"), F.slice(F.concat("b", F.array(*before)), -3, 3).alias("before"), word.alias("word"))
+    holder = F.concat(one_of(8, "your", "my", "example", "some"), F.lit("-"), F.regexp_replace(name, "_", "-"), one_of(9, "-goes-here", "-for-testing-only", "-placeholder-value"))
+    kinds = [
+        made(1.0, quoted(random), name, F.lit("=")),
+        made(1.0, quoted(random), F.concat(name, F.lit(":"))),
+        made(1.0, F.concat(name, F.lit("="), quoted(random))),
+        made(1.0, quoted(random)),
+        made(0.0, quoted(joined)),
+        made(0.0, quoted(joined), one_of(10, "see", "file", "path", "in"), one_of(11, "=", ":", "the")),
+        made(0.0, F.left("h", F.lit(40)), one_of(12, "commit", "sha", "checksum", "digest")),
+        made(0.0, quoted(uuid), one_of(13, "uuid", "id", "request")),
+        made(0.0, quoted(holder), name, F.lit("=")),
+    ]
+    rows = rows.withColumn("p", F.element_at(F.array(*kinds), pick(len(kinds), 14).cast("int")))
+    rows = rows.select("id", "path", F.lit(0).alias("pos"), "p.word", F.array_join("p.before", " ").alias("before"), F.array_join("a", " ").alias("after"), "p.label", (pick(HELD_OUT, 15) == 1).alias("held_out"))
+    return _tokens(rows, "label", "held_out")
 
 
 def dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -78,7 +132,7 @@ def features(found: DataFrame, known: DataFrame) -> DataFrame:
         F.col("core").rlike("^([0-9a-f]+|[0-9A-F]+)$").cast("double").alias("hexadecimal"),
         F.size(F.split("path", "/")).cast("double").alias("depth"),
         F.col("path").rlike(QUIET_PATH).cast("double").alias("quiet_path"),
-        (F.col("before").rlike(r"[=:]$") | F.col("word").rlike(r"[=:][\"']?[A-Za-z0-9_/+\-]{20,}")).cast("double").alias("assigned"),
+        (F.col("before").rlike(r"[=:]$") | F.col("word").rlike(rf"[=:][\"']?{CORE}")).cast("double").alias("assigned"),
         F.col("word").rlike(r"^[^A-Za-z0-9]*[\"']|[\"'][^A-Za-z0-9]*$").cast("double").alias("quoted"),
         (F.col("before").rlike(FOR) | F.col("word").rlike(FOR)).cast("double").alias("named"),
         (F.col("before").rlike(AGAINST) | F.col("after").rlike(AGAINST)).cast("double").alias("denied"),
@@ -94,7 +148,7 @@ def fit(labelled: DataFrame) -> RandomForestClassificationModel | None:
 
     Without findings of both labels there is nothing to fit, and None.
     """
-    order = [F.xxhash64("id", "pos"), F.col("id"), F.col("pos"), F.col("place")]
+    order = [F.xxhash64("id", "pos"), F.col("id"), F.col("pos"), F.col("place"), F.col("core")]
     sample = [labelled.filter(F.col("label") == y).orderBy(*order).limit(SAMPLE_ROWS).select(*FEATURES, "label") for y in (0, 1)]
     rows = stored(sample[0].union(sample[1]), "findings")
     if rows.select("label").distinct().count() < 2:
@@ -115,26 +169,24 @@ def judge(rows: DataFrame, model: RandomForestClassificationModel | None) -> Dat
     return scored.select("id", "pos", "place", "core", "score", (F.col("score") >= 0.5).alias("secret"))
 
 
-def labelled_by_form(rows: DataFrame) -> DataFrame:
-    """Adds a label where a finding's form settles it: a quoted value assigned to a name that says secret, of several
-    kinds of characters, is one; a token without digits or of letters of one kind alone, without assignment, is none."""
-    mixed = (F.col("digits") > 0) & (F.col("digits") < 1)
-    yes = (F.col("assigned") == 1) & (F.col("named") == 1) & (F.col("quoted") == 1) & mixed & (F.col("denied") == 0)
-    no = (F.col("assigned") == 0) & ((F.col("digits") == 0) | (F.col("named") == 0))
-    return rows.withColumn("label", F.when(yes, 1.0).when(no, 0.0)).filter("label is not null")
+def quality(judged: DataFrame, label: str = "label") -> DataFrame:
+    """One row: precision and recall of ``secret`` against a label of 1 or 0; null where there is nothing to divide by."""
+    hit = F.col("secret") & (F.col(label) == 1)
+    ratio = lambda a, b: F.when(b > 0, a / b)
+    return judged.agg(ratio(F.count_if(hit), F.count_if("secret")).alias("precision"), ratio(F.count_if(hit), F.count_if(F.col(label) == 1)).alias("recall"))
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
     """id, pos, place, core, score, secret: all candidates of the whole texts with the forest's verdict.
 
-    ``labelled`` (id, pos, place, label) are findings with known outcome; without it findings are labelled by their form.
-    Where ``labelled`` has no place, it labels a word's first token.
+    ``labelled`` (id, pos, place, label) are findings with known outcome; without it the forest learns from ``planted``
+    ones. Where ``labelled`` has no place, it labels a word's first token. A key of several lines is a candidate in each.
     Repeated rows give repeated findings, null ids are kept, empty tables give no rows; other columns are not read.
     """
     known = stored(dictionary(docs, text_col), "dictionary")
     rows = stored(features(candidates(docs, id_col, text_col, path_col), known), "candidates")
     if labelled is None:
-        outcomes = labelled_by_form(rows)
+        outcomes = features(planted(docs, id_col, text_col, path_col), known).filter(~F.col("held_out"))
     else:
         place = F.col("place") if "place" in labelled.columns else F.lit(0).alias("place")
         given = labelled.select("id", "pos", place, F.col("label").cast("double").alias("label")).dropDuplicates(["id", "pos", "place"])
@@ -142,6 +194,15 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_
     return judge(rows, fit(outcomes))
 
 
+def held_out_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
+    """Precision and recall of the forest that ``scan`` would use, on the planted findings that it never saw."""
+    known = stored(dictionary(docs, text_col), "dictionary")
+    rows = stored(features(planted(docs, id_col, text_col, path_col), known), "planted")
+    model = fit(rows.filter(~F.col("held_out")))
+    held = rows.filter("held_out")
+    return quality(judge(held, model).join(held.select("id", "pos", "place", "core", "label").distinct(), ["id", "pos", "place", "core"]))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scan(read(spark, sf_dir, "documents"))
     return rows.select(F.col("id").alias("doc_id"), "pos", "place", F.col("core").alias("token"), "score", "secret")

@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import random
+import re
 
 import duckdb
 import numpy as np
@@ -374,6 +375,7 @@ def test_secrets(spark, awkward, empty):
     assert {r["id"] for r in found if r["secret"]} == {i for i in range(300) if i % 3 == 0}
     given = spark.createDataFrame([(r["id"], r["pos"], 1 if r["id"] % 3 == 1 and len(r["core"]) == 40 else 0) for r in found], "id long, pos int, label int")
     assert {r["id"] for r in secrets.scan(docs, given).collect() if r["secret"]} == {i for i in range(300) if i % 3 == 1}
+    assert all(x > 0.9 for x in secrets.held_out_quality(docs).first())
     assert secrets.scan(empty).count() == 0
     assert {r["id"] for r in secrets.scan(awkward).collect()} == {9}
 
@@ -385,7 +387,7 @@ def test_every_token_of_a_word(spark):
     known = secrets.dictionary(docs)
     rows = {(r["id"], r["pos"], r["place"]): r for r in secrets.features(secrets.candidates(docs), known).collect()}
     got = {k: r["core"] for k, r in rows.items()}
-    want = {(0, 1, 0): a, (0, 1, 1): b, (1, 0, 0): c, (1, 0, 1): a, (1, 0, 2): b, (2, 0, 1): a, (3, 0, 0): a, (3, 0, 1): a + "==", (4, 1, 0): a}
+    want = {(0, 1, 0): a, (0, 1, 1): b, (1, 0, 0): f"{c}.{a}.{b}", (2, 0, 1): a, (3, 0, 0): a, (3, 0, 1): a + "==", (4, 1, 0): a}
     assert got == want | {(2, 0, 0): got[2, 0, 0]} and got[2, 0, 0].endswith(c)
     assert [rows[0, 1, k]["named"] for k in (0, 1)] == [rows[2, 0, k]["named"] for k in (0, 1)] == [0, 1]
     assert rows[4, 1, 0]["word"] == a and rows[0, 1, 1]["assigned"] == rows[0, 1, 1]["quoted"] == 1
@@ -393,6 +395,28 @@ def test_every_token_of_a_word(spark):
     assert {(r["id"], r["pos"], r["place"]) for r in secrets.scan(docs, labels).collect()} == set(rows)
 
 
+def test_candidates_are_those_of_a_plain_loop(spark):
+    docs = documents(spark)
+    more = [(-1, 'a "eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSMeK" b', "x"), (-2, "-----BEGIN KEY-----\nMIIEvQIBADANBgkqhkiG9w0BAQ\nEFAASCBKcwggSjAgEAAoIBAQ==\n-----END", None), (-3, "a\x0b" + "k9" * 12 + "\x0c" + "Z" * 19, "")]
+    docs = docs.select("doc_id", "text", "source").union(spark.createDataFrame(more, "doc_id long, text string, source string"))
+    want = []
+    for r in docs.collect():
+        for pos, word in enumerate(re.split(r"[\x20\x09-\x0D]+", r["text"] or "")):
+            want += [(r["doc_id"], pos, place, m) for place, m in enumerate(re.findall(secrets.CORE, word))]
+    got = [(r["id"], r["pos"], r["place"], r["core"]) for r in secrets.candidates(docs).collect()]
+    assert sorted(got) == sorted(want) and {w[0] for w in want} >= {-1, -2, -3}
+
+
+def test_forest_on_findings_it_never_saw(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = secrets.planted(docs)
+    assert {(r["label"], r["held_out"]) for r in rows.select("label", "held_out").distinct().collect()} == {(0.0, False), (0.0, True), (1.0, False), (1.0, True)}
+    precision, recall = secrets.held_out_quality(docs).first()
+    assert precision > 0.9 and recall > 0.9
+    found = LLM_QUERIES["op8_secret_scan"](spark, "/root/testdata/sf0.01").collect()
+    assert {r["secret"] for r in found if r["token"].isalpha()} == {False} and all(r["secret"] for r in found if len(r["token"]) == 40 and not r["token"].isalpha())
+
+
 # Exact deduplication.
 
 
