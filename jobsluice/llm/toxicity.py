@@ -12,78 +12,100 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsluice.llm.arrays import Words, byte_values, mixed, powers, random_u64, stretches, words
-from jobsluice.llm.common import read, text_of
+from jobsluice.llm.common import dropped, read, stored, text_of
 from jobsluice.llm.language import fold
 
 #: Words of a window and from one window to the next.
-WINDOW, STRIDE = 32, 24
-#: Units of each direction.
-UNITS = 8
-#: Bounds of the labelled sample that the network is fitted on: documents, and characters of each.
-SAMPLE_ROWS, SAMPLE_CHARS = 4000, 8_000
-#: Entries of the tables of word and character statistics, which go to every worker.
-MOST_ENTRIES = 1 << 18
-#: Lengths in bytes of the characters that open and close a word, each an input of its own.
+WINDOW, STRIDE = 32, 16
+#: Units of each direction, and numbers learnt for each word and each stretch of characters.
+UNITS, LEARNT = 8, 4
+#: Bound of the labelled sample that the network is fitted on, in documents. Their texts stay in Spark, whole.
+SAMPLE_ROWS = 4000
+#: Entries of the table of words and stretches of characters, which goes to every worker: the most telling so many.
+MOST_ENTRIES = 1 << 17
+#: Lengths in characters of the stretches that open and close a word.
 OPENING, CLOSING = (3, 4, 5, 6, 8), (4,)
-INPUTS = 1 + len(OPENING) + len(CLOSING) + 1
+#: A word and its stretches; and its inputs: what each says beforehand, what is learnt of it, and whether it is unknown.
+PARTS = 1 + len(OPENING) + len(CLOSING)
+INPUTS = PARTS + 2 * LEARNT + 1
 #: Documents that a table entry's prior counts for, and those it needs.
 PRIOR, LEAST_SEEN = 4.0, 3
+#: One document of the sample in so many is kept from training, to place the cut between the labels.
+CALIBRATION = 5
 
 
 class Model(NamedTuple):
-    """Statistics by hash (sorted), weights, the score of a text without words, and what is added to every logit."""
+    """Entries by hash (sorted), their prior log odds and learnt vectors, weights, the score of a text without words, and
+    what is added to every logit."""
 
     hashes: np.ndarray
     odds: np.ndarray
+    vectors: np.ndarray
     weights: dict[str, np.ndarray]
     empty: float
     shift: float
 
 
 def _parts(found: Words, at: np.ndarray) -> np.ndarray:
-    """Hashes of the words at ``at`` (rows) and of their opening and closing characters; 0 where a word is shorter."""
+    """Hashes of the words at ``at`` (rows) and of the characters that open and close them; 0 where a word is shorter.
+
+    Characters are code points: a stretch ends where a byte begins the next one.
+    """
     values, table = byte_values(True, True), powers(64)
     starts, ends = found.starts[at], found.ends[at]
     size, limit = ends - starts, len(found.data) - 1
-    out = np.zeros((len(at), INPUTS - 1), np.uint64)
+    out = np.zeros((len(at), PARTS), np.uint64)
     out[:, 0] = mixed(found.hashes[at] + np.uint64(1))
-    total = np.zeros(len(at), np.uint64)
-    for j in range(max(OPENING)):
-        total = total + values[found.data[np.minimum(starts + j, limit)]] * table[j]
-        if j + 1 in OPENING:
-            k = OPENING.index(j + 1)
-            out[:, 1 + k] = np.where(size >= j + 1, mixed(total + np.uint64(2 + k)), np.uint64(0))
-    total = np.zeros(len(at), np.uint64)
-    for j in range(max(CLOSING)):
-        total = total + values[found.data[np.maximum(ends - 1 - j, 0)]] * table[j]
-        if j + 1 in CLOSING:
-            k = CLOSING.index(j + 1)
-            out[:, 1 + len(OPENING) + k] = np.where(size >= j + 1, mixed(total + np.uint64(32 + k)), np.uint64(0))
+    total, letters = np.zeros(len(at), np.uint64), np.zeros(len(at), np.int64)
+    for j in range(4 * max(OPENING) + 1):
+        byte = found.data[np.minimum(starts + j, limit)]
+        begins = (j < size) & (byte & 0xC0 != 0x80)
+        for k, length in enumerate(OPENING):
+            whole = ((j == size) | begins) & (letters == length)
+            out[whole, 1 + k] = mixed(total[whole] + np.uint64(2 + k))
+        letters += begins
+        total = np.where(j < size, total + values[byte] * table[j], total)
+    total, letters = np.zeros(len(at), np.uint64), np.zeros(len(at), np.int64)
+    for j in range(4 * max(CLOSING)):
+        byte = found.data[np.maximum(ends - 1 - j, 0)]
+        total = total + values[byte] * table[j]
+        begins = (j < size) & (byte & 0xC0 != 0x80)
+        letters += begins
+        for k, length in enumerate(CLOSING):
+            whole = begins & (letters == length)
+            out[whole, 1 + len(OPENING) + k] = mixed(total[whole] + np.uint64(32 + k))
     return out
 
 
-def _inputs(parts: np.ndarray, hashes: np.ndarray, odds: np.ndarray) -> np.ndarray:
-    """Inputs of the words: the log odds of each part, 0 where unknown, and whether the word itself is unknown."""
-    out = np.zeros((len(parts), INPUTS), np.float32)
-    if len(hashes):
-        at = np.minimum(np.searchsorted(hashes, parts), len(hashes) - 1)
-        out[:, :-1] = np.where(hashes[at] == parts, odds[at], 0)
-    out[:, -1] = out[:, 0] == 0
+def _parts_of(found: Words) -> np.ndarray:
+    """The parts of every word, each distinct word being taken apart once."""
+    _, one, place = np.unique(found.hashes, return_index=True, return_inverse=True)
+    return _parts(found, one)[place]
+
+
+def _places(parts: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where each part stands in the table; beyond its end if it does not."""
+    if not len(hashes):
+        return np.zeros(parts.shape, np.int64)
+    at = np.minimum(np.searchsorted(hashes, parts), len(hashes) - 1)
+    return np.where(hashes[at] == parts, at, len(hashes))
+
+
+def _inputs(odds: np.ndarray, places: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Inputs of words: the log odds of their parts [words, PARTS], the learnt vector of the word, the mean of those of its
+    characters, and whether nothing is known of the word. ``vectors`` ends with a row of zeros for what is unknown."""
+    out = np.empty((len(odds), INPUTS), np.float32)
+    out[:, :PARTS] = odds
+    out[:, PARTS : PARTS + LEARNT] = vectors[places[:, 0]]
+    out[:, PARTS + LEARNT : -1] = vectors[places[:, 1:]].mean(axis=1)
+    out[:, -1] = odds[:, 0] == 0
     return out
 
 
-def _odds(parts: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes and log odds of the parts (distinct within each document) in toxic against other documents."""
-    flat = np.concatenate([*parts, np.zeros(0, np.uint64)])
-    label = np.repeat(toxic, [len(p) for p in parts]).astype(np.float64)
-    hashes, place, seen = np.unique(flat, return_inverse=True, return_counts=True)
-    bad = np.bincount(place, label, len(hashes))
-    rate = np.clip(toxic.mean() if len(toxic) else 0.5, 0.01, 0.99)
+def _odds(seen: np.ndarray, bad: np.ndarray, rate: float) -> np.ndarray:
+    """Shrunk log odds of entries that ``seen`` documents have, ``bad`` of them toxic; with a zero for what is unknown."""
     odds = np.log((bad + PRIOR * rate) / (seen - bad + PRIOR * (1 - rate))) - np.log(rate / (1 - rate))
-    keep = (seen >= LEAST_SEEN) & (hashes != 0)
-    strongest = np.argsort(-np.abs(np.where(keep, odds, 0)) * np.sqrt(seen), kind="stable")[:MOST_ENTRIES]
-    keep[np.setdiff1d(np.arange(len(hashes)), strongest, assume_unique=True)] = False
-    return hashes[keep], odds[keep].astype(np.float32)
+    return np.append(np.where(seen >= LEAST_SEEN, odds, 0), 0).astype(np.float32)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -132,7 +154,8 @@ def forward(w: dict[str, np.ndarray], gates: dict[str, np.ndarray], mask: np.nda
 
 
 def gradient(w: dict[str, np.ndarray], inputs: np.ndarray, mask: np.ndarray, label: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean cross-entropy of windows and its gradient. inputs: [rows, INPUTS], looked up by mask."""
+    """Mean cross-entropy of windows and its gradient, that of each window's inputs among it. inputs: [rows, INPUTS],
+    looked up by mask."""
     gates = {d: inputs @ w[f"x{d}"] + w[f"c{d}"] for d in "fb"}
     logit, states, e, weight, pooled, saved = forward(w, gates, mask, keep=True)
     p = _sigmoid(logit)
@@ -149,6 +172,7 @@ def gradient(w: dict[str, np.ndarray], inputs: np.ndarray, mask: np.ndarray, lab
     g["v"] = np.einsum("nth,nt->h", e, d_weight)[:, None]
     g["a"] = np.einsum("nts,nth->sh", states, d_e)
     d_states += d_e @ w["a"].T
+    g["inputs"] = np.zeros((*mask.shape, inputs.shape[1]), np.float32)
     back = {"f": np.zeros((len(label), UNITS), np.float32), "b": np.zeros((len(label), UNITS), np.float32)}
     for d, t, h, z, r, c, own, live in reversed(saved):
         k = "fb".index(d)
@@ -160,28 +184,46 @@ def gradient(w: dict[str, np.ndarray], inputs: np.ndarray, mask: np.ndarray, lab
         d_gate = np.concatenate([d_z, d_r, d_c], axis=1)
         d_rh = np.concatenate([d_z, d_r, d_c * r], axis=1)
         g[f"x{d}"] += inputs[mask[:, t]].T @ d_gate
+        g["inputs"][:, t] += d_gate @ w[f"x{d}"].T
         g[f"c{d}"] += d_gate.sum(axis=0)
         g[f"h{d}"] += h.T @ d_rh
         back[d] = np.where(live, total * (1 - z), total) + d_rh @ w[f"h{d}"].T
     return loss, g
 
 
-def train(inputs: np.ndarray, masks: np.ndarray, labels: np.ndarray, steps: int = 1000, batch: int = 64, rate: float = 0.01, seed: int = 1) -> dict[str, np.ndarray]:
-    """Weights fitted by Adam to labelled windows, in ``steps`` steps or a little more."""
+def train(odds: np.ndarray, places: np.ndarray, entries: int, masks: np.ndarray, labels: np.ndarray, steps: int = 1000, batch: int = 64, rate: float = 0.01, seed: int = 1) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Weights and learnt vectors fitted to labelled windows, in ``steps`` steps or a little more.
+
+    Weights by Adam; the vectors of a batch's words and characters by steps that shrink with what a vector has moved.
+    """
     w, rng = initial(seed), np.random.default_rng(seed)
+    vectors, moved = np.zeros((entries + 1, LEARNT), np.float32), np.full((entries + 1, LEARNT), 1e-6, np.float32)
     epochs = -(-steps // -(-len(labels) // batch))
     m, v, step = {k: 0.0 * x for k, x in w.items()}, {k: 0.0 * x for k, x in w.items()}, 0
     for epoch in range(epochs):
         order = rng.permutation(len(labels))
         for first in range(0, len(order), batch):
             rows = order[first : first + batch]
-            _, g = gradient(w, inputs, masks[rows], labels[rows])
-            step += 1
+            live = masks[rows] >= 0
+            words = masks[rows][live]
+            mask = np.full(live.shape, -1, np.int64)
+            mask[live] = np.arange(len(words))
+            _, g = gradient(w, _inputs(odds[words], places[words], vectors), mask, labels[rows])
+            d_words, step = g.pop("inputs")[live], step + 1
+            pace = rate * (1 - epoch / epochs)
             for k in w:
                 m[k] = 0.9 * m[k] + 0.1 * g[k]
                 v[k] = 0.999 * v[k] + 0.001 * g[k] ** 2
-                w[k] = (w[k] - rate * (1 - epoch / epochs) * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
-    return w
+                w[k] = (w[k] - pace * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
+            d_vectors = np.concatenate([d_words[:, None, PARTS : PARTS + LEARNT], np.repeat(d_words[:, None, PARTS + LEARNT : -1], PARTS - 1, axis=1) / (PARTS - 1)], axis=1)
+            used, place = np.unique(places[words], return_inverse=True)
+            total = np.zeros((len(used), LEARNT), np.float32)
+            np.add.at(total, place.ravel(), d_vectors.reshape(-1, LEARNT))
+            known = used < entries
+            used, total = used[known], total[known]
+            moved[used] += total**2
+            vectors[used] -= pace * total / np.sqrt(moved[used])
+    return w, vectors
 
 
 def _windows(firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,86 +240,128 @@ def _lowered(texts: pa.Array) -> pa.Array:
     return pc.utf8_lower(texts.cast(pa.large_string()))
 
 
-def fit(rows: list[tuple[str, int]]) -> Model:
-    """A model of labelled texts (text, 1 if toxic).
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, Words]]:
+    """(batch, first row, words) of successive stretches of texts, the second column of each batch."""
+    for batch in batches:
+        for first, stop, data, offsets in stretches(_lowered(batch.column(1))):
+            yield batch.slice(first, stop - first), first, words(data, offsets, letters=True)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of documents (id, text, toxic, side): hash of each part, and the documents and toxic ones of both sides that have it."""
+    for batch, _, found in _texts(batches):
+        parts = _parts_of(found)
+        mine = [np.unique(parts[a:b]) for a, b in zip(found.firsts[:-1], found.firsts[1:])]
+        label, side = (np.repeat(batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64), [len(x) for x in mine]) for k in (2, 3))
+        hashes, place = np.unique(np.concatenate([*mine, np.zeros(0, np.uint64)]), return_inverse=True)
+        counts = [np.bincount(place, x, len(hashes)).astype(np.int64) for x in (1 - side, (1 - side) * label, side, side * label)]
+        keep = hashes != 0
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (hashes.view(np.int64), *counts)], ["hash", "seen0", "bad0", "seen1", "bad1"])
+
+
+def _loudest(hashes: np.ndarray, tables: tuple[np.ndarray, np.ndarray], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of documents (id, text, toxic, side) the windows to learn from, as the parts of their words: those that the other
+    side's statistics find most toxic, in toxic texts the one, in others two."""
+    for batch, _, found in _texts(batches):
+        parts = _parts_of(found)
+        places = _places(parts, hashes)
+        toxic, side = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (2, 3))
+        rows, out = [], []
+        for i, (a, b) in enumerate(zip(found.firsts[:-1], found.firsts[1:])):
+            if a == b:
+                continue
+            odds = tables[1 - side[i]][places[a:b]]
+            _, mask = _windows(np.array([0, b - a]))
+            loudness = odds.max(axis=1) + 0.25 * odds.mean(axis=1)
+            for k in np.argsort(-np.where(mask >= 0, loudness[mask], -9).max(axis=1), kind="stable")[: 1 if toxic[i] else 2]:
+                rows.append(i)
+                out.append(parts[a:b][mask[k][mask[k] >= 0]].tobytes())
+        picked = batch.take(pa.array(rows, pa.int64()))
+        yield pa.RecordBatch.from_arrays([picked.column(0), picked.column(2), picked.column(3), pa.array(out, pa.binary())], ["id", "toxic", "side", "parts"])
+
+
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
+    """A model from a bounded sample of labelled rows: SAMPLE_ROWS ids of ``labels`` in the order of their hash.
+
+    Their whole texts stay in Spark. The driver gets the table of words and stretches of characters, MOST_ENTRIES at
+    most, and one or two windows of each document. Statistics of one half of the documents are what is known beforehand
+    of the other half's windows, so that no text tells its own label; the finished model has those of all. Vectors of
+    words and characters are learnt with the network. What is added to the logits makes 0.5 the best cut between the
+    documents that took no part in training.
 
-    Statistics of one half of the texts are the inputs of the other half's windows, so that no text tells its own
-    label; the finished model has those of all. Of each text those windows are learnt from that the
-    statistics find most toxic: in toxic texts the one, in others two, so that the maximum over a text is what is
-    learnt. What is then added to the logits is what makes 0.5 the best cut between the texts' maxima.
+    An id labelled more than once is toxic if any label says so, of several texts of an id the first is read; null labels
+    and texts count for nothing. Without labels of both kinds every score is the same, low or high.
     """
-    toxic = np.array([y for _, y in rows], np.int64)
-    found = [words(d, o, letters=True) for _, _, d, o in stretches(_lowered(pa.array([t for t, _ in rows], pa.string())))]
-    parts, texts = [], []
-    for stretch in found:
-        whole = _parts(stretch, np.arange(len(stretch.hashes)))
-        for a, b in zip(stretch.firsts[:-1], stretch.firsts[1:]):
-            texts.append(whole[a:b])
-            parts.append(np.unique(whole[a:b]))
-    half = random_u64(len(rows), 5) & np.uint64(1) == 0  # of no pattern that ids or labels could share
-    tables = {}
-    for side in (True, False):
-        tables[side] = _odds([p for p, h in zip(parts, half) if h != side], toxic[half != side])
-    inputs, masks, labels, owner, base = [], [], [], [], 0
-    for i, (own, y) in enumerate(zip(texts, toxic)):
-        if not len(own):
-            continue
-        x = _inputs(own, *tables[bool(half[i])])
-        _, mask = _windows(np.array([0, len(own)]))
-        loudest = np.where(mask >= 0, x[:, :-1].max(axis=1)[mask] + 0.25 * x[:, :-1].mean(axis=1)[mask], -9).max(axis=1)
-        for k in np.argsort(-loudest, kind="stable")[: 1 if y else 2]:
-            inputs.append(x[mask[k][mask[k] >= 0]])
-            row = np.full(WINDOW, -1, np.int64)
-            row[: len(inputs[-1])] = base + np.arange(len(inputs[-1]))
-            base += len(inputs[-1])
-            masks.append(row)
-            labels.append(y)
-            owner.append(i)
-    rate = float(toxic.mean()) if len(toxic) else 0.0
-    hashes, odds = _odds(parts, toxic)
-    if not masks or toxic.min() == toxic.max():
-        return Model(hashes[:0], odds[:0], initial(), rate, -20.0 if rate < 0.5 else 20.0)
-    inputs, masks, labels, owner = np.concatenate(inputs), np.stack(masks), np.array(labels, np.float32), np.array(owner)
-    w = train(inputs, masks, labels)
-    gates = {d: inputs @ w[f"x{d}"] + w[f"c{d}"] for d in "fb"}
-    best = np.full(len(rows), -np.inf)
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).filter("id is not null and toxic is not null")
+    chosen = known.groupBy("id").agg((F.max("toxic") > 0).alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
+    rows = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
+    sample = stored(rows.select("id", "text", "toxic", (F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2)) == 1).alias("side")), "sample")
+    total, bad = sample.agg(F.count(F.lit(1)), F.coalesce(F.count_if("toxic"), F.lit(0))).first()
+    rate = bad / total if total else 0.0
+    if not 0 < bad < total:
+        none = np.zeros(0, np.uint64)
+        return Model(none, np.zeros(1, np.float32), np.zeros((1, LEARNT), np.float32), initial(), rate, -20.0 if rate < 0.5 else 20.0)
+    counts = sample.mapInArrow(_counted, "hash long, seen0 long, bad0 long, seen1 long, bad1 long").groupBy("hash").agg(*[F.sum(c).alias(c) for c in ("seen0", "bad0", "seen1", "bad1")])
+    seen, toxic = F.col("seen0") + F.col("seen1"), F.col("bad0") + F.col("bad1")
+    weight = F.abs(F.log((toxic + PRIOR * rate) / (seen - toxic + PRIOR * (1 - rate))) - F.log(F.lit(rate / (1 - rate)))) * F.sqrt(seen)
+    entries = counts.filter(seen >= LEAST_SEEN).withColumn("weight", weight).filter("weight >= 0.5").orderBy(F.desc("weight"), "hash").limit(MOST_ENTRIES).drop("weight").toPandas()
+    order = np.argsort(entries["hash"].to_numpy(np.int64).view(np.uint64))
+    hashes = entries["hash"].to_numpy(np.int64).view(np.uint64)[order]
+    n0, b0, n1, b1 = (entries[c].to_numpy(np.int64)[order] for c in ("seen0", "bad0", "seen1", "bad1"))
+    halves = (_odds(n0, b0, rate), _odds(n1, b1, rate))
+    sent = docs.sparkSession.sparkContext.broadcast((hashes, halves))
+    id_type = sample.schema["id"].dataType.simpleString()
+    windows = sample.mapInArrow(lambda batches: _loudest(*sent.value, batches), f"id {id_type}, toxic boolean, side boolean, parts binary").collect()
+    dropped(sample)
+    return _fit(sorted(windows, key=lambda r: (r["id"], r["parts"])), hashes, halves, _odds(n0 + n1, b0 + b1, rate), rate)
+
+
+def _fit(windows: list, hashes: np.ndarray, halves: tuple[np.ndarray, np.ndarray], odds: np.ndarray, rate: float) -> Model:
+    """The model of windows (id, toxic, side, parts) sorted by document."""
+    parts = [np.frombuffer(r["parts"], np.uint64).reshape(-1, PARTS) for r in windows]
+    places = [_places(p, hashes) for p in parts]
+    beforehand = np.concatenate([halves[1 - r["side"]][p] for r, p in zip(windows, places)])
+    places = np.concatenate(places)
+    masks = np.full((len(windows), WINDOW), -1, np.int64)
+    ends = np.cumsum([len(p) for p in parts])
+    for mask, p, end in zip(masks, parts, ends):
+        mask[: len(p)] = np.arange(end - len(p), end)
+    labels = np.array([r["toxic"] for r in windows], np.float32)
+    _, owner = np.unique(np.array([str(r["id"]) for r in windows]), return_inverse=True)
+    apart = random_u64(owner.max() + 1, 5) % np.uint64(CALIBRATION) == 0  # of no pattern that ids or labels could share
+    trained = ~apart[owner]
+    w, vectors = train(beforehand, places, len(hashes), masks[trained], labels[trained])
+    x = _inputs(beforehand, places, vectors)
+    gates = {d: x @ w[f"x{d}"] + w[f"c{d}"] for d in "fb"}
+    best, toxic = np.full(len(apart), -np.inf), np.zeros(len(apart), np.int64)
     np.maximum.at(best, owner, forward(w, gates, masks))
+    np.maximum.at(toxic, owner, labels.astype(np.int64))
+    judges = apart if 0 < toxic[apart].sum() < apart.sum() else np.ones(len(apart), bool)
+    best, toxic = best[judges], toxic[judges]
     order = np.argsort(-best, kind="stable")
     hits = np.cumsum(toxic[order])
-    right = hits - (np.arange(len(order)) + 1 - hits)  # texts won by a cut after each
+    right = hits - (np.arange(len(order)) + 1 - hits)  # documents won by a cut after each
     cut = int(right.argmax())
     shift = -0.5 * (best[order[cut]] + max(best[order[min(cut + 1, len(order) - 1)]], best[order[cut]] - 2))
-    return Model(hashes, odds, w, rate, float(shift))
+    return Model(hashes, odds, vectors, w, rate, float(shift))
 
 
 def _scored(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     w = model.weights
-    for batch in batches:
-        scores = []
-        for first, stop, data, offsets in stretches(_lowered(batch.column(1))):
-            found = words(data, offsets, letters=True)
-            logit = np.full(stop - first, -np.inf)
-            text, mask = _windows(found.firsts)
-            if len(text):
-                _, one, place = np.unique(found.hashes, return_index=True, return_inverse=True)
-                x = _inputs(_parts(found, one), model.hashes, model.odds)
-                gates = {d: x @ w[f"x{d}"] + w[f"c{d}"] for d in "fb"}
-                place = np.append(place, -1)
-                for k in range(0, len(text), 4096):
-                    np.maximum.at(logit, text[k : k + 4096], forward(w, gates, place[mask[k : k + 4096]]))
-            scores.append(np.where(np.diff(found.firsts) > 0, _sigmoid(logit + model.shift), model.empty))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([*scores, np.zeros(0)]), pa.float64())], ["id", "score"])
-
-
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """A model from a bounded sample of labelled rows: SAMPLE_ROWS ids of ``labels`` in the order of their hash, and of
-    these the texts of up to SAMPLE_CHARS characters. Only the sample reaches the driver. An id labelled more than once
-    is toxic if any label says so; null labels and texts count for nothing. Without labels every score is low."""
-    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).filter("id is not null and toxic is not null")
-    chosen = known.groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter(F.length("text") <= SAMPLE_CHARS)
-    rows = texts.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).select("id", "text", "toxic").collect()
-    return fit([(r["text"], int(r["toxic"] > 0)) for r in sorted(rows, key=lambda r: r["id"])])
+    for batch, _, found in _texts(batches):
+        logit = np.full(batch.num_rows, -np.inf)
+        text, mask = _windows(found.firsts)
+        if len(text):
+            _, one, place = np.unique(found.hashes, return_index=True, return_inverse=True)
+            places = _places(_parts(found, one), model.hashes)
+            x = _inputs(model.odds[places], places, model.vectors)
+            gates = {d: x @ w[f"x{d}"] + w[f"c{d}"] for d in "fb"}
+            place = np.append(place, -1)
+            for k in range(0, len(text), 4096):
+                np.maximum.at(logit, text[k : k + 4096], forward(w, gates, place[mask[k : k + 4096]]))
+        scores = np.where(np.diff(found.firsts) > 0, _sigmoid(logit + model.shift), model.empty)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["id", "score"])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,6 +2,7 @@ import collections
 import hashlib
 import random
 import re
+import zlib
 
 import duckdb
 import numpy as np
@@ -67,6 +68,68 @@ def test_windows_overlap_and_cover_all():
     assert (np.diff(starts) == toxicity.STRIDE).all() and toxicity.STRIDE < toxicity.WINDOW
 
 
+def learnt_from(spark, rows):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    return toxicity.learn(docs, spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int"))
+
+
+def test_stretches_are_of_characters():
+    texts = ["éàüß", "éàüßx", "日本語文字列", "ab", "abcdefghij"]
+    data = np.frombuffer(" ".join(texts).encode(), np.uint8)
+    parts = toxicity._parts_of(arrays.words(data, np.array([0, len(data)]), letters=True))
+    sizes = [len(t) for t in texts]
+    for k, length in enumerate(toxicity.OPENING):
+        assert [bool(x) for x in parts[:, 1 + k]] == [n >= length for n in sizes]
+    assert [bool(x) for x in parts[:, -1]] == [n >= 4 for n in sizes]
+    assert (parts[0, 1:3] == parts[1, 1:3]).all() and parts[0, 0] != parts[1, 0] and parts[0, -1] != parts[1, -1]
+
+
+def test_window_scores_are_those_of_a_plain_loop(spark):
+    """A document's logit is the highest of its windows, each gone through one step at a time."""
+    model = learnt_from(spark, toy_rows())
+    assert np.abs(model.vectors[:-1]).max() > 0 and not model.vectors[-1].any()
+    w, sigmoid = model.weights, lambda x: 1 / (1 + np.exp(-np.float64(x)))
+    for text, _ in toy_rows(420)[400:]:
+        data = np.frombuffer(text.lower().encode(), np.uint8)
+        places = toxicity._places(toxicity._parts_of(arrays.words(data, np.array([0, len(data)]), letters=True)), model.hashes)
+        x = toxicity._inputs(model.odds[places], places, model.vectors)
+        logits = []
+        for start in range(0, max(1, len(x) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE):
+            window, states = x[start : start + toxicity.WINDOW], {}
+            for d in "fb":
+                h, seen = np.zeros(toxicity.UNITS), []
+                for row in window if d == "f" else window[::-1]:
+                    a, b = row @ w[f"x{d}"] + w[f"c{d}"], h @ w[f"h{d}"]
+                    u = toxicity.UNITS
+                    z, r = sigmoid(a[:u] + b[:u]), sigmoid(a[u : 2 * u] + b[u : 2 * u])
+                    h = h + z * (np.tanh(a[2 * u :] + r * b[2 * u :]) - h)
+                    seen.append(h)
+                states[d] = seen if d == "f" else seen[::-1]
+            both = np.concatenate([np.array(states["f"]), np.array(states["b"])], axis=1)
+            weight = np.exp((np.tanh(both @ w["a"]) @ w["v"])[:, 0])
+            logits.append(float((weight / weight.sum()) @ both @ w["o"][:, 0] + w["p"][0]))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        assert toxicity.score(docs, model).first()["score"] == pytest.approx(sigmoid(max(logits) + model.shift), abs=1e-3)
+
+
+def test_toxicity_query_learns_from_its_fold_alone(spark, tmp_path):
+    """Labels of held-out rows may say anything, and are not needed to find them."""
+    fold = lambda i: zlib.crc32(str(i).encode()) % 5
+    rows = toy_rows(900)
+    long = [(900, ("plain words here " * 3000) + "zonked", 1), (901, "plain words here " * 3000, 0)]
+    rows = [(i, t, y) for i, (t, y) in enumerate(rows)] + long + [(902, None, 0), (903, "", 0)]
+    scores = []
+    for wrong in (0, 1):
+        folder = f"file://{tmp_path}/{wrong}"
+        spark.createDataFrame([(i, t, "xx", "s") for i, t, _ in rows], "doc_id long, text string, lang string, source string").write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(i, 0, (1 - y if wrong and fold(i) == 0 else y)) for i, _, y in rows], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        scores.append({r["doc_id"]: (r["held_out"], r["score"], r["predicted"]) for r in LLM_QUERIES["op1_toxicity"](spark, folder).collect()})
+    assert scores[0] == scores[1] and len(scores[0]) == len(rows)
+    assert all(held == (fold(i) == 0) and 0 <= score <= 1 and predicted == int(score >= 0.5) for i, (held, score, predicted) in scores[0].items())
+    assert np.mean([scores[0][i][2] == y for i, _, y in rows if fold(i) == 0]) > 0.95
+    assert scores[0][900][2] == 1 and scores[0][901][2] == 0
+
+
 def toy_rows(n=400):
     rng = random.Random(3)
     words = ["".join(rng.choice("abcdefg") for _ in range(5)) for _ in range(60)]
@@ -80,7 +143,7 @@ def toy_rows(n=400):
 
 
 def test_toxicity_learns_words_and_openings(spark, awkward, empty):
-    model = toxicity.fit(toy_rows())
+    model = learnt_from(spark, toy_rows())
     plain = toy_rows(460)[401][0]
     held = toy_rows(460)[400:] + [((plain + " ") * 40 + "zonked " + (plain + " ") * 40, 1), ((plain + " ") * 80, 0)]
     docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(held)], "doc_id long, text string")
