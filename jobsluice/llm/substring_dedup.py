@@ -1,17 +1,22 @@
-"""Substring deduplication: repeated k-word windows as edges of a De Bruijn graph, compacted to spans with sources.
-
-A window of k consecutive words is an edge between the k - 1 words it begins and ends with. Only edges that occur more
-than once matter, and most occur once, so they are found in two steps. Each window has a seed, the stretch of half as
-many words with the smallest hash in it; windows that are equal have equal seeds, and neighbouring windows mostly share
-one. A run is a stretch of windows with one seed: the part of a nonbranching path that is known without looking at any
-other document. Runs whose seed occurs once cannot hold a repeated edge and go no further. The others meet at their
-seed, where each edge learns its source, the place where it occurs first; then neighbouring edges with neighbouring
-sources are compacted into spans.
+"""Substring deduplication: repeated k-word windows as edges of a De Bruijn graph, compacted to verified spans.
+
+A window of k consecutive words is an edge from the k - 1 words it begins with to the k - 1 it ends with. Only edges
+that occur more than once matter, and most occur once, so they are found in two steps. Each window has a seed, the stretch
+of half as many words with the smallest hash in it; windows that are equal have equal seeds, and neighbouring windows
+mostly share one. A run is a stretch of windows with one seed. Runs whose seed occurs once cannot hold a repeated edge and
+go no further. The others meet at their seed, where each edge learns its source, the place where it occurs first.
+
+What a document repeats in step with a source is a path of edges, and the distinct paths are the graph: their end nodes
+have degrees, and where one path alone ends at a node and one alone begins there, the two are one. Such chains are
+followed by joins, each of which doubles the distance, so that every path learns the chain it is part of. At last the
+words at each path's source coordinates are digested, and a span is cut only where its own words have the same digest.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,33 +24,36 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobsluice.llm.arrays import Words, mixed, ngrams, pieces, stretches, words
-from jobsluice.llm.common import read, text_of
+from jobsluice.llm.common import dropped, join_counted, read, stored, text_of, with_ids
 
 K = 20
 #: A seed with more runs than this meets edge by edge: of such, one task would otherwise hold all edges at once.
 HOT = 1000
+#: Rows that meet at one edge; where a seed has more runs, its edges' rows are dealt by id, and the firsts meet again.
+MOST_MET = 20_000
+NULL_ID = -1 << 63
 
 
 def _runs(found: Words, k: int) -> tuple[np.ndarray, ...]:
-    """Of the texts' runs: text, first window (word of the stretch), windows, seed; and each word's k-word hash."""
+    """Of the texts' runs: text, first window (word of the stretch), windows, seed; and the node at each word."""
     half = k // 2
-    edges, short = ngrams(found.hashes, k), ngrams(found.hashes, half)
-    if not len(edges):
-        none = np.zeros(0, np.int64)
-        return none, none, none, np.zeros(0, np.uint64), edges
+    nodes, short = ngrams(found.hashes, k - 1), ngrams(found.hashes, half)
+    none = np.zeros(0, np.int64)
+    if len(nodes) < 2:
+        return none, none, none, np.zeros(0, np.uint64), nodes
     text = np.repeat(np.arange(len(found.firsts) - 1), np.diff(found.firsts))
-    starts = np.flatnonzero(text[: len(edges)] == text[k - 1 :])
+    starts = np.flatnonzero(text[: len(nodes) - 1] == text[k - 1 :])
+    if not len(starts):
+        return none, none, none, np.zeros(0, np.uint64), nodes
     views = np.lib.stride_tricks.sliding_window_view(short, k - half + 1)
     seed_at = np.empty(len(starts), np.int64)
     for first in range(0, len(starts), 1 << 15):
         part = starts[first : first + (1 << 15)]
         seed_at[first : first + len(part)] = part + views[part].argmin(axis=1)
-    if not len(starts):
-        return starts, starts, starts, np.zeros(0, np.uint64), edges
     new = np.ones(len(starts), bool)
     new[1:] = (seed_at[1:] != seed_at[:-1]) | (text[starts[1:]] != text[starts[:-1]])
     heads = np.flatnonzero(new)
-    return text[starts[heads]], starts[heads], np.diff(np.append(heads, len(starts))), short[seed_at[heads]], edges
+    return text[starts[heads]], starts[heads], np.diff(np.append(heads, len(starts))), short[seed_at[heads]], nodes
 
 
 def _seeds(k: int):
@@ -60,102 +68,204 @@ def _seeds(k: int):
     return run
 
 
+MET = "meet long, id long, start int, deals int, nodes array<long>"
+PIECES = "id long, start int, n int, tail long, head long, from_id long, from_start int, deals int"
+
+
 def _edges(k: int):
-    """Rows (meet, id, start, keys) of the runs listed in ``starts``; ``keys`` tells the windows of one meeting apart."""
+    """Rows MET of the runs listed in ``starts``; ``nodes`` are those that the row's windows lead through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 256):
             listed = batch.column(2)
             for first, stop, data, offsets in stretches(batch.column(1)):
                 found = words(data, offsets)
-                text, start, n, seed, edges = _runs(found, k)
-                # A run is told by its text and first word; listed are (start, is the seed hot).
+                text, start, n, seed, nodes = _runs(found, k)
+                # A run is told by its text and first word; listed are (start, deals: 0 if it meets at its seed).
                 lists = listed.slice(first, stop - first)
                 counts = np.diff(np.frombuffer(lists.buffers()[1], np.int32)[lists.offset : lists.offset + len(lists) + 1])
                 flat = lists.flatten()
                 wanted = found.firsts[np.repeat(np.arange(stop - first), counts)] + flat.field(0).to_numpy()
                 order = np.argsort(wanted, kind="stable")
-                at = np.searchsorted(wanted[order], start)
-                at = np.minimum(at, len(order) - 1)
+                at = np.minimum(np.searchsorted(wanted[order], start), len(order) - 1)
                 hit = wanted[order][at] == start if len(order) else np.zeros(len(start), bool)
-                hot = np.zeros(len(start), bool)
-                hot[hit] = flat.field(1).to_numpy(zero_copy_only=False)[order][at[hit]]
-                text, start, n, seed, hot = text[hit], start[hit], n[hit], seed[hit], hot[hit]
+                deals = np.zeros(len(start), np.int64)
+                deals[hit] = flat.field(1).to_numpy(zero_copy_only=False)[order][at[hit]]
+                text, start, n, seed, deals = text[hit], start[hit], n[hit], seed[hit], deals[hit]
                 own = batch.column(0).slice(first, stop - first)
-                ends = np.cumsum(n)
-                each = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - n), n)  # windows of all runs
-                run_hot = np.repeat(hot, n)
-                # Cool runs: one row each, that meets at its seed.
-                cool = ~hot
-                keys = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n[cool])).astype(np.int32)), pa.array(edges[each[~run_hot]].view(np.int64)))
-                yield _rows(own, text[cool], (start - found.firsts[text])[cool], seed[cool], keys)
-                # Hot runs: one row for each window, that meets at the window itself.
-                if hot.any():
-                    which = np.repeat(np.arange(len(n)), n)[run_hot]
-                    at_window = each[run_hot]
-                    keys = pa.ListArray.from_arrays(pa.array(np.arange(len(which) + 1, dtype=np.int32)), pa.array(seed[which].view(np.int64)))
-                    yield _rows(own, text[which], at_window - found.firsts[text[which]], mixed(edges[at_window] + np.uint64(1)), keys)
+                cool = deals == 0
+                yield _rows(own, found, text[cool], start[cool], n[cool], seed[cool], deals[cool], nodes)
+                # Runs of hot seeds: one row for each window, that meets at its node, dealt by id.
+                if not cool.all():
+                    which = np.repeat(np.flatnonzero(~cool), n[~cool])
+                    ends = np.cumsum(n[~cool])
+                    at_window = np.arange(len(which)) + np.repeat(start[~cool] - (ends - n[~cool]), n[~cool])
+                    deal = mixed(own.to_numpy().view(np.uint64)[text[which]]) % deals[which].astype(np.uint64)
+                    meet = mixed(nodes[at_window] + mixed(deal))
+                    yield _rows(own, found, text[which], at_window, np.ones(len(which), np.int64), meet, deals[which], nodes)
 
     return run
 
 
-def _rows(ids: pa.Array, text: np.ndarray, start: np.ndarray, meet: np.ndarray, keys: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(meet.view(np.int64)), ids.take(pa.array(text)), pa.array(start.astype(np.int32)), keys], ["meet", "id", "start", "keys"])
+def _rows(ids: pa.Array, found: Words, text: np.ndarray, start: np.ndarray, n: np.ndarray, meet: np.ndarray, deals: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
+    ends = np.cumsum(n + 1)
+    each = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - n - 1), n + 1)
+    lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(nodes[each].view(np.int64)))
+    columns = [pa.array(meet.view(np.int64)), ids.take(pa.array(text)), pa.array((start - found.firsts[text]).astype(np.int32)), pa.array(deals.astype(np.int32)), lists]
+    return pa.RecordBatch.from_arrays(columns, ["meet", "id", "start", "deals", "nodes"])
 
 
 def _sources(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of runs in the order of meeting, id and start: stretches of windows that occur earlier, with their sources.
+    """Of MET in the order of meeting, id and start: stretches of windows that occur earlier, with their sources.
 
-    Holds the first places of the windows of one meeting, at most HOT runs.
+    The first of those that were dealt comes out too, without a source: it may have one among those dealt elsewhere.
+    Holds the first places of the windows of one meeting, at most HOT runs or one node's.
     """
     meet, first = None, {}
     for batch in batches:
-        ids, starts, counts, froms, sources = [], [], [], [], []
-        for here, doc, start, keys in zip(*(c.to_pylist() for c in batch.columns)):
+        rows, last = [], None
+        for here, doc, start, deals, nodes in zip(*(c.to_pylist() for c in batch.columns)):
             if here != meet:
                 meet, first = here, {}
             last = None
-            for place, key in enumerate(keys, start):
-                source = first.setdefault(key, (doc, place))
+            for place, edge in enumerate(zip(nodes, nodes[1:]), start):
+                source = first.setdefault(edge, (doc, place))
                 if source == (doc, place):
                     last = None
+                    if deals > 1:
+                        rows.append([doc, place, 1, *edge, None, None, deals])
                 elif last is not None and source == (last[0], last[1] + 1):
-                    counts[-1] += 1
+                    rows[-1][2] += 1
+                    rows[-1][4] = edge[1]
                     last = source
                 else:
-                    ids.append(doc)
-                    starts.append(place)
-                    counts.append(1)
-                    froms.append(source[0])
-                    sources.append(source[1])
+                    rows.append([doc, place, 1, *edge, *source, 0])
                     last = source
-        yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field("id").type), pa.array(starts, pa.int32()), pa.array(counts, pa.int32()), pa.array(froms, batch.schema.field("id").type), pa.array(sources, pa.int32())], ["id", "start", "n", "from_id", "from_start"])
+        columns = list(zip(*rows)) or [()] * 8
+        types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["id", "start", "n", "tail", "head", "from_id", "from_start", "deals"])
 
 
-def repeated_spans(docs: DataFrame, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, start, n_words, from_id, from_start: maximal stretches of words whose k-word windows all occur earlier.
+def _met(rows: DataFrame) -> DataFrame:
+    return rows.repartition("meet").sortWithinPartitions("meet", "id", "start").mapInArrow(_sources, PIECES)
 
-    Earlier is in a row with a smaller id, or in the same one at an earlier start; null ids come first. from_* is the
-    source, where the stretch's windows occur first, word by word in step. A window's identity is 128 bits: its own
-    hash and its seed's. Texts of fewer than k words, null and empty ones have no windows. Rows that repeat id and text are one
-    document; rows that only repeat the id share what is found in either. Empty tables give no rows.
-    """
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    key = F.coalesce("id", F.lit(-1 << 63))
-    texts = texts.select(key.alias("id"), "text")
+
+def _repeats(texts: DataFrame, k: int) -> DataFrame:
+    """Stretches (PIECES, all with a source) of the windows of ``texts`` (id, text) that occur earlier."""
     seeds = texts.mapInArrow(_seeds(k), "seed long, id long, start int")
-    counts = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    runs = seeds.join(counts, "seed").groupBy("id").agg(F.collect_list(F.struct("start", (F.col("n") > HOT).alias("hot"))).alias("runs"))
-    edges = texts.join(runs, "id").select("id", "text", "runs").mapInArrow(_edges(k), "meet long, id long, start int, keys array<long>")
-    met = edges.repartition("meet").sortWithinPartitions("meet", "id", "start")
-    parts = met.mapInArrow(_sources, "id long, start int, n int, from_id long, from_start int")
-    # Compaction: an edge continues the path where its place and its source's place both follow the edge before it.
+    counts = stored(seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "seeds")
+    total, most = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    deals = F.when(F.col("n") > HOT, F.ceil(F.col("n") / MOST_MET)).otherwise(0).cast("int")
+    shared = join_counted(seeds, counts, ["seed"], "n", total, ["id", "start"])
+    runs = stored(shared.groupBy("id").agg(F.collect_list(F.struct("start", deals.alias("deals"))).alias("runs")), "runs")
+    some, _ = with_ids(texts, runs.select("id"))
+    edges = some.join(runs, "id").select("id", "text", "runs").mapInArrow(_edges(k), MET)
+    found = _met(edges)
+    if most <= MOST_MET:
+        return found.drop("deals")
+    done = []
+    while True:
+        found = stored(found, "met")
+        done.append(found.filter("from_start is not null").drop("deals"))
+        left = found.filter("from_start is null")
+        fewer = F.ceil(F.col("deals") / MOST_MET).cast("int")
+        meet = F.xxhash64("tail", F.pmod(F.xxhash64("id", F.lit(len(done))), fewer))
+        found = _met(left.select(meet.alias("meet"), "id", "start", fewer.alias("deals"), F.array("tail", "head").alias("nodes")))
+        most = -(-most // MOST_MET)
+        if most <= MOST_MET:
+            return reduce(DataFrame.unionByName, [*done, found.filter("from_start is not null").drop("deals")])
+
+
+def _in_step(parts: DataFrame) -> DataFrame:
+    """A document's stretches joined where one follows another, and its source the other's source."""
     order = Window.partitionBy("id").orderBy("start")
     before = F.lag(F.struct((F.col("start") + F.col("n")).alias("start"), "from_id", (F.col("from_start") + F.col("n")).alias("from_start"))).over(order)
-    parts = parts.withColumn("head", (~before.eqNullSafe(F.struct("start", "from_id", "from_start"))).cast("int"))
-    parts = parts.withColumn("path", F.sum("head").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = parts.groupBy("id", "path").agg(F.min("start").alias("start"), (F.sum("n") + (k - 1)).cast("int").alias("n_words"), F.min_by("from_id", "start").alias("from_id"), F.min("from_start").alias("from_start"))
-    return spans.select(*(F.when(F.col(c) != -1 << 63, F.col(c)).alias(c) if c.endswith("id") else c for c in ("id", "start", "n_words", "from_id", "from_start")))
+    parts = parts.withColumn("new", (~before.eqNullSafe(F.struct("start", "from_id", "from_start"))).cast("int"))
+    parts = parts.withColumn("path", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    firsts = F.min(F.struct("start", "from_id", "from_start", "tail")).alias("f")
+    rows = parts.groupBy("id", "path").agg(firsts, F.sum("n").cast("int").alias("n"), F.max_by("head", "start").alias("head"))
+    return rows.select("id", "f.start", "n", "f.tail", "head", "f.from_id", "f.from_start")
+
+
+def chains(paths: DataFrame) -> DataFrame:
+    """tail, head, chain, step of the distinct paths (tail, head, ...) of the graph: which chain of paths it is part of, and
+    where.
+
+    A node is passed through if one path ends there and one begins. From each such node the chain is followed back, twice
+    as far with every join, up to a node that is not. A ring of such nodes has no beginning; its paths stay apart.
+    """
+    into = paths.groupBy(F.col("head").alias("node")).agg(F.count(F.lit(1)).alias("ins"), F.first("tail").alias("up"))
+    out = paths.groupBy(F.col("tail").alias("node")).agg(F.count(F.lit(1)).alias("outs"))
+    passed = stored(into.filter("ins = 1").join(out.filter("outs = 1"), "node").select("node", "up"), "nodes")
+    known = passed.select(F.col("node").alias("up"), F.lit(True).alias("on"))
+    walk = stored(passed.join(known, "up", "left").select("node", F.when(F.col("on"), F.col("up")).alias("up"), F.col("node").alias("top"), F.lit(0).alias("steps")), "walk")
+    nodes, reach = walk.count(), 1
+    while reach <= nodes and walk.filter("up is not null").limit(1).count():
+        far = walk.select(F.col("node").alias("up"), F.col("up").alias("far"), F.col("top").alias("far_top"), F.col("steps").alias("far_steps"))
+        longer = walk.join(far, "up", "left").select("node", F.when(F.col("up").isNotNull(), F.col("far")).alias("up"), F.coalesce("far_top", "top").alias("top"), (F.col("steps") + F.when(F.col("up").isNotNull(), F.col("far_steps") + 1).otherwise(0)).alias("steps"))
+        longer = stored(longer, "walk")
+        dropped(walk)
+        walk, reach = longer, 2 * reach
+    walk = walk.filter("up is null")
+    begins = walk.select(F.col("node").alias("tail"), F.col("top").alias("tail_top"), F.col("steps").alias("tail_steps"))
+    ends = walk.filter("steps = 0").select(F.col("node").alias("head"), F.col("top").alias("head_top"))
+    rows = paths.select("tail", "head").distinct().join(begins, "tail", "left").join(ends, "head", "left")
+    chain = F.coalesce("tail_top", "head_top", F.xxhash64("tail", "head"))
+    return rows.select("tail", "head", chain.alias("chain"), F.coalesce(F.col("tail_steps") + 1, F.lit(0)).alias("step"))
+
+
+def _word_digest(parts: list[bytes]) -> bytes:
+    return hashlib.blake2b(b" ".join(parts), digest_size=16).digest()
+
+
+def _digests(k: int):
+    """Of texts (id, text, spans: start, n) the digest of each span's words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, 64):
+            rows = []
+            for doc, text, spans in zip(*(batch.column(j).to_pylist() for j in range(3))):
+                parts = text.encode().split()
+                rows += [(doc, s["start"], s["n"], _word_digest(parts[s["start"] : s["start"] + s["n"] + k - 1])) for s in spans]
+            columns = list(zip(*rows)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], ["from_id", "from_start", "n", "digest"])
+
+    return run
+
+
+def _spans(texts: DataFrame, k: int) -> DataFrame:
+    """repeated_spans of ``texts`` (id, text), with the digest of each one's source."""
+    spans = stored(_in_step(_repeats(texts, k)), "spans")
+    key = ["from_id", "from_start", "n"]
+    paths = stored(spans.groupBy(*key).agg(F.count(F.lit(1)).alias("uses"), F.first("tail").alias("tail"), F.first("head").alias("head")), "paths")
+    asked = stored(paths.groupBy(F.col("from_id").alias("id")).agg(F.collect_list(F.struct(F.col("from_start").alias("start"), "n")).alias("spans")), "asked")
+    sources, _ = with_ids(texts, asked.select("id"))
+    digests = sources.join(asked, "id").select("id", "text", "spans").mapInArrow(_digests(k), "from_id long, from_start int, n int, digest binary")
+    # Rows that repeat an id with other texts have no one source; the least digest stands for them all.
+    digests = digests.groupBy(*key).agg(F.min("digest").alias("digest"))
+    known = stored(paths.join(chains(paths), ["tail", "head"]).join(digests, key).select(*key, "uses", "chain", "step", "digest"), "known")
+    total = known.agg(F.coalesce(F.sum("uses"), F.lit(0))).first()[0]
+    rows = join_counted(spans, known, key, "uses", total, ["id", "start"])
+    return rows.select("id", "start", (F.col("n") + (k - 1)).alias("n_words"), "from_id", "from_start", "chain", "step", "digest")
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), text_of(text_col).alias("text"))
+
+
+def repeated_spans(docs: DataFrame, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, start, n_words, from_id, from_start, chain, step: stretches of words whose k-word windows all occur earlier.
+
+    Earlier is in a row with a smaller id, or in the same one at an earlier start; null ids come first. from_* is the
+    source, an earlier place of the same words: where the windows occur first, but for those of very frequent seeds, which
+    may have a later one. Stretches of one ``chain`` follow each other by ``step`` wherever the first of them occurs and
+    goes on. An edge's identity is 128 bits, those of its two nodes.
+
+    Texts of fewer than k words, null and empty ones have no windows. Rows that repeat id and text are one document; rows
+    that only repeat the id share what is found in either. Empty tables give no rows; other columns are not read.
+    """
+    rows = _spans(_texts(docs, id_col, text_col), k)
+    return rows.select(*(F.when(F.col(c) != NULL_ID, F.col(c)).alias(c) if c.endswith("id") else c for c in ("id", "start", "n_words", "from_id", "from_start", "chain", "step")))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +275,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts = text.encode().split()  # at the same six characters of ASCII white space
             keep = np.ones(len(parts), bool)
             for span in spans or ():
-                keep[span["start"] : span["start"] + span["n_words"]] = False
+                first, stop = span["start"], span["start"] + span["n_words"]
+                if _word_digest(parts[first:stop]) == span["digest"]:
+                    keep[first:stop] = False
             totals.append(len(parts))
             removed.append(len(parts) - int(keep.sum()))
             kept.append(b" ".join([p for p, k in zip(parts, keep) if k] if removed[-1] else parts).decode())
@@ -173,11 +285,19 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def cut_repeats(docs: DataFrame, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_words, n_removed, kept for each row of ``docs``: the words outside of repeated_spans, joined by a space."""
-    spans = repeated_spans(docs, k, id_col, text_col).groupBy(F.coalesce("id", F.lit(-1 << 63)).alias("id")).agg(F.collect_list(F.struct("start", "n_words")).alias("spans"))
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-1 << 63)).alias("id"), text_of(text_col).alias("text"))
-    rows = texts.join(spans, "id", "left").select("id", "text", "spans").mapInArrow(_cut, "id long, n_words long, n_removed long, kept string")
-    return rows.withColumn("id", F.when(F.col("id") != -1 << 63, F.col("id")))
+    """id, n_words, n_removed, kept for each row of ``docs``: the words outside of repeated_spans, joined by a space.
+
+    A span is cut if its words have the digest of the words at its source. Null and empty texts have no words and keep
+    the empty text; null ids are kept as such. Of rows that repeat id and text each is cut alike, where they repeat
+    themselves; rows that share an id with another text are cut where their own words are those of a source. Empty tables
+    give no rows; other columns are not read. Only texts with a span are shuffled.
+    """
+    texts, shape = _texts(docs, id_col, text_col), "id long, n_words long, n_removed long, kept string"
+    spans = stored(_spans(texts, k).groupBy("id").agg(F.collect_list(F.struct("start", "n_words", "digest")).alias("spans")), "cuts")
+    some, others = with_ids(texts, spans.select("id"))
+    cut = some.join(spans, "id").select("id", "text", "spans").mapInArrow(_cut, shape)
+    whole = others.select("id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans")).mapInArrow(_cut, shape)
+    return cut.union(whole).withColumn("id", F.when(F.col("id") != NULL_ID, F.col("id")))
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from oracle import connect, rows_of_duckdb, rows_of_spark
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from jobsluice.llm import arrays, bpe, chat, decontaminate, exact_dedup, jaccard_join, language, secrets, substring_dedup, toxicity, url_filter
+from jobsluice.llm import arrays, bpe, chat, common, decontaminate, exact_dedup, jaccard_join, language, secrets, substring_dedup, toxicity, url_filter
 from jobsluice.llm.queries import LLM_ORACLES, LLM_QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -366,9 +366,11 @@ def brute_cut(texts, k):
     return out
 
 
-@pytest.mark.parametrize(("k", "hot"), [(20, 1000), (6, 3)])
-def test_cuts_are_those_of_all_windows(spark, monkeypatch, k, hot):
+@pytest.mark.parametrize(("k", "hot", "most"), [(20, 1000, 20000), (6, 3, 4)])
+def test_cuts_are_those_of_all_windows(spark, monkeypatch, k, hot, most):
     monkeypatch.setattr(substring_dedup, "HOT", hot)
+    monkeypatch.setattr(substring_dedup, "MOST_MET", most)
+    monkeypatch.setattr(common, "HOT_KEYS", 50)
     rng = random.Random(k)
     words = [f"w{i}" for i in range(40)]
     passages = [[rng.choice(words) for _ in range(rng.randint(k - 2, 3 * k))] for _ in range(6)]
@@ -387,6 +389,30 @@ def test_cuts_are_those_of_all_windows(spark, monkeypatch, k, hot):
         assert sources[r["id"]][r["start"] : r["start"] + r["n_words"]] == sources[r["from_id"]][r["from_start"] : r["from_start"] + r["n_words"]]
 
 
+def test_chains_of_paths(spark):
+    """1-2-3-4 is one chain; 4 is left by two paths, 7 entered by two; 10-11-10 is a ring; 20-21 stands alone."""
+    pairs = [(1, 2), (2, 3), (3, 4), (4, 5), (4, 6), (8, 7), (9, 7), (7, 12), (12, 13), (10, 11), (11, 10), (20, 21)]
+    got = {(r["tail"], r["head"]): (r["chain"], r["step"]) for r in substring_dedup.chains(spark.createDataFrame(pairs, "tail long, head long")).collect()}
+    assert len(got) == len(pairs) and len({got[p][0] for p in pairs[:3]}) == 1 and [got[p][1] for p in pairs[:3]] == [0, 1, 2]
+    assert got[7, 12][0] == got[12, 13][0] and [got[p][1] for p in ((7, 12), (12, 13))] == [0, 1]
+    alone = [(4, 5), (4, 6), (8, 7), (9, 7), (10, 11), (11, 10), (20, 21)]
+    assert len({got[p][0] for p in alone} | {got[1, 2][0], got[7, 12][0]}) == len(alone) + 2
+
+
+def test_long_chains(spark):
+    pairs = [(i, i + 1) for i in range(37)]
+    got = {r["tail"]: (r["chain"], r["step"]) for r in substring_dedup.chains(spark.createDataFrame(pairs, "tail long, head long")).collect()}
+    assert {c for c, _ in got.values()} == {1} and [got[i][1] for i in range(37)] == list(range(37))
+
+
+def test_rows_with_hot_keys_stay(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_KEYS", 4)
+    rows = spark.createDataFrame([(1 if i % 2 else i % 7, i) for i in range(100)], "k long, i long")
+    right = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), (F.col("k") * 10).alias("v")).filter("k <> 3")
+    got = common.join_counted(rows, right, ["k"], "n", 100, ["i"])
+    assert sorted((r["k"], r["i"], r["v"]) for r in got.collect()) == sorted((r["k"], r["i"], r["k"] * 10) for r in rows.collect() if r["k"] != 3)
+
+
 def test_substring_of_the_awkward(spark, awkward, empty):
     rows = substring_dedup.cut_repeats(awkward).collect()
     assert len(rows) == awkward.count()
