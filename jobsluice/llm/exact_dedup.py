@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsluice.llm.common import SPACES, read, text_of
+from jobsluice.llm.common import BROADCAST_IDS, SPACES, read, stored, text_of
 
 
 def leading_128_bits(sha: Column) -> Column:
@@ -22,14 +22,26 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, hash128: Callable[[Colum
     return rows.withColumn("h", hash128(F.col("sha")))
 
 
-def _classes(keyed: DataFrame) -> DataFrame:
-    """One row per distinct text: h, sha, keep_id, group_size.
+def _listed(rows: DataFrame, ids: DataFrame, id_col: str, how: str) -> DataFrame:
+    """``rows`` with (left_semi) or without (left_anti) an id in the stored table ``ids``; null ids are ids."""
+    small = ids.select(F.col("id").alias("listed id"))
+    small = F.broadcast(small) if ids.count() <= BROADCAST_IDS else small
+    return rows.join(small, F.col(id_col).eqNullSafe(F.col("listed id")), how)
 
-    The hash leads the key and the text's bytes follow, so texts that only share the hash stay apart. The aggregate
-    runs before the shuffle too: of a large group each task sends one row.
-    """
-    groups = keyed.groupBy("h", "norm").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return groups.select("h", F.unhex(F.sha2("norm", 256)).alias("sha"), "keep_id", "group_size")
+
+def _groups(docs: DataFrame, id_col: str, text_col: str, hash128: Callable[[Column], Column]) -> DataFrame:
+    """exact_groups: digests first, then the bytes of the texts whose hash another row shares."""
+    digests = stored(_keyed(docs, id_col, text_col, hash128).select("id", "h", "sha"), "digests")
+    shared = digests.groupBy("h").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("h")
+    ids = stored(digests.join(shared, "h", "left_semi").select("id").distinct(), "shared")
+    texts = _keyed(_listed(docs, ids, id_col, "left_semi"), id_col, text_col, hash128)
+    # The hash leads the key and the bytes follow. The aggregate runs before the shuffle too: of a large group each
+    # task sends one row.
+    classes = texts.groupBy("h", "norm").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    classes = classes.filter("group_size > 1").select("h", F.unhex(F.sha2("norm", 256)).alias("sha"), "keep_id", "group_size")
+    found = digests.join(classes, ["h", "sha"], "left").withColumn("group_size", F.coalesce("group_size", F.lit(1)).cast("long"))
+    keep = F.when(F.col("group_size") > 1, F.col("keep_id")).otherwise(F.col("id"))
+    return found.select("id", keep.alias("keep_id"), "group_size", F.col("id").eqNullSafe(keep).alias("kept"), "sha")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash128: Callable[[Column], Column] = leading_128_bits) -> DataFrame:
@@ -40,23 +52,27 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     last: they stay only where no row of the group has an id. Rows that repeat id and text are one document, all
     marked alike. An empty table gives no rows; other columns are not read.
 
-    ``hash128`` makes the group hash from the SHA-256 bytes; a weak one only costs time. Texts cross the shuffle once;
-    rows find their group by digests alone, and Spark splits a hot group in that join.
+    ``hash128`` makes the group hash from the SHA-256 bytes; a weak one only costs time. Only texts whose hash occurs
+    twice cross a shuffle; rows find their group by digests alone, and Spark splits a hot group in that join.
     """
-    keyed = _keyed(docs, id_col, text_col, hash128)
-    found = keyed.select("id", "h", "sha").join(_classes(keyed), ["h", "sha"])
-    return found.select("id", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "sha")
+    return _groups(docs, id_col, text_col, hash128)
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash128: Callable[[Column], Column] = leading_128_bits) -> DataFrame:
     """The rows of ``docs`` that stay, one per distinct text, with their columns; see exact_groups for the cases.
 
-    Of rows that repeat id and text one stays. The rows are matched by (id, digest), which no hot group skews.
+    Of rows that repeat id and text one stays. Rows are left out by id, without a shuffle of their texts, where one text
+    stands under the id; those whose id has a row that goes and one that stays, or one twice, are told apart by digest.
     """
-    keepers = _classes(_keyed(docs, id_col, text_col, hash128)).select(F.col("keep_id"), F.col("sha").alias("keep_sha"))
-    rows = _keyed(docs, id_col, text_col, hash128, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).drop("norm", "h")
-    same = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("sha") == F.col("keep_sha"))
-    return rows.join(keepers, same, "left_semi").dropDuplicates(["id", "sha"]).select("row.*")
+    groups = stored(_groups(docs, id_col, text_col, hash128), "groups")
+    ids = groups.groupBy("id").agg(F.count(F.lit(1)).alias("rows"), F.count_if("kept").alias("keeps"))
+    gone = stored(ids.filter("keeps < rows or keeps > 1").select("id", (F.col("keeps") > 0).alias("some")), "gone")
+    rows = _listed(docs, gone, id_col, "left_anti")
+    mixed = stored(gone.filter("some").select("id"), "mixed")
+    keepers = groups.filter("kept").select(F.col("id").alias("keep id"), F.col("sha").alias("keep sha")).distinct()
+    part = _keyed(_listed(docs, mixed, id_col, "left_semi"), id_col, text_col, hash128, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    part = part.join(keepers, F.col("id").eqNullSafe(F.col("keep id")) & (F.col("sha") == F.col("keep sha")), "left_semi")
+    return rows.unionByName(part.dropDuplicates(["id", "sha"]).select("row.*"))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
