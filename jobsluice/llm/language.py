@@ -22,6 +22,10 @@ MOST_LANGUAGES = 2000
 UNKNOWN = "und"
 #: Unit vectors are summed as whole numbers of this fraction, so that sums do not depend on their order.
 STEP = 1 << 20
+#: A prediction of at least this cosine, and so much nearer than the stated language, refutes the statement.
+SURE, LEAD = 0.5, 0.2
+#: A text of at least so many characters whose cosine is below this is in none of the languages.
+LONG_TEXT, FOREIGN = 300, 0.2
 
 
 class Profiles(NamedTuple):
@@ -135,18 +139,36 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     return Profiles([lang for lang, _ in found], unit(np.array([v for _, v in found], np.float64).reshape(len(found), DIMENSIONS)))
 
 
-def _nearest(profiles: Profiles, texts: list[str]) -> tuple[list[str], np.ndarray]:
-    """The language of each text and its cosine."""
-    names, prototypes = profiles
-    langs, scores = [], [np.zeros(0)]
+def _cosines(profiles: Profiles, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text the cosine with every language, and whether it has letters to tell one by."""
+    near, known = [np.zeros((0, len(profiles.names)))], [np.zeros(0, bool)]
     for rows in _blocks(texts):
         vectors = unit(bundle(texts[rows]))
-        near = vectors @ prototypes.T if names else np.zeros((len(vectors), 1))
-        best = near.argmax(axis=1)
-        known = vectors.any(axis=1) & bool(names)
-        langs += [names[b] if k else UNKNOWN for b, k in zip(best, known)]
-        scores.append(np.where(known, np.clip(near[np.arange(len(best)), best], 0, 1), 0.0))
-    return langs, np.concatenate(scores)
+        near.append(vectors @ profiles.vectors.T)
+        known.append(vectors.any(axis=1) & bool(profiles.names))
+    return np.concatenate(near), np.concatenate(known)
+
+
+def _nearest(profiles: Profiles, texts: list[str]) -> tuple[list[str], np.ndarray]:
+    """The language of each text and its cosine."""
+    near, known = _cosines(profiles, texts)
+    if not profiles.names:
+        return [UNKNOWN] * len(texts), np.zeros(len(texts))
+    best = near.argmax(axis=1)
+    langs = [profiles.names[b] if k else UNKNOWN for b, k in zip(best, known)]
+    return langs, np.where(known, np.clip(near[np.arange(len(best)), best], 0, 1), 0.0)
+
+
+def _kept(profiles: Profiles, texts: list[str], stated: list[str | None]) -> np.ndarray:
+    near, known = _cosines(profiles, texts)
+    if not profiles.names:
+        return known
+    best = near.max(axis=1)
+    place = {name: k for k, name in enumerate(profiles.names)}
+    own = np.array([near[i, place[x]] if x in place else np.inf for i, x in enumerate(stated)])
+    refuted = (best >= SURE) & (best - own >= LEAD)
+    foreign = (np.array([len(t) for t in texts]) >= LONG_TEXT) & (best < FOREIGN)
+    return known & ~refuted & ~foreign
 
 
 def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -166,15 +188,22 @@ def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_c
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with their columns, whose language is known: all but those that identify calls ``und``."""
+def keep_identified(docs: DataFrame, profiles: Profiles, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs``, with their columns, whose language is known and as stated.
+
+    Rows go whose text is null, empty or without letters; whose text is surely of another language than the learnt one
+    they state (its cosine is SURE or more, and LEAD more than that of the stated one); and long texts that are near
+    none of the languages. A null or unlearnt language states nothing, nor does a table without the column. Rows pass one
+    by one: repeats, ties of ids, further columns and empty tables are as they are. Without any language all rows go.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(profiles)
     place = docs.columns.index(text_col)
+    stated = docs.columns.index(lang_col) if lang_col in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            langs, _ = _nearest(sent.value, [t or "" for t in batch.column(place).to_pylist()])
-            yield batch.filter(pa.array([lang != UNKNOWN for lang in langs], pa.bool_()))
+            langs = [None] * batch.num_rows if stated is None else batch.column(stated).to_pylist()
+            yield batch.filter(pa.array(_kept(sent.value, [t or "" for t in batch.column(place).to_pylist()], langs), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
