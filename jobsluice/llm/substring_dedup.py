@@ -30,7 +30,7 @@ K = 20
 #: A seed with more runs than this meets edge by edge: of such, one task would otherwise hold all edges at once.
 HOT = 1000
 #: Rows that meet at one edge; where a seed has more runs, its edges' rows are dealt by id, and the firsts meet again.
-MOST_MET = 20_000
+MOST_MET = 4_000
 NULL_ID = -1 << 63
 
 
