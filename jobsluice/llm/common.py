@@ -29,11 +29,11 @@ HOT_KEYS = 10_000
 BROADCAST_IDS = 4_000_000
 
 
-def join_counted(rows: DataFrame, right: DataFrame, keys: list[str], count: str, total: int, spread: list[str]) -> DataFrame:
+def join_counted(rows: DataFrame, right: DataFrame, keys: list[str], count: str, total: int, spread: list[str], outer: bool = False) -> DataFrame:
     """``rows`` that have their key in ``right``, with its other columns; a hot key's rows stay where they are.
 
     ``right`` is a stored table with one row for each key; ``count`` says how many of the ``total`` rows have the key.
-    The first key and the columns ``spread``, which tell rows apart, are long. Hot keys meet their rows by a broadcast
+    The first key is long, and the columns ``spread`` tell rows apart. With ``outer`` rows without their key stay too. Hot keys meet their rows by a broadcast
     of fewer than HOT_KEYS rows; the others by a shuffle in which none has more than one in HOT_KEYS of the rows.
     """
     others = [c for c in right.columns if c not in keys]
@@ -43,7 +43,8 @@ def join_counted(rows: DataFrame, right: DataFrame, keys: list[str], count: str,
     near = rows.join(F.broadcast(packed(right.filter(hot), "_hot")), same("_hot", F.col(keys[0])), "left")
     near = near.withColumn("_key", F.when(F.col("_hot").isNull(), F.col(keys[0])).otherwise(F.xxhash64(*spread)))
     both = near.join(packed(right.filter(~hot), "_cold"), same("_cold", F.col("_key")), "left")
-    found = both.withColumn("_found", F.coalesce("_hot", "_cold")).filter("_found is not null")
+    found = both.withColumn("_found", F.coalesce("_hot", "_cold"))
+    found = found if outer else found.filter("_found is not null")
     return found.select(*rows.columns, "_found.*")
 
 

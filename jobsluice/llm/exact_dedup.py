@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsluice.llm.common import BROADCAST_IDS, SPACES, read, stored, text_of
+from jobsluice.llm.common import BROADCAST_IDS, SPACES, join_counted, read, stored, text_of
 
 
 def leading_128_bits(sha: Column) -> Column:
@@ -31,15 +31,16 @@ def _listed(rows: DataFrame, ids: DataFrame, id_col: str, how: str) -> DataFrame
 
 def _groups(docs: DataFrame, id_col: str, text_col: str, hash128: Callable[[Column], Column]) -> DataFrame:
     """exact_groups: digests first, then the bytes of the texts whose hash another row shares."""
-    digests = stored(_keyed(docs, id_col, text_col, hash128).select("id", "h", "sha"), "digests")
-    shared = digests.groupBy("h").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("h")
-    ids = stored(digests.join(shared, "h", "left_semi").select("id").distinct(), "shared")
+    digests = stored(_keyed(docs, id_col, text_col, hash128).select("id", "h", "sha", F.xxhash64("h").alias("k")), "digests")
+    shared = stored(digests.groupBy("k", "h").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1"), "shared")
+    total = shared.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    ids = stored(join_counted(digests, shared, ["k", "h"], "rows", total, ["id", "sha"]).select("id").distinct(), "ids")
     texts = _keyed(_listed(docs, ids, id_col, "left_semi"), id_col, text_col, hash128)
     # The hash leads the key and the bytes follow. The aggregate runs before the shuffle too: of a large group each
     # task sends one row.
     classes = texts.groupBy("h", "norm").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    classes = classes.filter("group_size > 1").select("h", F.unhex(F.sha2("norm", 256)).alias("sha"), "keep_id", "group_size")
-    found = digests.join(classes, ["h", "sha"], "left").withColumn("group_size", F.coalesce("group_size", F.lit(1)).cast("long"))
+    classes = stored(classes.filter("group_size > 1").select(F.xxhash64("h").alias("k"), "h", F.unhex(F.sha2("norm", 256)).alias("sha"), "keep_id", "group_size"), "classes")
+    found = join_counted(digests, classes, ["k", "h", "sha"], "group_size", total, ["id"], outer=True).withColumn("group_size", F.coalesce("group_size", F.lit(1)).cast("long"))
     keep = F.when(F.col("group_size") > 1, F.col("keep_id")).otherwise(F.col("id"))
     return found.select("id", keep.alias("keep_id"), "group_size", F.col("id").eqNullSafe(keep).alias("kept"), "sha")
 
@@ -53,7 +54,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marked alike. An empty table gives no rows; other columns are not read.
 
     ``hash128`` makes the group hash from the SHA-256 bytes; a weak one only costs time. Only texts whose hash occurs
-    twice cross a shuffle; rows find their group by digests alone, and Spark splits a hot group in that join.
+    twice cross a shuffle; rows find their group by digests alone, those of a large group without a shuffle.
     """
     return _groups(docs, id_col, text_col, hash128)
 
