@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobsluice.llm.arrays import Words, mixed, ngrams, pieces, stretches, words
-from jobsluice.llm.common import read, stored, text_of
+from jobsluice.llm.common import join_counted, read, stored, text_of
 
 #: Share of a set, in hundredths, by which its prefix is longer than links need: over all sets, and over those left.
 EXTRA, EXTRA_LEFT = 8, 30
@@ -340,8 +340,8 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     likely = stored(counted.filter(F.col("k") >= rule.needed(F.col("n"), EXTRA)).select("id"), "likely")
     small = F.broadcast(likely) if likely.count() <= BROADCAST_ROWS else likely
     sets = stored(texts.join(small, "id", "left_semi").select("id", "text").mapInArrow(_whole(rule.size), "id long, n int, key1 long, key2 long, grams binary"), "sets")
-    classes = sets.groupBy("n", "key1", "key2").agg(F.min("id").alias("class"))
-    classes = stored(sets.select("id", "n", "key1", "key2").join(classes, ["n", "key1", "key2"]).select("id", "class"), "classes")
+    classes = stored(sets.groupBy("key1", "key2", "n").agg(F.min("id").alias("class"), F.count(F.lit(1)).alias("uses")), "keys")
+    classes = stored(join_counted(sets.select("id", "key1", "key2", "n"), classes, ["key1", "key2", "n"], "uses", sets.count(), ["id"]).select("id", "class"), "classes")
     distinct = sets.join(classes.filter("id = class").select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
     distinct = stored(distinct.select("id", "n", "grams"), "distinct")
     labels = components(links_of(distinct, rule))
