@@ -49,7 +49,7 @@ def anchors_of(docs: DataFrame, windows: DataFrame, text_col: str, rarest: int)
     distinct = stored(terms.select("term").distinct(), "terms")
     texts = docs.select(_tokens(text_of(text_col)).alias("w"))
     seen = texts.select(F.explode_outer("w").alias("term")).join(_small(distinct), "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    ranked = terms.join(seen, "term")  # a window with a word that no document has cannot occur
+    ranked = terms.join(_small(stored(seen, "seen")), "term")  # a window with a word that no document has cannot occur
     per = Window.partitionBy("window_id")
     order = per.orderBy("df", "term", "offset")
     ranked = ranked.withColumn("known", F.count(F.lit(1)).over(per)).withColumn("k", F.row_number().over(order)).filter(F.col("k") <= rarest)
