@@ -11,7 +11,9 @@ Second, groups of near copies, in which every list is long. Each set has a leade
 and is written as the difference from it: with c the leader, r what a set lacks of c and D all its differences,
 |a & b| = |c| - r_a - r_b + |D_a & D_b|. Sets of one leader so need T_ab = needed overlap - |c| + r_a + r_b shared
 differences. Where that is none or less they are linked outright, and a star around the set closest to the leader says
-it all. Otherwise the lists of differences, rarest first, are divided: the T - 1 longest are skipped, the others are merged, and
+it all. Differences that the same sets have come in bundles, as one change of a text makes several; sets that need no
+more than a bundle's differences are linked to the one of the bundle that is closest to the leader, and a bundle has one
+list. What is left apart is searched: the lists of differences, rarest first, are divided: the T - 1 longest are skipped, the others are merged, and
 each candidate is probed by binary search in the skipped ones. Sets of different leaders are searched through their
 prefixes, and probed in their whole sets.
 """
@@ -246,22 +248,38 @@ def _merge(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(search(pending), columns=["a", "b", "t"], dtype="int64")
 
 
-def _links_by_difference(diffs: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
-    """Links (a, b) between components among the sets of one leader that share the differences they need."""
+def _bundles(parts: DataFrame) -> DataFrame:
+    """leader, part, df, rep, m of the differences that more than one set has: those with the same sets are a bundle of m,
+    told by its smallest, rep."""
+    sets = [F.bit_xor(F.xxhash64("id", F.lit(k))).alias(f"sets{k}") for k in (0, 1)]
+    often = stored(parts.groupBy("leader", "part").agg(F.count(F.lit(1)).alias("df"), *sets).filter("df > 1"), "often")
+    key = ["leader", "df", "sets0", "sets1"]
+    return often.join(often.groupBy(*key).agg(F.min("part").alias("rep"), F.count(F.lit(1)).alias("m")), key).select("leader", "part", "df", "rep", "m")
+
+
+def _links_by_difference(diffs: DataFrame, star: DataFrame, rule: Rule) -> DataFrame:
+    """Links (a, b) among the sets of one leader that share the differences they need, beyond those of ``star``."""
     scale = 100 + rule.least
     parts = diffs.select("id", "size", "diff").mapInArrow(_explode_differences, "id long, part long")
     parts = stored(parts.join(diffs.select("id", "leader"), "id"), "parts")
     # Parts that no other set has come first in the order of rarity, and cannot be shared.
-    often = parts.groupBy("leader", "part").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    often = stored(_bundles(parts), "bundles")
+    members = parts.join(often.filter("part = rep").select("leader", "part", "m"), ["leader", "part"]).join(diffs.select("id", "g", "n_leader"), "id")
+    centre = members.groupBy("leader", "part").agg(F.min(F.struct("g", "id")).alias("centre"))
+    enough = F.col("g") + F.col("centre.g") <= scale * (F.col("n_leader") + F.col("m"))
+    same = members.join(centre, ["leader", "part"]).filter((F.col("id") != F.col("centre.id")) & enough)
+    same = stored(same.select(F.col("id").alias("a"), F.col("centre.id").alias("b")).distinct(), "same")
+    labels = components(star.union(same))
     least_g = diffs.filter("size > 0").groupBy("leader").agg(F.min("g").alias("least_g"))
     own = diffs.filter("size > 0").select("id", "leader", "n_leader", "g", "size").join(least_g, "leader")
     t_own = F.greatest(F.lit(1), F.ceil((F.col("g") + F.col("least_g") - scale * F.col("n_leader")) / scale))
     own = _with_component(own.filter(F.col("size") >= t_own).withColumn("t_own", t_own), labels)
-    common = parts.join(often, ["leader", "part"]).select("id", "part", "df").join(own.drop("least_g"), "id")
+    common = parts.join(often, ["leader", "part"]).select("id", "part", "df", "rep").join(own.drop("least_g"), "id")
     per = Window.partitionBy("id")
     placed = common.withColumn("place", F.col("size") - F.count(F.lit(1)).over(per) + F.row_number().over(per.orderBy("df", "part")) - 1)
     whole = scale * F.col("n_leader")
-    short = placed.filter(F.col("place") <= F.col("size") - F.col("t_own"))
+    # The smallest of a bundle comes first in every set, so that its list has whatever the others' have.
+    short = placed.filter((F.col("part") == F.col("rep")) & (F.col("place") <= F.col("size") - F.col("t_own")))
     kinds = short.groupBy("leader", "part").agg(F.count(F.lit(1)).alias("length"), F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 < c2")
     lists = stored(short.join(kinds.select("leader", "part", "length"), ["leader", "part"]).withColumn("whole", whole), "lists")
     member = F.struct("id", "component", "g", "size", "place")
@@ -276,7 +294,7 @@ def _links_by_difference(diffs: DataFrame, labels: DataFrame, rule: Rule) -> Dat
     pairs = merged.union(met.select(F.col("id"), F.col("id_b"), t)).dropDuplicates(["a", "b"])
     with_a = pairs.join(diffs.select(F.col("id").alias("a"), F.col("diff").alias("diff_a")), "a")
     both = with_a.join(diffs.select(F.col("id").alias("b"), F.col("diff").alias("diff_b")), "b")
-    return both.select("a", "b", "t", "diff_a", "diff_b").mapInArrow(_probed, "a long, b long")
+    return same.union(both.select("a", "b", "t", "diff_a", "diff_b").mapInArrow(_probed, "a long, b long"))
 
 
 def _pairs_over_leaders(lists: DataFrame, named: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
@@ -306,8 +324,7 @@ def links_of(sets: DataFrame, rule: Rule) -> DataFrame:
     centre = diffs.groupBy("leader").agg(F.min(F.struct("g", "id")).alias("centre"))
     outright = F.col("g") + F.col("centre.g") <= (100 + rule.least) * F.col("n_leader")
     star = stored(diffs.join(centre, "leader").filter((F.col("id") != F.col("centre.id")) & outright).select(F.col("id").alias("a"), F.col("centre.id").alias("b")), "star")
-    labels = components(star)
-    close = stored(_links_by_difference(diffs, labels, rule), "close")
+    close = stored(_links_by_difference(diffs, star, rule), "close")
     labels = components(star.union(close))
     over = verified(_pairs_over_leaders(lists, named, labels, rule), sets, rule)
     return stored(star.union(close).union(over), "links")
