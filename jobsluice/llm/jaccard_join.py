@@ -249,38 +249,38 @@ def _merge(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _bundles(parts: DataFrame) -> DataFrame:
-    """leader, part, df, rep, m of the differences that more than one set has: those with the same sets are a bundle of m,
-    told by its smallest, rep."""
+    """leader, part, df, m: of the differences that more than one set has, one set of them not linked outright, those with
+    the same sets are a bundle of m. It is told by the smallest, and df sets have it."""
     sets = [F.bit_xor(F.xxhash64("id", F.lit(k))).alias(f"sets{k}") for k in (0, 1)]
-    often = stored(parts.groupBy("leader", "part").agg(F.count(F.lit(1)).alias("df"), *sets).filter("df > 1"), "often")
-    key = ["leader", "df", "sets0", "sets1"]
-    return often.join(often.groupBy(*key).agg(F.min("part").alias("rep"), F.count(F.lit(1)).alias("m")), key).select("leader", "part", "df", "rep", "m")
+    often = parts.groupBy("leader", "part").agg(F.count(F.lit(1)).alias("df"), F.bool_and("outright").alias("done"), *sets).filter("df > 1 and not done")
+    return often.groupBy("leader", "df", "sets0", "sets1").agg(F.min("part").alias("part"), F.count(F.lit(1)).alias("m")).select("leader", "part", "df", "m")
 
 
 def _links_by_difference(diffs: DataFrame, star: DataFrame, rule: Rule) -> DataFrame:
     """Links (a, b) among the sets of one leader that share the differences they need, beyond those of ``star``."""
     scale = 100 + rule.least
-    parts = diffs.select("id", "size", "diff").mapInArrow(_explode_differences, "id long, part long")
-    parts = stored(parts.join(diffs.select("id", "leader"), "id"), "parts")
-    # Parts that no other set has come first in the order of rarity, and cannot be shared.
-    often = stored(_bundles(parts), "bundles")
-    members = parts.join(often.filter("part = rep").select("leader", "part", "m"), ["leader", "part"]).join(diffs.select("id", "g", "n_leader"), "id")
+    # The fewest differences that a set shares with any partner; sets that have fewer are left out.
+    t_own = F.greatest(F.lit(1), F.ceil((F.col("g") + F.col("least_g") - scale * F.col("n_leader")) / scale))
+    least_g = diffs.filter("size > 0").groupBy("leader").agg(F.min("g").alias("least_g"))
+    own = diffs.filter("size > 0").join(least_g, "leader").withColumn("t_own", t_own).filter("size >= t_own").drop("least_g")
+    own = stored(own, "own")
+    parts = own.select("id", "size", "diff").mapInArrow(_explode_differences, "id long, part long")
+    parts = stored(parts.join(own.select("id", "leader", "outright"), "id"), "parts")
+    members = parts.select("id", "leader", "part").join(_bundles(parts), ["leader", "part"])
+    members = stored(members.join(own.select("id", "g", "n_leader", "size", "t_own"), "id"), "members")
     centre = members.groupBy("leader", "part").agg(F.min(F.struct("g", "id")).alias("centre"))
     enough = F.col("g") + F.col("centre.g") <= scale * (F.col("n_leader") + F.col("m"))
     same = members.join(centre, ["leader", "part"]).filter((F.col("id") != F.col("centre.id")) & enough)
     same = stored(same.select(F.col("id").alias("a"), F.col("centre.id").alias("b")).distinct(), "same")
     labels = components(star.union(same))
-    least_g = diffs.filter("size > 0").groupBy("leader").agg(F.min("g").alias("least_g"))
-    own = diffs.filter("size > 0").select("id", "leader", "n_leader", "g", "size").join(least_g, "leader")
-    t_own = F.greatest(F.lit(1), F.ceil((F.col("g") + F.col("least_g") - scale * F.col("n_leader")) / scale))
-    own = _with_component(own.filter(F.col("size") >= t_own).withColumn("t_own", t_own), labels)
-    common = parts.join(often, ["leader", "part"]).select("id", "part", "df", "rep").join(own.drop("least_g"), "id")
+    # In the order of rarity, bundle by bundle; what has no bundle here comes first: no pair still apart shares it. A set has
+    # a bundle whole or not at all, so that the list of its first difference has whatever the others' have.
     per = Window.partitionBy("id")
-    placed = common.withColumn("place", F.col("size") - F.count(F.lit(1)).over(per) + F.row_number().over(per.orderBy("df", "part")) - 1)
-    whole = scale * F.col("n_leader")
-    # The smallest of a bundle comes first in every set, so that its list has whatever the others' have.
-    short = placed.filter((F.col("part") == F.col("rep")) & (F.col("place") <= F.col("size") - F.col("t_own")))
+    before = F.sum("m").over(per.orderBy("df", "part").rowsBetween(Window.unboundedPreceding, -1))
+    placed = members.withColumn("place", F.col("size") - F.sum("m").over(per) + F.coalesce(before, F.lit(0)))
+    short = _with_component(placed.filter(F.col("place") <= F.col("size") - F.col("t_own")), labels)
     kinds = short.groupBy("leader", "part").agg(F.count(F.lit(1)).alias("length"), F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 < c2")
+    whole = scale * F.col("n_leader")
     lists = stored(short.join(kinds.select("leader", "part", "length"), ["leader", "part"]).withColumn("whole", whole), "lists")
     member = F.struct("id", "component", "g", "size", "place")
     members = lists.filter(F.col("length") <= LONG).groupBy("leader", "part").agg(F.sort_array(F.collect_list(member)).alias("members"))
@@ -322,8 +322,9 @@ def links_of(sets: DataFrame, rule: Rule) -> DataFrame:
     diffs = with_leader.select("id", "leader", "grams", "of_leader").mapInArrow(_differences(rule), "id long, leader long, n_leader long, g long, size long, diff binary")
     diffs = stored(diffs, "differences")
     centre = diffs.groupBy("leader").agg(F.min(F.struct("g", "id")).alias("centre"))
-    outright = F.col("g") + F.col("centre.g") <= (100 + rule.least) * F.col("n_leader")
-    star = stored(diffs.join(centre, "leader").filter((F.col("id") != F.col("centre.id")) & outright).select(F.col("id").alias("a"), F.col("centre.id").alias("b")), "star")
+    # Sets of one leader that are linked outright with its centre are one component: of two of them no more is asked.
+    diffs = diffs.join(centre, "leader").withColumn("outright", F.col("g") + F.col("centre.g") <= (100 + rule.least) * F.col("n_leader"))
+    star = stored(diffs.filter("outright and id != centre.id").select(F.col("id").alias("a"), F.col("centre.id").alias("b")), "star")
     close = stored(_links_by_difference(diffs, star, rule), "close")
     labels = components(star.union(close))
     over = verified(_pairs_over_leaders(lists, named, labels, rule), sets, rule)
