@@ -261,8 +261,7 @@ def _links_by_difference(diffs: DataFrame, star: DataFrame, rule: Rule) -> DataF
     scale = 100 + rule.least
     # The fewest differences that a set shares with any partner; sets that have fewer are left out.
     t_own = F.greatest(F.lit(1), F.ceil((F.col("g") + F.col("least_g") - scale * F.col("n_leader")) / scale))
-    least_g = diffs.filter("size > 0").groupBy("leader").agg(F.min("g").alias("least_g"))
-    own = diffs.filter("size > 0").join(least_g, "leader").withColumn("t_own", t_own).filter("size >= t_own").drop("least_g")
+    own = diffs.filter("size > 0").withColumn("t_own", t_own).filter("size >= t_own").select("id", "leader", "n_leader", "g", "size", "diff", "outright", "t_own")
     own = stored(own, "own")
     parts = own.select("id", "size", "diff").mapInArrow(_explode_differences, "id long, part long")
     parts = stored(parts.join(own.select("id", "leader", "outright"), "id"), "parts")
@@ -292,8 +291,8 @@ def _links_by_difference(diffs: DataFrame, star: DataFrame, rule: Rule) -> DataF
     room = (t >= 1) & (F.col("place") <= F.col("size") - t) & (F.col("place_b") <= F.col("size_b") - t)
     met = long.join(other, ["leader", "part"]).filter((F.col("id_b") < F.col("id")) & (F.col("component") != F.col("component_b")) & room)
     pairs = merged.union(met.select(F.col("id"), F.col("id_b"), t)).dropDuplicates(["a", "b"])
-    with_a = pairs.join(diffs.select(F.col("id").alias("a"), F.col("diff").alias("diff_a")), "a")
-    both = with_a.join(diffs.select(F.col("id").alias("b"), F.col("diff").alias("diff_b")), "b")
+    with_a = pairs.join(own.select(F.col("id").alias("a"), F.col("diff").alias("diff_a")), "a")
+    both = with_a.join(own.select(F.col("id").alias("b"), F.col("diff").alias("diff_b")), "b")
     return same.union(both.select("a", "b", "t", "diff_a", "diff_b").mapInArrow(_probed, "a long, b long"))
 
 
@@ -321,9 +320,11 @@ def links_of(sets: DataFrame, rule: Rule) -> DataFrame:
     with_leader = grams.join(named, "id").join(grams.select(F.col("id").alias("leader"), F.col("grams").alias("of_leader")), "leader")
     diffs = with_leader.select("id", "leader", "grams", "of_leader").mapInArrow(_differences(rule), "id long, leader long, n_leader long, g long, size long, diff binary")
     diffs = stored(diffs, "differences")
-    centre = diffs.groupBy("leader").agg(F.min(F.struct("g", "id")).alias("centre"))
+    least_g = F.min(F.when(F.col("size") > 0, F.col("g"))).alias("least_g")
+    groups = stored(diffs.groupBy("leader").agg(F.min(F.struct("g", "id")).alias("centre"), least_g, F.count(F.lit(1)).alias("members")), "groups")
+    diffs = join_counted(diffs, groups, ["leader"], "members", diffs.count(), ["id"])
     # Sets of one leader that are linked outright with its centre are one component: of two of them no more is asked.
-    diffs = diffs.join(centre, "leader").withColumn("outright", F.col("g") + F.col("centre.g") <= (100 + rule.least) * F.col("n_leader"))
+    diffs = diffs.withColumn("outright", F.col("g") + F.col("centre.g") <= (100 + rule.least) * F.col("n_leader"))
     star = stored(diffs.filter("outright and id != centre.id").select(F.col("id").alias("a"), F.col("centre.id").alias("b")), "star")
     close = stored(_links_by_difference(diffs, star, rule), "close")
     labels = components(star.union(close))
