@@ -14,8 +14,8 @@ differences. Where that is none or less they are linked outright, and a star aro
 it all. Differences that the same sets have come in bundles, as one change of a text makes several; sets that need no
 more than a bundle's differences are linked to the one of the bundle that is closest to the leader, and a bundle has one
 list. What is left apart is searched: the lists of differences, rarest first, are divided: the T - 1 longest are skipped, the others are merged, and
-each candidate is probed by binary search in the skipped ones. Sets of different leaders are searched through their
-prefixes, and probed in their whole sets.
+each candidate is probed by binary search in the skipped ones. Sets of different leaders are searched through the lists of
+their prefixes likewise: of each set the longest are skipped, and candidates are probed in their whole sets.
 """
 
 from __future__ import annotations
@@ -297,18 +297,33 @@ def _links_by_difference(diffs: DataFrame, star: DataFrame, rule: Rule) -> DataF
 
 
 def _pairs_over_leaders(lists: DataFrame, named: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs (a, b) of different leaders and components that occur together in enough lists."""
+    """Pairs (a, b) of different leaders and components that may occur together in enough lists.
+
+    A set that needs T occurrences with any partner skips its T - 1 longest lists: a partner stands in one of the others.
+    """
     rows = _with_component(lists, labels).join(named, "id")
-    mixed_lists = rows.groupBy("gram").agg(F.min("leader").alias("l1"), F.max("leader").alias("l2"), F.min("component").alias("c1"), F.max("component").alias("c2"))
-    open_ = stored(rows.join(mixed_lists.filter("l1 < l2 and c1 < c2").select("gram"), "gram"), "open")
+    open_ = stored(_mixed(rows), "open")
     enough = open_.groupBy("id").agg(F.count(F.lit(1)).alias("k"), F.max("n").alias("n")).filter(F.col("k") >= rule.needed(F.col("n"), EXTRA_LEFT)).select("id")
     open_ = stored(open_.join(enough, "id", "left_semi"), "open")
-    other = open_.select("gram", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "component", "leader")])
+    lengths = open_.groupBy("gram").agg(F.count(F.lit(1)).alias("length"))
+    per = Window.partitionBy("id")
+    # The order of length and hash is one for all sets, so that of what two of them share each has the first among its shortest.
+    place = F.row_number().over(per.orderBy("length", "gram"))
+    placed = open_.join(lengths, "gram").withColumn("place", place).withColumn("k", F.count(F.lit(1)).over(per))
+    smallest = F.ceil(rule.least * F.col("n") / 100)
+    short = stored(_mixed(placed.filter(F.col("place") <= F.col("k") - rule.needed(smallest, EXTRA_LEFT) + 1)), "short")
+    other = short.select("gram", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "component", "leader", "place", "k")])
     differ = (F.col("id_b") < F.col("id")) & (F.col("component") != F.col("component_b")) & (F.col("leader") != F.col("leader_b"))
-    met = open_.join(other, "gram").filter(differ & rule.compatible(F.col("n"), F.col("n_b")))
-    counted = met.groupBy("id", "id_b").agg(F.count(F.lit(1)).alias("k"), F.first("n").alias("n"), F.first("n_b").alias("n_b"))
-    need = F.least(rule.needed(F.col("n"), EXTRA_LEFT), rule.needed(F.col("n_b"), EXTRA_LEFT))
-    return counted.filter(F.col("k") >= need).select(F.col("id").alias("a"), F.col("id_b").alias("b"))
+    t = rule.needed(F.least("n", "n_b"), EXTRA_LEFT)
+    room = (F.col("place") <= F.col("k") - t + 1) & (F.col("place_b") <= F.col("k_b") - t + 1)
+    met = short.join(other, "gram").filter(differ & rule.compatible(F.col("n"), F.col("n_b")) & room)
+    return met.select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The rows in lists that hold sets of different leaders and of different components."""
+    kinds = rows.groupBy("gram").agg(F.min("leader").alias("l1"), F.max("leader").alias("l2"), F.min("component").alias("c1"), F.max("component").alias("c2"))
+    return rows.join(kinds.filter("l1 < l2 and c1 < c2").select("gram"), "gram")
 
 
 def links_of(sets: DataFrame, rule: Rule) -> DataFrame:

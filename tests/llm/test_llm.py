@@ -252,6 +252,20 @@ def test_components_are_those_of_all_pairs(spark, monkeypatch, seed, size, least
     assert got == brute_components(texts, size, least)
 
 
+def test_no_link_between_leaders_is_missed(spark):
+    rule = jaccard_join.Rule(3, 80)
+    texts = near_copies(4, 150)
+    docs = spark.createDataFrame(list(texts.items()), "id long, text string")
+    sets = docs.mapInArrow(jaccard_join._whole(3), "id long, n int, key1 long, key2 long, grams binary").filter("n > 0").select("id", "n", "grams")
+    lists = sets.mapInArrow(jaccard_join._explode_prefixes(rule), "gram long, id long, n int")
+    apart = docs.select("id", F.col("id").alias("leader"))
+    pairs = jaccard_join._pairs_over_leaders(lists, apart, docs.select("id", F.col("id").alias("component")).limit(0), rule)
+    got = {(r["a"], r["b"]) for r in jaccard_join.verified(pairs, sets, rule).collect()}
+    grams = {r["id"]: set(np.frombuffer(r["grams"], np.uint64).tolist()) for r in sets.collect()}
+    want = {(a, b) for a in grams for b in grams if b < a and 100 * len(grams[a] & grams[b]) >= 80 * len(grams[a] | grams[b])}
+    assert got == want and len(want) > 100
+
+
 def test_jaccard_of_the_awkward(spark, awkward, empty):
     rows = jaccard_join.near_duplicates(awkward, jaccard_join.Rule(4, 85)).collect()
     assert len(rows) == awkward.count()
