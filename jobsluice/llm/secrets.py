@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobsluice.llm.common import SPACES, read, stored, text_of
@@ -16,6 +16,8 @@ SHORTEST = 20
 DICTIONARY = 3000
 #: Bound of the findings of each label that the forest is fitted on, and of the findings planted where none are given.
 SAMPLE_ROWS, PLANTED = 8000, 8000
+#: Digits of a digest by which rows are counted, which makes a million counts at most.
+DIGITS = 5
 #: One planted finding in so many is kept from the forest, to measure it.
 HELD_OUT = 4
 TREES, DEPTH, SEED = 30, 6, 17
@@ -56,6 +58,19 @@ def _tokens(rows: DataFrame, *more: str) -> DataFrame:
     return rows.select("id", "pos", "place", F.concat(F.get("gaps", F.col("place")), "core", close).alias("word"), "core", "before", "after", "path", *more)
 
 
+def first_by_digest(rows: DataFrame, n: int) -> DataFrame:
+    """The first n rows in the order of the hexadecimal digest ``h`` and id.
+
+    Rows are counted by the first DIGITS digits before, and only those up to the n-th row's are sorted: otherwise each
+    partition would send n rows to one task.
+    """
+    start = F.left("h", F.lit(DIGITS)).alias("start")
+    upto = F.sum("n").over(Window.orderBy("start").rowsBetween(Window.unboundedPreceding, 0))
+    last = rows.groupBy(start).agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto).filter(F.col("upto") >= n).agg(F.min("start")).first()[0]
+    few = rows if last is None else rows.filter(F.left("h", F.lit(DIGITS)) <= last)
+    return few.orderBy("h", "id").limit(n)
+
+
 def planted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
     """Candidates whose outcome is known because they were put there: candidates' columns, label and held_out.
 
@@ -69,7 +84,7 @@ def planted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
     cut = lambda first, n: F.transform(F.slice("w", first, F.lit(n)), lambda x: F.left(x, F.lit(100)))
     rows = words.select("id", "path", cut(at + 1, 3).alias("b"), cut(at + 4, 2).alias("a"), cut(at + 4, 4).alias("joined"))
     rows = rows.withColumn("h", F.sha2(F.concat_ws(" ", F.lit("planted"), F.col("id").cast("string"), "path", F.array_join("b", " ")), 256))
-    rows = rows.orderBy("h", "id").limit(PLANTED)
+    rows = first_by_digest(rows, PLANTED)
     pick = lambda n, k: F.pmod(F.xxhash64("h", F.lit(k)), F.lit(n)) + 1
     one_of = lambda k, *words: F.element_at(F.array(*map(F.lit, words)), pick(len(words), k).cast("int"))
     hexa, packed = F.left("h", 8 * (pick(3, 1) + 2)), F.base64(F.unhex("h"))

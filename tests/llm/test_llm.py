@@ -266,6 +266,12 @@ def test_no_link_between_leaders_is_missed(spark):
     assert got == want and len(want) > 100
 
 
+@pytest.mark.parametrize("n", [0, 1, 70, 400, 500])
+def test_first_by_digest_is_the_head_of_the_order(spark, n):
+    rows = spark.range(400).select((F.col("id") % 300).alias("id")).withColumn("h", F.sha2((F.col("id") % 90).cast("string"), 256))
+    assert sorted(secrets.first_by_digest(rows, n).collect()) == sorted(rows.orderBy("h", "id").limit(n).collect())
+
+
 def test_jaccard_of_the_awkward(spark, awkward, empty):
     rows = jaccard_join.near_duplicates(awkward, jaccard_join.Rule(4, 85)).collect()
     assert len(rows) == awkward.count()
