@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from jobsluice.llm import bpe, chat, decontaminate, exact_dedup, jaccard_join, language, secrets, substring_dedup, toxicity, url_filter
+from jobsluice.llm import bpe, chat, decontaminate, exact_dedup, fill_middle, filter_audit, jaccard_join, language, secrets, substring_dedup, toxicity, url_filter
 
 LLM_QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,10 +15,14 @@ LLM_QUERIES = {
     "op8_secret_scan": secrets.op8_secret_scan,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_fill_middle": fill_middle.op11_fill_middle,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 LLM_ORACLES = {
     "op2_chat_format": chat.ORACLE,
     "op4_url_filter": url_filter.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
+    "op11_fill_middle": fill_middle.ORACLE,
+    "op13_filter_audit": filter_audit.ORACLE,
 }
