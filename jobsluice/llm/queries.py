@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from jobsluice.llm import bpe, chat, decontaminate, exact_dedup, fill_middle, filter_audit, jaccard_join, language, secrets, substring_dedup, toxicity, url_filter
+from jobsluice.llm import bpe, chat, decontaminate, exact_dedup, fill_middle, filter_audit, jaccard_join, language, pii, secrets, substring_dedup, toxicity, url_filter
 
 LLM_QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -16,6 +16,7 @@ LLM_QUERIES = {
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_decontaminate": decontaminate.op10_decontaminate,
     "op11_fill_middle": fill_middle.op11_fill_middle,
+    "op12_pii": pii.op12_pii,
     "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 LLM_ORACLES = {
