@@ -15,7 +15,6 @@ from jobsluice.sources.work import shared_dir
 #: All orders are reported, which are 5,040 for so many filters.
 MOST_FILTERS = 7
 SEPARATORS = " \t\n\x0b\f\r"
-FIGURES = {"n": F.lit(1), "good": F.col("good").cast("int"), "toxic": F.col("toxic").cast("int")}
 
 
 def row_failures(text: Column) -> dict[str, Column]:
@@ -84,7 +83,7 @@ def failure_classes(members: DataFrame, failing: dict[str, DataFrame], labels: D
         split = stored(hit.unionByName(_among(rows, ids, "left_anti")), "failing")
         dropped(rows)
         rows = split
-    classes = stored(rows.groupBy("part", "failed").agg(*[F.sum(c).cast("long").alias(k) for k, c in FIGURES.items()]), "classes")
+    classes = stored(rows.groupBy("part", "failed").agg(F.count(F.lit(1)).alias("n"), F.count_if("good").alias("good"), F.count_if("toxic").alias("toxic")), "classes")
     dropped(rows)
     return classes
 

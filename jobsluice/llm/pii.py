@@ -86,15 +86,15 @@ GENERATORS = [
 PLAIN = 4
 
 
-def prefix_sums(xs: Column) -> Column:
-    """Running sums of an array of long, in blocks of FOLD, so that a fold never copies a long array."""
-    zero = lambda: F.struct(F.lit(0).cast("long").alias("s"), F.array().cast("array<bigint>").alias("a"))
-    fold = lambda part: F.aggregate(part, zero(), lambda acc, x: F.struct((acc["s"] + x).alias("s"), F.concat(acc["a"], F.array(acc["s"] + x)).alias("a")))["a"]
-    places = F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / FOLD).cast("int"))
-    blocks = F.transform(places, lambda b: fold(F.slice(xs, b * FOLD + 1, FOLD)))
-    bases = fold(F.transform(blocks, lambda b: F.element_at(b, -1)))
-    moved = F.transform(blocks, lambda block, i: F.transform(block, lambda v: v + F.when(i > 0, F.get(bases, i - 1)).otherwise(0)))
-    return F.when(F.size(xs) > 0, F.flatten(moved)).otherwise(F.array().cast("array<bigint>"))
+def _running(xs: Column) -> Column:
+    """Running sums of a short array of long."""
+    start = F.struct(F.lit(0).cast("long").alias("s"), F.array().cast("array<bigint>").alias("a"))
+    return F.aggregate(xs, start, lambda acc, x: F.struct((acc["s"] + x).alias("s"), F.concat(acc["a"], F.array(acc["s"] + x)).alias("a")))["a"]
+
+
+def _blocks(xs: Column) -> Column:
+    """The array in blocks of FOLD, so that a fold never copies a long one."""
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / FOLD).cast("int")), lambda b: F.slice(xs, b * FOLD + 1, FOLD))
 
 
 def _placed(generators: Column, plain: bool) -> Column:
@@ -116,6 +116,10 @@ def _placed(generators: Column, plain: bool) -> Column:
     return F.flatten(F.transform(chosen, of_one))
 
 
+def _with(kept: list[str], name: str, of: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda p: F.struct(*[p[c].alias(c) for c in kept], of(p).alias(name))
+
+
 def proposals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", more: tuple[str, ...] = ()) -> DataFrame:
     """id, sha (of the text), base and wide: arrays of the proposals of the plain and of the other generators.
 
@@ -132,10 +136,16 @@ def proposals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     rows = rows.select("id", sha, "text", *more, *found)
     parts = [F.when(F.size(f"m{k}") > 0, F.struct(F.lit(k).alias("k"), F.col(f"m{k}").alias("m"), F.split("text", p, -1).alias("g"))) for k, p in enumerate(patterns)]
     rows = rows.select("id", "sha", *more, F.array_compact(F.array(*parts)).alias("p"))
-    # Each sum in a column of its own: what a lambda is made of is worked out again for each of its elements.
     step = lambda p: F.transform(F.slice(p["g"], 1, F.size(p["m"])), lambda g, i: (F.length(g) + F.when(i > 0, F.length(F.get(p["m"], i - 1))).otherwise(0)).cast("long"))
-    rows = rows.select("id", "sha", *more, F.transform("p", lambda p: F.struct(p["k"].alias("k"), p["m"].alias("m"), p["g"].alias("g"), step(p).alias("t"))).alias("p"))
-    rows = rows.select("id", "sha", *more, F.transform("p", lambda p: F.struct(p["k"].alias("k"), p["m"].alias("m"), p["g"].alias("g"), prefix_sums(p["t"]).alias("s"))).alias("p"))
+    moved = lambda p: F.flatten(F.transform(p["b"], lambda block, i: F.transform(block, lambda v: v + F.when(i > 0, F.get(p["c"], i - 1)).otherwise(0))))
+    # Places are running sums over blocks, and over the blocks' ends. Each stage is a column of its own: what a lambda is
+    # made of is worked out again for each of its elements.
+    stages = [("t", step), ("t", lambda p: _blocks(p["t"])), ("b", lambda p: F.transform(p["t"], _running)), ("c", lambda p: _running(F.transform(p["b"], lambda x: F.element_at(x, -1)))), ("s", moved)]
+    held = {"k", "m", "g"}
+    for name, of in stages:
+        kept = [c for c in ("k", "m", "g", "t", "b", "c") if c in held and c != name and not (c == "t" and name in ("c", "s"))]
+        rows = rows.select("id", "sha", *more, F.transform("p", _with(kept, name, of)).alias("p"))
+        held = {*kept, name}
     return rows.select("id", "sha", F.array_sort(_placed(F.col("p"), True)).alias("base"), _placed(F.col("p"), False).alias("wide"), *more)
 
 
@@ -182,9 +192,12 @@ def planted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     if total > 2 * PLANTED:
         # Digests are even, so that about twice as many as wanted are sorted, however large the table is.
         rows = rows.filter(F.conv(F.left("h", F.lit(13)), 16, 10).cast("long") < int(2 * PLANTED / total * 16**13))
-    rows = rows.select("h", F.split(F.substring("text", 1, 4000), f"[{SPACES}]+").alias("w")).orderBy("h", "w").limit(PLANTED)
     pick = lambda n, k: (F.pmod(F.xxhash64("h", F.lit(k)), F.lit(n)) + 1).cast("int")
     one_of = lambda k, *words: F.element_at(F.array(*map(F.lit, words)), pick(len(words), k))
+    rows = rows.select("h", F.split(F.substring("text", 1, 4000), f"[{SPACES}]+").alias("w"))
+    place = F.greatest(F.lit(1), F.least(F.size("w") - 7, pick(400, 61)))
+    cut = lambda first, n: F.array_join(F.transform(F.slice("w", first, n), lambda x: F.left(x, F.lit(60))), " ")
+    rows = rows.select("h", cut(place, 4).alias("head"), cut(place + 4, 3).alias("tail")).orderBy("h", "head", "tail").limit(PLANTED)
     rows = rows.withColumn("number", F.translate(F.sha2(F.concat(F.lit("digits"), "h"), 256), "abcdef", "123456"))
     d = lambda first, n: F.substring("number", first, n)
     octet = lambda k: F.pmod(F.xxhash64("h", F.lit(k)), F.lit(256)).cast("string")
@@ -223,9 +236,7 @@ def planted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         made(3, 0.0, F.lit(None), F.concat_ws(" ", d(1, 2), d(3, 2), d(5, 3), d(8, 2))),
     ]
     rows = rows.withColumn("p", F.element_at(F.array(*kinds), pick(len(kinds), 60)))
-    place = F.greatest(F.lit(1), F.least(F.size("w") - 7, pick(400, 61)))
-    cut = lambda first, n: F.array_join(F.transform(F.slice("w", first, n), lambda x: F.left(x, F.lit(60))), " ")
-    rows = rows.select("h", "p.*", cut(place, 4).alias("head"), cut(place + 4, 3).alias("tail"), (pick(HELD_OUT, 62) == 1).alias("held_out"))
+    rows = rows.select("h", "p.*", "head", "tail", (pick(HELD_OUT, 62) == 1).alias("held_out"))
     head = F.concat("head", F.lit(" "), "cue", F.when(F.col("cue") == "", "").otherwise(" "))
     rows = rows.withColumn("from", F.length(head)).withColumn("text", F.concat(head, "what", F.lit(" "), "tail")).withColumn("to", F.col("from") + F.length("what"))
     found = proposals(stored(rows, "planted"), "h", "text", ("planted", "label", "held_out", "from", "to")).withColumn("c", F.explode("wide"))
