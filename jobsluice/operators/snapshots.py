@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def _sides(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -47,14 +48,43 @@ def archive(rows: DataFrame, time: str, cutoff: Column) -> tuple[DataFrame, Data
     return rows.filter(~old), rows.filter(old).withColumn("month", F.date_format(time, "yyyy-MM"))
 
 
+def write_archive(old: DataFrame, path: str) -> None:
+    """Archived rows (with ``month``) at ``path``: months that they hold are replaced whole, others stay.
+
+    Writing the same rows again changes nothing. A large month is written by several tasks.
+    """
+    old.hint("rebalance", "month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
+
+
+def archived(spark: SparkSession, path: str, schema: StructType, months: list[str] | None = None) -> DataFrame:
+    """The archive's rows of the months asked for, whose folders alone are read; ``schema`` is that of the rows, with month."""
+    rows = spark.read.schema(schema).parquet(path)
+    return rows if months is None else rows.filter(F.col("month").isin(months))
+
+
+def whole_row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
+    """kind of the rows that only one side has, each as often as it has more of them: for datasets without a known key.
+
+    Columns that one side lacks are null there; equal rows are counted on both sides before they meet.
+    """
+    lack = lambda df, other: df.select(*df.columns, *[F.lit(None).cast(other.schema[c].dataType).alias(c) for c in other.columns if c not in df.columns])
+    a, b = lack(left, right), lack(right, left)
+    columns = sorted(a.columns)
+    count = lambda df, sign: df.select(*columns).groupBy(*columns).agg((F.lit(sign) * F.count(F.lit(1))).alias("_n"))
+    more = count(a, 1).unionByName(count(b, -1)).groupBy(*columns).agg(F.sum("_n").alias("_n")).filter("_n <> 0")
+    return more.select(F.when(F.col("_n") > 0, "left_only").otherwise("right_only").alias("kind"), F.explode(F.sequence(F.lit(1), F.abs("_n").cast("int"))).alias("_k")).select("kind")
+
+
 def parity_report(spark: SparkSession, pairs: list[tuple[str, str | None, str | None]], keys: dict[str, list[str]]) -> DataFrame:
     """dataset, kind, n: the differing rows of each pair of datasets (name, left path, right path), by kind.
 
-    A dataset that one side lacks differs in all its rows.
+    A dataset that one side lacks differs in all its rows; one without keys is compared by whole rows.
     """
     parts = []
     for name, left, right in pairs:
-        if left and right:
+        if left and right and name not in keys:
+            rows = whole_row_differences(spark.read.parquet(left), spark.read.parquet(right))
+        elif left and right:
             rows = differences(spark.read.parquet(left), spark.read.parquet(right), keys[name]).select("kind")
         else:
             rows = spark.read.parquet(left or right).select(F.lit("left_only" if left else "right_only").alias("kind"))
