@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,45 +15,24 @@ from jobsluice.streaming.intake import new_rows, run_available, run_each
 from jobsluice.streaming.windows import paired_streams, session_results, session_stream, sliding_results, sliding_windows
 from jobsluice.streaming.stateful import dedup_with_ttl, health_stream, lifecycle_stream
 
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     return new_rows(spark, f"{sf_dir.rstrip('/')}/events*.parquet", schema)  # a pattern: a stream reads folders or patterns
 
 
-@contextmanager
-def _stateful(spark: SparkSession):
-    """The state store that stateful processors need, for as long as the stream runs."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, ROCKS)
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
-
-
 @register("b2_stream_ttl", """SELECT event_id, user_id AS key, epoch_us(ts) AS micros FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events)
     WHERE p IS NULL OR epoch_us(ts) - epoch_us(p) > 7 * 86400 * 1000000::BIGINT""")
 def b2_stream_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = shared_dir(spark, "stream")
-    with _stateful(spark):
-        run_available(dedup_with_ttl(_events(spark, sf_dir), "user_id", "ts", 7 * 86400), f"{work}/out", f"{work}/checkpoint")
-    return spark.read.schema("event_id long, key long, micros long").parquet(f"{work}/out")
+    dedup_with_ttl(_events(spark, sf_dir), "user_id", "ts", 7 * 86400, f"{work}/kept", f"{work}/checkpoint")
+    return spark.read.schema("event_id long, key long, micros long").parquet(f"{work}/kept/out").select("event_id", "key", "micros")
 
 
 def _lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events of the lifecycle: keys expire after 7 days, are forgotten after 28, rows may be a minute late."""
     work = shared_dir(spark, "stream")
-
-    def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{work}/out/batch={number}")
-
-    with _stateful(spark):
-        run_each(lifecycle_stream(_events(spark, sf_dir), "user_id", "ts", 7 * 86400, 28 * 86400, "1 minute"), keep, f"{work}/checkpoint")
-    return spark.read.schema("key long, event string, micros long, n long").parquet(f"{work}/out").select("key", "event", "micros", "n")
+    lifecycle_stream(_events(spark, sf_dir), "user_id", "ts", 7 * 86400, 28 * 86400, 60, f"{work}/kept", f"{work}/checkpoint")
+    return spark.read.schema("key long, event string, micros long, n long").parquet(f"{work}/kept/out").select("key", "event", "micros", "n")
 
 
 @register("b21_lifecycle", "SELECT user_id AS key, 'new' AS event, max(epoch_us(ts)) AS micros, count(*) AS n FROM events GROUP BY user_id")

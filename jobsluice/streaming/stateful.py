@@ -1,167 +1,122 @@
-"""Stateful streams: deduplication with expiry and the lifecycle of keys."""
+"""Stateful streams: deduplication with expiry and the lifecycle of keys.
 
-from __future__ import annotations
+A key's state is a row of a table for each batch, as in streaming.windows: Spark sorts a batch's rows, spills them and deals
+them by key, and a batch that is run again overwrites what it wrote.
+"""
 
-import heapq
-import os
-import tempfile
-from collections.abc import Iterator
-from itertools import islice
+from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-
-#: Rows of one key and batch that are sorted in memory; more are sorted in runs on disk and merged.
-RUN_ROWS = 1_000_000
-BLOCK_ROWS = 10_000
-
-
-def sorted_blocks(rows: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
-    """The integer columns ``by`` of all rows, in their order, a block at a time; at most RUN_ROWS rows are held at once."""
-    with tempfile.TemporaryDirectory(prefix="runs-") as folder:
-        runs, held = [], []
-
-        def run() -> np.ndarray:
-            table = pd.concat(held)[by].to_numpy("int64")
-            held.clear()
-            return table[np.lexsort(table.T[::-1])]
 
-        for pdf in rows:
-            held.append(pdf)
-            if sum(map(len, held)) >= RUN_ROWS:
-                path = os.path.join(folder, f"{len(runs)}.npy")
-                np.save(path, run())
-                runs.append(np.load(path, mmap_mode="r"))
-        if held:
-            runs.append(run())
-        if len(runs) == 1:
-            for first in range(0, len(runs[0]), BLOCK_ROWS):
-                yield pd.DataFrame(runs[0][first : first + BLOCK_ROWS], columns=by)
-            return
-        merged = heapq.merge(*[_tuples(r) for r in runs])
-        while block := list(islice(merged, BLOCK_ROWS)):
-            yield pd.DataFrame(block, columns=by)
+from jobsluice.operators.timejoin import micros
+from jobsluice.streaming.intake import run_each
+from jobsluice.streaming.windows import watermark_before
 
 
-def _tuples(run: np.ndarray) -> Iterator[tuple[int, ...]]:
-    for first in range(0, len(run), BLOCK_ROWS):
-        yield from map(tuple, run[first : first + BLOCK_ROWS].tolist())
+def _in_order() -> Window:
+    return Window.partitionBy("key").orderBy("micros", "event_id")
 
 
-class GapRule(StatefulProcessor):
-    """Passes a row if its key's row before it is absent or older than the gap.
+def _batch(batch: DataFrame, key: str, time: str, mark: int | None, *more: str) -> DataFrame:
+    """key, micros and more of the batch's rows with a time that is not before the watermark."""
+    rows = batch.select(F.col(key).alias("key"), micros(time).alias("micros"), *more).filter("micros is not null")
+    return rows if mark is None else rows.filter(F.col("micros") >= mark)
 
-    Holds one time for each key, up to the watermark that makes any later row pass anyway.
-    """
-
-    def __init__(self, seconds: float) -> None:
-        self.micros = int(seconds * 1_000_000)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "micros long")
+def _state(spark: SparkSession, path: str, schema: str, number: int) -> DataFrame:
+    """The state after the batch before."""
+    if number == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(f"{schema}, batch long").parquet(f"{path}/state").filter(F.col("batch") == number - 1).drop("batch")
 
-    def _timer(self, last: int) -> int:
-        return (last + self.micros) // 1000 + 1
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = self.last.get()[0] if self.last.exists() else None
-        if last is not None:
-            self.handle.deleteTimer(self._timer(last))
-        # The rows of a batch come in no order; those of one key and batch are what is sorted here.
-        for pdf in sorted_blocks(rows, ["micros", "event_id"]):
-            before = pdf["micros"].shift()
-            before.iloc[0] = last if last is not None else float("nan")
-            keep = before.isna() | (pdf["micros"] - before > self.micros)
-            last = int(max(pdf["micros"].iloc[-1], last or 0))
-            yield pdf.assign(key=key[0]).loc[keep, ["event_id", "key", "micros"]]
-        self.last.update((last,))
-        self.handle.registerTimer(self._timer(last))
+def _with_state(rows: DataFrame, state: DataFrame) -> DataFrame:
+    same = F.col("key").eqNullSafe(F.col("_state.key"))
+    return rows.join(state.select(F.struct(*state.columns).alias("_state")), same, "left")
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.last.clear()
-        return iter(())
 
-    def close(self) -> None:
-        pass
+def _written(df: DataFrame, path: str, name: str, number: int) -> None:
+    df.write.mode("overwrite").parquet(f"{path}/{name}/batch={number}")
 
 
-def dedup_with_ttl(events: DataFrame, key: str, time: str, seconds: float, late: str = "1 minute") -> DataFrame:
-    """event_id, key, micros of the rows that pass the gap rule; batches must come in the order of time.
+def dedup_with_ttl(events: DataFrame, key: str, time: str, seconds: float, path: str, checkpoint: str, late: float = 60) -> None:
+    """Write event_id, key, micros of the rows that pass the gap rule to ``path``/out, a folder for each batch.
 
-    Rows without a time and such later than ``late`` are left out.
+    A row passes if its key's row before it is absent or more than ``seconds`` older. Batches must come in the order of
+    time; rows without a time and such more than ``late`` seconds behind the batches before are left out. A key's time is kept
+    until any row that may still come would pass.
     """
-    at = F.col(time).cast("timestamp")
-    rows = events.select("event_id", F.col(key).alias("key"), at.alias("at"), F.unix_micros(at).alias("micros")).filter("micros is not null").withWatermark("at", late)
-    return rows.groupBy("key").transformWithStateInPandas(GapRule(seconds), outputStructType="event_id long, key long, micros long", outputMode="Append", timeMode="EventTime")
-
-
-class Lifecycle(StatefulProcessor):
-    """Tells of every row whether its key is new, seen again or back, and when a key expires.
-
-    A row is ``seen`` up to ``seconds`` after its key's row before it, then ``back``, and after more than ``forget``
-    ``new`` again. A key without rows for longer than ``seconds`` expires: before its next row, or by a timer once the
-    watermark has passed. Its state goes once the watermark has passed ``forget``, after which any row is new by the same rule.
-    """
-
-    def __init__(self, seconds: float, forget: float) -> None:
-        self.limit, self.forget = int(seconds * 1_000_000), int(forget * 1_000_000)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("state", "micros long, n long, expired boolean")
-
-    def _timer(self, last: int, expired: bool) -> int:
-        """The first whole millisecond after the key's next limit."""
-        return (last + (self.forget if expired else self.limit)) // 1000 + 1
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last, n, expired = self.state.get() if self.state.exists() else (None, 0, False)
-        if last is not None:
-            self.handle.deleteTimer(self._timer(last, expired))
-        for block in sorted_blocks(rows, ["micros"]):
-            micros = block["micros"].to_numpy()
-            before = np.concatenate(([micros[0] - self.forget - 1 if last is None else last], micros[:-1]))
-            gap = micros - before
-            event = np.where(gap > self.forget, "new", np.where(gap > self.limit, "back", "seen"))
-            place = np.arange(len(micros))
-            started = np.maximum.accumulate(np.where(event == "new", place, -n))
-            count = place - started + 1
-            ends = gap > self.limit
-            if last is None or expired:
-                ends[0] = False
-            yield pd.DataFrame({"key": key[0], "event": "expired", "micros": before[ends] + self.limit, "n": np.concatenate(([n], count[:-1]))[ends]})
-            yield pd.DataFrame({"key": key[0], "event": event, "micros": micros, "n": count})
-            last, n, expired = int(micros[-1]), int(count[-1]), False
-        self.state.update((last, n, False))
-        self.handle.registerTimer(self._timer(last, False))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        last, n, expired = self.state.get()
-        if not expired:
-            yield pd.DataFrame({"key": [key[0]], "event": ["expired"], "micros": [last + self.limit], "n": [n]})
-        if self._timer(last, True) <= timerValues.getCurrentWatermarkInMs():
-            self.state.clear()
-        else:
-            self.state.update((last, n, True))
-            self.handle.registerTimer(self._timer(last, True))
-
-    def close(self) -> None:
-        pass
-
-
-def lifecycle_stream(events: DataFrame, key: str, time: str, seconds: float, forget: float, late: str) -> DataFrame:
-    """key, event, micros, n (rows since the key was new): one row for each row with a time, one for each expiry.
-
-    The same whatever the batches, if they come in the order of time; rows later than ``late`` are left out.
+    limit, delay = int(seconds * 1_000_000), int(late * 1_000_000)
+    schema = f"key {events.schema[key].dataType.simpleString()}, last long"
+
+    def handle(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        rows = _batch(batch, key, time, watermark_before(spark, path, number, delay), "event_id")
+        state = _state(spark, path, schema, number)
+        known = _with_state(rows, state).withColumn("before", F.greatest(F.lag("micros").over(_in_order()), F.col("_state.last")))
+        passed = known.filter(F.col("before").isNull() | (F.col("micros") - F.col("before") > limit))
+        _written(passed.select("event_id", "key", "micros"), path, "out", number)
+        _written(rows.agg(F.max("micros").alias("at")), path, "marks", number)
+        after = watermark_before(spark, path, number + 1, delay)
+        lasts = state.unionByName(rows.select("key", F.col("micros").alias("last"))).groupBy("key").agg(F.max("last").alias("last"))
+        _written(lasts if after is None else lasts.filter(F.col("last") + limit >= after), path, "state", number)
+
+    run_each(events, handle, checkpoint)
+
+
+def lifecycle_stream(events: DataFrame, key: str, time: str, seconds: float, forget: float, late: float, path: str, checkpoint: str) -> None:
+    """Write key, event, micros, n (rows since the key was new) to ``path``/out: one row for each row with a time and each expiry.
+
+    A row is ``seen`` up to ``seconds`` after its key's row before it, then ``back``, and after more than ``forget`` ``new``
+    again. A key without rows for longer than ``seconds`` expires: before its next row, or once the watermark has passed. Its
+    state goes once the watermark has passed ``forget``, after which any row is new by the same rule. The same whatever the
+    batches, if they come in the order of time; rows more than ``late`` seconds behind the batches before are left out.
     """
-    at = F.col(time).cast("timestamp")
-    rows = events.select(F.col(key).alias("key"), at.alias("at"), F.unix_micros(at).alias("micros")).filter("micros is not null").withWatermark("at", late)
-    return rows.groupBy("key").transformWithStateInPandas(Lifecycle(seconds, forget), outputStructType="key long, event string, micros long, n long", outputMode="Update", timeMode="EventTime")
+    limit, gone, delay = (int(x * 1_000_000) for x in (seconds, forget, late))
+    schema = f"key {events.schema[key].dataType.simpleString()}, last long, n long, expired boolean"
+
+    def handle(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        rows = _batch(batch, key, time, watermark_before(spark, path, number, delay)).withColumn("event_id", F.lit(0))
+        state = _state(spark, path, schema, number)
+        order = _in_order()
+        known = _with_state(rows, state).withColumn("before", F.coalesce(F.lag("micros").over(order), F.col("_state.last"))).withColumn("place", F.row_number().over(order))
+        gap = F.col("micros") - F.col("before")
+        known = known.withColumn("event", F.when(gap.isNull() | (gap > gone), "new").when(gap > limit, "back").otherwise("seen"))
+        lives = known.withColumn("life", F.sum((F.col("event") == "new").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        held = F.when(F.col("life") == 0, F.col("_state.n")).otherwise(0)
+        told = lives.withColumn("n", held + F.row_number().over(Window.partitionBy("key", "life").orderBy("place")))
+        told = told.withColumn("n_before", F.coalesce(F.lag("n").over(Window.partitionBy("key").orderBy("place")), F.col("_state.n")))
+        ends = told.filter((gap > limit) & ~((F.col("place") == 1) & F.coalesce("_state.expired", F.lit(False))))
+        _written(rows.agg(F.max("micros").alias("at")), path, "marks", number)
+        after = watermark_before(spark, path, number + 1, delay)
+        latest = told.groupBy("key").agg(F.max_by(F.struct("micros", "n"), "place").alias("_last"))
+        latest = latest.select("key", F.struct(F.col("_last.micros").alias("last"), F.col("_last.n").alias("n")).alias("_new"))
+        both = _merged(state, latest)
+        silent = F.lit(False) if after is None else ~F.col("expired") & (F.col("last") + limit < after)
+        both = both.withColumn("expires", silent)
+        event = lambda df, name, at, n: df.select("key", F.lit(name).alias("event") if isinstance(name, str) else name, at.alias("micros"), n.alias("n"))
+        out = event(told, F.col("event"), F.col("micros"), F.col("n"))
+        out = out.unionByName(event(ends, "expired", F.col("before") + limit, F.col("n_before"))).unionByName(event(both.filter("expires"), "expired", F.col("last") + limit, F.col("n")))
+        _written(out, path, "out", number)
+        kept = both if after is None else both.filter(F.col("last") + gone >= after)
+        _written(kept.select("key", "last", "n", (F.col("expired") | F.col("expires")).alias("expired")), path, "state", number)
+
+    run_each(events, handle, checkpoint)
+
+
+def _merged(state: DataFrame, latest: DataFrame) -> DataFrame:
+    """The state with the keys of the batch renewed; a late row does not set a key back."""
+    old = state.select(F.col("key").alias("_key"), F.struct("last", "n", "expired").alias("_old"))
+    both = old.join(latest, F.col("_key").eqNullSafe(F.col("key")), "full_outer")
+    renewed: Column = F.col("_new").isNotNull()
+    return both.select(
+        F.when(renewed, F.col("key")).otherwise(F.col("_key")).alias("key"),
+        F.greatest("_old.last", "_new.last").alias("last"),
+        F.when(renewed, F.col("_new.n")).otherwise(F.col("_old.n")).alias("n"),
+        F.when(renewed, False).otherwise(F.col("_old.expired")).alias("expired"),
+    )
 
 
 def health_stream(events: DataFrame, source: str, window: str, late: str) -> DataFrame:

@@ -15,7 +15,7 @@ from jobsluice.streaming.intake import run_each
 MARKS, SESSIONS = "at long, batch long", "key {kind}, first long, last long, n long, batch long"
 
 
-def _watermark(spark: SparkSession, path: str, number: int, delay: int) -> int | None:
+def watermark_before(spark: SparkSession, path: str, number: int, delay: int) -> int | None:
     """The latest time of the batches before this one, less the delay; None before the first."""
     if number == 0:
         return None
@@ -35,7 +35,7 @@ def sliding_windows(events: DataFrame, key: str, time: str, value: str, width: f
         raise ValueError("the width must be a multiple of the slide")
 
     def handle(batch: DataFrame, number: int) -> None:
-        mark = _watermark(batch.sparkSession, path, number, late_by)
+        mark = watermark_before(batch.sparkSession, path, number, late_by)
         rows = batch.select(F.col(key).alias("key"), micros(time).alias("at"), F.col(value).cast("double").alias("value")).filter("at is not null")
         last = F.floor(F.col("at") / step).cast("long") * step
         placed = rows.withColumn("start", F.explode(F.sequence(last - span + step, last, F.lit(step).cast("long"))))
@@ -65,7 +65,7 @@ def session_stream(events: DataFrame, key: str, time: str, gap: float, delay: fl
 
     def handle(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        mark = _watermark(spark, path, number, late_by)
+        mark = watermark_before(spark, path, number, late_by)
         rows = batch.select(F.col(key).alias("key"), F.col(time).alias("time"), micros(time).alias("at")).filter("at is not null")
         late = F.lit(False) if mark is None else F.col("at") < mark
         runs = sessions(rows.filter(~late), "key", "time", gap)
@@ -74,7 +74,7 @@ def session_stream(events: DataFrame, key: str, time: str, gap: float, delay: fl
             runs = merged_sessions(runs.unionByName(before.drop("batch")), gap)
         rows.agg(F.max("at").alias("at")).write.mode("overwrite").parquet(f"{path}/marks/batch={number}")
         rows.filter(late).groupBy("key").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path}/late/batch={number}")
-        after = _watermark(spark, path, number + 1, late_by)
+        after = watermark_before(spark, path, number + 1, late_by)
         runs = runs.withColumn("closed", F.lit(False) if after is None else F.col("last") + limit < after)
         runs.filter("closed").drop("closed").write.mode("overwrite").parquet(f"{path}/closed/batch={number}")
         runs.filter("not closed").drop("closed").write.mode("overwrite").parquet(f"{path}/open/batch={number}")

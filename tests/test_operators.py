@@ -1,8 +1,6 @@
 import datetime
-import random
 
 import duckdb
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,8 +11,7 @@ from jobsluice.plans import stream_queries  # noqa: F401 (registers its queries)
 from jobsluice.plans.registry import ORACLES
 from jobsluice.sources.objects import dataset_pairs, object_path, read_dataset, write_dataset
 from jobsluice.sources.pages import explode_sitemap, first_of, inner_html, lang_of, listing_items, microdata, page_posting_id, posting_id, primary_language
-from jobsluice.streaming import stateful
-from jobsluice.streaming.intake import new_rows, run_available, run_each
+from jobsluice.streaming.intake import new_rows
 from jobsluice.streaming.stateful import dedup_with_ttl, lifecycle_stream
 
 
@@ -169,20 +166,17 @@ def test_objects(spark, tmp_path):
 
 
 def test_stream_in_slices_equals_batch(spark, tmp_path):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "ts", "user_id")
     batch = {r["event_id"] for r in dedup.drop_within_ttl(events, F.col("user_id"), "ts", 7 * 86400, "event_id").collect()}
     bounds = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-11"]
     for a, b in zip(bounds, bounds[1:]):
         events.filter((F.col("ts") >= a) & (F.col("ts") < b)).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-        rows = dedup_with_ttl(new_rows(spark, f"{tmp_path}/in", events.schema, 1), "user_id", "ts", 7 * 86400)
-        run_available(rows, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
-    assert {r["event_id"] for r in spark.read.parquet(f"{tmp_path}/out").collect()} == batch
+        dedup_with_ttl(new_rows(spark, f"{tmp_path}/in", events.schema, 1), "user_id", "ts", 7 * 86400, f"{tmp_path}/kept", f"{tmp_path}/checkpoint")
+    assert {r["event_id"] for r in spark.read.parquet(f"{tmp_path}/kept/out").collect()} == batch
 
 
 @pytest.mark.parametrize("files", [1, 2, 5])
 def test_lifecycle_whatever_the_batches(spark, tmp_path, files):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     days = {1: [0, 0, 3, 11, 12, 50, 51], 2: [0.5, 9, 60], 3: [45], 4: [0, 59.5, 60], 5: [2, 30.5], 6: [52, 52.5, 59.9]}
     rows = sorted((datetime.datetime(2024, 1, 1) + datetime.timedelta(days=d), key) for key, times in days.items() for d in times)
     rows = [(i, t, key) for i, (t, key) in enumerate(rows)]
@@ -190,8 +184,7 @@ def test_lifecycle_whatever_the_batches(spark, tmp_path, files):
     for first in range(0, len(rows), size):
         spark.createDataFrame(rows[first : first + size], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
     events = new_rows(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema, 1)
-    keep = lambda batch, number: batch.write.mode("overwrite").parquet(f"{tmp_path}/out/batch={number}")
-    run_each(lifecycle_stream(events, "user_id", "ts", 7 * 86400, 28 * 86400, "1 minute"), keep, f"{tmp_path}/checkpoint")
+    lifecycle_stream(events, "user_id", "ts", 7 * 86400, 28 * 86400, 60, f"{tmp_path}", f"{tmp_path}/checkpoint")
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/in/*.parquet'")
     want = con.execute(ORACLES["b21_lifecycle_events"]).fetchall()
@@ -199,26 +192,14 @@ def test_lifecycle_whatever_the_batches(spark, tmp_path, files):
     assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").select("key", "event", "micros", "n").collect())) == sorted(want)
 
 
-def test_sorted_blocks_merge_runs(monkeypatch):
-    monkeypatch.setattr(stateful, "RUN_ROWS", 30)
-    monkeypatch.setattr(stateful, "BLOCK_ROWS", 7)
-    rng = random.Random(4)
-    rows = [(rng.randrange(50), i) for i in range(200)]
-    blocks = list(stateful.sorted_blocks((pd.DataFrame(rows[i : i + 13], columns=["micros", "event_id"]) for i in range(0, 200, 13)), ["micros", "event_id"]))
-    assert max(map(len, blocks)) == 7 and [tuple(r) for b in blocks for r in b.to_numpy().tolist()] == sorted(rows)
-
-
-def test_gap_rule_holds_a_block_at_a_time(monkeypatch):
-    monkeypatch.setattr(stateful, "RUN_ROWS", 30)
-    monkeypatch.setattr(stateful, "BLOCK_ROWS", 7)
-    stored = []
-    rule = stateful.GapRule(2e-6)
-    rule.handle = type("Handle", (), {"deleteTimer": lambda _, t: None, "registerTimer": lambda _, t: None})()
-    rule.last = type("Last", (), {"exists": lambda _: bool(stored), "get": lambda _: stored[-1], "update": lambda _, v: stored.append(v)})()
-    rng = random.Random(5)
-    times = [rng.randrange(400) for _ in range(200)]
-    chunks = (pd.DataFrame({"event_id": range(i, i + 20), "key": 1, "micros": times[i : i + 20]}) for i in range(0, 200, 20))
-    parts = list(rule.handleInputRows((1,), chunks, None))
-    rows = sorted((t, i) for i, t in enumerate(times))
-    want = [i for (t, i), p in zip(rows, [None, *rows]) if p is None or t - p[0] > 2]
-    assert max(map(len, parts)) <= 7 and [i for p in parts for i in p["event_id"]] == want and stored == [(max(times),)]
+def test_state_of_forgotten_keys_goes(spark, tmp_path):
+    """Rows late within the delay do not set a key back, later ones are left out, and keys beyond their time are dropped."""
+    day = lambda d: datetime.datetime(2024, 1, 1) + datetime.timedelta(days=d)
+    schema = "event_id long, ts timestamp, user_id string"
+    batches = [[(1, day(0), "a"), (2, day(0), None), (3, None, "a")], [(4, day(5), "a"), (5, day(4.9999), "a")], [(6, day(4), "a"), (7, day(40), None), (8, day(40), "b")]]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = new_rows(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema)
+        dedup_with_ttl(stream, "user_id", "ts", 7 * 86400, f"{tmp_path}/kept", f"{tmp_path}/checkpoint")
+    assert sorted(r["event_id"] for r in spark.read.parquet(f"{tmp_path}/kept/out").collect()) == [1, 2, 7, 8]
+    assert {r["key"] for r in spark.read.parquet(f"{tmp_path}/kept/state").filter("batch = 2").collect()} == {None, "b"}
