@@ -28,6 +28,13 @@ REMEMBERED = 250_000
 LARGEST_FILE = 64 << 20
 
 
+def _remember(known: dict[str, bytes], word: str, ids: bytes) -> None:
+    """Keep a short word's ids; long ones are not kept, and so never crowd out the others."""
+    if len(known) >= REMEMBERED:
+        known.clear()
+    known[word] = ids
+
+
 def byte_letters() -> dict[str, int]:
     """The printable letter that stands for each byte in vocabulary files, and the byte."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -109,9 +116,9 @@ class Bpe:
         for word in self.split.findall(text):
             ids = self.known.get(word)
             if ids is None:
-                ids = self.known[word] = self.word(word)
-                if len(self.known) >= REMEMBERED or len(word) > SHORT:
-                    self.known.clear()
+                ids = self.word(word)
+                if len(word) <= SHORT:
+                    _remember(self.known, word, ids)
             out.append(ids)
         return b"".join(out)
 
@@ -124,9 +131,9 @@ class Bpe:
         for stretch in rest:
             ids = get(stretch)
             if ids is None:
-                ids = known[stretch] = self.plain(" " + stretch)
-                if len(known) >= REMEMBERED or len(stretch) > SHORT:
-                    known.clear()
+                ids = self.plain(" " + stretch)
+                if len(stretch) <= SHORT:
+                    _remember(known, stretch, ids)
             out.append(ids)
         return b"".join(out)
 

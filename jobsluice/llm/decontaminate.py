@@ -61,9 +61,11 @@ def postings(docs: DataFrame, anchors: DataFrame, id_col: str, text_col: str, wi
     """id, term, pos, before, after: each place of an anchor word, with the words that a window around it can hold."""
     terms = stored(anchors.select("term").distinct(), "anchor-terms")
     rows = docs.select(F.col(id_col).alias("id"), _tokens(text_of(text_col)).alias("w"))
-    rows = rows.select("id", "w", F.posexplode_outer("w").alias("pos", "term")).join(_small(terms), "term")
+    rows = rows.select("id", "w", F.posexplode_outer("w").alias("pos", "term"))
     first = F.greatest(F.lit(0), F.col("pos") - (window - 1))
-    return rows.select("id", "term", "pos", first.alias("first"), F.slice("w", first + 1, F.col("pos") - first + window).alias("near"))
+    cut = lambda df: df.select("id", "term", "pos", first.alias("first"), F.slice("w", first + 1, F.col("pos") - first + window).alias("near"))
+    # Few terms meet the words where they are, and only what is found is cut. Many cross a shuffle, with cut surroundings.
+    return cut(rows.join(F.broadcast(terms), "term")) if terms.count() <= BROADCAST_ROWS else cut(rows).join(terms, "term")
 
 
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rarest: int = RAREST, slop: int = SLOP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,8 +7,10 @@ import re
 import numpy as np
 import pytest
 
-from jobsluice.llm import fill_middle, filter_audit, pii
-from jobsluice.llm.queries import LLM_QUERIES
+from oracle import connect, rows_of_duckdb, rows_of_spark
+
+from jobsluice.llm import bpe, decontaminate, fill_middle, filter_audit, pii
+from jobsluice.llm.queries import LLM_ORACLES, LLM_QUERIES
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -194,3 +196,29 @@ def test_audit_rests_on_the_tables_of_ids(spark):
 
 def test_new_queries_are_registered():
     assert {"op11_fill_middle", "op12_pii", "op13_filter_audit"} <= set(LLM_QUERIES)
+
+
+# What is beyond a broadcast, and what is remembered.
+
+
+def test_decontamination_without_broadcasts(spark, monkeypatch):
+    """Beyond the bound of a broadcast words cross a shuffle with their surroundings, not with their text."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.createDataFrame([(1, "a b c d"), (2, "x a")], "doc_id long, text string")
+        plan = decontaminate.postings(docs, spark.createDataFrame([("a",), ("d",)], "term string"), "doc_id", "text", 2)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(term" in plan and "near#" in plan.split("Exchange hashpartitioning(term")[1].split("Generate")[0]
+        assert not re.search(r"[\[ ]w#\d+[,\]]", plan.split("Generate")[0])  # the words are cut, not handed on
+        folder = "/root/testdata/sf0.001"
+        assert rows_of_spark(LLM_QUERIES["op10_decontaminate"](spark, folder)) == rows_of_duckdb(connect(folder), LLM_ORACLES["op10_decontaminate"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_long_words_leave_what_is_known(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    known = {}
+    for word in ("a", "b", "c", "d"):
+        bpe._remember(known, word, b"1")
+    assert known == {"d": b"1"}
