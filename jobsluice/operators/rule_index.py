@@ -118,11 +118,11 @@ def tag_rows(rows: DataFrame, rules: DataFrame, key: str, text: str, other: str
     near = F.broadcast if sizes["n"] <= BROADCAST_ROWS else (lambda df: df)
     texts = rows.select(F.col(key).alias("key"), F.col(text).alias("text")).filter("text is not null")
     words = texts.select("key", F.explode(F.array_distinct(F.split("text", r"[^\p{L}\p{N}]+"))).alias("word"))
-    found = words.join(near(lines.filter("word is not null")), "word").select("key", "rule", "pattern")
+    found = stored(words.join(near(lines.filter("word is not null")), "word").select("key", "rule", "pattern"), "found")
     hits = found.filter("pattern is null").select("key", "rule")
     hits = hits.unionByName(_tried(texts, found.filter("pattern is not null")))
     if sizes["open"]:
-        hits = hits.unionByName(texts.join(F.broadcast(lines.filter("word is null").select("rule", "pattern")), _fits("pattern")).select("key", "rule"))
+        hits = hits.unionByName(texts.join(F.broadcast(lines.filter("word is null").select("rule", "pattern")), _fits(F.col("pattern"))).select("key", "rule"))
     if other is not None:
         values = rows.select(F.col(other).alias("value")).distinct()
         seconds = values.join(F.broadcast(numbered.filter("second is not null").select("rule", "second")), F.expr("value rlike second")).select("value", "rule")
@@ -134,12 +134,15 @@ def tag_rows(rows: DataFrame, rules: DataFrame, key: str, text: str, other: str
 
 
 def _tried(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """key, rule of the pairs (key, rule, pattern) whose pattern fits the text: one line for each text crosses the shuffle."""
-    tries = pairs.groupBy("key").agg(F.collect_set(F.struct("rule", "pattern")).alias("tries"))
-    tries = texts.join(tries, "key").select("key", "text", F.explode("tries").alias("t")).select("key", "text", "t.rule", "t.pattern")
-    return tries.filter(_fits("pattern")).select("key", "rule")
+    """key, rule of the stored pairs (key, rule, pattern) whose pattern fits the text.
+
+    One row for each text crosses the shuffle, and a pattern that several rules share is tried once on it.
+    """
+    tries = pairs.groupBy("key").agg(F.collect_set("pattern").alias("tries"))
+    fits = texts.join(tries, "key").select("key", F.explode(F.filter("tries", _fits)).alias("pattern"))
+    return pairs.join(fits, ["key", "pattern"], "left_semi").select("key", "rule")
 
 
-def _fits(pattern: str) -> Column:
+def _fits(pattern: Column) -> Column:
     head, tail = delimited("\0").split("\0")
-    return F.rlike(F.col("text"), F.concat(F.lit(head), F.col(pattern), F.lit(tail)))
+    return F.rlike(F.col("text"), F.concat(F.lit(head), pattern, F.lit(tail)))
