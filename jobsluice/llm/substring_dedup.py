@@ -9,7 +9,9 @@ go no further. The others meet at their seed, where each edge learns its source,
 What a document repeats in step with a source is a path of edges, and the distinct paths are the graph: their end nodes
 have degrees, and where one path alone ends at a node and one alone begins there, the two are one. Such chains are
 followed by joins, each of which doubles the distance, so that every path learns the chain it is part of. At last the
-words at each path's source coordinates are digested, and a span is cut only where its own words have the same digest.
+words along the chains are digested at their source coordinates, step by step. A document's repeats are read off the
+chains: where it enters one, the chain tells how many words to take and their digest, and a span is cut only where the
+document's own words have it.
 """
 
 from __future__ import annotations
@@ -188,18 +190,21 @@ def _in_step(parts: DataFrame) -> DataFrame:
 
 
 def chains(paths: DataFrame) -> DataFrame:
-    """tail, head, chain, step of the distinct paths (tail, head, ...) of the graph: which chain of paths it is part of, and
-    where.
+    """``paths`` (distinct: tail, head, ...) with chain and step: which chain of the graph each is part of, and where.
 
     A node is passed through if one path ends there and one begins. From each such node the chain is followed back, twice
-    as far with every join, up to a node that is not. A ring of such nodes has no beginning; its paths stay apart.
+    as far with every join, up to a node that is not. A path between nodes that are not passed is a chain of its own, and
+    so is each path of a ring, which has no beginning. No two paths share chain and step, but for collisions of 64 bits.
     """
     into = paths.groupBy(F.col("head").alias("node")).agg(F.count(F.lit(1)).alias("ins"), F.first("tail").alias("up"))
     out = paths.groupBy(F.col("tail").alias("node")).agg(F.count(F.lit(1)).alias("outs"))
     passed = stored(into.filter("ins = 1").join(out.filter("outs = 1"), "node").select("node", "up"), "nodes")
+    alone = F.xxhash64(*paths.columns)
+    nodes, reach = passed.count(), 1
+    if not nodes:
+        return paths.withColumns({"chain": alone, "step": F.lit(0)})
     known = passed.select(F.col("node").alias("up"), F.lit(True).alias("on"))
     walk = stored(passed.join(known, "up", "left").select("node", F.when(F.col("on"), F.col("up")).alias("up"), F.col("node").alias("top"), F.lit(0).alias("steps")), "walk")
-    nodes, reach = walk.count(), 1
     while reach <= nodes and walk.filter("up is not null").limit(1).count():
         far = walk.select(F.col("node").alias("up"), F.col("up").alias("far"), F.col("top").alias("far_top"), F.col("steps").alias("far_steps"))
         longer = walk.join(far, "up", "left").select("node", F.when(F.col("up").isNotNull(), F.col("far")).alias("up"), F.coalesce("far_top", "top").alias("top"), (F.col("steps") + F.when(F.col("up").isNotNull(), F.col("far_steps") + 1).otherwise(0)).alias("steps"))
@@ -209,9 +214,8 @@ def chains(paths: DataFrame) -> DataFrame:
     walk = walk.filter("up is null")
     begins = walk.select(F.col("node").alias("tail"), F.col("top").alias("tail_top"), F.col("steps").alias("tail_steps"))
     ends = walk.filter("steps = 0").select(F.col("node").alias("head"), F.col("top").alias("head_top"))
-    rows = paths.select("tail", "head").distinct().join(begins, "tail", "left").join(ends, "head", "left")
-    chain = F.coalesce("tail_top", "head_top", F.xxhash64("tail", "head"))
-    return rows.select("tail", "head", chain.alias("chain"), F.coalesce(F.col("tail_steps") + 1, F.lit(0)).alias("step"))
+    rows = paths.join(begins, "tail", "left").join(ends, "head", "left")
+    return rows.select(*paths.columns, F.coalesce("tail_top", "head_top", alone).alias("chain"), F.coalesce(F.col("tail_steps") + 1, F.lit(0)).alias("step"))
 
 
 def _word_digest(parts: list[bytes]) -> bytes:
@@ -219,33 +223,40 @@ def _word_digest(parts: list[bytes]) -> bytes:
 
 
 def _digests(k: int):
-    """Of texts (id, text, spans: start, n) the digest of each span's words."""
+    """Of texts (id, text, spans: start, n, chain, step) the digest of the words at each step of a chain."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 64):
             rows = []
             for doc, text, spans in zip(*(batch.column(j).to_pylist() for j in range(3))):
                 parts = text.encode().split()
-                rows += [(doc, s["start"], s["n"], _word_digest(parts[s["start"] : s["start"] + s["n"] + k - 1])) for s in spans]
-            columns = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], ["from_id", "from_start", "n", "digest"])
+                rows += [(s["chain"], s["step"], doc, s["start"], s["n"], _word_digest(parts[s["start"] : s["start"] + s["n"] + k - 1])) for s in spans]
+            columns = list(zip(*rows)) or [()] * 6
+            types = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["chain", "step", "from_id", "from_start", "n", "digest"])
 
     return run
 
 
 def _spans(texts: DataFrame, k: int) -> DataFrame:
     """repeated_spans of ``texts`` (id, text), with the digest of each one's source."""
-    spans = stored(_in_step(_repeats(texts, k)), "spans")
+    met = stored(_in_step(_repeats(texts, k)), "spans")
     key = ["from_id", "from_start", "n"]
-    paths = stored(spans.groupBy(*key).agg(F.count(F.lit(1)).alias("uses"), F.first("tail").alias("tail"), F.first("head").alias("head")), "paths")
-    asked = stored(paths.groupBy(F.col("from_id").alias("id")).agg(F.collect_list(F.struct(F.col("from_start").alias("start"), "n")).alias("spans")), "asked")
+    paths = met.groupBy(*key).agg(F.count(F.lit(1)).alias("uses"), F.first("tail").alias("tail"), F.first("head").alias("head"))
+    graph = stored(chains(stored(paths, "paths")), "graph")
+    # The words of each step of a chain, at its source.
+    step = F.struct(F.col("from_start").alias("start"), "n", "chain", "step")
+    asked = stored(graph.groupBy(F.col("from_id").alias("id")).agg(F.collect_list(step).alias("spans")), "asked")
     sources, _ = with_ids(texts, asked.select("id"))
-    digests = sources.join(asked, "id").select("id", "text", "spans").mapInArrow(_digests(k), "from_id long, from_start int, n int, digest binary")
+    spelt = sources.join(asked, "id").select("id", "text", "spans").mapInArrow(_digests(k), "chain long, step int, from_id long, from_start int, n int, digest binary")
     # Rows that repeat an id with other texts have no one source; the least digest stands for them all.
-    digests = digests.groupBy(*key).agg(F.min("digest").alias("digest"))
-    known = stored(paths.join(chains(paths), ["tail", "head"]).join(digests, key).select(*key, "uses", "chain", "step", "digest"), "known")
+    spelt = spelt.groupBy("chain", "step").agg(F.min(F.struct("from_id", "from_start", "n", "digest")).alias("at"))
+    # Where a document enters a chain, it learns chain and step; what stands there is read off the chain.
+    entered = graph.select(*[F.col(c).alias(f"met_{c}") for c in key], "uses", "chain", "step")
+    known = stored(entered.join(spelt, ["chain", "step"]).select(*entered.columns, "at.*"), "known")
     total = known.agg(F.coalesce(F.sum("uses"), F.lit(0))).first()[0]
-    rows = join_counted(spans, known, key, "uses", total, ["id", "start"])
+    rows = met.select("id", "start", *[F.col(c).alias(f"met_{c}") for c in key])
+    rows = join_counted(rows, known, [f"met_{c}" for c in key], "uses", total, ["id", "start"])
     return rows.select("id", "start", (F.col("n") + (k - 1)).alias("n_words"), "from_id", "from_start", "chain", "step", "digest")
 
 

@@ -410,6 +410,23 @@ def test_cuts_are_those_of_all_windows(spark, monkeypatch, k, hot, most):
         assert sources[r["id"]][r["start"] : r["start"] + r["n_words"]] == sources[r["from_id"]][r["from_start"] : r["from_start"] + r["n_words"]]
 
 
+def test_cuts_come_from_the_chains(spark, monkeypatch):
+    """B repeats A's end and then C's beginning: two paths, one chain. With chains mixed up, nothing right is cut."""
+    rng = random.Random(5)
+    a, c = ([f"w{rng.randint(0, 9999)}" for _ in range(60)] for _ in range(2))
+    texts = {1: " ".join(a), 2: " ".join(a[-19:] + c), 3: " ".join(["x"] + a[10:] + c[:50] + ["y"]), 4: " ".join(["z"] + c[20:40])}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    cut = lambda: {r["id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in substring_dedup.cut_repeats(docs).collect()}
+    assert cut() == brute_cut(texts, 20)
+    spans = substring_dedup.repeated_spans(docs).filter("id = 3").orderBy("start").collect()
+    assert [(r["from_id"], r["step"]) for r in spans] == [(1, 0), (2, 1)] and len({r["chain"] for r in spans}) == 1
+    real = substring_dedup.chains
+    monkeypatch.setattr(substring_dedup, "chains", lambda paths: paths.withColumns({"chain": F.lit(1).cast("long"), "step": F.lit(0)}))
+    assert cut() != brute_cut(texts, 20)
+    monkeypatch.setattr(substring_dedup, "chains", lambda paths: real(paths).limit(0))
+    assert all(removed == 0 for _, removed, _ in cut().values())
+
+
 def test_chains_of_paths(spark):
     """1-2-3-4 is one chain; 4 is left by two paths, 7 entered by two; 10-11-10 is a ring; 20-21 stands alone."""
     pairs = [(1, 2), (2, 3), (3, 4), (4, 5), (4, 6), (8, 7), (9, 7), (7, 12), (12, 13), (10, 11), (11, 10), (20, 21)]
