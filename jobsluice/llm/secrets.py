@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -28,6 +30,7 @@ FOR = r"(?i)(secret|token|passw|pwd|credential|auth|api.?key|access.?key|private
 AGAINST = r"(?i)(example|sample|dummy|placeholder|changeme|sha|commit|checksum|digest|uuid|hash)"
 #: The same for the parts of a document's path.
 QUIET_PATH = r"(?i)(^|[/_.\-])(test|tests|example|examples|fixture|fixtures|doc|docs|vendor|sample)($|[/_.\-])"
+EIGHT_WORDS = rf"^[{SPACES}]*+[^{SPACES}]++(?:[{SPACES}]++[^{SPACES}]++){{7}}"
 FEATURES = ["length", "transitions", "digits", "uppers", "distinct", "hexadecimal", "coverage", "depth", "quiet_path", "assigned", "quoted", "named", "denied"]
 
 
@@ -58,33 +61,36 @@ def _tokens(rows: DataFrame, *more: str) -> DataFrame:
     return rows.select("id", "pos", "place", F.concat(F.get("gaps", F.col("place")), "core", close).alias("word"), "core", "before", "after", "path", *more)
 
 
-def first_by_digest(rows: DataFrame, n: int) -> DataFrame:
-    """The first n rows in the order of the hexadecimal digest ``h`` and id.
+def first_by_digest(rows: DataFrame, n: int, work: Callable[[DataFrame], DataFrame] = lambda few: few) -> DataFrame:
+    """The first n rows in the order of the hexadecimal digest ``h`` and id, after ``work``, which keeps h and id.
 
-    Rows are counted by the first DIGITS digits before, and only those up to the n-th row's are sorted: otherwise each
-    partition would send n rows to one task.
+    Rows are counted by the first DIGITS digits before, and only those up to the n-th row's are worked on and sorted:
+    otherwise each partition would send n rows to one task.
     """
     start = F.left("h", F.lit(DIGITS)).alias("start")
     upto = F.sum("n").over(Window.orderBy("start").rowsBetween(Window.unboundedPreceding, 0))
     last = rows.groupBy(start).agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto).filter(F.col("upto") >= n).agg(F.min("start")).first()[0]
     few = rows if last is None else rows.filter(F.left("h", F.lit(DIGITS)) <= last)
-    return few.orderBy("h", "id").limit(n)
+    return work(few).orderBy("h", "id").limit(n)
 
 
 def planted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
     """Candidates whose outcome is known because they were put there: candidates' columns, label and held_out.
 
-    Of up to PLANTED texts of eight words or more, in the order of a hash, three words before a place and two after it
-    are the surroundings; between them stands a random token (label 1), with or without a name, or what is often
+    Of up to PLANTED texts of eight words or more, in the order of a hash of the row, three words before a place and two
+    after it are the surroundings; no other text is split into words; between them stands a random token (label 1), with or without a name, or what is often
     mistaken for one (label 0): words run together, hashes of commits and checksums, identifiers, placeholders under a
     secret's name. Labels tell how a token was made, which no input of the forest knows.
     """
-    words = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("path"), _words(text_of(text_col)).alias("w")).filter(F.size("w") >= 8)
-    at = F.pmod(F.xxhash64("id", F.lit("place"), F.size("w")), F.size("w") - 7).cast("int")
-    cut = lambda first, n: F.transform(F.slice("w", first, F.lit(n)), lambda x: F.left(x, F.lit(100)))
-    rows = words.select("id", "path", cut(at + 1, 3).alias("b"), cut(at + 4, 2).alias("a"), cut(at + 4, 4).alias("joined"))
-    rows = rows.withColumn("h", F.sha2(F.concat_ws(" ", F.lit("planted"), F.col("id").cast("string"), "path", F.array_join("b", " ")), 256))
-    rows = first_by_digest(rows, PLANTED)
+    def surroundings(few: DataFrame) -> DataFrame:
+        few = few.withColumn("w", _words(F.col("text")))
+        at = F.pmod(F.xxhash64("id", F.lit("place"), F.size("w")), F.size("w") - 7).cast("int")
+        cut = lambda first, n: F.transform(F.slice("w", first, F.lit(n)), lambda x: F.left(x, F.lit(100)))
+        return few.select("id", "path", "h", cut(at + 1, 3).alias("b"), cut(at + 4, 2).alias("a"), cut(at + 4, 4).alias("joined"))
+
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("path"), text_of(text_col).alias("text")).filter(F.col("text").rlike(EIGHT_WORDS))
+    rows = rows.withColumn("h", F.sha2(F.concat_ws(" ", F.lit("planted"), F.col("id").cast("string"), "path", F.xxhash64("text").cast("string")), 256))
+    rows = first_by_digest(rows, PLANTED, surroundings)
     pick = lambda n, k: F.pmod(F.xxhash64("h", F.lit(k)), F.lit(n)) + 1
     one_of = lambda k, *words: F.element_at(F.array(*map(F.lit, words)), pick(len(words), k).cast("int"))
     hexa, packed = F.left("h", 8 * (pick(3, 1) + 2)), F.base64(F.unhex("h"))
@@ -163,8 +169,8 @@ def fit(labelled: DataFrame) -> RandomForestClassificationModel | None:
 
     Without findings of both labels there is nothing to fit, and None.
     """
-    order = [F.xxhash64("id", "pos"), F.col("id"), F.col("pos"), F.col("place"), F.col("core")]
-    sample = [labelled.filter(F.col("label") == y).orderBy(*order).limit(SAMPLE_ROWS).select(*FEATURES, "label") for y in (0, 1)]
+    dealt = labelled.withColumn("h", F.sha2(F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("id", "pos", "place", "core")]), 256))
+    sample = [first_by_digest(dealt.filter(F.col("label") == y), SAMPLE_ROWS).select(*FEATURES, "label") for y in (0, 1)]
     rows = stored(sample[0].union(sample[1]), "findings")
     if rows.select("label").distinct().count() < 2:
         return None
@@ -201,18 +207,18 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_
     known = stored(dictionary(docs, text_col), "dictionary")
     rows = stored(features(candidates(docs, id_col, text_col, path_col), known), "candidates")
     if labelled is None:
-        outcomes = features(planted(docs, id_col, text_col, path_col), known).filter(~F.col("held_out"))
+        outcomes = features(stored(planted(docs, id_col, text_col, path_col), "planted"), known).filter(~F.col("held_out"))
     else:
         place = F.col("place") if "place" in labelled.columns else F.lit(0).alias("place")
         given = labelled.select("id", "pos", place, F.col("label").cast("double").alias("label")).dropDuplicates(["id", "pos", "place"])
         outcomes = rows.join(given, ["id", "pos", "place"])
-    return judge(rows, fit(outcomes))
+    return judge(rows, fit(stored(outcomes, "outcomes")))
 
 
 def held_out_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
     """Precision and recall of the forest that ``scan`` would use, on the planted findings that it never saw."""
     known = stored(dictionary(docs, text_col), "dictionary")
-    rows = stored(features(planted(docs, id_col, text_col, path_col), known), "planted")
+    rows = stored(features(stored(planted(docs, id_col, text_col, path_col), "planted"), known), "features")
     model = fit(rows.filter(~F.col("held_out")))
     held = rows.filter("held_out")
     return quality(judge(held, model).join(held.select("id", "pos", "place", "core", "label").distinct(), ["id", "pos", "place", "core"]))
