@@ -64,13 +64,18 @@ def _tokens(rows: DataFrame, *more: str) -> DataFrame:
 def first_by_digest(rows: DataFrame, n: int, work: Callable[[DataFrame], DataFrame] = lambda few: few) -> DataFrame:
     """The first n rows in the order of the hexadecimal digest ``h`` and id, after ``work``, which keeps h and id.
 
-    Rows are counted by the first DIGITS digits before, and only those up to the n-th row's are worked on and sorted:
-    otherwise each partition would send n rows to one task.
+    Rows are counted by the first DIGITS digits before, the counts are summed up by two digits and then within the block
+    of the n-th row, and only rows up to it are worked on and sorted: otherwise each partition would send n rows to one task.
     """
-    start = F.left("h", F.lit(DIGITS)).alias("start")
-    upto = F.sum("n").over(Window.orderBy("start").rowsBetween(Window.unboundedPreceding, 0))
-    last = rows.groupBy(start).agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto).filter(F.col("upto") >= n).agg(F.min("start")).first()[0]
-    few = rows if last is None else rows.filter(F.left("h", F.lit(DIGITS)) <= last)
+    def reached(counts: DataFrame, above: int) -> tuple[str, int] | None:
+        """The start at which ``above`` rows are reached, and the rows before it; ``counts`` are a few thousand at most."""
+        upto = F.sum("n").over(Window.orderBy("start").rowsBetween(Window.unboundedPreceding, 0))
+        return counts.withColumn("upto", upto).filter(F.col("upto") >= above).orderBy("start").select("start", F.col("upto") - F.col("n")).first()
+
+    counts = stored(rows.groupBy(F.left("h", F.lit(DIGITS)).alias("start")).agg(F.count(F.lit(1)).alias("n")), "digests")
+    block = reached(counts.groupBy(F.left("start", F.lit(2)).alias("start")).agg(F.sum("n").alias("n")), n)
+    last = block and reached(counts.filter(F.col("start").startswith(block[0])), n - block[1])
+    few = rows if last is None else rows.filter(F.left("h", F.lit(DIGITS)) <= last[0])
     return work(few).orderBy("h", "id").limit(n)
 
 
