@@ -7,6 +7,15 @@ from pyspark.sql import functions as F
 
 #: The months' abbreviations on Spanish pages, in order.
 MONTHS_ES = ("ene", "feb", "mar", "abr", "may", "jun", "jul", "ago", "sep", "oct", "nov", "dic")
+#: How months begin on pages in each language, without accents, in order.
+MONTHS = {
+    "de": ("jan", "feb", "mar", "apr", "mai", "jun", "jul", "aug", "sep", "okt", "nov", "dez"),
+    "en": ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"),
+    "es": MONTHS_ES,
+    "fr": ("jan", "fev", "mar", "avr", "mai", "juin", "juil", "aou", "sep", "oct", "nov", "dec"),
+    "it": ("gen", "feb", "mar", "apr", "mag", "giu", "lug", "ago", "set", "ott", "nov", "dic"),
+    "pt": ("jan", "fev", "mar", "abr", "mai", "jun", "jul", "ago", "set", "out", "nov", "dez"),
+}
 #: Pay periods and how often a year has them.
 PERIODS = {"hour": 2080, "day": 260, "week": 52, "month": 12, "year": 1}
 #: Levels by the words of a title; the first that fits wins.
@@ -23,6 +32,19 @@ def posted_date(raw: Column) -> Column:
     return F.coalesce(F.when(raw.rlike("UTC"), long), F.when(raw.rlike(r"^\d{4}-"), iso), local)
 
 
+def localised_date(raw: Column, lang: Column) -> Column:
+    """Date of a day, a month in words and a year in the page's language: ``3 mars 2025``, ``3. März 2025``, ``3 de marzo de
+    2025``, ``March 3, 2025``. Null where the language, the month or the day is unknown. ``lang`` is a primary tag (``fr``).
+    """
+    small = F.translate(F.lower(raw), "áàâãäçéèêëíìîïñóòôõöúùûü", "aaaaaceeeeiiiinooooouuuu")
+    word = F.regexp_extract(small, r"\b(?!de\b)([a-z]{3,})", 1)
+    known = F.create_map(*[F.lit(x) for name, months in MONTHS.items() for k, m in enumerate(months, 1) for x in (f"{name}:{m}", k)])
+    start = F.when(F.substring(word, 1, 3) == "jui", F.substring(word, 1, 4)).otherwise(F.substring(word, 1, 3))
+    month = F.try_element_at(known, F.concat(F.lower(lang), F.lit(":"), start))
+    day, year = F.regexp_extract(small, r"\b([0-9]{1,2})\b", 1).try_cast("int"), F.regexp_extract(small, r"\b([0-9]{4})\b", 1).try_cast("int")
+    return F.try_make_timestamp(year, month, day, F.lit(0), F.lit(0), F.lit(0)).cast("date")
+
+
 def split_place(raw: Column) -> Column:
     """struct(locality, region, country) of ``a, b, c``, ``a, c`` or ``c``; the last part is the country."""
     parts = F.transform(F.split(raw, ","), lambda p: F.trim(p))

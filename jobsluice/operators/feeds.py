@@ -8,6 +8,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from jobsluice.sources.work import stored
+
 
 class Feed(NamedTuple):
     """A feed's condition: language and tag (null: any), least length and the one beyond, first day and the one after the
@@ -47,6 +49,59 @@ def route(rows: DataFrame, feeds: list[Feed], lang: Column, tags: Column, size:
     return ranked.filter((F.col("rank") <= max(f.most for f in feeds)) & (F.col("rank") <= F.col("most"))).drop("most")
 
 
+#: Feeds' conditions are broadcast up to this many rows of their index, counted before; beyond it they are joined by a shuffle.
+BROADCAST_FEEDS = 100_000
+
+
+def _bucket(size: Column) -> Column:
+    """How many binary digits a size has; 0 below zero."""
+    return F.when(size < 0, 0).otherwise(F.length(F.bin(size)))
+
+
+def _exactly(value: Column) -> Column:
+    return F.when(value.isNull(), "*").otherwise(F.concat(F.lit("="), value))
+
+
+def feed_index(table: DataFrame) -> DataFrame:
+    """Feeds of a table with Feed's columns by what a row can be looked up with: ``lang_key``, ``tag_key`` (``*``: any) and ``bucket``,
+    the binary digits of the sizes it takes; a feed has at most 65 rows, and none if it takes no size."""
+    wide = table.filter("low < high").withColumn("bucket", F.explode(F.sequence(_bucket(F.col("low")), _bucket(F.col("high") - 1))))
+    return wide.select(_exactly(F.col("lang")).alias("lang_key"), _exactly(F.col("tag")).alias("tag_key"), "bucket", "feed", "low", "high", "since", "until", "most")
+
+
+def route_table(rows: DataFrame, table: DataFrame, lang: Column, tags: Column, size: Column, day: Column, order: list[str], most_broadcast: int = BROADCAST_FEEDS) -> DataFrame:
+    """The same rows as ``route`` from any number of feeds, which stay a table: no feed is part of the plan.
+
+    A row is looked up by its language or any, each of its tags or any, and the digits of its size, so that it meets only feeds that
+    agree in these; bounds and days are checked on what is found. Beyond ``most_broadcast`` rows of the index the join shuffles, and a
+    key with more than its share of the rows is dealt in parts, each with a copy of its feeds. A feed's last rank is known to the
+    window beforehand, so that tasks send no more than that many rows of a feed. A row without language or tags meets the
+    feeds that ask for none; one without size none, one without day those without days. Feeds that are given twice count
+    twice. ``rows`` has none of the columns feed, most, rank.
+    """
+    index = feed_index(table)
+    most = table.agg(F.coalesce(F.max("most"), F.lit(0))).first()[0]
+    keys = ["lang_key", "tag_key", "bucket"]
+    wanted = lambda values: F.concat(F.array(F.lit("*")), F.transform(F.array_compact(F.array_distinct(F.coalesce(values, F.array().cast("array<string>")))), _exactly))
+    held = rows.select(F.struct(*rows.columns).alias("_row"), size.alias("_size"), day.alias("_day"), wanted(F.array(lang)).alias("_langs"), wanted(tags).alias("_tags"))
+    held = held.filter("_size is not null").withColumn("lang_key", F.explode("_langs")).withColumn("tag_key", F.explode("_tags")).withColumn("bucket", _bucket(F.col("_size"))).drop("_langs", "_tags")
+    if index.count() <= most_broadcast:
+        met = held.join(F.broadcast(index), keys)
+    else:
+        parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        counts = stored(held.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "feed-keys")
+        total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        # Fewer keys than parts hold more than one in so many of the rows.
+        hot = stored(counts.filter(F.col("n") * parts > total).select(*keys, F.ceil(F.col("n") * parts / max(total, 1)).cast("int").alias("_parts")), "hot-keys")
+        dealt = held.join(F.broadcast(hot), keys, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*[F.col(f"_row.`{c}`") for c in order]), F.col("_parts")).cast("int"), F.lit(0))).drop("_parts")
+        copies = index.join(F.broadcast(hot), keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+        met = dealt.join(copies, [*keys, "_part"])
+    met = met.filter("_size >= low and _size < high and (since is null or _day >= since) and (until is null or _day < until)")
+    routed = met.select("feed", "most", "_row.*")
+    ranked = routed.withColumn("rank", F.row_number().over(Window.partitionBy("feed").orderBy(*order)).cast("int"))
+    return ranked.filter((F.col("rank") <= most) & (F.col("rank") <= F.col("most"))).withColumn("rank", F.col("rank").cast("long")).drop("most")
+
+
 def feed_stats(rows: DataFrame, levels: list[str], org: str, day: str) -> DataFrame:
     """Rows, newest day and distinct organisations by each level and above it, with the level's grouping id."""
     return rows.rollup(*levels).agg(F.grouping_id().alias("level"), F.count(F.lit(1)).alias("n"), F.max(day).alias("newest"), F.count_distinct(org).alias("n_orgs"))
