@@ -352,6 +352,18 @@ def test_ids_are_those_of_the_library(vocabulary):
         assert own.decode(packed) == library.decode(want.ids, skip_special_tokens=False)
 
 
+def test_letters_are_those_of_the_library(vocabulary):
+    """All code points about the edges of what newer tables call letters, beside letters, numbers, signs and contractions."""
+    library, own = vocabulary
+    near = sorted({int(x, 16) + d for r in bpe.LATE.split() for x in r.split("-") for d in (-1, 0, 1)} | set(range(0x250, 0x3000, 7)) | set(range(0x323A0, 0x323C0)))
+    pool = ["a", "1", " ", "'s", "!", "é", "  "] + [chr(c) for c in near]
+    rng = random.Random(7)
+    texts = [p + chr(c) + q for c in near for p, q in (("a", "b"), (" 1", "'s"), ("!", "?"))]
+    texts += ["".join(rng.choice(pool[: 7 if rng.random() < 0.4 else None]) for _ in range(rng.randrange(1, 12))) for _ in range(3000)]
+    for text in texts:
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_long_words_merge_alike(vocabulary):
     own = vocabulary[1]
     for word in ("abcdeßzüghlien" * 40, "aaaaaaaab" * 90, "x"):
