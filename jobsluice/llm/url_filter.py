@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsluice.llm.common import LOWER, UPPER, read, stored
+from jobsluice.llm.common import LOWER, UPPER, join_counted, read, stored
 
 #: Rules of the registered query: host, start of the path, verdict.
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
@@ -14,8 +14,6 @@ RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
 LEAST_GOOD = 1.0
 #: Standard deviations from the posterior mean to its bound.
 Z = 1.645
-#: Parts that each host's pages are dealt in: a host may hold a third of all pages.
-SALTS = 16
 #: Limits of a prior's strength, in pages.
 WEAKEST, STRONGEST = 2.0, 1000.0
 
@@ -39,7 +37,7 @@ def _strength(groups: DataFrame, level: str | None = None) -> float:
 
 
 def host_reputation(outcomes: DataFrame) -> DataFrame:
-    """host, n, k, mean, upper, least for each host of ``outcomes`` (host, good: 1, 0 or null for a page without a label).
+    """host, n, k, mean, upper, least and the number of rows (seen) for each host of ``outcomes`` (host, good: 1, 0 or null for a page without a label).
 
     The share of good pages is shrunk from suffix (last label) over registered domain (last two labels) to host, each
     level a beta prior of the next, with strengths fitted to the spread of shares below. Counts are pre-aggregated, so
@@ -47,9 +45,9 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     below ``least``. Null and empty hosts are hosts like others. The driver gets four numbers: the overall share and three
     strengths.
     """
-    hosts = outcomes.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("k"))
+    hosts = outcomes.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("k"), F.count(F.lit(1)).alias("seen"))
     labels = F.split("host", r"\.")
-    hosts = stored(hosts.select("host", F.concat_ws(".", F.slice(F.concat(F.array(F.lit("")), labels), -2, 2)).alias("domain"), F.element_at(labels, -1).alias("suffix"), "n", "k"), "hosts")
+    hosts = stored(hosts.select("host", F.concat_ws(".", F.slice(F.concat(F.array(F.lit("")), labels), -2, 2)).alias("domain"), F.element_at(labels, -1).alias("suffix"), "n", "k", "seen"), "hosts")
     domains = stored(hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("k").alias("k")), "domains")
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("sn"), F.sum("k").alias("sk"))
     whole = suffixes.agg(F.coalesce(F.sum("sn"), F.lit(0)).alias("n"), F.coalesce(F.sum("sk"), F.lit(0.0)).alias("k")).first()
@@ -62,7 +60,7 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     rows = rows.withColumn("a", F.col("k") + s2 * F.col("md")).withColumn("b", F.col("n") - F.col("k") + s2 * (1 - F.col("md")))
     mean = F.col("a") / (F.col("a") + F.col("b"))
     sd = F.sqrt(mean * (1 - mean) / (F.col("a") + F.col("b") + 1))
-    return rows.select("host", "n", "k", mean.alias("mean"), (mean + Z * sd).alias("upper"), F.lit(LEAST_GOOD * root).alias("least"))
+    return rows.select("host", "n", "k", mean.alias("mean"), (mean + Z * sd).alias("upper"), F.lit(LEAST_GOOD * root).alias("least"), "seen")
 
 
 def _rules_of_hosts(hosts: DataFrame, rules: DataFrame) -> DataFrame:
@@ -80,8 +78,8 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[tuple[str, s
     ``outcomes`` has host and good (1, 0 or null). A rule fits its host and all subdomains where the path starts with
     the rule's path; the longest wins, of equal ones the first by name and then ``allow``. Pages without a rule are
     judged by their host's reputation, against the share of good pages overall. Null urls and such without ``://`` have an empty host and path. Repeated rows
-    and null ids pass through; other columns are not read. An empty table gives no rows. Pages meet their host in
-    SALTS parts, each with a copy of the host's row, so that no task has all pages of one host.
+    and null ids pass through; other columns are not read. An empty table gives no rows. Pages of a host that has
+    many of them stay where they are and meet the host's row by a broadcast, so that no task has all pages of one host.
     """
     spark = pages.sparkSession
     listed = spark.createDataFrame(list(rules), "rule_host string, rule_path string, rule_verdict string")
@@ -89,10 +87,10 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[tuple[str, s
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"))
     rows = rows.select("id", host.alias("host"), path.alias("path"))
     known = host_reputation(outcomes.select("host", "good").unionByName(rows.select("host", F.lit(None).cast("int").alias("good"))))
-    of_host = known.join(_rules_of_hosts(known.select("host"), listed), "host", "left")
-    salts = F.array(*[F.lit(k) for k in range(SALTS)])
-    dealt = of_host.withColumn("salt", F.explode(salts))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("id", "path"), F.lit(SALTS)).cast("int")).join(dealt, ["host", "salt"])
+    of_host = known.join(_rules_of_hosts(known.select("host"), listed), "host", "left").withColumn("host_key", F.xxhash64("host"))
+    of_host = stored(of_host.select("host_key", "host", "rules", "mean", "upper", "least", "seen"), "judged")
+    total = of_host.agg(F.coalesce(F.sum("seen"), F.lit(0))).first()[0]
+    rows = join_counted(rows.withColumn("host_key", F.xxhash64("host")), of_host, ["host_key", "host"], "seen", total, ["id", "path"])
     hit = F.get(F.filter("rules", lambda r: F.col("path").startswith(r["path"])), 0)
     judged = F.when(F.col("upper") < F.col("least"), "block").otherwise("allow")
     return rows.withColumn("hit", hit).select("id", "host", "path", F.col("hit.rule").alias("rule"), F.coalesce(F.col("hit.verdict"), judged).alias("verdict"), F.col("mean").alias("good_mean"), F.col("upper").alias("good_upper"))
