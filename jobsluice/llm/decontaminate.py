@@ -13,8 +13,9 @@ WINDOW = 13
 RAREST = 3
 #: Words by which a proximity match may be longer than its window.
 SLOP = 8
-#: Benchmark words and windows are broadcast up to this many; beyond it they are joined by shuffles.
-BROADCAST_ROWS = 1_000_000
+#: Benchmark words and windows are broadcast up to this many rows and this many bytes, both measured before; beyond either
+#: they are joined by shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 #: One document in so many words hit is contaminated.
 SHARE = 20
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -31,16 +32,25 @@ def _tokens(text: Column) -> Column:
 
 
 def windows_of(benchmark: DataFrame, window: int = WINDOW, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """window_id, items, words: the distinct windows of the benchmark; an item of fewer words than a window is one."""
+    """window_id, items, words: the distinct windows of the benchmark; an item of fewer words than a window is one.
+
+    Windows are told apart by 128 bits of their words, which hold no space.
+    """
     items = benchmark.select(F.col(id_col).alias("item"), words_of(text_of(text_col)).alias("w")).filter(F.size("w") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - (window - 1)))
     rows = items.select("item", "w", F.explode(starts).alias("s")).select("item", F.slice("w", F.col("s"), F.lit(window)).alias("words"))
-    return rows.groupBy("words").agg(F.collect_set("item").alias("items")).withColumn("window_id", F.xxhash64("words"))
+    return rows.groupBy("words").agg(F.collect_set("item").alias("items")).withColumn("window_id", F.unhex(F.md5(F.array_join("words", " "))))
+
+
+def _is_small(df: DataFrame) -> bool:
+    """Whether a stored benchmark table may be broadcast, by its rows and by their length spelt out."""
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))), F.lit(0))).first()
+    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
 
 def _small(df: DataFrame) -> DataFrame:
-    """A stored benchmark table, marked for broadcast where its count is proven small."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    """A stored benchmark table, marked for broadcast where it is proven small."""
+    return F.broadcast(df) if _is_small(df) else df
 
 
 def anchors_of(docs: DataFrame, windows: DataFrame, text_col: str, rarest: int) -> DataFrame:
@@ -65,7 +75,7 @@ def postings(docs: DataFrame, anchors: DataFrame, id_col: str, text_col: str, wi
     first = F.greatest(F.lit(0), F.col("pos") - (window - 1))
     cut = lambda df: df.select("id", "term", "pos", first.alias("first"), F.slice("w", first + 1, F.col("pos") - first + window).alias("near"))
     # Few terms meet the words where they are, and only what is found is cut. Many cross a shuffle, with cut surroundings.
-    return cut(rows.join(F.broadcast(terms), "term")) if terms.count() <= BROADCAST_ROWS else cut(rows).join(terms, "term")
+    return cut(rows.join(F.broadcast(terms), "term")) if _is_small(terms) else cut(rows).join(terms, "term")
 
 
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rarest: int = RAREST, slop: int = SLOP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

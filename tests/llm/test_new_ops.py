@@ -201,9 +201,10 @@ def test_new_queries_are_registered():
 # What is beyond a broadcast, and what is remembered.
 
 
-def test_decontamination_without_broadcasts(spark, monkeypatch):
-    """Beyond the bound of a broadcast words cross a shuffle with their surroundings, not with their text."""
-    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", -1)
+@pytest.mark.parametrize("bound", ["BROADCAST_ROWS", "BROADCAST_BYTES"])
+def test_decontamination_without_broadcasts(spark, monkeypatch, bound):
+    """Beyond either bound of a broadcast words cross a shuffle with their surroundings, not with their text."""
+    monkeypatch.setattr(decontaminate, bound, -1)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         docs = spark.createDataFrame([(1, "a b c d"), (2, "x a")], "doc_id long, text string")
