@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from jobsluice.llm.common import LOWER, UPPER, read, stored, text_of
+from jobsluice.llm.common import LOWER, UPPER, dropped, read, stored, text_of
 
 #: Words of a window.
 WINDOW = 13
@@ -13,8 +15,8 @@ WINDOW = 13
 RAREST = 3
 #: Words by which a proximity match may be longer than its window.
 SLOP = 8
-#: Benchmark words and windows are broadcast up to this many rows and this many bytes, both measured before; beyond either
-#: they are joined by shuffles.
+#: Benchmark words and windows, and ids of contaminated documents, are broadcast up to this many rows and this many bytes,
+#: both measured before; beyond either they are joined by shuffles.
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 #: One document in so many words hit is contaminated.
 SHARE = 20
@@ -34,22 +36,23 @@ def _tokens(text: Column) -> Column:
 def windows_of(benchmark: DataFrame, window: int = WINDOW, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """window_id, items, words: the distinct windows of the benchmark; an item of fewer words than a window is one.
 
-    Windows are told apart by 128 bits of their words, which hold no space.
+    Windows are told apart by their words and numbered. Numbers hold for one computation alone, so the table is stored.
     """
     items = benchmark.select(F.col(id_col).alias("item"), words_of(text_of(text_col)).alias("w")).filter(F.size("w") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - (window - 1)))
     rows = items.select("item", "w", F.explode(starts).alias("s")).select("item", F.slice("w", F.col("s"), F.lit(window)).alias("words"))
-    return rows.groupBy("words").agg(F.collect_set("item").alias("items")).withColumn("window_id", F.unhex(F.md5(F.array_join("words", " "))))
+    rows = rows.groupBy("words").agg(F.collect_set("item").alias("items"))
+    return stored(rows.withColumn("window_id", F.monotonically_increasing_id()), "windows")
 
 
 def _is_small(df: DataFrame) -> bool:
-    """Whether a stored benchmark table may be broadcast, by its rows and by their length spelt out."""
+    """Whether a stored table may be broadcast, by its rows and by their length spelt out."""
     rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))), F.lit(0))).first()
     return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
 
 def _small(df: DataFrame) -> DataFrame:
-    """A stored benchmark table, marked for broadcast where it is proven small."""
+    """A stored table, marked for broadcast where it is proven small."""
     return F.broadcast(df) if _is_small(df) else df
 
 
@@ -90,13 +93,32 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     is by document, window and start, so no frequent passage gathers in one group. Null and empty texts have no
     words; null ids are kept as ids; rows that repeat an id count as one document; empty tables give no rows.
     """
-    windows = stored(windows_of(benchmark, window), "windows")
+    return _found(*_index(docs, benchmark, window, rarest, id_col, text_col), window, rarest, slop)
+
+
+def _index(docs: DataFrame, benchmark: DataFrame, window: int, rarest: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The stored tables of find_benchmark: windows, anchors and postings."""
+    windows = windows_of(benchmark, window)
     anchors = stored(anchors_of(docs, windows, text_col, rarest), "anchors")
-    index = stored(postings(docs, anchors, id_col, text_col, window), "postings")
-    hits = index.join(_small(anchors), "term").withColumn("start", F.col("pos") - F.col("offset"))
+    return windows, anchors, stored(postings(docs, anchors, id_col, text_col, window), "postings")
+
+
+def _intersected(hits: DataFrame, rarest: int) -> DataFrame:
+    """id, window_id, start, length: where the lists of all of a window's anchors meet and the words around one confirm it.
+
+    One shuffle: which anchors were met is told by a flag for each, not by a count of distinct places, which takes two.
+    """
     agree = F.slice("near", F.col("start") - F.col("first") + 1, F.size("words")) == F.col("words")
-    lists = hits.filter(F.col("start") >= F.col("first")).groupBy("id", "window_id", "start").agg(F.count_distinct("offset").alias("n"), F.max("n_anchors").alias("need"), F.max(F.size("words")).alias("length"), F.bool_or(agree).alias("agree"))
-    phrases = lists.filter((F.col("n") == F.col("need")) & F.col("agree")).select("id", "window_id", "start", "length", F.lit("phrase").alias("kind"))
+    met = [F.bool_or(F.col("k") == k).alias(f"met{k}") for k in range(1, rarest + 1)]
+    lists = hits.filter(F.col("start") >= F.col("first")).groupBy("id", "window_id", "start").agg(F.max(F.size("words")).alias("length"), F.bool_or(agree).alias("agree"), *met)
+    all_met = [F.col(f"met{k}") | (F.col("length") < k) for k in range(1, rarest + 1)]
+    return lists.filter(reduce(Column.__and__, all_met, F.col("agree"))).select("id", "window_id", "start", "length")
+
+
+def _found(windows: DataFrame, anchors: DataFrame, index: DataFrame, window: int, rarest: int, slop: int) -> DataFrame:
+    """The rows of find_benchmark from its stored tables."""
+    hits = index.join(_small(anchors), "term").withColumn("start", F.col("pos") - F.col("offset"))
+    phrases = _intersected(hits, rarest).withColumn("kind", F.lit("phrase"))
     # Proximity: the shortest stretch that ends at a posting starts at the earliest of the anchors' latest postings up to it.
     reach = window + slop
     upto = Window.partitionBy("id", "window_id").orderBy("pos").rangeBetween(Window.unboundedPreceding, 0)
@@ -112,18 +134,27 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     return found.join(windows.select("window_id", "items"), "window_id").select("id", "items", "start", "length", "kind")
 
 
+def _hit(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, window: int = WINDOW, rarest: int = RAREST, slop: int = SLOP) -> DataFrame:
+    """hit_id, n_hit, items: the documents with phrase matches, stored; the tables they were found by are deleted."""
+    tables = _index(docs, benchmark, window, rarest, id_col, text_col)
+    found = _found(*tables, window, rarest, slop).filter("kind = 'phrase'")
+    spans = found.groupBy("id", "start").agg(F.max(F.col("start") + F.col("length")).alias("end"), F.flatten(F.collect_list("items")).alias("items"))
+    before = Window.partitionBy("id").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.withColumn("reached", F.coalesce(F.max("end").over(before), F.lit(0)))
+    new = F.greatest(F.lit(0), F.col("end") - F.greatest("start", "reached"))
+    hit = spans.groupBy("id").agg(F.sum(new).alias("n_hit"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+    hit = stored(hit.withColumnRenamed("id", "hit_id"), "hit")
+    dropped(*tables)
+    return hit
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
     """id, n_words, n_hit, items, contaminated for each row of ``docs``: a word inside any phrase match is hit.
 
     Matches of a document are merged in order of start, each adding what reaches beyond those before it. A document
     is contaminated with at least one word in twenty hit. ``items`` is null without matches. See find_benchmark.
     """
-    found = find_benchmark(docs, benchmark, id_col=id_col, text_col=text_col, **options).filter("kind = 'phrase'")
-    spans = found.groupBy("id", "start").agg(F.max(F.col("start") + F.col("length")).alias("end"), F.flatten(F.collect_list("items")).alias("items"))
-    before = Window.partitionBy("id").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    spans = spans.withColumn("reached", F.coalesce(F.max("end").over(before), F.lit(0)))
-    new = F.greatest(F.lit(0), F.col("end") - F.greatest("start", "reached"))
-    hit = spans.groupBy("id").agg(F.sum(new).alias("n_hit"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items")).withColumnRenamed("id", "hit_id")
+    hit = _hit(docs, benchmark, id_col, text_col, **options)
     rows = docs.select(F.col(id_col).alias("id"), F.size(words_of(text_of(text_col))).cast("long").alias("n_words"))
     rows = rows.join(hit, F.col("id").eqNullSafe(F.col("hit_id")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
@@ -131,8 +162,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with their columns; rows with a null id are judged together."""
+    """The rows of ``docs`` that are not contaminated, with their columns; rows with a null id are judged together.
+
+    Documents do not cross a shuffle for it where the ids of those that go are few enough for a broadcast, counted before.
+    """
     bad = contamination(docs, benchmark, id_col, text_col, **options).filter("contaminated").select(F.col("id").alias("bad id")).distinct()
+    bad = _small(stored(bad, "bad"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"))
     return rows.join(bad, F.col("id").eqNullSafe(F.col("bad id")), "left_anti").select("row.*")
 

@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import itertools
+import os
 import random
 import re
 
@@ -217,6 +218,51 @@ def test_decontamination_without_broadcasts(spark, monkeypatch, bound):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.fixture
+def contaminated(spark):
+    item = " ".join(f"q{i}" for i in range(20))
+    docs = [(1, f"x {item} y"), (2, "nothing here"), (3, "Short, item!"), (None, item), (None, "q0 q1"), (3, "other words"), (4, None), (4, ""), (5, f"{item} {item}")]
+    return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, item), (8, "short item")], "item_id long, text string")
+
+
+def _shuffles(df):
+    return re.findall(r"Exchange hashpartitioning\(([^)]*)\)", df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0])
+
+
+def test_lists_meet_by_one_shuffle(spark, contaminated):
+    """Lists of a window's anchors are intersected with one shuffle of the postings, not two."""
+    phrases = decontaminate.find_benchmark(*contaminated).filter("kind = 'phrase'")
+    assert len([keys for keys in _shuffles(phrases) if "window_id#" in keys and "start#" in keys]) == 1
+    assert {(r["id"], r["start"]) for r in phrases.collect()} == {(i, s) for i, first in ((1, [1]), (None, [0]), (5, [0, 20])) for f in first for s in range(f, f + 8)} | {(3, 0)}
+
+
+@pytest.mark.parametrize("bound", [None, "BROADCAST_ROWS", "BROADCAST_BYTES"])
+def test_documents_are_dropped_without_a_shuffle(spark, monkeypatch, contaminated, bound):
+    """Whole documents cross a shuffle only where those that go are too many for a broadcast."""
+    if bound:
+        monkeypatch.setattr(decontaminate, bound, -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = decontaminate.drop_contaminated(*contaminated)
+        assert bool(_shuffles(rows)) == bool(bound)
+        assert sorted((r["doc_id"], r["text"] or "") for r in rows.collect()) == [(2, "nothing here"), (4, ""), (4, "")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_the_index_goes_with_its_use(spark, monkeypatch, contaminated):
+    """Windows, anchors and postings are deleted once the documents with matches are known; find_benchmark's stay."""
+    kept = []
+    monkeypatch.setattr(decontaminate, "stored", lambda df, name="table", put=decontaminate.stored: kept.append((name, put(df, name))) or kept[-1][1])
+    folders = lambda: {name for name, df in kept if os.path.exists(df._stored_path.removeprefix("file://"))}
+    assert decontaminate.contamination(*contaminated).filter("contaminated").count() == 6
+    assert {"windows", "anchors", "postings", "hit"} <= {name for name, _ in kept}
+    assert not folders() & {"windows", "anchors", "postings"} and "hit" in folders()
+    kept.clear()
+    found = decontaminate.find_benchmark(*contaminated)
+    assert found.count() and folders() >= {"windows", "anchors", "postings"}
+
+
 def test_long_words_leave_what_is_known(monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 3)
     known = {}
