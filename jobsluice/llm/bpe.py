@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -14,7 +14,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsluice.llm.arrays import pieces
+from jobsluice.llm.arrays import STRETCH, pieces
 from jobsluice.llm.common import read, text_of
 
 #: Fixed value: the pattern that splits text into words before the merges of byte-level vocabularies.
@@ -30,6 +30,12 @@ LATE = """
 NONE = 1 << 30
 #: Words of more bytes are merged through a heap, which long runs need; the result is the same.
 SHORT = 256
+#: So many words of about one length are merged together, row by row of an array; fewer are merged one by one.
+TOGETHER = 16
+#: Places of such an array; more words are merged in turns.
+PLACES = 1 << 17
+#: Words or stretches that are looked up at once; a longer text takes several turns.
+KEYS = 1 << 18
 #: Encoded words that a worker remembers; when so many are held it starts anew.
 REMEMBERED = 250_000
 #: Vocabulary files are sent to every worker; larger ones are refused.
@@ -43,6 +49,29 @@ def _remember(known: dict[str, bytes], word: str, ids: bytes) -> None:
     known[word] = ids
 
 
+def _remember_all(known: dict[str, bytes], new: dict[str, bytes]) -> None:
+    if max(map(len, new), default=0) > SHORT:
+        new = {word: ids for word, ids in new.items() if len(word) <= SHORT}
+    if len(known) + len(new) < REMEMBERED:
+        known.update(new)
+    else:
+        for word, ids in new.items():
+            _remember(known, word, ids)
+
+
+def _portions(items: Iterable, most: int) -> Iterator[list]:
+    """The items in lists whose lengths sum up to ``most``; a longer item comes alone."""
+    some, size = [], 0
+    for item in items:
+        if some and size + len(item) > most:
+            yield some
+            some, size = [], 0
+        some.append(item)
+        size += len(item)
+    if some:
+        yield some
+
+
 def byte_letters() -> dict[str, int]:
     """The printable letter that stands for each byte in vocabulary files, and the byte."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -80,12 +109,16 @@ class Bpe:
         self.lengths = np.array([len(p) for p in pieces], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(pieces), np.uint8)
+        self.pairs = np.array([*sorted(self.ranks), np.iinfo(np.int64).max], np.int64)
+        self.pair_ranks = np.array([self.ranks.get(pair, NONE) for pair in self.pairs.tolist()], np.int32)
+        self.outcome = np.array(self.made, np.int32)
         self.split = regex.compile(WORDS)
         late = late_characters()
         apart = WORDS.replace(r"[^\s\p{L}\p{N}]", rf"[^\s[[\p{{L}}\p{{N}}]--[{late}]]]").replace(r" ?\p{L}", rf" ?[\p{{L}}--[{late}]]").replace(r" ?\p{N}", rf" ?[\p{{N}}--[{late}]]")
         self.split_apart, self.late = regex.compile(apart, regex.V1), re.compile(f"[{late}]")
         self.parts = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.gaps = re.compile(r"\s\s")
+        self.marks = {t: np.array([i], "<u4").tobytes() for t, i in self.special.items()}
         self.known: dict[str, bytes] = {}
         self.stretches: dict[str, bytes] = {}
 
@@ -122,51 +155,126 @@ class Bpe:
                     heapq.heappush(heap, (x, a))
         return [i for i in ids if i >= 0]
 
+    def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of many pairs, NONE where no merge joins them."""
+        pairs = a.astype(np.int64) << 32 | b
+        at = np.searchsorted(self.pairs, pairs)
+        return np.where(self.pairs[at] == pairs, self.pair_ranks[at], NONE)
+
+    def merge_together(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+        """merge_short on many words of the bytes in ``data``: each is a row of ids and a row of ranks, with an end mark on both
+        sides, and each turn makes one merge in every row that has any left. Parts that are gone stay as gaps, stepped over."""
+        n, wide, end = len(starts), int(lengths.max()) + 2, len(self.lengths)
+        ids = np.full((n, wide), end, np.int32)
+        inside = np.arange(wide - 2) < lengths[:, None]
+        ids[:, 1:-1][inside] = self.first[data[(starts[:, None] + np.arange(wide - 2))[inside]]]
+        if ids.min() < 0:
+            raise ValueError("the vocabulary lacks a byte of these words")
+        ranks = np.full((n, wide), NONE, np.int32)
+        ranks[:, :-1] = self.rank(ids[:, :-1], ids[:, 1:])
+        ids = ids.ravel()
+        after, before = np.arange(1, n * wide + 1), np.arange(-1, n * wide - 1)
+        rows, lines = np.arange(n), np.arange(n) * wide
+        while len(rows):
+            at = ranks.argmin(axis=1)
+            least = ranks[rows, at]
+            left = least < NONE
+            if not left.all():
+                ranks, lines, at, least = ranks[left], lines[left], at[left], least[left]
+                rows = np.arange(len(lines))
+            a = lines + at
+            b = after[a]
+            c, z = after[b], before[a]
+            made = self.outcome[least]
+            ids[a], ids[b] = made, end
+            after[a], before[c] = c, a
+            ranks[rows, b - lines] = NONE
+            ranks[rows, at] = self.rank(made, ids[c])
+            ranks[rows, z - lines] = self.rank(ids[z], made)
+        kept = ids != end
+        packed = ids[kept].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(kept.reshape(n, wide).sum(axis=1))).tolist()
+        return [packed[i:j] for i, j in zip([0, *ends], ends)]
+
+    def merged(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of each word; words of about one length are merged together."""
+        words = list(words)
+        coded = pa.array(words, pa.large_string())
+        bounds = np.frombuffer(coded.buffers()[1], np.int64)[: len(words) + 1]
+        data = np.frombuffer(coded.buffers()[2] or b"", np.uint8)
+        lengths = np.diff(bounds)
+        out, width = {}, 8
+        alone = lengths > SHORT
+        while width <= SHORT:
+            group = np.flatnonzero((lengths <= width) & (lengths > (width >> 1 if width > 8 else 0)))
+            if len(group) < TOGETHER:
+                alone[group] = True
+            else:
+                for some in np.array_split(group, -(-len(group) * width // PLACES)):
+                    out |= zip([words[i] for i in some.tolist()], self.merge_together(data, bounds[some], lengths[some]))
+            width *= 2
+        return out | {words[i]: self.word(words[i]) for i in np.flatnonzero(alone).tolist()}
+
     def word(self, word: str) -> bytes:
         ids = self.first[np.frombuffer(word.encode(), np.uint8)].tolist()
         ids = self.merge_short(ids) if len(ids) <= SHORT else self.merge_long(ids)
         return np.array(ids, "<u4").tobytes()
 
-    def plain(self, text: str) -> bytes:
-        """Ids of a text without special tokens, word by word."""
-        out = []
+    def words(self, text: str) -> list[str]:
         split = self.split if text.isascii() or not self.late.search(text) else self.split_apart
-        for word in split.findall(text):
-            ids = self.known.get(word)
-            if ids is None:
-                ids = self.word(word)
-                if len(word) <= SHORT:
-                    _remember(self.known, word, ids)
-            out.append(ids)
-        return b"".join(out)
-
-    def spaced(self, text: str) -> bytes:
-        """The same for a text without two white spaces in a row: then a space always begins a new word, so that the
-        stretches between spaces can be looked up whole."""
-        first, *rest = text.split(" ")
-        out = [self.plain(first)]
-        get, known = self.stretches.get, self.stretches
-        for stretch in rest:
-            ids = get(stretch)
-            if ids is None:
-                ids = self.plain(" " + stretch)
-                if len(stretch) <= SHORT:
-                    _remember(known, stretch, ids)
-            out.append(ids)
-        return b"".join(out)
+        return split.findall(text)
 
-    def encode(self, text: str) -> bytes:
-        if any(token in text for token in self.special):
-            parts = self.parts.split(text)
-        else:
-            parts = (text,)
-        out = []
-        for part in parts:
+    def cut(self, text: str) -> list[tuple[dict[str, bytes], list[str]]]:
+        """A text as runs of keys, each with the table of their ids: special tokens, words or stretches.
+
+        In a part without two white spaces in a row a space always begins a new word, so that the stretches between spaces
+        can be looked up whole; only its last one may end in a white space, and is cut into words.
+        """
+        runs = []
+        for part in self.parts.split(text) if any(token in text for token in self.special) else (text,):
             if part in self.special:
-                out.append(np.array([self.special[part]], "<u4").tobytes())
+                runs.append((self.marks, [part]))
+            elif self.gaps.search(part):
+                runs.append((self.known, self.words(part)))
             else:
-                out.append(self.plain(part) if self.gaps.search(part) else self.spaced(part))
-        return b"".join(out)
+                first, *rest = part.split(" ")
+                last = self.words(" " + rest.pop()) if rest and part[-1].isspace() else []
+                runs += [(self.known, self.words(first)), (self.stretches, rest), (self.known, last)]
+        return [(table, keys[i : i + KEYS]) for table, keys in runs for i in range(0, len(keys), KEYS)]
+
+    def look_up(self, table: dict[str, bytes], runs: list[list[str]], find: Callable[[set[str]], dict[str, bytes]]) -> list[list[bytes]]:
+        """The ids of each run's keys, remembered or found."""
+        known = [list(map(table.get, run)) for run in runs]
+        absent = {key for run, ids in zip(runs, known) for key, x in zip(run, ids) if x is None}
+        new = find(absent) if absent else {}
+        _remember_all(table, new)
+        return [[new[key] if x is None else x for key, x in zip(run, ids)] if None in ids else ids for run, ids in zip(runs, known)]
+
+    def of_stretches(self, stretches: set[str]) -> dict[str, bytes]:
+        """The ids of stretches, each with a space before it, which begins a word; so they are split as one text."""
+        words = self.words(" " + " ".join(stretches))
+        firsts = [i for i, word in enumerate(words) if word[0] == " "]
+        (ids,) = self.look_up(self.known, [words], self.merged)
+        return {s: ids[i] if j == i + 1 else b"".join(ids[i:j]) for s, i, j in zip(stretches, firsts, [*firsts[1:], len(words)], strict=True)}
+
+    def encode_some(self, texts: list[str]) -> list[bytes]:
+        """Ids of some texts: what is new in any of them is merged together, then each text is put together."""
+        cuts = [self.cut(text) for text in texts]
+
+        def ids(table: dict[str, bytes], find: Callable[[set[str]], dict[str, bytes]]) -> Iterator[bytes]:
+            for some in _portions((run for cut in cuts for of, run in cut if of is table), KEYS):
+                yield from map(b"".join, self.look_up(table, some, find))
+
+        found = {id(table): ids(table, find) for table, find in ((self.marks, dict), (self.known, self.merged), (self.stretches, self.of_stretches))}
+        return [b"".join(next(found[id(table)]) for table, _ in cut) for cut in cuts]
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Ids of each text, a bounded stretch of texts at a time; a longer text is worked on alone."""
+        for some in _portions(texts, STRETCH):
+            yield from self.encode_some(some)
+
+    def encode(self, text: str) -> bytes:
+        return next(self.encode_all([text]))
 
     def decode(self, packed: bytes) -> str:
         ids = np.frombuffer(packed, "<u4").astype(np.int64)
@@ -192,7 +300,7 @@ def vocabulary(spark: SparkSession, path: str) -> Callable[[], Bpe]:
 
 
 def _ids(bpe: Bpe, texts: pa.Array) -> pa.Array:
-    return pa.array([bpe.encode(t) for t in texts.to_pylist()], pa.binary())
+    return pa.array(bpe.encode_all(texts.to_pylist()), pa.binary())
 
 
 def _texts(bpe: Bpe, ids: pa.Array) -> pa.Array:

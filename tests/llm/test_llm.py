@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -371,6 +372,54 @@ def test_long_words_merge_alike(vocabulary):
         assert own.merge_short(list(ids)) == own.merge_long(list(ids))
 
 
+def test_new_words_are_merged_together(vocabulary, monkeypatch):
+    library, own = vocabulary
+    rng = random.Random(11)
+    letters = ["aeinorst"] * 3 + ["aeiouéüß", "漢字かな"]
+    words = ["".join(rng.choice(letters[k % 5]) for _ in range(rng.choice((3, 7, 12, 20, 40, 70)))) for k in range(4000)]
+    words += [c * n for c in "aé漢" for n in (1, 2, 8, 9, 255, 256, 257, 300)] + ["ab" * 63, "aab" * 85]
+    text = " ".join(words)
+    own.known.clear()
+    own.stretches.clear()
+    alone = []
+    monkeypatch.setattr(own, "merge_short", lambda ids, merge=own.merge_short: alone.append(len(ids)) or merge(ids))
+    assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(alone) < 3 * bpe.TOGETHER
+
+
+@pytest.mark.parametrize("held", [3, 200, 100_000])
+def test_texts_are_encoded_together(held, vocabulary, monkeypatch):
+    """What one text needs stays at hand while others push it out of what is remembered."""
+    library, own = vocabulary
+    monkeypatch.setattr(bpe, "REMEMBERED", held)
+    monkeypatch.setattr(bpe, "STRETCH", 2000)
+    monkeypatch.setattr(bpe, "KEYS", 70)
+    monkeypatch.setattr(bpe, "TOGETHER", 2)
+    own.known.clear()
+    own.stretches.clear()
+    rng = random.Random(held)
+    pool = ["the", "then", "of", "x" * 300, "don't", "1a", "ß漢", "\u0558", "a\u1c89b", "\n", "\x1c", "\x85", "\u3000", "  ", "<|endoftext|>", "!?", "", "aba" * 20]
+    texts = [" ".join(rng.choice(pool) + rng.choice(("", "", "ab", "é", "\n", "'s")) for _ in range(rng.randrange(60))) + rng.choice(("", " ", "\n", "\t", " \n")) for _ in range(400)]
+    texts += ["", " ", "\n", " \n", "a ", " a", "a\n b", "y" * 5000, "z " * 3000]
+    got = [np.frombuffer(x, "<u4").tolist() for x in own.encode_all(texts)]
+    for text, ids, want in zip(texts, got, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert ids == want.ids, ascii(text)
+    assert max(len(own.known), len(own.stretches)) <= held and list(own.encode_all([])) == []
+
+
+def test_vocabularies_of_few_merges_and_bytes():
+    bytes_of = {b: c for c, b in bpe.byte_letters().items()}
+    vocab = {bytes_of[b]: i for i, b in enumerate(range(0x20, 0x7F))}
+    words = [f"{a}{b}{c}" for a in "abc" for b in "abc" for c in "abc"]
+    file = lambda merges, more=(): json.dumps({"model": {"vocab": vocab | {t: len(vocab) + i for i, t in enumerate(more)}, "merges": merges}}).encode()
+    plain, own = bpe.Bpe(file([])), bpe.Bpe(file(["a b"], ["ab"]))
+    assert [len(plain.encode(w)) // 4 for w in words] == [len(x) // 4 for x in plain.encode_all(words)] == [3] * 27
+    assert [len(x) // 4 for x in own.encode_all(words)] == [3 - ("ab" in w) for w in words]
+    for text in ("é", " ".join(w + "é" for w in words)):
+        with pytest.raises((ValueError, OverflowError)):
+            own.encode(text)
+
+
 def test_bpe_of_the_awkward(spark, awkward, empty, vocabulary):
     rows = bpe.token_digests(awkward, bpe.default_vocabulary()).collect()
     texts = collections.defaultdict(set)
