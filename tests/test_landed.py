@@ -145,6 +145,47 @@ def test_no_feed_is_part_of_the_plan(spark):
     assert not any(f"f{k}" in plan.replace("of", "") for k in range(10, 50))
 
 
+def joined_rows(plan):
+    """The rows that each join of a plan that has run gave."""
+    name = plan.nodeName()
+    if name in ("AdaptiveSparkPlan", "ResultQueryStage"):
+        return joined_rows(plan.executedPlan() if name == "AdaptiveSparkPlan" else plan.plan())
+    below = [plan.plan()] if "QueryStage" in name else [plan.child()] if name.startswith("Reused") else [plan.children().apply(i) for i in range(plan.children().size())]
+    own = [plan.metrics().get("numOutputRows").get().value()] if name.endswith("Join") else []
+    return own + [n for x in below for n in joined_rows(x)]
+
+
+def test_feeds_and_rows_are_not_paired(spark):
+    """Every feed fits most rows; what is joined grows with rows and feeds, not with their product."""
+    n_rows, n_feeds = 3000, 600
+    rows = [(k, "en", ["a"], k % 1000, DAY + datetime.timedelta(k % 5), None) for k in range(n_rows)]
+    given = [(f"f{k}", "en", None, k % 50, 900 + k % 99, None if k % 4 else DAY, None if k % 5 else DAY + datetime.timedelta(4), 1 + k % 3) for k in range(n_feeds)]
+    found = feeds.route_table(spark.createDataFrame(rows, ROW), spark.createDataFrame(given, FEED), *[F.col(c) for c in ("lang", "tags", "size", "day")], ["id"], 0)
+    assert sorted((r["feed"], r["rank"], r["id"]) for r in found.collect()) == plain_routes(rows, given)
+    joined = joined_rows(found._jdf.queryExecution().executedPlan())
+    # a row is in a block for each level of sizes and each kind of days
+    assert joined and max(joined) < n_rows * n_feeds / 5
+
+
+def test_feeds_of_one_name_and_wide_bounds(spark):
+    """Rows of a name are ranked together before each condition's own bound; sizes may be any long."""
+    low, high = -(1 << 63), (1 << 63) - 1
+    given = [("f", None, None, low, high, None, None, 1), ("f", "en", None, -1, 9, None, None, 3), ("g", None, None, low, low + 1, None, None, 2), ("g", None, None, 5, 5, None, None, 9), ("h", None, None, high - 1, high, DAY, DAY, 2)]
+    rows = [(k, "en", None, size, DAY, None) for k, size in enumerate([low, -1, 0, 8, 9, high - 1, high])]
+    route = lambda m: feeds.route_table(spark.createDataFrame(rows, ROW), spark.createDataFrame(given, FEED), *[F.col(c) for c in ("lang", "tags", "size", "day")], ["id"], m)
+    for m in (0, 1 << 20):
+        found = sorted((r["feed"], r["rank"], r["id"]) for r in route(m).collect())
+        assert [x for x in found if x[0] != "f"] == [("g", 1, 0)]
+        # ids 0, 1, 1, 2, 2, ...: the first condition gives rank 1 alone, the second one rank 2 or 3
+        assert found[0] == ("f", 1, 0) and found[1][:1] + found[1][2:] == ("f", 1)
+    bounds = [(0, 1), (-5, 45), (3, 4), (7, 9), (low, high), (low, low + 1), (-1, 1), (high - 1, high), (low, 3), (5, 5), (6, 2)]
+    pairs = spark.createDataFrame(bounds, "low long, high long")
+    for r in pairs.select("low", "high", feeds._blocks(F.col("low"), F.col("high")).alias("blocks")).collect():
+        ends = sorted((b["block"] << b["level"], (b["block"] + 1) << b["level"]) for b in r["blocks"])
+        assert [a for a, _ in ends[1:]] == [b for _, b in ends[:-1]]
+        assert (ends[0][0], ends[-1][1]) == (r["low"], r["high"]) if r["low"] < r["high"] else not ends
+
+
 def test_unopened_style_and_cut_tail(spark):
     pages = ["a</style><p>b", "<style>x</style>a</script>b", "a<style>p {}", "", None]
     rows = spark.createDataFrame(list(enumerate(pages)), "i int, html string")
